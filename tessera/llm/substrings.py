@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, hashes, map_arrow, mixed, words_of
+from tessera.llm.common import hashes, map_arrow, mixed, words_of
 
 WINDOW, BLOCK = 50, 25
 #: Words of a chunk, bytes of text that a bucket stands for, places of a chunk from which a probe counts as hot.
-CHUNK, BUCKET_BYTES, HOT = 1_200_000, 6_000_000, 8
+CHUNK, BUCKET_BYTES, HOT = 1_200_000, 16_000_000, 8
 PACK = "kind int, bucket int, ids binary, counts binary, at binary, h binary, more binary"
 FLAGS = "doc_id long, th long, at binary"
 R1, R2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -50,13 +50,22 @@ def rolling(h: np.ndarray, width: int, r: np.uint64) -> np.ndarray:
     return mixed(out)
 
 
-def planes(x: np.ndarray) -> bytes:
-    """The bytes of 32-bit numbers by significance: the high ones are mostly zero and compress away."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def planes(x: np.ndarray, kind: str = "<u4") -> bytes:
+    """The bytes of numbers by significance: the high ones are mostly zero and compress away."""
+    return np.ascontiguousarray(x.astype(kind).view(np.uint8).reshape(len(x), -1).T).tobytes()
 
 
-def unplanes(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def unplanes(b: bytes, kind: str = "<u4") -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    return planes(keys[:, 0], "<i8") + keys[:, 1].astype("<i4").tobytes()
+
+
+def unpacked_keys(b: bytes) -> np.ndarray:
+    n = len(b) // 12
+    return np.stack([unplanes(b[: 8 * n], "<i8"), np.frombuffer(b[8 * n :], "<i4").astype(np.int64)], axis=1)
 
 
 def _pack(keys: np.ndarray, doc: np.ndarray, at: np.ndarray, h: np.ndarray, bucket: np.ndarray, kind: int, more: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
@@ -76,7 +85,7 @@ def _pack(keys: np.ndarray, doc: np.ndarray, at: np.ndarray, h: np.ndarray, buck
     last = np.searchsorted(starts, ends)
     columns: list[list] = [[] for _ in range(7)]
     for s, e, f, t in zip(cuts, ends, first, last, strict=True):
-        for c, x in zip(columns, (kind, int(bucket[s]), keys[doc[starts[f:t]]].tobytes(), planes(counts[f:t]), planes(step[s:e]), h[s:e].tobytes(), b"" if more is None else more[s:e].tobytes()), strict=True):
+        for c, x in zip(columns, (kind, int(bucket[s]), packed_keys(keys[doc[starts[f:t]]]), planes(counts[f:t]), planes(step[s:e]), h[s:e].tobytes(), b"" if more is None else more[s:e].tobytes()), strict=True):
             c.append(x)
     yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[2:])], names=["kind", "bucket", "ids", "counts", "at", "h", "more"])
 
@@ -87,7 +96,7 @@ def _unpack(table: pa.Table, kind: int, dtype) -> tuple[np.ndarray, np.ndarray,
     for k, ids, counts, at, h, more in zip(*(table.column(n).to_pylist() for n in ("kind", "ids", "counts", "at", "h", "more")), strict=True):
         if k != kind:
             continue
-        own, counts, step = np.frombuffer(ids, np.int64).reshape(-1, 2), unplanes(counts).astype(np.int64), unplanes(at).astype(np.int64)
+        own, counts, step = unpacked_keys(ids), unplanes(counts).astype(np.int64), unplanes(at).astype(np.int64)
         place = np.cumsum(step)
         starts = np.cumsum(counts) - counts
         place -= np.repeat(place[starts] - step[starts], counts)
@@ -95,11 +104,11 @@ def _unpack(table: pa.Table, kind: int, dtype) -> tuple[np.ndarray, np.ndarray,
         docs.append(np.repeat(np.arange(base, base + len(own), dtype=np.int32), counts))
         ats.append(place.astype(np.int32))
         hs.append(np.frombuffer(h, dtype))
-        mores.append(np.frombuffer(more, np.uint32))
+        mores.append(np.frombuffer(more, np.uint16))
         base += len(own)
     if not keys:
         none = np.zeros(0, np.int32)
-        return np.zeros((0, 2), np.int64), none, none, np.zeros(0, dtype), np.zeros(0, np.uint32)
+        return np.zeros((0, 2), np.int64), none, none, np.zeros(0, dtype), np.zeros(0, np.uint16)
     return tuple(np.concatenate(x) for x in (keys, docs, ats, hs, mores))  # type: ignore[return-value]
 
 
@@ -198,7 +207,7 @@ def _extend(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
         least = np.repeat(d[first], np.diff(np.r_[np.flatnonzero(first), len(d)]))
         gone = order[d > least]
         gone = gone[np.lexsort((at[gone], doc[gone]))]
-        yield from _pack(keys, doc[gone], at[gone], np.zeros(len(gone), np.uint64), keys[doc[gone], 1] % buckets, 2, np.zeros(len(gone), np.uint32))
+        yield from _pack(keys, doc[gone], at[gone], np.zeros(len(gone), np.uint64), keys[doc[gone], 1] % buckets, 2, np.zeros(len(gone), np.uint16))
         one = np.sort(order[first])
         yield from _pack(keys, doc[one], at[one], h[one], ((h[one] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), 0, h2[one])
         same = np.sort(order[~first & (d == least)])  # the least document's own repeats, settled with its first
@@ -215,7 +224,7 @@ def _extend(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
             at = np.flatnonzero(np.cumsum(edge[:n]))
             if len(at):
                 h = hashes(words)
-                chunk.add(doc_id, th, at, rolling(h, WINDOW, R1)[at], rolling(h, WINDOW, R2)[at].astype(np.uint32))
+                chunk.add(doc_id, th, at, rolling(h, WINDOW, R1)[at], rolling(h, WINDOW, R2)[at].astype(np.uint16))
                 if chunk.n >= CHUNK // 2:
                     yield from sent(chunk)
     if chunk.n:
@@ -258,14 +267,17 @@ def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.Reco
 
 def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): kept is the text of what stays, words joined by a space, or its SHA-256."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").cast("long").alias("th"), F.col("text").cast("binary").alias("text"))
+    # Both joins read one and the same exchange of the texts, so both leave out rows without a doc_id.
+    known, nameless = rows.filter("doc_id is not null"), rows.filter("doc_id is null")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, total // BUCKET_BYTES + 1)
-    packs = map_arrow(rows, partial(_probe, buckets=buckets), PACK)
+    packs = map_arrow(known, partial(_probe, buckets=buckets), PACK)
     by_doc = lambda df: df.groupBy("doc_id", "th").agg(F.collect_list("at").alias("flags"))  # noqa: E731  a document's own places, as many as its words at most
     hits = by_doc(packs.groupBy("bucket").applyInArrow(_hits, FLAGS))
-    near = rows.join(hits, ["doc_id", "th"]).select("doc_id", "th", "text", "flags")
+    near = known.join(hits, ["doc_id", "th"]).select("doc_id", "th", "text", "flags")
     windows = map_arrow(near, partial(_extend, buckets=buckets), PACK)
-    gone = by_doc(checkpointed(windows.groupBy("bucket").applyInArrow(_repeats, FLAGS)))
-    final = rows.join(gone, ["doc_id", "th"], "left").select("doc_id", "th", "text", "flags")
+    gone = by_doc(windows.groupBy("bucket").applyInArrow(_repeats, FLAGS))
+    final = known.join(gone, ["doc_id", "th"], "left").select("doc_id", "th", "text", "flags")
+    final = final.union(nameless.select("doc_id", "th", "text", F.lit(None).cast("array<binary>")))
     return map_arrow(final, partial(_cut, with_text=with_text), "doc_id long, n_words long, n_removed long, kept string")
