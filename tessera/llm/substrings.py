@@ -36,7 +36,7 @@ WINDOW, BLOCK = 50, 25
 #: Words of a chunk, bytes of text that a bucket stands for, places of a chunk from which a probe counts as hot.
 CHUNK, BUCKET_BYTES, HOT = 1_200_000, 16_000_000, 8
 PACK = "kind int, bucket int, ids binary, counts binary, at binary, h binary, more binary"
-FLAGS = "doc_id long, th long, at binary"
+FLAGS, BY_DOCUMENT = "part int, ids binary, counts binary, at binary", "doc_id long, th long, flags binary"
 R1, R2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -112,14 +112,30 @@ def _unpack(table: pa.Table, kind: int, dtype) -> tuple[np.ndarray, np.ndarray,
     return tuple(np.concatenate(x) for x in (keys, docs, ats, hs, mores))  # type: ignore[return-value]
 
 
-def _flags(keys: np.ndarray, doc: np.ndarray, at: np.ndarray) -> pa.Table:
-    """Rows of FLAGS: the places of each document."""
-    order = np.lexsort((at, doc))
+def _flags(keys: np.ndarray, doc: np.ndarray, at: np.ndarray, parts: int) -> pa.Table:
+    """Rows of FLAGS: the places of each document, those of many documents in a row."""
+    order = np.lexsort((at, doc, keys[doc, 1] % parts)) if len(doc) else np.zeros(0, np.int64)
     doc, at = doc[order], at[order]
-    starts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-    places = [x.astype(np.int32).tobytes() for x in np.split(at, starts[1:])] if len(doc) else []
-    own = keys[doc[starts]]
-    return pa.table([pa.array(own[:, 0]), pa.array(own[:, 1]), pa.array(places, pa.binary())], names=["doc_id", "th", "at"])
+    part, n = keys[doc, 1] % parts, len(doc)
+    starts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]][:n])
+    counts = np.diff(np.r_[starts, n])
+    cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][:n])
+    rows = []
+    for s, e in zip(cuts, np.r_[cuts[1:], n][: len(cuts)], strict=True):
+        f, t = np.searchsorted(starts, (s, e))
+        rows.append((int(part[s]), packed_keys(keys[doc[starts[f:t]]]), planes(counts[f:t]), at[s:e].astype("<i4").tobytes()))
+    columns = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["part", "ids", "counts", "at"])
+
+
+def _by_document(group: pa.Table) -> pa.Table:
+    """The flags of a part's documents, a row for each."""
+    own: dict[tuple[int, int], list[bytes]] = {}
+    for ids, counts, at in zip(*(group.column(n).to_pylist() for n in ("ids", "counts", "at")), strict=True):
+        ends = 4 * np.cumsum(unplanes(counts).astype(np.int64))
+        for key, s, e in zip(unpacked_keys(ids).tolist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            own.setdefault(tuple(key), []).append(at[s:e])
+    return pa.table([pa.array([k[0] for k in own], pa.int64()), pa.array([k[1] for k in own], pa.int64()), pa.array([_places(v).tobytes() for v in own.values()], pa.binary())], names=["doc_id", "th", "flags"])
 
 
 def _thinned(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -176,7 +192,7 @@ def _probe(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
         yield from sent(chunk)
 
 
-def _hits(group: pa.Table) -> pa.Table:
+def _hits(group: pa.Table, parts: int) -> pa.Table:
     """Probes whose hash is also a reference block's elsewhere, and those blocks."""
     a, b, c = _unpack(group, 0, np.uint32), _unpack(group, 1, np.uint32), _unpack(group, 2, np.uint32)
     keys = np.concatenate([a[0], b[0], c[0]])
@@ -189,7 +205,7 @@ def _hits(group: pa.Table) -> pa.Table:
     if len(h):
         met = np.logical_or.reduceat(block[order], starts) & (sizes > 1)
         hit[order] = np.repeat(met, sizes)
-    return _flags(keys, np.concatenate([doc[hit], c[1] + len(a[0]) + len(b[0])]), np.concatenate([at[hit], c[2]]))
+    return _flags(keys, np.concatenate([doc[hit], c[1] + len(a[0]) + len(b[0])]), np.concatenate([at[hit], c[2]]), parts)
 
 
 def _places(flags: list[bytes]) -> np.ndarray:
@@ -216,7 +232,7 @@ def _extend(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
     chunk = _Chunk()
     for batch in batches:
         for doc_id, th, text, flags in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            words, hit = words_of(text), _places(flags)
+            words, hit = words_of(text), np.frombuffer(flags, np.int32)
             n = len(words) - WINDOW + 1
             edge = np.zeros(n + 1, np.int64)  # starts f - (WINDOW - BLOCK) to f hold the hit at f
             np.add.at(edge, np.clip(hit - (WINDOW - BLOCK), 0, n), 1)
@@ -231,7 +247,7 @@ def _extend(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
         yield from sent(chunk)
 
 
-def _repeats(group: pa.Table) -> pa.Table:
+def _repeats(group: pa.Table, parts: int) -> pa.Table:
     """Windows that a smaller doc_id also has."""
     a, c = _unpack(group, 0, np.uint64), _unpack(group, 2, np.uint64)
     keys, doc, at, h, h2 = a
@@ -242,7 +258,7 @@ def _repeats(group: pa.Table) -> pa.Table:
         first = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]
         least = np.repeat(d[first], np.diff(np.r_[np.flatnonzero(first), len(d)]))
         gone = order[d > least]
-    return _flags(np.concatenate([keys, c[0]]), np.concatenate([doc[gone], c[1] + len(keys)]), np.concatenate([at[gone], c[2]]))
+    return _flags(np.concatenate([keys, c[0]]), np.concatenate([doc[gone], c[1] + len(keys)]), np.concatenate([at[gone], c[2]]), parts)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -252,7 +268,7 @@ def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.Reco
             words, n = words_of(text), 0
             total = len(words)
             if flags and doc_id is not None:
-                at = _places(flags)
+                at = np.frombuffer(flags, np.int32)
                 edge = np.zeros(total + 1, np.int64)
                 np.add.at(edge, at, 1)
                 np.add.at(edge, at + WINDOW, -1)
@@ -267,17 +283,25 @@ def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.Reco
 
 def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): kept is the text of what stays, words joined by a space, or its SHA-256."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").cast("long").alias("th"), F.col("text").cast("binary").alias("text"))
+    # A bare column where no cast is needed: an alias would keep the two exchanges of texts from being one.
+    doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(doc_id, F.hash("text").cast("long").alias("th"), F.col("text").cast("binary").alias("text"))
     # Both joins read one and the same exchange of the texts, so both leave out rows without a doc_id.
     known, nameless = rows.filter("doc_id is not null"), rows.filter("doc_id is null")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, total // BUCKET_BYTES + 1)
     packs = map_arrow(known, partial(_probe, buckets=buckets), PACK)
-    by_doc = lambda df: df.groupBy("doc_id", "th").agg(F.collect_list("at").alias("flags"))  # noqa: E731  a document's own places, as many as its words at most
-    hits = by_doc(packs.groupBy("bucket").applyInArrow(_hits, FLAGS))
-    near = known.join(hits, ["doc_id", "th"]).select("doc_id", "th", "text", "flags")
+    def hits(group: pa.Table) -> pa.Table:
+        return _hits(group, buckets)
+
+    def repeats(group: pa.Table) -> pa.Table:
+        return _repeats(group, buckets)
+
+    packs = map_arrow(known, partial(_probe, buckets=buckets), PACK)
+    flags = packs.groupBy("bucket").applyInArrow(hits, FLAGS).groupBy("part").applyInArrow(_by_document, BY_DOCUMENT)
+    near = known.join(flags, ["doc_id", "th"]).select("doc_id", "th", "text", "flags")
     windows = map_arrow(near, partial(_extend, buckets=buckets), PACK)
-    gone = by_doc(windows.groupBy("bucket").applyInArrow(_repeats, FLAGS))
+    gone = windows.groupBy("bucket").applyInArrow(repeats, FLAGS).groupBy("part").applyInArrow(_by_document, BY_DOCUMENT)
     final = known.join(gone, ["doc_id", "th"], "left").select("doc_id", "th", "text", "flags")
-    final = final.union(nameless.select("doc_id", "th", "text", F.lit(None).cast("array<binary>")))
+    final = final.union(nameless.select("doc_id", "th", "text", F.lit(None).cast("binary")))
     return map_arrow(final, partial(_cut, with_text=with_text), "doc_id long, n_words long, n_removed long, kept string")

@@ -283,8 +283,8 @@ def test_small_chunks_reach_the_workers():
         substrings.CHUNK = old
     flags = defaultdict(set)
     for b in range(4):
-        part = substrings._hits(packs.filter(pa.compute.equal(packs["bucket"], b)))
-        for d, at in zip(part["doc_id"].to_pylist(), part["at"].to_pylist(), strict=True):
+        part = substrings._by_document(substrings._hits(packs.filter(pa.compute.equal(packs["bucket"], b)), 3))
+        for d, at in zip(part["doc_id"].to_pylist(), part["flags"].to_pylist(), strict=True):
             flags[d] |= set(np.frombuffer(at, np.int32).tolist())
     for i in range(40):
         for start in range(20, 20 + 120 - 49):
