@@ -35,32 +35,54 @@ def tagged(text: Column) -> Column:
     t = F.translate(F.coalesce(text, F.lit("")), MARK + SEP, "  ")
     t = F.regexp_replace(t, r"(?<=[\p{Ll}\p{N},;:] )(\p{Lu}\p{Ll}+)", f"{MARK}n{SEP}$1")
     t = F.lower(t)
-    t = F.regexp_replace(t, rf"(?<![0-9])[.,%€$]|[.,](?![0-9])|[^\p{{L}}\p{{N}}.,%€${MARK}{SEP}]+", " ")
-    numbers = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{N}}{MARK}{SEP}])([0-9]+(?:[.,][0-9]+)*)", f" {MARK}#{SEP}$1 ")
-    units = F.regexp_replace(numbers, rf"({MARK}#{SEP}[0-9.,]+) +({'|'.join(UNITS)}|%|€|\$)(?![\p{{L}}\p{{N}}])", f"$1 {MARK}u{SEP}$2")
-    return F.trim(F.when(t.rlike("[0-9]"), units).otherwise(t))
 
+    def with_values(x: Column) -> Column:
+        x = F.regexp_replace(x, rf"[^\p{{L}}\p{{N}}.,%€${MARK}{SEP}]+|(?<![0-9])[.,%€$]|[.,](?![0-9])", " ")
+        numbers = F.regexp_replace(x, rf"(?<![\p{{L}}\p{{N}}{MARK}{SEP}])([0-9]+(?:[.,][0-9]+)*)", f" {MARK}#{SEP}$1 ")
+        return F.regexp_replace(numbers, rf"({MARK}#{SEP}[0-9.,]+) +({'|'.join(UNITS)}|%|€|\$)(?![\p{{L}}\p{{N}}])", f"$1 {MARK}u{SEP}$2")
 
-def _windows(words: Column, lengths: list[int]) -> Column:
-    """(at, h, n, slots) of each window of words; slots has the placeholders with their values."""
-    plain = F.transform(words, lambda w: F.substring_index(w, SEP, 1))
+    return F.trim(_bound(t, lambda x: F.when(x.rlike("[0-9]"), with_values(x)).otherwise(F.regexp_replace(x, rf"[^\p{{L}}\p{{N}}{MARK}{SEP}]+", " "))))
 
-    def of(shown: Column, n: int, slots: bool) -> Column:
+
+def _bound(value: Column, f) -> Column:
+    """f(value) with the value computed once: a lambda's own expressions are evaluated anew for each element."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _windows(tagged: Column, lengths: list[int]) -> Column:
+    """(at, h, slots) of each window of words; slots has the placeholders with their values."""
+    none = F.array().cast("array<struct<at:int,h:bigint,slots:string>>")
+
+    def paired(h: Column, n: int) -> Column:
+        """Hashes of runs of n from hashes of single words, by doubling; n is a power of two."""
+        return h if n == 1 else _bound(paired(h, n // 2), lambda x: F.zip_with(x, F.slice(x, n // 2 + 1, F.size(x)), lambda a, b: F.xxhash64(a, b)))
+
+    def run(words: Column, n: int) -> Column:
+        """A hash for each window of n words."""
+        h = F.transform(words, lambda w: F.xxhash64(w))
+        if n & (n - 1) == 0:
+            return F.slice(paired(h, n), 1, F.size(words) - n + 1)
+        return F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.xxhash64(F.slice(words, i + 1, n)))
+
+    def of(words: Column, shown: Column, n: int, slots: bool) -> Column:
         text = (lambda i: F.array_join(F.filter(F.slice(words, i + 1, n), lambda w: w.contains(SEP)), " ")) if slots else (lambda i: F.lit(""))
-        one = lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(shown, i + 1, n)).alias("h"), text(i).alias("slots"))
-        return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(0), F.size(words) - n), one)).otherwise(F.array().cast("array<struct<at:int,h:bigint,slots:string>>"))
+        one = lambda h, i: F.struct(i.alias("at"), h.alias("h"), text(i).alias("slots"))
+        return F.when(F.size(words) >= n, F.transform(run(shown, n), one)).otherwise(none)
 
-    def all_of(shown: Column, slots: bool) -> Column:
-        parts = [of(shown, n, slots) for n in lengths]
+    def all_of(words: Column, shown: Column, slots: bool) -> Column:
+        parts = [of(words, shown, n, slots) for n in lengths]
         return F.concat(*parts) if len(parts) > 1 else parts[0]
 
-    return F.when(F.col("tagged").contains(SEP), all_of(plain, True)).otherwise(all_of(words, False))
+    split = F.split(tagged, " +")
+    plain = lambda words: F.transform(words, lambda w: F.substring_index(w, SEP, 1))
+    typed = _bound(split, lambda w: _bound(plain(w), lambda p: all_of(w, p, True)))
+    return F.when(tagged == "", none).when(tagged.contains(SEP), typed).otherwise(_bound(split, lambda w: all_of(w, w, False)))
 
 
 def _exploded(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
     """(key, at, h, slots) of each window of (key, tagged)."""
-    rows = rows.withColumn("words", F.when(F.col("tagged") == "", F.array().cast("array<string>")).otherwise(F.split("tagged", " +")))
-    return rows.select(key, F.explode(_windows(F.col("words"), lengths)).alias("w")).select(key, "w.at", "w.h", "w.slots")
+    windows = _bound(F.col("tagged"), lambda t: _windows(t, lengths))
+    return rows.select(key, F.explode(windows).alias("w")).select(key, "w.at", "w.h", "w.slots")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
