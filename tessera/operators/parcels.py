@@ -63,7 +63,7 @@ def by_ids(parcels: DataFrame, titles: DataFrame, ids: list[int] | None = None,
 def by_proprietor(parcels: DataFrame, titles: DataFrame, name: str) -> DataFrame:
     """Titles whose first proprietor has this name (case aside), a row for each parcel, or one without."""
     shapes = parcels.select(F.col("title_no").alias("_title"), "poly_id", "geom")
-    hit = titles.filter(F.col("proprietor_name_1").collate("UNICODE_CI_AI") == F.lit(name).collate("UNICODE_CI_AI"))
+    hit = titles.filter(F.collate("proprietor_name_1", "UNICODE_CI_AI") == F.collate(F.lit(name), "UNICODE_CI_AI"))
     return hit.join(shapes, hit.title_no == shapes["_title"], "left").drop("_title")
 
 
