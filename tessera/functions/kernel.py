@@ -14,7 +14,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 
-GRID = 1e-8
+GRID = 1e-9
+#: How far from a piece its sides are judged, in grid steps: more than rounding moves a crossing.
+SIDE = 2.0
 Ring = list[list[float]]
 Polygon = list[Ring]
 
@@ -44,21 +46,26 @@ def _pieces(edges: np.ndarray) -> set[tuple[float, float, float, float]]:
     d = edges[:, 2:] - edges[:, :2]
     for i, (ax, ay, bx, by) in enumerate(edges):
         dx, dy = d[i]
-        cut = [0.0, 1.0]
-        near = (np.minimum(edges[:, 0], edges[:, 2]) <= max(ax, bx)) & (np.maximum(edges[:, 0], edges[:, 2]) >= min(ax, bx)) & (np.minimum(edges[:, 1], edges[:, 3]) <= max(ay, by)) & (np.maximum(edges[:, 1], edges[:, 3]) >= min(ay, by))
+        cut = {0.0: (ax, ay), 1.0: (bx, by)}
+        near = np.flatnonzero((np.minimum(edges[:, 0], edges[:, 2]) <= max(ax, bx)) & (np.maximum(edges[:, 0], edges[:, 2]) >= min(ax, bx)) & (np.minimum(edges[:, 1], edges[:, 3]) <= max(ay, by)) & (np.maximum(edges[:, 1], edges[:, 3]) >= min(ay, by)))
         e, f = edges[near], d[near]
         cross = dx * f[:, 1] - dy * f[:, 0]
         with np.errstate(divide="ignore", invalid="ignore"):
             t = ((e[:, 0] - ax) * f[:, 1] - (e[:, 1] - ay) * f[:, 0]) / cross
             u = ((e[:, 0] - ax) * dy - (e[:, 1] - ay) * dx) / cross
-        cut += t[(cross != 0) & (t > 0) & (t < 1) & (u >= -1e-12) & (u <= 1 + 1e-12)].tolist()
+        for k in np.flatnonzero((cross != 0) & (t > 0) & (t < 1) & (u >= -1e-12) & (u <= 1 + 1e-12)):
+            # Both edges of a crossing get the same point: an end of one of them, or the one that the earlier edge gives.
+            if abs(u[k]) < 1e-12 or abs(u[k] - 1) < 1e-12:
+                at = tuple(e[k, :2] if u[k] < 0.5 else e[k, 2:])
+            else:
+                at = (e[k, 0] + u[k] * f[k, 0], e[k, 1] + u[k] * f[k, 1]) if near[k] < i else (ax + t[k] * dx, ay + t[k] * dy)
+            cut[float(t[k])] = at
         for px, py in e[cross == 0].reshape(-1, 2):  # parallel ones share ends
             if (px - ax) * dy == (py - ay) * dx:
                 s = ((px - ax) * dx + (py - ay) * dy) / (dx * dx + dy * dy)
                 if 0 < s < 1:
-                    cut.append(s)
-        points = [(ax + s * dx, ay + s * dy) if 0 < s < 1 else ((ax, ay) if s == 0 else (bx, by)) for s in sorted(set(cut))]
-        points = [(float(round(x)), float(round(y))) for x, y in points]
+                    cut[float(s)] = (px, py)
+        points = [(float(round(cut[s][0])), float(round(cut[s][1]))) for s in sorted(cut)]
         out |= {min(p, q) + max(p, q) for p, q in zip(points, points[1:], strict=False) if p != q}
     return out
 
@@ -72,7 +79,7 @@ def overlay(polygons: list[list[Polygon]], keep: Callable[[list[bool]], bool]) -
     follow: dict[tuple, list[tuple]] = defaultdict(list)
     for ax, ay, bx, by in _pieces(edges):
         length = math.hypot(bx - ax, by - ay)
-        mx, my, nx, ny = (ax + bx) / 2, (ay + by) / 2, -(by - ay) / length * 0.25, (bx - ax) / length * 0.25
+        mx, my, nx, ny = (ax + bx) / 2, (ay + by) / 2, -(by - ay) / length * SIDE, (bx - ax) / length * SIDE
         left = keep([_inside(mx + nx, my + ny, e) for e in own])
         right = keep([_inside(mx - nx, my - ny, e) for e in own])
         if left != right:

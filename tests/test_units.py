@@ -7,7 +7,7 @@ import random
 
 import pandas as pd
 import pytest
-from hypothesis import given, settings
+from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -83,7 +83,7 @@ def box(x0, y0, x1, y1):
 coordinate = st.integers(0, 12).map(lambda i: i / 1000)
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=60, deadline=None, phases=[Phase.explicit, Phase.reuse, Phase.generate])
 @given(*[st.lists(st.tuples(coordinate, coordinate), min_size=3, max_size=6, unique=True)] * 2)
 def test_overlay_laws(a, b):
     def hull(points):
