@@ -40,6 +40,19 @@ def _inside(x: float, y: float, edges: np.ndarray) -> bool:
     return bool((e[:, 0] + (y - e[:, 1]) * (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1]) > x).sum() % 2)
 
 
+def _members(x: np.ndarray, y: np.ndarray, edges: np.ndarray, owner: np.ndarray, n: int, block: int = 1_000_000) -> np.ndarray:
+    """Which of n multipolygons each point is in (a row for each point); owners are sorted. Points go in blocks, so memory stays bounded."""
+    out = np.zeros((len(x), n), bool)
+    present, starts = np.unique(owner, return_index=True)
+    slope = (edges[:, 2] - edges[:, 0]) / np.where(edges[:, 3] == edges[:, 1], 1.0, edges[:, 3] - edges[:, 1])
+    step = max(1, block // len(edges))
+    for i in range(0, len(x), step):
+        px, py = x[i : i + step, None], y[i : i + step, None]
+        crossed = ((edges[:, 1] > py) != (edges[:, 3] > py)) & (edges[:, 0] + (py - edges[:, 1]) * slope > px)
+        out[i : i + step, present] = np.add.reduceat(crossed, starts, axis=1, dtype=int) % 2 == 1
+    return out
+
+
 def _pieces(edges: np.ndarray) -> set[tuple[float, float, float, float]]:
     """Sub-edges between all crossings, each in one direction only."""
     out = set()
@@ -70,21 +83,19 @@ def _pieces(edges: np.ndarray) -> set[tuple[float, float, float, float]]:
     return out
 
 
-def overlay(polygons: list[list[Polygon]], keep: Callable[[list[bool]], bool]) -> list[Polygon]:
-    """Where `keep` says so of membership in each multipolygon: polygons with their holes."""
+def overlay(polygons: list[list[Polygon]], keep: Callable[[np.ndarray], np.ndarray]) -> list[Polygon]:
+    """Where `keep` says so of membership (a row for each point, a column for each multipolygon): polygons with their holes."""
     edges, owner = _edges(polygons)
     if not len(edges):
         return []
-    own = [edges[owner == i] for i in range(len(polygons))]
     follow: dict[tuple, list[tuple]] = defaultdict(list)
-    for ax, ay, bx, by in _pieces(edges):
-        length = math.hypot(bx - ax, by - ay)
-        mx, my, nx, ny = (ax + bx) / 2, (ay + by) / 2, -(by - ay) / length * SIDE, (bx - ax) / length * SIDE
-        left = keep([_inside(mx + nx, my + ny, e) for e in own])
-        right = keep([_inside(mx - nx, my - ny, e) for e in own])
-        if left != right:
-            a, b = ((ax, ay), (bx, by)) if left else ((bx, by), (ax, ay))
-            follow[a].append(b)
+    pieces = np.array(sorted(_pieces(edges)))
+    middle, along = (pieces[:, :2] + pieces[:, 2:]) / 2, pieces[:, 2:] - pieces[:, :2]
+    aside = np.stack([-along[:, 1], along[:, 0]], axis=1) / np.hypot(along[:, 0], along[:, 1])[:, None] * SIDE
+    left, right = (keep(_members(*(middle + at).T, edges, owner, len(polygons))) for at in (aside, -aside))
+    for (ax, ay, bx, by), inner in zip(pieces[left != right].tolist(), left[left != right], strict=True):
+        a, b = ((ax, ay), (bx, by)) if inner else ((bx, by), (ax, ay))
+        follow[a].append(b)
     rings = []
     while follow:
         start = min(follow)
@@ -115,15 +126,15 @@ def overlay(polygons: list[list[Polygon]], keep: Callable[[list[bool]], bool]) -
 
 
 def intersection(a: list[Polygon], b: list[Polygon]) -> list[Polygon]:
-    return overlay([a, b], all)
+    return overlay([a, b], lambda m: m.all(1))
 
 
 def union(*parts: list[Polygon]) -> list[Polygon]:
-    return overlay(list(parts), any)
+    return overlay(list(parts), lambda m: m.any(1))
 
 
 def difference(a: list[Polygon], *others: list[Polygon]) -> list[Polygon]:
-    return overlay([a, *others], lambda x: x[0] and not any(x[1:]))
+    return overlay([a, *others], lambda m: m[:, 0] & ~m[:, 1:].any(1))
 
 
 def area(polygons: list[Polygon], radius: float = 6371008.8) -> float:
@@ -174,6 +185,29 @@ def buffered(polygons: list[Polygon], metres: float, corner: int = 32) -> list[P
     return union(polygons, *strips) if metres > 0 else difference(polygons, *strips)
 
 
+def holds_disc(rings: Polygon, metres: float) -> bool:
+    """A disc of that radius fits inside, found at the middle of some chord along either axis. False where none of these holds one, though one may still fit."""
+    p = np.concatenate([np.array(r, float) for r in rings])
+    lat = math.radians(float(p[:, 1].mean()))
+    unit = math.radians(6371008.8) * np.array([math.cos(lat), 1.0])
+    local = [(np.array(r, float) - p[0]) * unit for r in rings]
+    edges = np.concatenate([np.concatenate([r[:-1], r[1:]], axis=1) for r in local])
+    for swapped in (edges, edges[:, [1, 0, 3, 2]]):
+        x0, y0, x1, y1 = swapped.T
+        at = np.unique(swapped[:, [1, 3]])
+        level = np.concatenate([at[:-1] + (at[1:] - at[:-1]) * k for k in (0.25, 0.5, 0.75)])
+        for y in level:
+            on = (y0 > y) != (y1 > y)
+            x = np.sort(x0[on] + (y - y0[on]) * (x1[on] - x0[on]) / (y1[on] - y0[on]))
+            wide = x[1::2] - x[::2] > 2 * metres
+            for m in (x[1::2][wide] + x[::2][wide]) / 2:
+                dx, dy = x1 - x0, y1 - y0
+                t = np.clip(((m - x0) * dx + (y - y0) * dy) / np.maximum(dx * dx + dy * dy, 1e-12), 0, 1)
+                if np.hypot(x0 + t * dx - m, y0 + t * dy - y).min() > metres:
+                    return True
+    return False
+
+
 def polygons_of(geom) -> list[Polygon]:
     """A GeoJSON-like polygon as plain lists."""
     return [[[list(map(float, p)) for p in ring] for ring in geom["coordinates"]]] if geom is not None and geom["coordinates"] is not None and len(geom["coordinates"]) else []

@@ -122,8 +122,8 @@ def test_overlay_hole_and_buffer():
 
 
 def test_touch_is_meeting_but_no_overlap(spark):
-    a = shapes(spark, [(1, box(0, 0, 0.001, 0.001)[0][0]), (2, SMALL)], "id long")
-    b = shapes(spark, [(7, box(0.001, 0, 0.002, 0.001)[0][0]), (8, moved(SMALL, 1e-5, 0))], "id long")
+    a = shapes(spark, [(1, box(0.0, 0.0, 0.001, 0.001)[0][0]), (2, SMALL)], "id long")
+    b = shapes(spark, [(7, box(0.001, 0.0, 0.002, 0.001)[0][0]), (8, moved(SMALL, 1e-5, 0))], "id long")
     pairs = lambda how: {(r.a, r.b) for r in spatial.join(a, b, how).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).collect()}
     assert pairs("meets") == {(1, 7), (2, 8)} and pairs("overlaps") == {(2, 8)}
 
@@ -191,3 +191,12 @@ def test_runs(spark):
         runs.run({t: (lambda: 1 / 0) for t in runs.TASKS}, states.append)
     assert states[-1]["status"] == runs.INTERRUPTED
     assert runs.duration(3720) == "1h 2min"
+
+
+@pytest.mark.parametrize("shape", [[(0, 0), (40, 0), (40, 30), (0, 30)], [(0, 0), (100, 0), (100, 3), (0, 3)], [(0, 0), (50, 0), (50, 3), (20, 3), (20, 23), (0, 23)], [(0, 0), (60, 0), (0, 5)]])
+def test_discs_agree_with_shrinking(shape):
+    k = 180 / (3.141592653589793 * 6371008.8)
+    ring = [[-5 + x * k / 0.6427876, 50 + y * k] for x, y in [*shape, shape[0]]]
+    left = kernel.area(kernel.buffered([[ring]], -2.0)) > 0
+    assert not kernel.holds_disc([ring], 2.2) or left
+    assert unregistered.is_sliver([ring]) is not left
