@@ -192,7 +192,7 @@ def links(nodes: DataFrame, radius: int, reach: int | None = None) -> DataFrame:
     of: dict[int | None, list[int]] = {None: masks(radius)}
     level = {x for x in of[None]}
     for _ in range(12):
-        keyed = _keyed(rows, of).repartition("key", "mask").sortWithinPartitions("key", "mask")
+        keyed = _keyed(rows, of).repartition("key", "mask").sortWithinPartitions("key", "mask", "fp", "node")
         met = checkpointed(map_arrow(keyed, partial(_buckets, reach=reach), "kind int, a long, b long, mask long"))
         out = out.union(met.filter("kind = 0").select("a", "b"))
         rows = met.filter("kind = 1").select(F.col("a").alias("fp"), F.col("b").alias("node"), "mask")

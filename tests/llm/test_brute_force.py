@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -504,3 +505,10 @@ def test_near_copies(spark):
 
 def test_every_operator_has_a_query():
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+
+
+def test_links_do_not_depend_on_the_order_of_rows(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(np.bitwise_or.reduce(1 << rng.integers(0, 60, rng.integers(0, 5)), initial=0)), i) for i in range(400)]
+    found = [{tuple(r) for r in simhash.links(spark.createDataFrame(order, "fp long, node long").repartition(n), 3, 5).collect()} for order, n in ((rows, 3), (rows[::-1], 7))]
+    assert found[0] and found[0] == found[1]
