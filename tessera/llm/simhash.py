@@ -25,7 +25,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import checkpointed, components, hashes, map_arrow, words_of
@@ -231,6 +231,39 @@ def _similar(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _checked(pairs: DataFrame, parts: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) that share `least` of their shingles."""
+    held = pairs.join(parts.select(F.col("node").alias("a"), F.col("parts").alias("x")), "a").join(parts.select(F.col("node").alias("b"), F.col("parts").alias("y")), "b")
+    return checkpointed(map_arrow(held.select("a", "b", "x", "y"), partial(_similar, least=least), "a long, b long"))
+
+
+def completed(good: DataFrame, open_nodes: DataFrame, parts: DataFrame, least: float, stars: int = 3) -> DataFrame:
+    """The links `good` and those that the open nodes' components still lack, by prefix filtering.
+
+    Of n shingles, rarest first, two sets that share `least` of them have one in
+    common among the first n - ceil(least * n) + 1. Rounds in which the holders
+    of such a shingle are held against one of them join most of a large group;
+    then all pairs of different components that share one are checked.
+    """
+    rows = parts.join(open_nodes, "node", "left_semi").select("node", F.size("parts").alias("n"), F.explode("parts").alias("s"))
+    rows = rows.join(rows.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "s")
+    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("df", "s")))
+    prefix = checkpointed(rows.filter((F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1) & (F.col("df") > 1)).select("s", "node", "n"))
+    ratio = F.least("n", "m") >= F.greatest("n", "m") * least - 1e-9
+    for turn in range(stars + 1):
+        roots = components(good)
+        rooted = prefix.join(roots, "node", "left").select("s", "node", "n", F.coalesce("root", "node").alias("root"))
+        mixed = rooted.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).alias("p")).filter("lo < hi")
+        if turn < stars:
+            met = rooted.join(mixed.select("s", F.col("p.node").alias("other"), F.col("p.n").alias("m"), F.col("p.root").alias("far")), "s")
+        else:
+            rooted = rooted.join(mixed.select("s"), "s", "left_semi")
+            met = rooted.join(rooted.select("s", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("far")), "s").filter("node < other")
+        pairs = met.filter((F.col("root") != F.col("far")) & ratio).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        good = good.union(_checked(pairs, parts, least)).distinct()
+    return good
+
+
 def near_copies(docs: DataFrame, radius: int = 5, reach: int = 8, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, group_id) of documents in groups of two or more near copies.
 
@@ -238,8 +271,10 @@ def near_copies(docs: DataFrame, radius: int = 5, reach: int = 8, least: float =
     those shingles lies about ten bits apart at that similarity, beyond any
     radius that covering tables reach, so candidates come from a SimHash of the
     distinct words, where nearly all such pairs lie within five bits; each
-    candidate edge is then held against the shingles themselves. Equal word
-    sequences need no search and are one node. Rows without a doc_id are left out.
+    candidate edge is then held against the shingles themselves. Where an edge
+    fails, a forest or the star of a crowded fingerprint may have stood for other
+    pairs: all members of its component are then joined on their shingles. Equal
+    word sequences need no search and are one node. Rows without a doc_id are left out.
     """
     rows = docs.filter("doc_id is not null")
     prints = checkpointed(fingerprints(rows, 1, distinct=True))
@@ -249,8 +284,13 @@ def near_copies(docs: DataFrame, radius: int = 5, reach: int = 8, least: float =
     texts = rows.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("binary").alias("text"))
     parts = map_arrow(texts.join(wanted, "node", "left_semi"), _sets, "node long, parts array<long>").groupBy("node").agg(F.max("parts").alias("parts"))
     parts = checkpointed(parts)
-    pairs = edges.join(parts.select(F.col("node").alias("a"), F.col("parts").alias("x")), "a").join(parts.select(F.col("node").alias("b"), F.col("parts").alias("y")), "b").select("a", "b", "x", "y")
-    found = components(map_arrow(pairs, partial(_similar, least=least), "a long, b long"))
+    good = _checked(edges, parts, least)
+    failed = checkpointed(edges.join(good, ["a", "b"], "left_anti"))
+    if not failed.isEmpty():
+        wide = checkpointed(components(edges))
+        torn = wide.join(failed.select(F.col("a").alias("node")), "node", "left_semi").select("root").distinct()
+        good = completed(good, wide.join(torn, "root", "left_semi").select("node"), parts, least)
+    found = components(good)
     named = nodes.join(found, "node", "left").filter("root is not null or n > 1").select("same", F.coalesce("root", "node").alias("group_id"))
     return prints.join(named, "same").select("doc_id", "group_id")
 

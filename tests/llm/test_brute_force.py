@@ -512,3 +512,19 @@ def test_links_do_not_depend_on_the_order_of_rows(spark):
     rows = [(int(np.bitwise_or.reduce(1 << rng.integers(0, 60, rng.integers(0, 5)), initial=0)), i) for i in range(400)]
     found = [{tuple(r) for r in simhash.links(spark.createDataFrame(order, "fp long, node long").repartition(n), 3, 5).collect()} for order, n in ((rows, 3), (rows[::-1], 7))]
     assert found[0] and found[0] == found[1]
+
+
+def test_near_copies_of_a_crowded_fingerprint(spark):
+    """Families of orders of the same words: near copies of each other, not of the least node of their fingerprint."""
+    rng = np.random.default_rng(5)
+    vocabulary = [f"v{i}" for i in range(120)]
+    rows = []
+    for family in range(170):
+        words = [vocabulary[i] for i in rng.permutation(120)]
+        rows.append((len(rows), " ".join(words)))
+        if family % 2:
+            words[0], words[1] = words[1], words[0]
+            rows.append((len(rows), " ".join(words)))
+    near = [(i, i + 1) for (i, t), (_, u) in zip(rows, rows[1:]) if sorted(t.split()[:2]) == sorted(u.split()[:2]) and t.split()[2:] == u.split()[2:]]
+    group = {r.doc_id: r.group_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(near) == 85 and group == {d: a for a, b in near for d in (a, b)}
