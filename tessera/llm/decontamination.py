@@ -4,9 +4,10 @@ Texts become words in which numbers, names and units are typed placeholders:
 <number>, <unit> after a number, <name> for a capitalised word inside a sentence.
 Windows of WIDTH such words of each benchmark item are hash-joined with the
 windows of all documents, so an item matches although its numbers or names were
-changed. A match along one alignment counts only if its slots are consistent:
-equal values of the item have equal values in the document, and different ones
-different. Native columns only.
+changed. A window with the item's own values, or without any, counts at once. A
+run of changed windows along one alignment counts only if its slots are
+consistent: equal values of the item have equal values in the document. Different
+ones may come out equal. Native columns only.
 
 Windows of which fewer than half are plain words are left out on the
 benchmark's side: they would match any list of numbers. Items of under WIDTH
@@ -19,7 +20,7 @@ null doc_id is a document like others. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDTH = 8
@@ -86,7 +87,7 @@ def _exploded(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(th, item_id, n_windows, verbatim): texts (by hash) that hold windows of an item with consistent slots."""
+    """(th, item_id, n_windows, verbatim): texts (by hash) that hold windows of an item with consistent slots; verbatim: along some alignment all are equal."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tagged(F.col("text")).alias("tagged")).filter("tagged <> ''")
     sizes = F.size(F.split("tagged", " +"))
     short = [r[0] for r in items.select(sizes.alias("n")).filter(F.col("n") < width).distinct().collect()]  # lengths under width
@@ -100,12 +101,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFr
     probes = _exploded(rows, "th", [width, *short])
     hits = probes.join(F.broadcast(whole) if few else whole, "h")
     hits = hits.groupBy("th", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "slots", "item_slots").agg(F.count(F.lit(1)).alias("n"))
-    # Each alignment's pairs of values: few, as an item has few slots.
-    pairs = F.when(F.col("slots") == "", F.array().cast("array<struct<a:string,b:string>>")).otherwise(F.arrays_zip(F.split("item_slots", " ").alias("a"), F.split("slots", " ").alias("b")))
-    lined = hits.groupBy("th", "item_id", "shift").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"), F.min((F.col("slots") == F.col("item_slots")).cast("int")).alias("verbatim"))
-    names = lambda f: F.size(F.array_distinct(F.transform("pairs", lambda x: x[f])))
-    good = lined.filter((names("a") == F.size("pairs")) & (names("b") == F.size("pairs")))
-    return good.groupBy("th", "item_id").agg(F.sum("n").alias("n_windows"), F.max("verbatim").cast("boolean").alias("verbatim"))
+    # Runs of windows that are all changed or all equal; an item's windows are few.
+    hits = hits.withColumn("same", F.col("slots") == F.col("item_slots"))
+    hits = hits.withColumn("run", F.col("item_at") - F.row_number().over(Window.partitionBy("th", "item_id", "shift", "same").orderBy("item_at")))
+    pairs = F.when(F.col("same"), F.array().cast("array<struct<a:string,b:string>>")).otherwise(F.arrays_zip(F.split("item_slots", " ").alias("a"), F.split("slots", " ").alias("b")))
+    runs = hits.groupBy("th", "item_id", "shift", "same", "run").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+    good = F.size(F.array_distinct(F.transform("pairs", lambda x: x["a"]))) == F.size("pairs")
+    lined = runs.groupBy("th", "item_id", "shift").agg(F.sum(F.when(good, F.col("n"))).alias("n"), F.min(F.col("same").cast("int")).alias("verbatim")).filter("n > 0")
+    return lined.groupBy("th", "item_id").agg(F.sum("n").alias("n_windows"), F.max("verbatim").cast("boolean").alias("verbatim"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:

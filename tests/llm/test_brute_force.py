@@ -528,3 +528,11 @@ def test_near_copies_of_a_crowded_fingerprint(spark):
     near = [(i, i + 1) for (i, t), (_, u) in zip(rows, rows[1:]) if sorted(t.split()[:2]) == sorted(u.split()[:2]) and t.split()[2:] == u.split()[2:]]
     group = {r.doc_id: r.group_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(near) == 85 and group == {d: a for a, b in near for d in (a, b)}
+
+
+def test_one_bad_slot_drops_no_other_window(spark):
+    item = "The quiet river carries old wooden boats down to the distant harbour town every single morning with 5 sailors and 3 dogs on board"
+    bench = spark.createDataFrame([(1, item), (2, "Then 5 men carry some of the 3 stones")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item.replace("3", "5")), (2, "then 4 men carry some of the 4 stones"), (3, "all of it is new")], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()} == {(1, 1), (2, 2)}
+    assert [r.doc_id for r in decontamination.clean(docs, bench).collect()] == [3]
