@@ -112,11 +112,17 @@ def _unpack(table: pa.Table, kind: int, dtype) -> tuple[np.ndarray, np.ndarray,
     return tuple(np.concatenate(x) for x in (keys, docs, ats, hs, mores))  # type: ignore[return-value]
 
 
+def _spread(keys: np.ndarray, parts: int) -> np.ndarray:
+    """A part for each document: by doc_id as well, so that copies of one text don't meet in one part."""
+    return (mixed(mixed(keys[:, 0].astype(np.uint64)) + keys[:, 1].astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
 def _flags(keys: np.ndarray, doc: np.ndarray, at: np.ndarray, parts: int) -> pa.Table:
     """Rows of FLAGS: the places of each document, those of many documents in a row."""
-    order = np.lexsort((at, doc, keys[doc, 1] % parts)) if len(doc) else np.zeros(0, np.int64)
+    spread = _spread(keys, parts)
+    order = np.lexsort((at, doc, spread[doc])) if len(doc) else np.zeros(0, np.int64)
     doc, at = doc[order], at[order]
-    part, n = keys[doc, 1] % parts, len(doc)
+    part, n = spread[doc], len(doc)
     starts = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]][:n])
     counts = np.diff(np.r_[starts, n])
     cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][:n])
@@ -175,7 +181,7 @@ def _probe(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             _, one = np.unique(x, return_index=True)
             yield from _pack(keys, d[one], p[one], x[one].astype(np.uint32), place(x[one]), 1)
             keep = _thinned(d, p)
-            yield from _pack(keys, d[keep], p[keep], np.zeros(keep.sum(), np.uint32), (keys[d[keep], 1] % buckets), 2)
+            yield from _pack(keys, d[keep], p[keep], np.zeros(keep.sum(), np.uint32), _spread(keys, buckets)[d[keep]], 2)
         cold = ~hot
         yield from _pack(keys, doc[cold], at[cold], h[cold].astype(np.uint32), place(h[cold]), 0)
 
@@ -223,7 +229,7 @@ def _extend(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
         least = np.repeat(d[first], np.diff(np.r_[np.flatnonzero(first), len(d)]))
         gone = order[d > least]
         gone = gone[np.lexsort((at[gone], doc[gone]))]
-        yield from _pack(keys, doc[gone], at[gone], np.zeros(len(gone), np.uint64), keys[doc[gone], 1] % buckets, 2, np.zeros(len(gone), np.uint16))
+        yield from _pack(keys, doc[gone], at[gone], np.zeros(len(gone), np.uint64), _spread(keys, buckets)[doc[gone]], 2, np.zeros(len(gone), np.uint16))
         one = np.sort(order[first])
         yield from _pack(keys, doc[one], at[one], h[one], ((h[one] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), 0, h2[one])
         same = np.sort(order[~first & (d == least)])  # the least document's own repeats, settled with its first

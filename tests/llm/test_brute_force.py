@@ -536,3 +536,16 @@ def test_one_bad_slot_drops_no_other_window(spark):
     docs = spark.createDataFrame([(1, item.replace("3", "5")), (2, "then 4 men carry some of the 4 stones"), (3, "all of it is new")], "doc_id long, text string")
     assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()} == {(1, 1), (2, 2)}
     assert [r.doc_id for r in decontamination.clean(docs, bench).collect()] == [3]
+
+
+def test_copies_of_one_text_are_spread_over_parts():
+    import pyarrow as pa
+
+    text = f"{passage(98, 120)}".encode()
+    batch = pa.RecordBatch.from_arrays([pa.array(list(range(-20, 380))), pa.array([-7] * 400), pa.array([text] * 400)], names=["doc_id", "th", "text"])
+    packs = pa.Table.from_batches(list(substrings._probe(iter([batch]), 8)))
+    settled = packs.filter(pa.compute.equal(packs["kind"], 2))
+    assert set(settled["bucket"].to_pylist()) == set(range(8))
+    parts = pa.concat_tables(substrings._hits(packs.filter(pa.compute.equal(packs["bucket"], b)), 8) for b in range(8))
+    by_part = [{tuple(k) for ids in parts.filter(pa.compute.equal(parts["part"], b))["ids"].to_pylist() for k in substrings.unpacked_keys(ids).tolist()} for b in range(8)]
+    assert sum(map(len, by_part)) == len(set().union(*by_part)) == 400 and max(map(len, by_part)) < 100
