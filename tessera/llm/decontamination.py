@@ -2,6 +2,8 @@
 
 Texts become words in which numbers, names and units are typed placeholders:
 <number>, <unit> after a number, <name> for a capitalised word inside a sentence.
+A capitalised word that starts a sentence may be a name or not: texts with such
+words are taken in both forms.
 Windows of WIDTH such words of each benchmark item are hash-joined with the
 windows of all documents, so an item matches although its numbers or names were
 changed. A window with the item's own values, or without any, counts at once. A
@@ -9,9 +11,9 @@ run of changed windows along one alignment counts only if its slots are
 consistent: equal values of the item have equal values in the document. Different
 ones may come out equal. Native columns only.
 
-Windows of which fewer than half are plain words are left out on the
-benchmark's side: they would match any list of numbers. Items of under WIDTH
-words match as one window of their own length.
+Windows of which fewer than half are plain words would match any list of numbers:
+their hash takes in the values, so they match word for word only. Items of under
+WIDTH words match as one window of their own length.
 
 Edge cases: null and empty texts have no words and match nothing; items without
 words match nothing; repeated rows give one result for each doc_id and item; a
@@ -31,10 +33,11 @@ MARK, SEP = "§", "¦"
 UNITS = "km cm mm nm m kg mg g lb lbs oz t l ml mph kmh kph ft inch inches mile miles hour hours hr hrs h minute minutes min second seconds sec s day days week weeks month months year years dollar dollars euro euros cent cents percent degrees mb gb kb tb hz khz mhz ghz kw w v".split()
 
 
-def tagged(text: Column) -> Column:
-    """Words joined by spaces; a placeholder is its type, SEP and the value."""
+def tagged(text: Column, starts: bool = False) -> Column:
+    """Words joined by spaces; a placeholder is its type, SEP and the value. starts: capitalised words are names where a sentence starts, too."""
     t = F.translate(F.coalesce(text, F.lit("")), MARK + SEP, "  ")
-    t = F.regexp_replace(t, r"(?<=[\p{Ll}\p{N},;:] )(\p{Lu}\p{Ll}+)", f"{MARK}n{SEP}$1")
+    before = r"(?<![\p{L}\p{N}])" if starts else r"(?<=[\p{Ll}\p{N},;:] )"
+    t = F.regexp_replace(t, before + r"(\p{Lu}\p{Ll}+)", f"{MARK}n{SEP}$1")
     t = F.lower(t)
 
     def with_values(x: Column) -> Column:
@@ -50,6 +53,12 @@ def _bound(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
+def _forms(text: Column) -> Column:
+    """(form, tagged) without and with names at starts of sentences, the latter where it differs."""
+    forms = F.array(*[F.struct(F.lit(i).alias("form"), tagged(text, bool(i)).alias("tagged")) for i in (0, 1)])
+    return _bound(forms, lambda x: F.when(x[0]["tagged"] == x[1]["tagged"], F.slice(x, 1, 1)).otherwise(x))
+
+
 def _windows(tagged: Column, lengths: list[int]) -> Column:
     """(at, h, slots) of each window of words; slots has the placeholders with their values."""
     none = F.array().cast("array<struct<at:int,h:bigint,slots:string>>")
@@ -80,35 +89,36 @@ def _windows(tagged: Column, lengths: list[int]) -> Column:
     return F.when(tagged == "", none).when(tagged.contains(SEP), typed).otherwise(_bound(split, lambda w: all_of(w, w, False)))
 
 
-def _exploded(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
-    """(key, at, h, slots) of each window of (key, tagged)."""
+def _exploded(rows: DataFrame, key: str, lengths: list[int], width: int) -> DataFrame:
+    """(key, form, at, h, slots) of each window of (key, form, tagged); h takes in the values where slots are over half of width."""
     windows = _bound(F.col("tagged"), lambda t: _windows(t, lengths))
-    return rows.select(key, F.explode(windows).alias("w")).select(key, "w.at", "w.h", "w.slots")
+    return rows.select(key, "form", F.explode(windows).alias("w")).select(key, "form", "w.at", F.when((F.col("w.slots") != "") & (F.size(F.split("w.slots", " ")) * 2 > width), F.xxhash64("w.h", "w.slots")).otherwise(F.col("w.h")).alias("h"), "w.slots")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """(th, item_id, n_windows, verbatim): texts (by hash) that hold windows of an item with consistent slots; verbatim: along some alignment all are equal."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tagged(F.col("text")).alias("tagged")).filter("tagged <> ''")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.inline(_forms(F.col("text")))).filter("tagged <> ''")
     sizes = F.size(F.split("tagged", " +"))
     short = [r[0] for r in items.select(sizes.alias("n")).filter(F.col("n") < width).distinct().collect()]  # lengths under width
-    whole = _exploded(items.filter(sizes >= width), "item_id", [width])
+    whole = _exploded(items.filter(sizes >= width), "item_id", [width], width)
     for n in short:
-        whole = whole.union(_exploded(items.filter(sizes == n), "item_id", [n]))
-    whole = whole.select("item_id", F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"))
-    whole = whole.filter(F.size(F.filter(F.split("item_slots", " "), lambda x: x != "")) * 2 <= width)
+        whole = whole.union(_exploded(items.filter(sizes == n), "item_id", [n], width))
+    whole = whole.select("item_id", F.col("form").alias("item_form"), F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"))
     few = whole.limit(FEW + 1).count() <= FEW
-    rows = docs.select(F.xxhash64("text").alias("th"), tagged(F.col("text")).alias("tagged"))
-    probes = _exploded(rows, "th", [width, *short])
+    rows = docs.select(F.xxhash64("text").alias("th"), F.inline(_forms(F.col("text"))))
+    probes = _exploded(rows, "th", [width, *short], width)
     hits = probes.join(F.broadcast(whole) if few else whole, "h")
-    hits = hits.groupBy("th", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "slots", "item_slots").agg(F.count(F.lit(1)).alias("n"))
+    forms = ["form", "item_form"]
+    hits = hits.groupBy("th", "item_id", *forms, (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "slots", "item_slots").agg(F.count(F.lit(1)).alias("n"))
     # Runs of windows that are all changed or all equal; an item's windows are few.
     hits = hits.withColumn("same", F.col("slots") == F.col("item_slots"))
-    hits = hits.withColumn("run", F.col("item_at") - F.row_number().over(Window.partitionBy("th", "item_id", "shift", "same").orderBy("item_at")))
+    hits = hits.withColumn("run", F.col("item_at") - F.row_number().over(Window.partitionBy("th", "item_id", *forms, "shift", "same").orderBy("item_at")))
     pairs = F.when(F.col("same"), F.array().cast("array<struct<a:string,b:string>>")).otherwise(F.arrays_zip(F.split("item_slots", " ").alias("a"), F.split("slots", " ").alias("b")))
-    runs = hits.groupBy("th", "item_id", "shift", "same", "run").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+    runs = hits.groupBy("th", "item_id", *forms, "shift", "same", "run").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
     good = F.size(F.array_distinct(F.transform("pairs", lambda x: x["a"]))) == F.size("pairs")
-    lined = runs.groupBy("th", "item_id", "shift").agg(F.sum(F.when(good, F.col("n"))).alias("n"), F.min(F.col("same").cast("int")).alias("verbatim")).filter("n > 0")
-    return lined.groupBy("th", "item_id").agg(F.sum("n").alias("n_windows"), F.max("verbatim").cast("boolean").alias("verbatim"))
+    lined = runs.groupBy("th", "item_id", *forms, "shift").agg(F.sum(F.when(good, F.col("n"))).alias("n"), F.min(F.col("same").cast("int")).alias("verbatim")).filter("n > 0")
+    lined = lined.groupBy("th", "item_id", *forms).agg(F.sum("n").alias("n"), F.max("verbatim").alias("verbatim"))
+    return lined.groupBy("th", "item_id").agg(F.max("n").alias("n_windows"), F.max("verbatim").cast("boolean").alias("verbatim"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -549,3 +549,10 @@ def test_copies_of_one_text_are_spread_over_parts():
     parts = pa.concat_tables(substrings._hits(packs.filter(pa.compute.equal(packs["bucket"], b)), 8) for b in range(8))
     by_part = [{tuple(k) for ids in parts.filter(pa.compute.equal(parts["part"], b))["ids"].to_pylist() for k in substrings.unpacked_keys(ids).tolist()} for b in range(8)]
     assert sum(map(len, by_part)) == len(set().union(*by_part)) == 400 and max(map(len, by_part)) < 100
+
+
+def test_slot_heavy_windows_and_names_at_starts(spark):
+    bench = spark.createDataFrame([(1, "5 12 7 19 23 42 8 15 16 99"), (2, "Tom has 5 apples. Tom buys 3 more.")], "item_id long, text string")
+    texts = ["List: 5, 12, 7, 19, 23, 42, 8, 15, 16, 99.", "5 12 7 18 23 42 8 15 16 99", "So. Anna has 7 apples. Anna buys 4 more.", "Anna has 7 apples. Ben buys 4 more.", "tom has 5 apples. tom buys 3 more."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.item_id, r.n_windows, r.verbatim) for r in decontamination.contaminated(docs, bench).collect()} == {(0, 1, 3, True), (2, 2, 1, False), (4, 2, 1, True)}
