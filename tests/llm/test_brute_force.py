@@ -556,3 +556,11 @@ def test_slot_heavy_windows_and_names_at_starts(spark):
     texts = ["List: 5, 12, 7, 19, 23, 42, 8, 15, 16, 99.", "5 12 7 18 23 42 8 15 16 99", "So. Anna has 7 apples. Anna buys 4 more.", "Anna has 7 apples. Ben buys 4 more.", "tom has 5 apples. tom buys 3 more."]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {(r.doc_id, r.item_id, r.n_windows, r.verbatim) for r in decontamination.contaminated(docs, bench).collect()} == {(0, 1, 3, True), (2, 2, 1, False), (4, 2, 1, True)}
+
+
+def test_wrapped_notices(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:"
+    more = passage(11, 60)
+    texts = ["Licensed under CC BY-NC 4.0.", f"{more}\n{mit}\n{more}", f"{more} This Source Code Form is subject to the\nterms of the Mozilla Public License, v. 2.0. {more}", f"{more}\n{more}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.license) for r in licenses.scanned(docs).collect()} == {(0, "CC-BY-NC-4.0"), (1, "MIT"), (2, "MPL-2.0")}
