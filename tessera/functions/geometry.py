@@ -93,10 +93,17 @@ def offset_stats(old: Column, new: Column) -> Column:
 
 def is_rect(coords: Column) -> Column:
     """An axis-parallel rectangle of five points: its bounding box decides everything."""
-    x0, y0, x1, y1 = bbox(coords)
-    corner = F.forall(coords, lambda p: ((p[0] == x0) | (p[0] == x1)) & ((p[1] == y0) | (p[1] == y1)))
-    turns = F.forall(F.zip_with(F.slice(coords, 1, 4), F.slice(coords, 2, 4), lambda p, q: (p[0] == q[0]) != (p[1] == q[1])), lambda x: x)
-    return (F.size(coords) == 5) & corner & turns
+    x, y = (lambda i: coords[i][0]), (lambda i: coords[i][1])
+    closed = (x(0) == x(4)) & (y(0) == y(4)) & (x(0) != x(2)) & (y(0) != y(2))
+    flat = (y(0) == y(1)) & (x(1) == x(2)) & (y(2) == y(3)) & (x(3) == x(0))
+    steep = (x(0) == x(1)) & (y(1) == y(2)) & (x(2) == x(3)) & (y(3) == y(0))
+    return F.when(F.size(coords) == 5, closed & (flat | steep)).otherwise(F.lit(False))
+
+
+def is_valid(geom: Column) -> Column:
+    """A polygon as constructors take it: rings of four positions or more, each closed."""
+    closed = lambda r: F.when(F.size(r) >= 4, (F.element_at(r, 1) == F.element_at(r, -1))).otherwise(F.lit(False))
+    return F.coalesce((geom["type"] == "Polygon") & (F.size(geom["coordinates"]) > 0) & F.forall(geom["coordinates"], closed), F.lit(False))
 
 
 def rect(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -104,6 +111,16 @@ def rect(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.struct(F.lit("Polygon").alias("type"), F.array(F.array(*points)).alias("coordinates"))
 
 
+def sheared(x0: Column, y0: Column, x1: Column, y1: Column, slant: float) -> Column:
+    """The parallelogram whose points (x, y) have x - slant * y from x0 to x1, and y from y0 to y1."""
+    points = [F.array(x + slant * y, y) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
+    return F.struct(F.lit("Polygon").alias("type"), F.array(F.array(*points)).alias("coordinates"))
+
+
+def truncated_shape(geom: Column, places: int = 6) -> Column:
+    return F.struct(geom["type"].alias("type"), F.transform(geom["coordinates"], lambda r: truncated(r, places)).alias("coordinates"))
+
+
 def from_geojson(text: Column) -> Column:
     return F.from_json(text, POLYGON)
 

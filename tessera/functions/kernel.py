@@ -1,8 +1,9 @@
 """Overlay of polygons for what columns can't express: a small helper inside tasks.
 
-Coordinates snap to a grid of GRID degrees. All edges are split where they cross,
-each piece is judged by what lies just left and right of it, and the pieces that
-part inside from outside are joined to rings.
+Coordinates snap to a grid of GRID degrees. Directed edges are split where they
+cross; a piece between crossings knows by how much each shape's winding number
+changes across it, and a ray from its middle gives the numbers on one side. Pieces
+that part inside from outside are joined to rings.
 """
 
 from __future__ import annotations
@@ -15,85 +16,151 @@ import numpy as np
 import pandas as pd
 
 GRID = 1e-9
-#: How far from a piece its sides are judged, in grid steps: more than rounding moves a crossing.
-SIDE = 2.0
+R = 6371008.8
+#: Pairs of edges, or of pieces and rays, that are looked at at once.
+BLOCK = 2_000_000
 Ring = list[list[float]]
 Polygon = list[Ring]
 
 
-def _edges(polygons: list[list[Polygon]]) -> tuple[np.ndarray, np.ndarray]:
-    out, owner = [], []
-    for i, multi in enumerate(polygons):
-        for rings in multi:
-            for ring in rings:
-                p = np.round(np.array(ring, float) / GRID)
-                keep = (p[1:] != p[:-1]).any(1)
-                e = np.concatenate([p[:-1][keep], p[1:][keep]], axis=1)
-                out.append(e)
-                owner += [i] * len(e)
-    return (np.concatenate(out) if out else np.zeros((0, 4))), np.array(owner, int)
+def _signed(p: np.ndarray) -> float:
+    q = p - p[0]
+    return float((q[:-1, 0] * q[1:, 1] - q[1:, 0] * q[:-1, 1]).sum())
 
 
-def _inside(x: float, y: float, edges: np.ndarray) -> bool:
-    a, b = edges[:, 1] > y, edges[:, 3] > y
-    e = edges[a != b]
-    return bool((e[:, 0] + (y - e[:, 1]) * (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1]) > x).sum() % 2)
+def _turned(ring: Ring, left: bool) -> np.ndarray:
+    """The ring counter-clockwise (left) or clockwise."""
+    p = np.array(ring, float)
+    return p if (_signed(p) > 0) == left else p[::-1]
 
 
-def _members(x: np.ndarray, y: np.ndarray, edges: np.ndarray, owner: np.ndarray, n: int, block: int = 1_000_000) -> np.ndarray:
-    """Which of n multipolygons each point is in (a row for each point); owners are sorted. Points go in blocks, so memory stays bounded."""
-    out = np.zeros((len(x), n), bool)
-    present, starts = np.unique(owner, return_index=True)
-    slope = (edges[:, 2] - edges[:, 0]) / np.where(edges[:, 3] == edges[:, 1], 1.0, edges[:, 3] - edges[:, 1])
-    step = max(1, block // len(edges))
-    for i in range(0, len(x), step):
-        px, py = x[i : i + step, None], y[i : i + step, None]
-        crossed = ((edges[:, 1] > py) != (edges[:, 3] > py)) & (edges[:, 0] + (py - edges[:, 1]) * slope > px)
-        out[i : i + step, present] = np.add.reduceat(crossed, starts, axis=1, dtype=int) % 2 == 1
-    return out
-
-
-def _pieces(edges: np.ndarray) -> set[tuple[float, float, float, float]]:
-    """Sub-edges between all crossings, each in one direction only."""
-    out = set()
-    d = edges[:, 2:] - edges[:, :2]
-    for i, (ax, ay, bx, by) in enumerate(edges):
-        dx, dy = d[i]
-        cut = {0.0: (ax, ay), 1.0: (bx, by)}
-        near = np.flatnonzero((np.minimum(edges[:, 0], edges[:, 2]) <= max(ax, bx)) & (np.maximum(edges[:, 0], edges[:, 2]) >= min(ax, bx)) & (np.minimum(edges[:, 1], edges[:, 3]) <= max(ay, by)) & (np.maximum(edges[:, 1], edges[:, 3]) >= min(ay, by)))
-        e, f = edges[near], d[near]
-        cross = dx * f[:, 1] - dy * f[:, 0]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = ((e[:, 0] - ax) * f[:, 1] - (e[:, 1] - ay) * f[:, 0]) / cross
-            u = ((e[:, 0] - ax) * dy - (e[:, 1] - ay) * dx) / cross
-        for k in np.flatnonzero((cross != 0) & (t > 0) & (t < 1) & (u >= -1e-12) & (u <= 1 + 1e-12)):
-            # Both edges of a crossing get the same point: an end of one of them, or the one that the earlier edge gives.
-            if abs(u[k]) < 1e-12 or abs(u[k] - 1) < 1e-12:
-                at = tuple(e[k, :2] if u[k] < 0.5 else e[k, 2:])
-            else:
-                at = (e[k, 0] + u[k] * f[k, 0], e[k, 1] + u[k] * f[k, 1]) if near[k] < i else (ax + t[k] * dx, ay + t[k] * dy)
-            cut[float(t[k])] = at
-        for px, py in e[cross == 0].reshape(-1, 2):  # parallel ones share ends
-            if (px - ax) * dy == (py - ay) * dx:
-                s = ((px - ax) * dx + (py - ay) * dy) / (dx * dx + dy * dy)
-                if 0 < s < 1:
-                    cut[float(s)] = (px, py)
-        points = [(float(round(cut[s][0])), float(round(cut[s][1]))) for s in sorted(cut)]
-        out |= {min(p, q) + max(p, q) for p, q in zip(points, points[1:], strict=False) if p != q}
-    return out
-
-
-def overlay(polygons: list[list[Polygon]], keep: Callable[[np.ndarray], np.ndarray]) -> list[Polygon]:
-    """Where `keep` says so of membership (a row for each point, a column for each multipolygon): polygons with their holes."""
-    edges, owner = _edges(polygons)
-    if not len(edges):
+def _edges(curves: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Directed edges in grid steps from an origin, the group of each, the origin."""
+    out, group = [np.zeros((0, 4))], []
+    for i, rings in enumerate(curves):
+        for ring in rings:
+            p = np.round(ring / GRID)
+            keep = (p[1:] != p[:-1]).any(1)
+            out.append(np.concatenate([p[:-1][keep], p[1:][keep]], axis=1))
+            group += [i] * int(keep.sum())
+    e = np.concatenate(out)
+    at = e[:, :2].min(0) if len(e) else np.zeros(2)
+    return e - np.tile(at, 2), np.array(group, int), at
+
+
+def _near(e: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of edges whose boxes meet, by a sweep along x."""
+    lo, hi = np.minimum(e[:, :2], e[:, 2:]), np.maximum(e[:, :2], e[:, 2:])
+    order = np.argsort(lo[:, 0], kind="stable")
+    last = np.searchsorted(lo[order, 0], hi[order, 0], "right")
+    many = last - np.arange(len(e)) - 1
+    total = np.cumsum(many)
+    start = 0
+    while start < len(e):
+        stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + BLOCK, "right")))
+        n = many[start:stop]
+        i = np.repeat(np.arange(start, stop), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        i, j = order[i], order[j]
+        meet = (lo[i, 1] <= hi[j, 1]) & (lo[j, 1] <= hi[i, 1])
+        yield i[meet], j[meet]
+        start = stop
+
+
+def _cross(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a[:, 0] * b[:, 1] - a[:, 1] * b[:, 0]
+
+
+def _split(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges between all crossings, and which edge each is of."""
+    of = np.arange(len(e))
+    for _ in range(6):  # rounding moves a crossing by less than a step, so a round or two more finds what that brings together
+        cut_edge, cut_at, cut_point = [], [], []
+
+        def cut(k: np.ndarray, p: np.ndarray) -> None:
+            a, d = e[k, :2], e[k, 2:] - e[k, :2]
+            inner = (p != a).any(1) & (p != e[k, 2:]).any(1)
+            k, p = k[inner], p[inner]
+            cut_edge.append(k)
+            cut_at.append(((p - e[k, :2]) * d[inner]).sum(1))
+            cut_point.append(p)
+
+        for i, j in _near(e):
+            a, b, c, d = e[i, :2], e[i, 2:], e[j, :2], e[j, 2:]
+            u, v, w = b - a, d - c, c - a
+            x = _cross(u, v)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                t, s = _cross(w, v) / x, _cross(w, u) / x
+            et, es = 0.5 / np.hypot(*u.T), 0.5 / np.hypot(*v.T)
+            met = (x != 0) & (t >= -et) & (t <= 1 + et) & (s >= -es) & (s <= 1 + es)
+            t, s, et, es = t[met], s[met], et[met], es[met]
+            p = np.round(a[met] + t[:, None] * u[met])
+            for at, eps, end0, end1 in ((t, et, a, b), (s, es, c, d)):
+                p = np.where((np.abs(at) <= eps)[:, None], end0[met], np.where((np.abs(at - 1) <= eps)[:, None], end1[met], p))
+            cut(i[met], p)
+            cut(j[met], p)
+            line = (x == 0) & (_cross(w, u) == 0)
+            for k, ends in ((i, (c, d)), (j, (a, b))):
+                for p in ends:
+                    o, q = e[k, :2], e[k, 2:]
+                    on = line & (((p - o) * (q - o)).sum(1) > 0) & (((p - q) * (o - q)).sum(1) > 0)
+                    cut(k[on], p[on])
+        k = np.concatenate(cut_edge)
+        if not len(k):
+            break
+        own = np.arange(len(e))
+        edge = np.concatenate([own, k, own])
+        at = np.concatenate([np.full(len(e), -np.inf), *cut_at, np.full(len(e), np.inf)])
+        point = np.concatenate([e[:, :2], *cut_point, e[:, 2:]])
+        order = np.lexsort((at, edge))
+        edge, point = edge[order], point[order]
+        keep = (edge[1:] == edge[:-1]) & (point[1:] != point[:-1]).any(1)
+        of = of[edge[:-1][keep]]
+        e = np.concatenate([point[:-1][keep], point[1:][keep]], axis=1)
+    return e, of
+
+
+def _sides(e: np.ndarray, net: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Winding numbers left and right of each piece; pieces run to higher x, or upwards."""
+    x0, y0, x1, y1 = e.T
+    mx, my = (x0 + x1) / 2, (y0 + y1) / 2
+    upright = x0 == x1
+    left = np.zeros_like(net)
+    slope = (y1 - y0) / np.where(upright, 1.0, x1 - x0)
+    back = (x1 - x0) / np.where(y1 == y0, 1.0, y1 - y0)
+    step = max(1, BLOCK // max(1, len(e)))
+    for ray in (False, True):
+        which = np.flatnonzero(upright == ray)
+        for at in range(0, len(which), step):
+            k = which[at : at + step]
+            px, py = mx[k, None], my[k, None]
+            if ray:  # to the right: what lies there is the right side
+                over = ((y0 > py) != (y1 > py)) & (x0 + (py - y0) * back > px)
+            else:  # upwards: what lies there is the left side
+                over = (x0 <= px) & (x1 > px) & (y0 + (px - x0) * slope > py)
+            over[np.arange(len(k)), k] = False
+            r, c = np.nonzero(over)
+            np.add.at(left, k[r], net[c] * (np.sign(y1 - y0)[c, None] if ray else -1.0))
+            left[k] += net[k] if ray else 0
+    return left, left - net
+
+
+def winding(curves: list[list[np.ndarray]], keep: Callable[[np.ndarray], np.ndarray]) -> list[Polygon]:
+    """Where `keep` says so of the winding numbers (a row for each point, a column for each group of closed curves): polygons with holes."""
+    e, group, origin = _edges(curves)
+    if not len(e):
         return []
+    e, of = _split(e)
+    ahead = (e[:, 0] < e[:, 2]) | ((e[:, 0] == e[:, 2]) & (e[:, 1] < e[:, 3]))
+    e = np.where(ahead[:, None], e, e[:, [2, 3, 0, 1]])
+    e, place = np.unique(e, axis=0, return_inverse=True)
+    net = np.zeros((len(e), len(curves)))
+    np.add.at(net, (place.ravel(), group[of]), np.where(ahead, 1.0, -1.0))
+    real = net.any(1)
+    e, net = e[real], net[real]
+    left, right = (keep(w) for w in _sides(e, net))
     follow: dict[tuple, list[tuple]] = defaultdict(list)
-    pieces = np.array(sorted(_pieces(edges)))
-    middle, along = (pieces[:, :2] + pieces[:, 2:]) / 2, pieces[:, 2:] - pieces[:, :2]
-    aside = np.stack([-along[:, 1], along[:, 0]], axis=1) / np.hypot(along[:, 0], along[:, 1])[:, None] * SIDE
-    left, right = (keep(_members(*(middle + at).T, edges, owner, len(polygons))) for at in (aside, -aside))
-    for (ax, ay, bx, by), inner in zip(pieces[left != right].tolist(), left[left != right], strict=True):
+    for (ax, ay, bx, by), inner in zip(e[left != right].tolist(), left[left != right], strict=True):
         a, b = ((ax, ay), (bx, by)) if inner else ((bx, by), (ax, ay))
         follow[a].append(b)
     rings = []
@@ -110,34 +177,47 @@ def overlay(polygons: list[list[Polygon]], keep: Callable[[np.ndarray], np.ndarr
             back, at = math.atan2(at[1] - to[1], at[0] - to[0]), to
             if at == start or at not in follow:
                 break
-        rings.append(np.array(ring))
-    signed = [float((r[:-1, 0] * r[1:, 1] - r[1:, 0] * r[:-1, 1]).sum()) for r in rings]
-    outer = [i for i, s in enumerate(signed) if s > 0]
-    found = {i: [rings[i]] for i in outer}
+        p = np.array(ring)
+        turn = _cross(p[:-1] - np.roll(p[:-1], 1, 0), np.roll(p[:-1], -1, 0) - p[:-1]) != 0
+        if at == start and turn.sum() > 2:
+            p = p[:-1][turn]
+            rings.append(np.concatenate([p, p[:1]]))
+    signed = [_signed(r) for r in rings]
+    found = {i: [rings[i]] for i, s in enumerate(signed) if s > 0}
+    outer = list(found)
     for i, s in enumerate(signed):
         if s < 0:
-            (x, y), (x2, y2) = rings[i][0], rings[i][1]
-            length = math.hypot(x2 - x, y2 - y)
-            px, py = (x + x2) / 2 - (y2 - y) / length * 0.25, (y + y2) / 2 + (x2 - x) / length * 0.25
-            holders = [j for j in outer if _inside(px, py, np.concatenate([rings[j][:-1], rings[j][1:]], axis=1))]
+            a, b = rings[i][0], rings[i][1]
+            d = (b - a) / math.hypot(*(b - a))
+            x, y = (a + b) / 2 + 0.25 * np.array([-d[1], d[0]])
+            holders = [j for j in outer if _inside(x, y, np.concatenate([rings[j][:-1], rings[j][1:]], axis=1))]
             if holders:
                 found[min(holders, key=lambda j: signed[j])].append(rings[i])
-    return [[(r * GRID).tolist() for r in rs] for rs in found.values()]
+    return [[((r + origin) * GRID).tolist() for r in rs] for rs in found.values()]
+
+
+def _inside(x: float, y: float, e: np.ndarray) -> bool:
+    e = e[(e[:, 1] > y) != (e[:, 3] > y)]
+    return bool((e[:, 0] + (y - e[:, 1]) * (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1]) > x).sum() % 2)
+
+
+def _curves(polygons: list[Polygon]) -> list[np.ndarray]:
+    return [_turned(ring, k == 0) for rings in polygons for k, ring in enumerate(rings) if len(ring) > 3]
 
 
 def intersection(a: list[Polygon], b: list[Polygon]) -> list[Polygon]:
-    return overlay([a, b], lambda m: m.all(1))
+    return winding([_curves(a), _curves(b)], lambda w: (w > 0).all(1))
 
 
 def union(*parts: list[Polygon]) -> list[Polygon]:
-    return overlay(list(parts), lambda m: m.any(1))
+    return winding([_curves(p) for p in parts], lambda w: (w > 0).any(1))
 
 
 def difference(a: list[Polygon], *others: list[Polygon]) -> list[Polygon]:
-    return overlay([a, *others], lambda m: m[:, 0] & ~m[:, 1:].any(1))
+    return winding([_curves(x) for x in (a, *others)], lambda w: (w[:, 0] > 0) & ~(w[:, 1:] > 0).any(1))
 
 
-def area(polygons: list[Polygon], radius: float = 6371008.8) -> float:
+def area(polygons: list[Polygon], radius: float = R) -> float:
     total = 0.0
     for rings in polygons:
         for k, ring in enumerate(rings):
@@ -147,9 +227,22 @@ def area(polygons: list[Polygon], radius: float = 6371008.8) -> float:
     return total
 
 
+def bounds(polygons: list[Polygon]) -> tuple[float, float, float, float]:
+    p = np.concatenate([np.array(rings[0], float) for rings in polygons])
+    return (*p.min(0).tolist(), *p.max(0).tolist())
+
+
+def apart(a: list[Polygon], b: list[Polygon]) -> bool:
+    """Boxes that share no area."""
+    if not a or not b:
+        return True
+    x, y = bounds(a), bounds(b)
+    return x[0] >= y[2] or y[0] >= x[2] or x[1] >= y[3] or y[1] >= x[3]
+
+
 def touches_or_meets(a: list[Polygon], b: list[Polygon]) -> bool:
     """Common points, borders included."""
-    ea, eb = _edges([a])[0], _edges([b])[0]
+    ea, eb = (np.concatenate([np.zeros((0, 4)), *(np.concatenate([p[:-1], p[1:]], axis=1) for p in (np.round(c / GRID) for c in _curves(x)))]) for x in (a, b))
     if not len(ea) or not len(eb):
         return False
     if _inside(*ea[0, :2], eb) or _inside(*eb[0, :2], ea):
@@ -162,50 +255,49 @@ def touches_or_meets(a: list[Polygon], b: list[Polygon]) -> bool:
     return bool((box & (s1 * s2 <= 0) & (s3 * s4 <= 0)).any())
 
 
-def buffered(polygons: list[Polygon], metres: float, corner: int = 32) -> list[Polygon]:
-    """The shape grown by `metres`, or shrunk if negative: edges become strips, corners discs of 8 steps a quarter."""
-    points = [p for rings in polygons for ring in rings for p in ring]
-    if not points or not metres:
+def _offset(p: np.ndarray, d: float, quarter: int) -> np.ndarray:
+    """The curve at distance d to the right of a closed ring, in metres: arcs of `quarter` steps to a right angle at left turns, by way of the corner at others."""
+    p = p[np.r_[True, (p[1:] != p[:-1]).any(1)]]
+    u = (p[1:] - p[:-1]) / np.hypot(*(p[1:] - p[:-1]).T)[:, None]
+    out = []
+    for i in range(len(u)):
+        before, after, at = u[i - 1], u[i], p[i]
+        turn = math.atan2(before[0] * after[1] - before[1] * after[0], float(before @ after))
+        n = np.array([before[1], -before[0]])
+        if turn <= 0:
+            out += [at + d * n, at]
+        else:
+            k = max(1, math.ceil(turn / (math.pi / 2) * quarter - 1e-9))
+            out += [at + d * np.array([n[0] * math.cos(x) - n[1] * math.sin(x), n[0] * math.sin(x) + n[1] * math.cos(x)]) for x in (turn * j / k for j in range(k))]
+        out.append(at + d * np.array([after[1], -after[0]]))
+    return np.array([*out, out[0]])
+
+
+def buffered(polygons: list[Polygon], metres: float, quarter: int = 8) -> list[Polygon]:
+    """The shape grown by `metres`, or shrunk if negative: a curve beside each ring; outsides grow where holes shrink."""
+    if not polygons or not metres:
         return polygons
-    lat = math.radians(sum(p[1] for p in points) / len(points))
-    ky = 180 / (math.pi * 6371008.8)
-    kx, d = ky / math.cos(lat), abs(metres)
-    strips: list[list[Polygon]] = []
+    x0, y0, x1, y1 = bounds(polygons)
+    ky = 180 / (math.pi * R)
+    k, at = np.array([ky / math.cos(math.radians((y0 + y1) / 2)), ky]), np.array([x0, y0])
+    curves, holes = [], []
     for rings in polygons:
-        for ring in rings:
-            for (ax, ay), (bx, by) in zip(ring, ring[1:], strict=False):
-                ux, uy = (bx - ax) / kx, (by - ay) / ky
-                n = math.hypot(ux, uy)
-                if n:
-                    ox, oy = -uy / n * d * kx, ux / n * d * ky
-                    q = [[ax + ox, ay + oy], [ax - ox, ay - oy], [bx - ox, by - oy], [bx + ox, by + oy]]
-                    strips.append([[[*q, q[0]]]])
-                disc = [[ax + d * kx * math.cos(2 * math.pi * i / corner), ay + d * ky * math.sin(2 * math.pi * i / corner)] for i in range(corner)]
-                strips.append([[[*disc, disc[0]]]])
-    return union(polygons, *strips) if metres > 0 else difference(polygons, *strips)
-
-
-def holds_disc(rings: Polygon, metres: float) -> bool:
-    """A disc of that radius fits inside, found at the middle of some chord along either axis. False where none of these holds one, though one may still fit."""
-    p = np.concatenate([np.array(r, float) for r in rings])
-    lat = math.radians(float(p[:, 1].mean()))
-    unit = math.radians(6371008.8) * np.array([math.cos(lat), 1.0])
-    local = [(np.array(r, float) - p[0]) * unit for r in rings]
-    edges = np.concatenate([np.concatenate([r[:-1], r[1:]], axis=1) for r in local])
-    for swapped in (edges, edges[:, [1, 0, 3, 2]]):
-        x0, y0, x1, y1 = swapped.T
-        at = np.unique(swapped[:, [1, 3]])
-        level = np.concatenate([at[:-1] + (at[1:] - at[:-1]) * k for k in (0.25, 0.5, 0.75)])
-        for y in level:
-            on = (y0 > y) != (y1 > y)
-            x = np.sort(x0[on] + (y - y0[on]) * (x1[on] - x0[on]) / (y1[on] - y0[on]))
-            wide = x[1::2] - x[::2] > 2 * metres
-            for m in (x[1::2][wide] + x[::2][wide]) / 2:
-                dx, dy = x1 - x0, y1 - y0
-                t = np.clip(((m - x0) * dx + (y - y0) * dy) / np.maximum(dx * dx + dy * dy, 1e-12), 0, 1)
-                if np.hypot(x0 + t * dx - m, y0 + t * dy - y).min() > metres:
-                    return True
-    return False
+        holes.append(range(len(curves) + 1, len(curves) + len(rings)))
+        for i, ring in enumerate(rings):
+            grows = (metres > 0) == (i == 0)
+            curves.append([_offset((_turned(ring, grows) - at) / k, abs(metres), quarter) * k + at])
+
+    def keep(w: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(w), bool)
+        for own in holes:
+            first = own.start - 1
+            inside = w[:, first] > 0 if metres > 0 else w[:, first] < 0
+            for h in own:
+                inside &= ~(w[:, h] < 0 if metres > 0 else w[:, h] > 0)
+            out |= inside
+        return out
+
+    return winding(curves, keep)
 
 
 def polygons_of(geom) -> list[Polygon]:
@@ -214,18 +306,15 @@ def polygons_of(geom) -> list[Polygon]:
 
 
 def meets(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Whether two shapes' rings have common points."""
     for a, b in frames:
         yield pd.Series([touches_or_meets(polygons_of({"coordinates": x}), polygons_of({"coordinates": y})) for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
-def common_areas(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    """Square metres of each of two rings and of what they share."""
+def common_areas(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Square metres that two shapes share."""
     for a, b in frames:
-        rows = []
-        for x, y in zip(a, b, strict=True):
-            p, q = polygons_of({"coordinates": [x]}), polygons_of({"coordinates": [y]})
-            rows.append((area(p), area(q), area(intersection(p, q))))
-        yield pd.DataFrame(rows, columns=["a", "b", "both"])
+        yield pd.Series([area(intersection(polygons_of({"coordinates": x}), polygons_of({"coordinates": y}))) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
 def clipped(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

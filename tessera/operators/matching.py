@@ -7,16 +7,19 @@ without it, so one window over decided rows supplies it to the others.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry
 from tessera.operators import parcels as parcel_queries
 from tessera.operators import spatial
+from tessera.operators.tables import written
 
 #: The match types, in order of report.
 MATCHES = ("exact", "exactOffset", "highOverlap", "boundariesShifted", "merged", "mergedIncomplete", "segmented", "segmentedIncomplete", "mergedAndSegmented", "moved", "newBoundary", "newSegment", "fail")
+#: The types that are accepted.
 ACCEPTED = ("exact", "exactOffset", "highOverlap", "boundariesShifted", "merged", "mergedIncomplete", "segmented", "segmentedIncomplete", "mergedAndSegmented", "moved", "newBoundary", "newSegment")
+#: Thresholds, all of them exclusive.
 OFFSET_MEAN, OFFSET_STD, DIFFERENCE_M2, OVERLAP_PCT, MOVED_M = 1e-4, 5e-8, 100.0, 95.0, 50.0
 
 
@@ -44,11 +47,15 @@ def compared(pending: DataFrame, parcels: DataFrame, titles: DataFrame) -> DataF
 
 
 def carried_offset(rows: DataFrame) -> DataFrame:
-    """Adds lng_offset and lat_offset: those of the council's last exact offset before, else 0."""
+    """Adds lng_offset and lat_offset: those of the council's last exact offset before, else 0.
+
+    The window orders numbers alone, no shapes; its result is joined back by poly_id.
+    """
     before = Window.partitionBy("council").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     last = F.last(F.when(F.col("is_offset"), F.struct(F.col("stats.lng_mean").alias("x"), F.col("stats.lat_mean").alias("y"))), ignorenulls=True).over(before)
-    rows = rows.withColumn("_last", last)
-    return rows.withColumn("lng_offset", F.coalesce("_last.x", F.lit(0.0))).withColumn("lat_offset", F.coalesce("_last.y", F.lit(0.0))).drop("_last")
+    slim = rows.select("poly_id", "council", "id", "is_offset", "stats").withColumn("_last", last)
+    slim = slim.select("poly_id", F.coalesce("_last.x", F.lit(0.0)).alias("lng_offset"), F.coalesce("_last.y", F.lit(0.0)).alias("lat_offset"))
+    return rows.join(slim, "poly_id")
 
 
 def new_shapes_in_conflict(rows: DataFrame, parcels: DataFrame, titles: DataFrame) -> DataFrame:
@@ -56,7 +63,7 @@ def new_shapes_in_conflict(rows: DataFrame, parcels: DataFrame, titles: DataFram
     new = rows.filter("is_known is null and geom.type = 'Polygon'")
     ring = geometry.shifted(geometry.ring("geom"), -F.col("lng_offset"), -F.col("lat_offset"))
     shifted = new.select("poly_id", F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geom"))
-    old = existing(parcels, titles).select("geom", "xmin", "ymin", "xmax", "ymax")
+    old = existing(parcels, titles).select("geom", *spatial.BOX)
     return spatial.join(spatial.with_box(shifted), old).select("l.poly_id").distinct()
 
 
@@ -64,30 +71,33 @@ def classified(pending: DataFrame, parcels: DataFrame, titles: DataFrame, places
     """Deduplicated pending rows with match_type, accepted, pct, area_diff, stats and the offset used.
 
     places: (property_address, places: array of {lng, lat}), what an address resolves to.
+    Rows marked fail before stay so, and new shapes keep the type they have. The
+    rows with their old shapes, and the result, are written to the folder of
+    spark.checkpoint.dir, as several steps read them.
     """
-    rows = carried_offset(compared(pending, parcels, titles))
-    open_ = rows.filter("is_known and geom.type = 'Polygon' and not is_exact and not is_offset")
-    moved_ring = geometry.shifted(geometry.ring("old_geom"), F.col("lng_offset"), F.col("lat_offset"))
-    over = spatial.overlap(open_, moved_ring, geometry.ring("geom"), ["poly_id"])
+    rows = written(carried_offset(compared(pending, parcels, titles)))
     clash = new_shapes_in_conflict(rows, parcels, titles).withColumn("_clash", F.lit(True))
-    rows = rows.join(over, "poly_id", "left").join(clash, "poly_id", "left")
+    open_ = F.col("is_known") & (F.col("geom.type") == "Polygon") & ~F.col("is_exact") & ~F.col("is_offset")
+    rows = spatial.overlap(rows, geometry.shifted(geometry.ring("old_geom"), F.col("lng_offset"), F.col("lat_offset")), geometry.ring("geom"), open_)
+    rows = rows.join(clash, "poly_id", "left")
     near = F.lit(False)
     if places is not None:
         rows = rows.join(places, "property_address", "left")
         x, y = geometry.center(geometry.ring("geom"))
         near = F.coalesce(F.array_min(F.transform("places", lambda p: geometry.distance(x, y, p.lng, p.lat))) < MOVED_M, F.lit(False)) & F.col("property_address").isNotNull()
     match = (
-        F.when(F.col("geom.type") != "Polygon", "fail")
+        F.when((F.col("geom.type") != "Polygon") | F.col("match_type").eqNullSafe(F.lit("fail")), "fail")
         .when(F.col("is_exact"), "exact")
         .when(F.col("is_offset"), "exactOffset")
         .when(F.col("is_known") & (F.col("area_diff") < DIFFERENCE_M2) & (F.col("pct") > OVERLAP_PCT), "highOverlap")
         .when(F.col("is_known") & (F.col("pct") == 0) & near, "moved")
+        .when(F.col("is_known").isNull() & F.col("match_type").isNotNull(), F.col("match_type"))
         .when(F.col("is_known").isNull() & F.col("_clash").isNull(), "newBoundary")
         .otherwise("fail")
     )
     pct = F.when(F.col("is_exact") | F.col("is_offset"), 100.0).otherwise(F.col("pct"))
     rows = rows.withColumn("match_type", match).withColumn("accepted", F.col("match_type").isin(*ACCEPTED)).withColumn("pct", pct)
-    return rows.select("id", "poly_id", "council", "geom", "accepted", "match_type", "pct", "area_diff", "stats", "lng_offset", "lat_offset")
+    return written(rows.select("id", "poly_id", "council", "geom", "accepted", "match_type", "pct", "area_diff", "stats", "is_exact", "lng_offset", "lat_offset"))
 
 
 def summary(rows: DataFrame) -> DataFrame:
@@ -103,8 +113,8 @@ def summary(rows: DataFrame) -> DataFrame:
 
 
 def statistics(rows: DataFrame) -> DataFrame:
-    """(council, stat, value): overlaps of known shapes, and the larger of each shape's offset means and deviations."""
-    s = F.col("stats")
+    """(council, stat, value): overlaps of known shapes, and the larger of each shape's offset means and deviations, which exact ones have none of."""
+    s = F.when(~F.col("is_exact"), F.col("stats"))
     values = F.array(
         F.struct(F.lit("percentageIntersects").alias("stat"), F.col("pct").alias("value")),
         F.struct(F.lit("offsetMeans").alias("stat"), F.greatest(F.abs(s["lng_mean"]), F.abs(s["lat_mean"])).alias("value")),
@@ -113,12 +123,24 @@ def statistics(rows: DataFrame) -> DataFrame:
     return rows.select("council", F.explode(values).alias("x")).select("council", "x.stat", "x.value").filter("value is not null")
 
 
+#: Start, end and width of each statistic's bins.
+BINS = {"percentageIntersects": (0.0, 99.5, 1.0), "offsetMeans": (0.0, 4e-5, 1e-7), "offsetStds": (0.0, 2e-8, 2e-10)}
+
+
 def histogram(stats: DataFrame, stat: str, start: float, end: float, size: float) -> DataFrame:
     """(council, bin, n) of a statistic's values in [start, end)."""
     inside = stats.filter((F.col("stat") == stat) & (F.col("value") >= start) & (F.col("value") < end))
     return inside.groupBy("council", F.floor((F.col("value") - start) / size).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def histograms(stats: DataFrame) -> DataFrame:
+    """(council, stat, bin, n) of each statistic by its bins, in one pass."""
+    of = F.lit(None).cast("long")
+    for name, (start, end, size) in BINS.items():
+        of = F.when((F.col("stat") == name) & (F.col("value") >= start) & (F.col("value") < end), F.floor((F.col("value") - start) / size)).otherwise(of)
+    return stats.withColumn("bin", of).filter("bin is not null").groupBy("council", "stat", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
 def merged(parcels: DataFrame, rows: DataFrame) -> DataFrame:
     """(poly_id, title_no, geom): parcels with accepted shapes put in their place or added; titles stay."""
     new = rows.filter("accepted").select(F.col("poly_id").alias("_poly"), F.col("geom").alias("_geom"))
@@ -130,13 +152,13 @@ def without(parcels: DataFrame, gone: DataFrame) -> DataFrame:
     return parcels.join(gone.select("poly_id").distinct(), "poly_id", "left_anti")
 
 
-def counts(pending: DataFrame, before: int | None = None, match_type: str | None = "any") -> Column | int:
-    """Pending rows with an id below `before` and a match type (None: those without)."""
+def counted(pending: DataFrame, before: int | None = None, match_type: str | None = "any") -> DataFrame:
+    """(n) of pending rows with an id below `before` and a match type (None: those without)."""
     if before is not None:
         pending = pending.filter(F.col("id") < before)
     if match_type != "any":
         pending = pending.filter(F.col("match_type").eqNullSafe(F.lit(match_type)))
-    return pending.count()
+    return pending.agg(F.count(F.lit(1)).alias("n"))
 
 
 def reset(pending: DataFrame) -> DataFrame:

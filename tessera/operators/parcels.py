@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -47,6 +48,27 @@ def in_polygon(parcels: DataFrame, titles: DataFrame, rings: list[list[list[floa
     return out if limit is None else out.orderBy("poly_id").limit(limit)
 
 
+def rings_of(wkt: str) -> list[list[list[float]]]:
+    """The rings of a WKT polygon in latitude-longitude order, as lists of [lng, lat]."""
+    inner = re.fullmatch(r"(?is)\s*polygon\s*\(\s*\((.*)\)\s*\)\s*", wkt)
+    if not inner:
+        raise ValueError("not a polygon")
+    rings = [[[float(x) for x in p.split()][::-1] for p in ring.split(",")] for ring in re.split(r"\)\s*,\s*\(", inner[1])]
+    if any(len(r) < 4 or r[0] != r[-1] for r in rings):
+        raise ValueError("a ring has four positions or more and ends where it starts")
+    return rings
+
+
+def in_wkt(parcels: DataFrame, titles: DataFrame, wkt: str) -> DataFrame:
+    """All parcels of an area, with ownership."""
+    return in_polygon(parcels, titles, rings_of(wkt), limit=None)
+
+
+def features_of(features: DataFrame, tile_id: int) -> DataFrame:
+    """The land features stored for a tile."""
+    return features.filter(F.col("tile_id") == tile_id)
+
+
 def by_ids(parcels: DataFrame, titles: DataFrame, ids: list[int] | None = None, rings: list[list[list[float]]] | None = None, box: tuple | None = None, include_leaseholds: bool = True) -> DataFrame:
     """Parcels by number and/or area."""
     if ids is None and rings is None and box is None:

@@ -1,9 +1,11 @@
 """Spatial joins and searches: equal grid cells, then bounding boxes, then the exact test.
 
-Each shape is listed in the cells that its box meets; a pair is judged in one of
-the cells it shares, the one of its boxes' common lower corner, so none occurs
-twice. Boxes alone decide pairs of axis-parallel rectangles; the exact test
-runs on the others only.
+Cells have levels, each four times as wide as the one below: a shape is listed at
+the level whose cells are as wide as its box, so in four of them at most, however
+large it is. A pair meets at the level of its larger shape, in the cell of its
+boxes' common lower corner, so none occurs twice. A crowded cell is one join key,
+which AQE splits. Boxes alone decide pairs of axis-parallel rectangles; the exact
+test sees the shapes of the others only.
 """
 
 from __future__ import annotations
@@ -14,34 +16,44 @@ from pyspark.sql import types as T
 
 from tessera.functions import geometry, kernel
 
-#: Degrees of a cell's side: some 1 km.
+#: Degrees of a cell's side at the lowest level: some 1 km.
 CELL = 0.01
+STEP, LEVELS = 4, 9
+BOX = ("xmin", "ymin", "xmax", "ymax")
 
 meets = F.pandas_udf(kernel.meets, T.BooleanType())
+common_areas = F.pandas_udf(kernel.common_areas, T.DoubleType())
 _rings = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
-common_areas = F.pandas_udf(kernel.common_areas, T.StructType([T.StructField(n, T.DoubleType()) for n in ("a", "b", "both")]))
 clipped = F.pandas_udf(kernel.clipped, T.ArrayType(T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", _rings)])))
 
 
 def with_box(df: DataFrame, geom: str = "geom") -> DataFrame:
-    names = ("xmin", "ymin", "xmax", "ymax")
-    return df.withColumns({n: b for n, b in zip(names, geometry.bbox(geometry.ring(geom)), strict=True)})
+    return df.withColumns({n: b for n, b in zip(BOX, geometry.bbox(geometry.ring(geom)), strict=True)})
 
 
-def _cells(cell: float) -> Column:
-    span = lambda a, b: F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell))
-    return F.flatten(F.transform(span("xmin", "xmax"), lambda x: F.transform(span("ymin", "ymax"), lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
+def _level(cell: float) -> Column:
+    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(1e-12))
+    return F.greatest(F.lit(0), F.least(F.lit(LEVELS - 1), F.ceil(F.log(side / cell) / F.log(F.lit(float(STEP))))).cast("int"))
+
+
+def _listed(df: DataFrame, name: str, level: str, further: list[int], cell: float) -> DataFrame:
+    """(name struct, level, c) of each cell: those of the shape's own level, and of the wider ones that the other side has."""
+    wide = lambda k: F.pow(F.lit(float(STEP)), k) * cell
+    span = lambda a, b, k: F.sequence(F.floor(F.col(a) / wide(k)), F.floor(F.col(b) / wide(k)))
+    of = lambda k: F.flatten(F.transform(span("xmin", "xmax", k), lambda x: F.transform(span("ymin", "ymax", k), lambda y: F.struct(k.alias("k"), x.alias("x"), y.alias("y")))))
+    at = F.array_distinct(F.concat(F.array(_level(cell)), F.filter(F.array(*[F.lit(x) for x in further]), lambda k: k > _level(cell))))
+    return df.select(F.struct("*").alias(name), _level(cell).alias(level), F.explode(F.flatten(F.transform(at, of))).alias("c"))
 
 
 def join(left: DataFrame, right: DataFrame, how: str = "meets", cell: float = CELL, exact: bool = True) -> DataFrame:
     """Pairs (l struct, r struct) of rows whose shapes meet; how="overlaps" leaves out pairs that only touch.
 
-    Both sides have xmin, ymin, xmax, ymax and geom.
+    Both sides have xmin, ymin, xmax, ymax and geom. Rows without a box meet nothing.
     """
-    a = left.select(F.struct("*").alias("l"), F.explode(_cells(cell)).alias("c"))
-    b = right.select(F.struct("*").alias("r"), F.explode(_cells(cell)).alias("c"))
-    pairs = a.join(b, "c")
-    corner = (F.col("c.cx") == F.floor(F.greatest("l.xmin", "r.xmin") / cell)) & (F.col("c.cy") == F.floor(F.greatest("l.ymin", "r.ymin") / cell))
+    levels = [[r[0] for r in x.select(_level(cell).alias("k")).filter("k is not null").distinct().collect()] for x in (left, right)]  # at most LEVELS numbers
+    pairs = _listed(left, "l", "lk", levels[1], cell).join(_listed(right, "r", "rk", levels[0], cell), "c")
+    wide = F.pow(F.lit(float(STEP)), F.col("c.k")) * cell
+    corner = (F.col("c.k") == F.greatest("lk", "rk")) & (F.col("c.x") == F.floor(F.greatest("l.xmin", "r.xmin") / wide)) & (F.col("c.y") == F.floor(F.greatest("l.ymin", "r.ymin") / wide))
     if how == "meets":
         box = (F.col("l.xmin") <= F.col("r.xmax")) & (F.col("r.xmin") <= F.col("l.xmax")) & (F.col("l.ymin") <= F.col("r.ymax")) & (F.col("r.ymin") <= F.col("l.ymax"))
     else:
@@ -49,22 +61,33 @@ def join(left: DataFrame, right: DataFrame, how: str = "meets", cell: float = CE
     pairs = pairs.filter(corner & box).select("l", "r")
     if not exact:
         return pairs
-    plain = geometry.is_rect(F.col("l.geom.coordinates")[0]) & geometry.is_rect(F.col("r.geom.coordinates")[0]) & (F.size("l.geom.coordinates") == 1) & (F.size("r.geom.coordinates") == 1)
-    odd = pairs.filter(~plain)
-    if how == "meets":
-        odd = odd.filter(meets(F.col("l.geom.coordinates"), F.col("r.geom.coordinates")))
-    else:
-        odd = odd.filter(common_areas(F.col("l.geom.coordinates")[0], F.col("r.geom.coordinates")[0])["both"] > 0)
-    return pairs.filter(plain).unionByName(odd)
+    a, b = F.col("l.geom.coordinates"), F.col("r.geom.coordinates")
+    return _judged(pairs, _plain(a) & _plain(b), a, b, how).select("l", "r")
+
+
+def _plain(rings: Column) -> Column:
+    return (F.size(rings) == 1) & geometry.is_rect(rings[0])
+
+
+def _none() -> Column:
+    """What stands for a shape that needs no test: one point, and not null, as columns of nested nulls alone crash Arrow's reader."""
+    return F.array(F.array(F.array(F.lit(0.0), F.lit(0.0))))
+
+
+def _judged(rows: DataFrame, sure: Column, a: Column, b: Column, how: str = "meets") -> DataFrame:
+    """Rows that are sure, or whose shapes a and b meet: the test gets no shapes of sure rows."""
+    rows = rows.withColumn("_sure", F.coalesce(sure, F.lit(False)))
+    a, b = (F.when(~F.col("_sure") & x.isNotNull(), x).otherwise(_none()) for x in (a, b))
+    found = meets(a, b) if how == "meets" else common_areas(a, b) > 0
+    return rows.withColumn("_met", found).filter("_sure or _met").drop("_sure", "_met")
 
 
 def within_box(df: DataFrame, sw_lng: float, sw_lat: float, ne_lng: float, ne_lat: float) -> DataFrame:
     """Rows whose shape meets the box, borders included. Box columns reach the scan as range filters."""
     near = df.filter((F.col("xmin") <= ne_lng) & (F.col("xmax") >= sw_lng) & (F.col("ymin") <= ne_lat) & (F.col("ymax") >= sw_lat))
     inside = (F.col("xmin") >= sw_lng) & (F.col("xmax") <= ne_lng) & (F.col("ymin") >= sw_lat) & (F.col("ymax") <= ne_lat)
-    sure = inside | geometry.is_rect(geometry.ring("geom"))
     box = geometry.rect(*[F.lit(float(x)) for x in (sw_lng, sw_lat, ne_lng, ne_lat)])
-    return near.filter(sure).unionByName(near.filter(~sure).filter(meets(F.col("geom.coordinates"), box["coordinates"])))
+    return _judged(near, inside | _plain(F.col("geom.coordinates")), F.col("geom.coordinates"), box["coordinates"])
 
 
 def in_area(df: DataFrame, rings: list[list[list[float]]]) -> DataFrame:
@@ -75,34 +98,40 @@ def in_area(df: DataFrame, rings: list[list[list[float]]]) -> DataFrame:
     return near.filter(meets(F.col("geom.coordinates"), area))
 
 
-def overlap(pairs: DataFrame, a: Column, b: Column, kept: list[str]) -> DataFrame:
-    """kept columns with area_diff (union less common part, m2) and pct (common part of the union, %), rings truncated to 6 places.
+def overlap(rows: DataFrame, a: Column, b: Column, when: Column | None = None) -> DataFrame:
+    """Adds area_diff (union less common part, m2) and pct (common part of the union, %) of two rings truncated to 6 places; null where `when` isn't true.
 
     Rectangles are computed by columns; only other pairs go to the overlay.
     """
-    rows = pairs.select(*kept, geometry.truncated(a).alias("_a"), geometry.truncated(b).alias("_b")).withColumn("_plain", geometry.is_rect(F.col("_a")) & geometry.is_rect(F.col("_b")))
-    (ax0, ay0, ax1, ay1), (bx0, by0, bx1, by1) = geometry.bbox(F.col("_a")), geometry.bbox(F.col("_b"))
-    both = geometry.rect_area(F.greatest(ax0, bx0), F.greatest(ay0, by0), F.least(ax1, bx1), F.least(ay1, by1))
-    plain = rows.filter("_plain").select(*kept, F.struct(geometry.ring_area(F.col("_a")).alias("a"), geometry.ring_area(F.col("_b")).alias("b"), both.alias("both")).alias("m"))
-    odd = rows.filter("not _plain").select(*kept, common_areas("_a", "_b").alias("m"))
-    whole = F.col("m.a") + F.col("m.b") - F.col("m.both")
-    return plain.unionByName(odd).select(*kept, (whole - F.col("m.both")).alias("area_diff"), F.when(whole > 0, 100 * F.col("m.both") / whole).otherwise(0.0).alias("pct"))
+    cond = F.coalesce(when, F.lit(False)) if when is not None else F.lit(True)
+    rows = rows.withColumns({"_a": F.when(cond, geometry.truncated(a)), "_b": F.when(cond, geometry.truncated(b))})
+    rows = rows.withColumn("_p", geometry.is_rect(F.col("_a")) & geometry.is_rect(F.col("_b")) & F.col("_a").isNotNull())
+    x, y = F.struct(*[c.alias(n) for c, n in zip(geometry.bbox(F.col("_a")), BOX, strict=True)]), F.struct(*[c.alias(n) for c, n in zip(geometry.bbox(F.col("_b")), BOX, strict=True)])
+    rows = rows.withColumns({"_x": F.when(F.col("_p"), x), "_y": F.when(F.col("_p"), y)})
+    both = geometry.rect_area(F.greatest("_x.xmin", "_y.xmin"), F.greatest("_x.ymin", "_y.ymin"), F.least("_x.xmax", "_y.xmax"), F.least("_x.ymax", "_y.ymax"))
+    odd = F.col("_a").isNotNull() & F.col("_b").isNotNull() & ~F.col("_p")
+    rows = rows.withColumn("_odd", common_areas(F.when(odd, F.array("_a")).otherwise(_none()), F.when(odd, F.array("_b")).otherwise(_none())))
+    sizes = F.struct(geometry.ring_area(F.col("_a")).alias("a"), geometry.ring_area(F.col("_b")).alias("b"), F.when(F.col("_p"), both).otherwise(F.col("_odd")).alias("both"))
+    rows = rows.withColumn("_m", F.when(F.col("_a").isNotNull(), sizes)).withColumn("_u", F.col("_m.a") + F.col("_m.b") - F.col("_m.both"))
+    share = F.when(F.col("_u") > 0, 100 * F.col("_m.both") / F.col("_u")).when(F.col("_u").isNotNull(), 0.0)
+    return rows.withColumns({"area_diff": F.col("_u") - F.col("_m.both"), "pct": share}).drop("_a", "_b", "_p", "_x", "_y", "_odd", "_m", "_u")
 
 
 def tiles(df: DataFrame, kept: list[str], side: float = CELL, most: float = 1e6) -> DataFrame:
     """Shapes over `most` m2 cut to a grid of whole cells centred on the box extended by a cell each way; others stay."""
-    size = geometry.area(F.col("geom"))
-    small = df.filter(size <= most).select(*kept, F.lit(0).alias("ix"), F.lit(0).alias("iy"), "geom")
+    df = df.withColumn("_size", geometry.area(F.col("geom")))
+    small = df.filter(F.col("_size") <= most).select(*kept, F.lit(0).alias("ix"), F.lit(0).alias("iy"), "geom")
     count = lambda a, b: F.floor((F.col(b) - F.col(a) + 2 * side) / side)
     start = lambda a, b, n: (F.col(a) + F.col(b) - F.col(n) * side) / 2
-    large = df.filter(size > most).withColumns({"nx": count("xmin", "xmax"), "ny": count("ymin", "ymax")}).withColumns({"gx": start("xmin", "xmax", "nx"), "gy": start("ymin", "ymax", "ny")})
+    large = df.filter(F.col("_size") > most).withColumns({"nx": count("xmin", "xmax"), "ny": count("ymin", "ymax")}).withColumns({"gx": start("xmin", "xmax", "nx"), "gy": start("ymin", "ymax", "ny")})
     cut = large.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nx") - 1)).alias("ix")).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ny") - 1)).alias("iy"))
     x0, y0 = F.col("gx") + F.col("ix") * side, F.col("gy") + F.col("iy") * side
     lo = [F.greatest(x0, F.col("xmin")), F.greatest(y0, F.col("ymin"))]
     hi = [F.least(x0 + side, F.col("xmax")), F.least(y0 + side, F.col("ymax"))]
     cut = cut.withColumn("t", F.struct(*[c.alias(n) for c, n in zip((*lo, *hi), ("x0", "y0", "x1", "y1"), strict=True)])).filter("t.x1 > t.x0 and t.y1 > t.y0")
     box = geometry.rect(*[F.col(f"t.{n}") for n in ("x0", "y0", "x1", "y1")])
-    plain = geometry.is_rect(geometry.ring("geom"))
-    straight = cut.filter(plain).select(*kept, F.col("ix").cast("int").alias("ix"), F.col("iy").cast("int").alias("iy"), box.alias("geom"))
-    odd = cut.filter(~plain).select(*kept, F.col("ix").cast("int").alias("ix"), F.col("iy").cast("int").alias("iy"), F.explode(clipped(F.col("geom.coordinates"), box["coordinates"])).alias("geom"))
+    cut = cut.withColumn("_plain", _plain(F.col("geom.coordinates")))
+    at = [F.col("ix").cast("int").alias("ix"), F.col("iy").cast("int").alias("iy")]
+    straight = cut.filter("_plain").select(*kept, *at, box.alias("geom"))
+    odd = cut.filter("not _plain").select(*kept, *at, F.explode(clipped(F.col("geom.coordinates"), box["coordinates"])).alias("geom"))
     return small.unionByName(straight).unionByName(odd)

@@ -16,42 +16,57 @@ from tessera.operators import spatial
 LEAST_M2, SLIVER_M, OPENING_M, GAP_M, BORDER_M, TILE_M2 = 20.0, 2.0, 0.6, 0.2, 50.0, 2000.0
 
 
+def rounded(polygons: list, places: int = 6) -> list:
+    """Coordinates half up to `places`."""
+    k = 10.0**places
+    return [[[[int((v * k + 0.5) // 1) / k for v in p] for p in ring] for ring in rings] for rings in polygons]
+
+
 def is_sliver(polygon: list) -> bool:
     """Too small, or nothing left when shrunk by SLIVER_M."""
-    if kernel.area([polygon]) <= LEAST_M2:
-        return True
-    # A tenth beyond covers the two ways of measuring metres; only polygons without such a disc are shrunk.
-    return not kernel.holds_disc(polygon, SLIVER_M * 1.1) and kernel.area(kernel.buffered([polygon], -SLIVER_M)) <= 0
+    return kernel.area([polygon]) <= LEAST_M2 or not kernel.buffered([polygon], -SLIVER_M)
+
+
+def _less(pieces: list, shape: list) -> list:
+    """Pieces less a shape; those that it overlaps are truncated, taken apart and lose their slivers."""
+    out = []
+    for piece in pieces:
+        near = not kernel.apart([piece], shape)
+        cut = kernel.difference(rounded([piece]), shape) if near else None
+        if not near or abs(kernel.area(rounded([piece])) - kernel.area(cut)) < 1e-6:
+            out.append(piece)
+        else:
+            out += [p for p in rounded(cut) if not is_sliver(p)]
+    return out
 
 
 def _clip(group: pd.DataFrame) -> pd.DataFrame:
     pieces = kernel.polygons_of(group["land"].iloc[0])
     for cut in group.sort_values("id")["cut"]:
-        shape = kernel.polygons_of(cut)
-        out = []
-        for piece in pieces:
-            if kernel.area(kernel.intersection([piece], shape)) <= 0:
-                out.append(piece)
-            else:
-                out += [p for p in kernel.difference([piece], shape) if not is_sliver(p)]
-        pieces = out
-    rows = [{"land_id": group["land_id"].iloc[0], "geom": {"type": "Polygon", "coordinates": p}} for p in pieces]
-    return pd.DataFrame(rows, columns=["land_id", "geom"])
+        pieces = _less(pieces, rounded(kernel.polygons_of(cut)))
+    rows = [{"land_id": group["land_id"].iloc[0], "part": group["part"].iloc[0], "geom": {"type": "Polygon", "coordinates": p}} for p in pieces]
+    return pd.DataFrame(rows, columns=["land_id", "part", "geom"])
+
+
+def _dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Dealt by key over as many tasks as shuffles have: groups take long for their size, so small ones aren't to be put together."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def clipped(land: DataFrame, pending: DataFrame, new_or_changed_only: bool = True) -> DataFrame:
     """(land_id, geom): land after taking off the pending shapes, slivers left out.
 
-    new_or_changed_only leaves exact matches out, which change nothing.
+    new_or_changed_only leaves exact matches out, which change nothing. Land over
+    1 km2 is cut to tiles first, so a group holds one tile and what lies on it.
     """
     cuts = pending.filter(~F.col("match_type").eqNullSafe(F.lit("exact"))) if new_or_changed_only else pending
-    pairs = spatial.join(land, cuts, "overlaps").select(F.col("l.id").alias("land_id"), F.col("l.geom").alias("land"), "r.id", F.col("r.geom").alias("cut"))
-    kind = f"land_id long, geom {geometry.POLYGON}"
-    # A land shape is a tile of TILE size at most, so the parcels on it are few.
-    changed = pairs.groupBy("land_id").applyInPandas(_clip, kind)
-    touched = pairs.select("land_id").distinct()
-    whole = land.select(F.col("id").alias("land_id"), "geom").join(touched, "land_id", "left_anti")
-    return whole.unionByName(changed)
+    parts = spatial.tiles(land, ["id"]).withColumn("part", F.xxhash64("ix", "iy", F.to_json("geom")))
+    parts = spatial.with_box(parts.select("id", "part", "geom"))
+    pairs = spatial.join(parts, cuts.select("id", "geom", *spatial.BOX), "overlaps").select(F.col("l.id").alias("land_id"), F.col("l.part").alias("part"), F.col("l.geom").alias("land"), "r.id", F.col("r.geom").alias("cut"))
+    changed = _dealt(pairs, "land_id", "part").groupBy("land_id", "part").applyInPandas(_clip, f"land_id long, part long, geom {geometry.POLYGON}").select("land_id", "geom")
+    touched = pairs.select("land_id", "part").distinct()
+    whole = parts.select(F.col("id").alias("land_id"), "part", "geom").join(touched, ["land_id", "part"], "left_anti")
+    return whole.select("land_id", "geom").unionByName(changed)
 
 
 def _shrunk(frames):
@@ -61,31 +76,50 @@ def _shrunk(frames):
 
 
 def country_tiles(countries: DataFrame) -> DataFrame:
-    """(id, geom): countries shrunk by BORDER_M, in tiles, none under TILE_M2."""
-    shapes = countries.select("id", "geom").mapInPandas(_shrunk, f"id long, geom {geometry.POLYGON}")
+    """(id, country_id, ix, iy, geom): countries (id, geom), truncated and shrunk by BORDER_M, in tiles, none under TILE_M2."""
+    shapes = countries.select("id", geometry.truncated_shape(F.col("geom")).alias("geom")).mapInPandas(_shrunk, f"id long, geom {geometry.POLYGON}")
     cut = spatial.tiles(spatial.with_box(shapes), ["id"]).filter(geometry.area(F.col("geom")) > TILE_M2)
-    return cut.select(F.xxhash64("id", "ix", "iy", F.to_json("geom")).alias("id"), "geom")
+    return cut.select(F.xxhash64("id", "ix", "iy", F.to_json("geom")).alias("id"), F.col("id").alias("country_id"), "ix", "iy", "geom")
 
 
 def _tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     if not len(left):
         return pd.DataFrame(columns=["tile_id", "geom"])
     shapes = right.sort_values("id") if len(right) else right
-    parcels = [kernel.buffered(kernel.polygons_of(g), GAP_M) for g, k in zip(shapes.get("shape", ()), shapes.get("kind", ()), strict=True) if k == "parcel"]
-    lands = [kernel.polygons_of(g) for g, k in zip(shapes.get("shape", ()), shapes.get("kind", ()), strict=True) if k == "land"]
-    rest = kernel.difference(kernel.polygons_of(left["geom"].iloc[0]), *parcels)
-    rest = kernel.intersection(rest, kernel.union(*lands)) if lands else []
-    rest = [p for p in rest if not is_sliver(p)]
-    opened = [q for p in rest for q in kernel.buffered(kernel.buffered([p], -OPENING_M), OPENING_M)]
-    return pd.DataFrame([{"tile_id": left["tile_id"].iloc[0], "geom": {"type": "Polygon", "coordinates": p}} for p in opened], columns=["tile_id", "geom"])
+    of = lambda kind: [kernel.polygons_of(g) for g, k in zip(shapes.get("shape", ()), shapes.get("kind", ()), strict=True) if k == kind]
+    grown = [rounded(kernel.buffered(p, GAP_M)) for p in of("parcel")]
+    rest = kernel.polygons_of(left["geom"].iloc[0])
+    if grown:
+        rest = rounded(kernel.difference(rounded(rest), *grown))
+    lands, out = of("land"), []
+    for piece in rest:
+        near = [x for x in lands if not kernel.apart([piece], x)]
+        if near:
+            land = kernel.union(*(rounded(x) for x in near)) if len(near) > 1 else rounded(near[0])
+            kept = [p for p in kernel.intersection(land, rounded([piece])) if not is_sliver(p)]
+            out += rounded(kernel.buffered(kernel.buffered(kept, -OPENING_M), OPENING_M))
+    return pd.DataFrame([{"tile_id": left["tile_id"].iloc[0], "geom": {"type": "Polygon", "coordinates": p}} for p in out], columns=["tile_id", "geom"])
 
 
 def built(tiles: DataFrame, pending: DataFrame, land: DataFrame) -> DataFrame:
     """(tile_id, geom): each tile less its parcels (with a margin), within the land features, without slivers and threads.
 
-    tiles: (id, geom and box); land: (id, tile_id, geom).
+    tiles: (id, geom and box), as country_tiles gives them; land: (id, tile_id, geom).
     """
-    on = spatial.join(tiles, pending).select(F.col("l.id").alias("tile_id"), "r.id", F.col("r.geom").alias("shape"), F.lit("parcel").alias("kind"))
+    base = tiles.select("id", "geom", *spatial.BOX)
+    on = spatial.join(base, pending.select("id", "geom", *spatial.BOX)).select(F.col("l.id").alias("tile_id"), "r.id", F.col("r.geom").alias("shape"), F.lit("parcel").alias("kind"))
     shapes = on.unionByName(land.select("tile_id", "id", F.col("geom").alias("shape"), F.lit("land").alias("kind")))
-    base = tiles.select(F.col("id").alias("tile_id"), "geom")
-    return base.groupBy("tile_id").cogroup(shapes.groupBy("tile_id")).applyInPandas(_tile, f"tile_id long, geom {geometry.POLYGON}")
+    base = base.select(F.col("id").alias("tile_id"), "geom")
+    return _dealt(base, "tile_id").groupBy("tile_id").cogroup(_dealt(shapes, "tile_id").groupBy("tile_id")).applyInPandas(_tile, f"tile_id long, geom {geometry.POLYGON}")
+
+
+def uncached(tiles: DataFrame, features: DataFrame) -> DataFrame:
+    """Tiles whose features are not stored yet."""
+    return tiles.join(features.select(F.col("tile_id").alias("id")).distinct(), "id", "left_anti")
+
+
+def with_features(tiles: DataFrame, cache: DataFrame, source: DataFrame) -> DataFrame:
+    """(id, tile_id, geom): cached features, and for tiles without any those of `source` whose box meets the tile's."""
+    missing = uncached(tiles, cache).select("id", "geom", *spatial.BOX)
+    new = spatial.join(missing, source.select("id", "geom", *spatial.BOX), exact=False).select("r.id", F.col("l.id").alias("tile_id"), "r.geom")
+    return cache.select("id", "tile_id", "geom").unionByName(new)

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry
-from tessera.operators import matching, ownership, parcels, spatial, unregistered
+from tessera.operators import matching, ownership, parcels, spatial, tables, unregistered
+from tessera.plans import analysis, runs
 from tessera.plans import fixtures as fx
-from tessera.plans import runs
 
 BOX = (-4.99, 50.0, -4.9, 50.01)
 _BOX = "xmin <= -4.9e0 AND xmax >= -4.99e0 AND ymin <= 50.01e0 AND ymax >= 50e0"
@@ -20,11 +20,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, slant: float = 0.0):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLE_SQL[f.__name__] = f"WITH {fx.CTES}\n{sql}"
+            ORACLE_SQL[f.__name__] = f"WITH {fx.ctes(slant)}\n{sql}"
         return f
 
     return add
@@ -143,10 +143,26 @@ def point_distance(spark, d):
 
 
 _PAIR = "d JOIN x ON d.poly_id = x.poly_id"
-_D = {c: f"(d.{c} - x.{c})" for c in fx.BOX}
-_EXACT = " AND ".join(f"abs({e}) < 1e-6" for e in _D.values())
-_MX, _MY, _SX, _SY = f"(({_D['xmin']} + {_D['xmax']}) / 2e0)", f"(({_D['ymin']} + {_D['ymax']}) / 2e0)", f"(abs({_D['xmax']} - {_D['xmin']}) / 2e0)", f"(abs({_D['ymax']} - {_D['ymin']}) / 2e0)"
-_OFFSET = f"NOT ({_EXACT}) AND abs({_MX}) < 1e-4 AND abs({_MY}) < 1e-4 AND {_SX} < 5e-8 AND {_SY} < 5e-8"
+
+
+def _all(parts) -> str:
+    return " AND ".join(parts)
+
+
+def _offsets(slant: float) -> dict[str, str]:
+    """SQL of a pair's vertex differences (old x to new d): exactness, means and deviations; vertices are slanted boxes' corners."""
+    dy = {a: f"(d.{a} - x.{a})" for a in ("ymin", "ymax")}
+    dx = [f"(d.{a} - x.{a} + {slant} * {dy[b]})" for a, b in (("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"))]
+    dys = [dy["ymin"], dy["ymin"], dy["ymax"], dy["ymax"]]
+    mean = lambda v: f"(({' + '.join(v)}) / 4e0)"
+    dev = lambda v: f"sqrt(({' + '.join(f'pow({e} - {mean(v)}, 2e0)' for e in v)}) / 4e0)"
+    out = {"exact": _all(f"abs({e}) < 1e-6" for e in (*dx, *dys)), "mx": mean(dx), "my": mean(dys), "sx": dev(dx), "sy": dev(dys)}
+    out["offset"] = f"NOT ({out['exact']}) AND abs({out['mx']}) < 1e-4 AND abs({out['my']}) < 1e-4 AND {out['sx']} < 5e-8 AND {out['sy']} < 5e-8"
+    return out
+
+
+_O = _offsets(0.0)
+_EXACT, _MX, _MY, _SX, _SY = (_O[k] for k in ("exact", "mx", "my", "sx", "sy"))
 
 
 def _compared(spark, d):
@@ -164,33 +180,56 @@ def offset_stats(spark, d):
     return rows.select("poly_id", *[(F.round(F.col(f"stats.{c}"), 9) + F.lit(0.0)).alias(c) for c in ("lng_mean", "lat_mean", "lng_std", "lat_std")])
 
 
-_CASCADE = f"""
-, c AS (SELECT d.*, x.poly_id IS NOT NULL AS known, x.property_address, x.xmin AS ox0, x.ymin AS oy0, x.xmax AS ox1, x.ymax AS oy1,
-  coalesce(d.kind = 'Polygon' AND {_EXACT}, false) AS is_exact, coalesce(d.kind = 'Polygon' AND {_OFFSET}, false) AS is_offset, {_MX} AS mx, {_MY} AS my, {_SX} AS sx, {_SY} AS sy
+def _cascade(slant: float = 0.0) -> str:
+    """SQL of the classifier; coordinates are boxes before slanting, truncated as the vertices are."""
+    o = _offsets(slant)
+    low, high = (f"floor(({{x}} + {slant} * {{y}}{{dx}}) * 1e6 + 5e-1) / 1e6 - {slant} * (floor(({{y}}{{dy}}) * 1e6 + 5e-1) / 1e6)", "floor(({y}{dy}) * 1e6 + 5e-1) / 1e6")
+    old = lambda t, x, y: t.format(x=x, y=y, dx=" + lng_offset", dy=" + lat_offset")
+    new = lambda t, x, y: t.format(x=x, y=y, dx="", dy="")
+    cut = [f"{f(t, f'{p}{x}', f'{p}{y}')} AS {q}{i}" for f, p, q in ((old, "o", "a"), (new, "", "b")) for i, (t, x, y) in enumerate(((low, "xmin", "ymin"), (high, "xmin", "ymin"), (low, "xmax", "ymin"), (high, "xmax", "ymax")))]
+    return f"""
+, c AS (SELECT d.*, x.poly_id IS NOT NULL AS known, x.property_address, x.xmin AS oxmin, x.ymin AS oymin, x.xmax AS oxmax, x.ymax AS oymax,
+  coalesce(d.kind = 'Polygon' AND {o["exact"]}, false) AS is_exact, coalesce(d.kind = 'Polygon' AND {o["offset"]}, false) AS is_offset, {o["mx"]} AS mx, {o["my"]} AS my, {o["sx"]} AS sx, {o["sy"]} AS sy
   FROM d LEFT JOIN x ON d.poly_id = x.poly_id)
 , w AS (SELECT *, coalesce(last_value(CASE WHEN is_offset THEN mx END IGNORE NULLS) OVER z, 0e0) AS lng_offset, coalesce(last_value(CASE WHEN is_offset THEN my END IGNORE NULLS) OVER z, 0e0) AS lat_offset
   FROM c WINDOW z AS (PARTITION BY council ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-, t AS (SELECT *, {", ".join(f"floor(({o} + {off}) * 1e6 + 5e-1) / 1e6 AS a{i}, floor({n} * 1e6 + 5e-1) / 1e6 AS b{i}" for i, (o, n, off) in enumerate((("ox0", "xmin", "lng_offset"), ("oy0", "ymin", "lat_offset"), ("ox1", "xmax", "lng_offset"), ("oy1", "ymax", "lat_offset"))))} FROM w)
-, s AS (SELECT *, {_area("a0", "a1", "a2", "a3")} AS area_a, {_area("b0", "b1", "b2", "b3")} AS area_b, {_area("greatest(a0, b0)", "greatest(a1, b1)", "least(a2, b2)", "least(a3, b3)")} AS both_ FROM t)
-, m AS (SELECT *, area_a + area_b - 2e0 * both_ AS area_diff, 100e0 * both_ / (area_a + area_b - both_) AS pct,
-  EXISTS (SELECT 1 FROM x WHERE s.xmin - s.lng_offset <= x.xmax AND s.xmax - s.lng_offset >= x.xmin AND s.ymin - s.lat_offset <= x.ymax AND s.ymax - s.lat_offset >= x.ymin) AS clash FROM s)
+, t AS (SELECT *, {", ".join(cut)} FROM w)
+, s AS (SELECT *, lng_offset - {slant} * lat_offset AS u_offset, {_area("a0", "a1", "a2", "a3")} AS area_a, {_area("b0", "b1", "b2", "b3")} AS area_b, {_area("greatest(a0, b0)", "greatest(a1, b1)", "least(a2, b2)", "least(a3, b3)")} AS both_ FROM t)
+, k AS (SELECT DISTINCT s.poly_id FROM s JOIN x ON s.xmin - s.u_offset <= x.xmax AND s.xmax - s.u_offset >= x.xmin AND s.ymin - s.lat_offset <= x.ymax AND s.ymax - s.lat_offset >= x.ymin WHERE NOT known)
+, m AS (SELECT *, area_a + area_b - 2e0 * both_ AS area_diff, 100e0 * both_ / (area_a + area_b - both_) AS pct, poly_id IN (SELECT poly_id FROM k) AS clash FROM s)
 , f AS (SELECT *, CASE WHEN kind <> 'Polygon' THEN 'fail' WHEN is_exact THEN 'exact' WHEN is_offset THEN 'exactOffset' WHEN known AND area_diff < 100e0 AND pct > 95e0 THEN 'highOverlap'
   WHEN known AND pct = 0e0 AND poly_id % 20 = 5 AND property_address IS NOT NULL THEN 'moved' WHEN NOT known AND NOT clash THEN 'newBoundary' ELSE 'fail' END AS match_type FROM m)
 """
 
 
+_CASCADE = _cascade()
+
+
 @query(f"{_CASCADE} SELECT id, poly_id, round(lng_offset, 9) + 0e0 AS lng_offset, round(lat_offset, 9) + 0e0 AS lat_offset FROM w")
 def offset_carry_forward(spark, d):
     return matching.carried_offset(_compared(spark, d)).select("id", "poly_id", *[(F.round(c, 9) + F.lit(0.0)).alias(c) for c in ("lng_offset", "lat_offset")])
 
 
-def _classified(spark, d):
-    return matching.classified(fx.pending(spark, d), fx.parcels(spark, d), fx.titles(spark, d), fx.places(spark, d))
+def _classified(spark, d, slant=0.0):
+    return matching.classified(fx.pending(spark, d, slant), fx.parcels(spark, d, slant), fx.titles(spark, d), fx.places(spark, d, slant))
+
+
+_OVERLAPS = "SELECT poly_id, round(area_diff, {0}) AS area_diff, round(pct, {1}) AS pct FROM m WHERE known AND kind = 'Polygon' AND NOT is_exact AND NOT is_offset"
+
 
+def _overlaps(rows, metres, percent):
+    return rows.filter("area_diff is not null").select("poly_id", F.round("area_diff", metres).alias("area_diff"), F.round("pct", percent).alias("pct"))
 
-@query(f"{_CASCADE} SELECT poly_id, round(area_diff, 3) AS area_diff, round(pct, 6) AS pct FROM m WHERE known AND kind = 'Polygon' AND NOT is_exact AND NOT is_offset")
+
+@query(_CASCADE + _OVERLAPS.format(3, 6))
 def overlap_stats(spark, d):
-    return _classified(spark, d).filter("area_diff is not null").select("poly_id", F.round("area_diff", 3).alias("area_diff"), F.round("pct", 6).alias("pct"))
+    return _overlaps(_classified(spark, d), 3, 6)
+
+
+@query(_cascade(fx.SLANT) + _OVERLAPS.format(1, 3), fx.SLANT)
+def overlap_stats_slanted(spark, d):
+    """Parallelograms: the overlay judges them."""
+    return _overlaps(_classified(spark, d, fx.SLANT), 1, 3)
 
 
 @query(f"{_CASCADE} SELECT poly_id FROM m WHERE NOT known AND kind = 'Polygon' AND clash")
@@ -199,11 +238,19 @@ def new_boundary_check(spark, d):
     return matching.new_shapes_in_conflict(rows, fx.parcels(spark, d), fx.titles(spark, d))
 
 
-@query(f"{_CASCADE} SELECT id, poly_id, council, match_type, match_type <> 'fail' AS accepted FROM f")
+_MATCHES = " SELECT id, poly_id, council, match_type, match_type <> 'fail' AS accepted FROM f"
+
+
+@query(_CASCADE + _MATCHES)
 def match_classify(spark, d):
     return _classified(spark, d).select("id", "poly_id", "council", "match_type", "accepted")
 
 
+@query(_cascade(fx.SLANT) + _MATCHES, fx.SLANT)
+def match_classify_slanted(spark, d):
+    return _classified(spark, d, fx.SLANT).select("id", "poly_id", "council", "match_type", "accepted")
+
+
 _DOMAIN = ", ".join(f"('{m}')" for m in matching.MATCHES)
 
 
@@ -218,8 +265,8 @@ def match_summary(spark, d):
 
 _STATS = f"""{_CASCADE}, st AS (
 SELECT council, 'percentageIntersects' AS stat, CASE WHEN is_exact OR is_offset THEN 100e0 ELSE pct END AS value FROM f WHERE known AND kind = 'Polygon'
-UNION ALL SELECT council, 'offsetMeans', greatest(abs(mx), abs(my)) FROM f WHERE known AND kind = 'Polygon'
-UNION ALL SELECT council, 'offsetStds', greatest(sx, sy) FROM f WHERE known AND kind = 'Polygon')"""
+UNION ALL SELECT council, 'offsetMeans', greatest(abs(mx), abs(my)) FROM f WHERE known AND kind = 'Polygon' AND NOT is_exact
+UNION ALL SELECT council, 'offsetStds', greatest(sx, sy) FROM f WHERE known AND kind = 'Polygon' AND NOT is_exact)"""
 
 
 @query(f"{_STATS} SELECT council, stat, count(*) AS n, round(avg(value), 6) AS mean FROM st GROUP BY council, stat")
@@ -228,6 +275,14 @@ def match_stats(spark, d):
     return rows.groupBy("council", "stat").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"))
 
 
+_BIN = "CASE stat WHEN 'percentageIntersects' THEN (CASE WHEN value < 99.5e0 THEN floor(value) END) WHEN 'offsetMeans' THEN (CASE WHEN value < 4e-5 THEN floor(value / 1e-7) END) ELSE (CASE WHEN value < 2e-8 THEN floor(value / 2e-10) END) END"
+
+
+@query(f"{_STATS} SELECT council, stat, CAST(bin AS BIGINT) AS bin, count(*) AS n FROM (SELECT *, {_BIN} AS bin FROM st WHERE value >= 0) WHERE bin IS NOT NULL GROUP BY council, stat, bin")
+def match_histograms(spark, d):
+    return matching.histograms(matching.statistics(_classified(spark, d)))
+
+
 @query(f"{_STATS} SELECT council, CAST(floor(value) AS BIGINT) AS bin, count(*) AS n FROM st WHERE stat = 'percentageIntersects' AND value >= 0 AND value < 99.5e0 GROUP BY ALL")
 def match_histogram(spark, d):
     return matching.histogram(matching.statistics(_classified(spark, d)), "percentageIntersects", 0, 99.5, 1)
@@ -245,10 +300,34 @@ def boundaries_pending_accepted(spark, d):
     return parcels.pending_in_box(rows, BOX, accepted_only=True).select("id", "poly_id", "council", "tenure")
 
 
-@query("SELECT poly_id, title_no FROM p WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.poly_id = p.poly_id AND n.poly_id % 50 = 0)")
+@query("SELECT poly_id, title_no FROM p WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.poly_id = p.poly_id AND n.council = 'council_99')")
 def delete_pending_deletions(spark, d):
-    gone = fx.pending(spark, d).filter("poly_id % 50 = 0")
-    return matching.without(fx.parcels(spark, d), gone).select("poly_id", "title_no")
+    return matching.without(fx.parcels(spark, d), fx.deletions(spark, d)).select("poly_id", "title_no")
+
+
+@query("SELECT DISTINCT poly_id FROM n WHERE council IN ('council_99', 'council_07')")
+def mark_deletions(spark, d):
+    """Marks on top of marks: each number once."""
+    return tables.marked(fx.deletions(spark, d), fx.pending(spark, d).filter("council = 'council_07'"))
+
+
+_KEPT = "(SELECT * FROM p WHERE poly_id NOT IN (SELECT poly_id FROM n WHERE council = 'council_99'))"
+
+
+@query(f"{_CASCADE} SELECT coalesce(q.poly_id, k.poly_id) AS poly_id, q.title_no, round(coalesce(k.xmin, q.xmin), 9) AS xmin FROM {_KEPT} q FULL OUTER JOIN (SELECT * FROM f WHERE match_type <> 'fail') k ON q.poly_id = k.poly_id")
+def analysis_parcels(spark, d):
+    """The whole analysis of pending shapes: the parcels that it leaves."""
+    out = _analysis(spark, d)["parcels"]
+    return out.select("poly_id", "title_no", F.round(geometry.ring("geom")[0][0], 9).alias("xmin"))
+
+
+@query(f"{_CASCADE} SELECT council, poly_id, CASE WHEN known AND kind = 'Polygon' THEN round(pct, 6) END AS pct FROM f WHERE match_type = 'fail'")
+def analysis_failed(spark, d):
+    return _analysis(spark, d)["failed"].select("council", "poly_id", F.round("pct", 6).alias("pct"))
+
+
+def _analysis(spark, d):
+    return analysis.analysed(fx.pending(spark, d), fx.parcels(spark, d), fx.titles(spark, d), fx.deletions(spark, d), fx.land(spark, d), fx.places(spark, d))
 
 
 _MEET = "a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax"
@@ -264,6 +343,17 @@ def spatial_join_overlap(spark, d):
     return spatial.join(fx.land(spark, d), fx.pending(spark, d), "overlaps").select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
 
 
+@query(f"SELECT a.id AS land_id, b.id AS pending_id FROM u a JOIN n b ON {_MEET}", fx.SLANT)
+def spatial_join_slanted(spark, d):
+    """Parallelograms: the exact test judges those whose boxes meet."""
+    return spatial.join(fx.land(spark, d, fx.SLANT), fx.pending(spark, d, fx.SLANT)).select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
+
+
+@query(f"SELECT a.id AS land_id, b.id AS pending_id FROM u a JOIN n b ON {_MEET.replace('<=', '<')}", fx.SLANT)
+def spatial_join_slanted_overlap(spark, d):
+    return spatial.join(fx.land(spark, d, fx.SLANT), fx.pending(spark, d, fx.SLANT), "overlaps").select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
+
+
 @query("SELECT title_no, file_date, type = 'ccod' AS proprietor_uk_based, event_id FROM (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY title_no ORDER BY file_date DESC, type DESC, op <> 'D' DESC, event_id DESC) = 1) WHERE op = 'A'")
 def ownership_cdc(spark, d):
     order = ["file_date", "type", F.expr("op <> 'D'"), "event_id"]
@@ -286,9 +376,82 @@ def ownership_bulk(spark, d):
     """Bulk delete of titles with a D row, then upsert of titles that only have A rows."""
     own, changes = fx.titles(spark, d).select("title_no", "tenure"), fx.changes(spark, d)
     gone = changes.filter("op = 'D'")
-    kept = ownership.deleted(own, gone, "title_no")
-    new = ownership.deleted(changes.filter("op = 'A'").select("title_no").distinct(), gone, "title_no").join(own.select("title_no"), "title_no", "left_anti")
-    return ownership.upserted(kept, new.select("title_no", F.lit("Freehold").alias("tenure")), "title_no")
+    kept = tables.deleted(own, gone, "title_no")
+    new = tables.deleted(changes.filter("op = 'A'").select("title_no").distinct(), gone, "title_no").join(own.select("title_no"), "title_no", "left_anti")
+    return tables.upserted(kept, new.select("title_no", F.lit("Freehold").alias("tenure")), "title_no", ["tenure"])
+
+
+@query("""SELECT coalesce(o.title_no, l.title_no) AS title_no, coalesce(l.type, o.tenure) AS tenure, coalesce(o.createdAt, l.file_date) AS createdAt
+FROM o FULL OUTER JOIN (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY title_no ORDER BY event_id DESC) = 1) l ON o.title_no = l.title_no""")
+def ownership_upsert(spark, d):
+    """A batch with titles several times: the last row counts, createdAt stays."""
+    rows = fx.changes(spark, d).select("title_no", F.col("type").alias("tenure"), F.col("file_date").alias("createdAt"), "event_id")
+    return tables.upserted(fx.titles(spark, d).select("title_no", "tenure", "createdAt"), rows, "title_no", ["event_id"], keep=("createdAt",))
+
+
+_SINCE = "(SELECT min(file_date) + 5 FROM ch)"
+_UPDATED = """, e AS (SELECT * FROM ch {where}), l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY title_no ORDER BY file_date DESC, type DESC, op <> 'D' DESC, event_id DESC) = 1)
+SELECT title_no, tenure FROM o WHERE title_no NOT IN (SELECT title_no FROM e) UNION ALL SELECT title_no, type FROM l WHERE op = 'A'"""
+
+
+def _updated(spark, d, since):
+    changes = fx.changes(spark, d).withColumn("tenure", F.col("type"))
+    own = fx.titles(spark, d).select("title_no", "tenure")
+    return ownership.updated(own if since is not None else own.filter("false"), changes, fx.changes(spark, d).agg(F.date_add(F.min("file_date"), 5).alias("file_date")) if since is not None else changes.select("file_date").filter("false"), own, ["file_date", "type", F.expr("op <> 'D'"), "event_id"])
+
+
+@query(_UPDATED.format(where=f"WHERE file_date > {_SINCE}"))
+def ownership_update(spark, d):
+    """Change files after the date up to which the titles are."""
+    return _updated(spark, d, 5)[0].select("title_no", "tenure")
+
+
+@query(_UPDATED.format(where=""))
+def ownership_bootstrap(spark, d):
+    """Nothing ran before: the full set, then all change files since."""
+    return _updated(spark, d, None)[0].select("title_no", "tenure")
+
+
+@query(f"SELECT greatest({_SINCE}, max(file_date)) AS file_date FROM ch WHERE file_date > {_SINCE}")
+def ownership_watermark(spark, d):
+    return _updated(spark, d, 5)[1]
+
+
+@query("SELECT max(id) AS id FROM n")
+def largest_id(spark, d):
+    return tables.largest_id(fx.pending(spark, d))
+
+
+@query("SELECT count(*) AS n, count(*) AS n_ids, max(id) + (SELECT count(*) FROM fe) AS last_id, min(id) AS first_id FROM u HAVING false UNION ALL SELECT (SELECT count(*) FROM u) + (SELECT count(*) FROM fe), (SELECT count(*) FROM u) + (SELECT count(*) FROM fe), (SELECT max(id) FROM u) + (SELECT count(*) FROM fe), (SELECT min(id) FROM u)")
+def land_appended(spark, d):
+    """Shapes added to the land layer get the next ids without gaps."""
+    out = tables.appended_shapes(fx.land(spark, d).select("id", "geom"), fx.features(spark, d).select("geom"))
+    return out.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"), F.max("id").alias("last_id"), F.min("id").alias("first_id"))
+
+
+@query("SELECT id, tile_id FROM fe WHERE tile_id = 7")
+def tile_features(spark, d):
+    return parcels.features_of(fx.features(spark, d), 7).select("id", "tile_id")
+
+
+@query(f"SELECT DISTINCT f.id, t.id AS tile_id FROM u t JOIN fe f ON t.id % 2 = 1 AND f.xmin <= t.xmax AND f.xmax >= t.xmin AND f.ymin <= t.ymax AND f.ymax >= t.ymin UNION ALL SELECT id, tile_id FROM fe WHERE tile_id % 2 = 0")
+def tile_feature_cache(spark, d):
+    """Features of even tiles are stored; those of the others come from the source."""
+    land, features = fx.land(spark, d), fx.features(spark, d)
+    return unregistered.with_features(land, features.filter("tile_id % 2 = 0"), features).select("id", "tile_id")
+
+
+@query(f"SELECT poly_id, title_no, tenure FROM po WHERE {_BOX}")
+def parcels_in_wkt(spark, d):
+    x0, y0, x1, y1 = BOX
+    wkt = f"POLYGON(({y0} {x0}, {y0} {x1}, {y1} {x1}, {y1} {x0}, {y0} {x0}))"
+    return parcels.in_wkt(fx.parcels(spark, d), fx.titles(spark, d), wkt).select("poly_id", "title_no", "tenure")
+
+
+@query(f"SELECT poly_id, proprietor_name_1 FROM po WHERE {_BOX} AND proprietor_category_1 = 'Local Authority' ORDER BY poly_id LIMIT 5000")
+def boundaries_by_type(spark, d):
+    """The search that a type names."""
+    return parcels.boundaries(fx.parcels(spark, d), fx.titles(spark, d), fx.pending(spark, d), fx.land(spark, d), BOX, "localAuthority").select("poly_id", "proprietor_name_1")
 
 
 @query("SELECT latest_ownership_data FROM r WHERE latest_ownership_data IS NOT NULL ORDER BY startedAt DESC, id DESC LIMIT 1")
@@ -323,30 +486,78 @@ def inspire_publish_date(spark, d):
     return days.select("day", runs.publish_date(F.col("day")).alias("publish"), F.date_format("day", "yyyy-MM").alias("month"))
 
 
-_WIDE = "SELECT s_suppkey AS id, -5e0 + s_suppkey * 1e-1 AS xmin, 50e0 AS ymin, -5e0 + s_suppkey * 1e-1 + 1.37e-2 + (s_suppkey % 3) * 1.1e-2 AS xmax, 50e0 + 2.15e-2 AS ymax FROM supplier"
+def _tiled(source: str) -> str:
+    return f""", b AS (SELECT *, floor((xmax - xmin + 2e-2) / 1e-2) AS nx, floor((ymax - ymin + 2e-2) / 1e-2) AS ny FROM ({source})), g AS (
+SELECT *, (xmin + xmax - nx * 1e-2) / 2e0 + ix * 1e-2 AS x0, (ymin + ymax - ny * 1e-2) / 2e0 + iy * 1e-2 AS y0 FROM b, range(0, 10) i(ix), range(0, 10) j(iy) WHERE ix < nx AND iy < ny), c AS (
+SELECT id, CAST(ix AS INTEGER) AS ix, CAST(iy AS INTEGER) AS iy, greatest(x0, xmin) AS x0, greatest(y0, ymin) AS y0, least(x0 + 1e-2, xmax) AS x1, least(y0 + 1e-2, ymax) AS y1 FROM g)"""
 
 
-@query(
-    f""", b AS (SELECT *, floor((xmax - xmin + 2e-2) / 1e-2) AS nx, floor((ymax - ymin + 2e-2) / 1e-2) AS ny FROM ({_WIDE})), g AS (
-SELECT *, (xmin + xmax - nx * 1e-2) / 2e0 + ix * 1e-2 AS x0, (ymin + ymax - ny * 1e-2) / 2e0 + iy * 1e-2 AS y0 FROM b, range(0, 10) i(ix), range(0, 10) j(iy) WHERE ix < nx AND iy < ny), c AS (
-SELECT id, CAST(ix AS INTEGER) AS ix, CAST(iy AS INTEGER) AS iy, greatest(x0, xmin) AS x0, greatest(y0, ymin) AS y0, least(x0 + 1e-2, xmax) AS x1, least(y0 + 1e-2, ymax) AS y1 FROM g)
-SELECT id, ix, iy, round({_area("x0", "y0", "x1", "y1")}, 2) AS area FROM c WHERE x1 > x0 AND y1 > y0"""
-)
+@query(f"{_tiled('SELECT * FROM wi')} SELECT id, ix, iy, round({_area('x0', 'y0', 'x1', 'y1')}, 2) AS area FROM c WHERE x1 > x0 AND y1 > y0")
 def polygon_tiling(spark, d):
-    cols = {"id": "s_suppkey", "xmin": "-5e0 + s_suppkey * 1e-1", "ymin": "50e0", "xmax": "-5e0 + s_suppkey * 1e-1 + 1.37e-2 + (s_suppkey % 3) * 1.1e-2", "ymax": "50e0 + 2.15e-2"}
-    wide = fx._shaped(fx._derived(spark, d, "supplier", cols))
-    return spatial.tiles(wide, ["id"]).select("id", "ix", "iy", F.round(geometry.area(F.col("geom")), 2).alias("area"))
+    return spatial.tiles(fx.wide(spark, d), ["id"]).select("id", "ix", "iy", F.round(geometry.area(F.col("geom")), 2).alias("area"))
+
+
+_DEGREE = f"(180e0 / (pi() * {R}))"
+_WIDER = f"({_DEGREE} / cos(radians((ymin + ymax) / 2e0)))"
+
+
+def _grown(metres: str, places: str) -> str:
+    """SQL of a box grown on all sides, on a grid of 1 / places degrees."""
+    grow = {"xmin": f"xmin - {metres} * {_WIDER}", "ymin": f"ymin - {metres} * {_DEGREE}", "xmax": f"xmax + {metres} * {_WIDER}", "ymax": f"ymax + {metres} * {_DEGREE}"}
+    return ", ".join(f"floor(({e}) * {places} + 5e-1) / {places} AS {c}" for c, e in grow.items())
+
+
+@query(f"{_tiled('SELECT id, ' + _grown('-50e0', '1e9') + ' FROM wi')} SELECT id AS country_id, ix, iy, round({_area('x0', 'y0', 'x1', 'y1')}, 0) AS area FROM c WHERE x1 > x0 AND y1 > y0 AND {_area('x0', 'y0', 'x1', 'y1')} > 2000e0")
+def country_tiles(spark, d):
+    """Countries shrunk by 50 m, in tiles."""
+    out = unregistered.country_tiles(fx.wide(spark, d))
+    return out.select("country_id", "ix", "iy", F.round(geometry.area(F.col("geom")), 0).alias("area"))
+
+
+def _free(lands: str, cuts: str) -> str:
+    """SQL of (id, area) of lands less cuts (id of the land, box): the cells between all their edges that no cut covers."""
+    return f"""
+, la AS ({lands}), cu AS ({cuts})
+, xs AS (SELECT DISTINCT id, unnest([xmin, xmax]) AS x FROM (SELECT id, xmin, xmax FROM la UNION ALL SELECT id, xmin, xmax FROM cu))
+, ys AS (SELECT DISTINCT id, unnest([ymin, ymax]) AS y FROM (SELECT id, ymin, ymax FROM la UNION ALL SELECT id, ymin, ymax FROM cu))
+, xi AS (SELECT id, x AS x0, lead(x) OVER (PARTITION BY id ORDER BY x) AS x1 FROM xs)
+, yi AS (SELECT id, y AS y0, lead(y) OVER (PARTITION BY id ORDER BY y) AS y1 FROM ys)
+, ce AS (SELECT xi.id, x0, x1, y0, y1 FROM xi JOIN yi ON xi.id = yi.id WHERE x1 IS NOT NULL AND y1 IS NOT NULL)
+, fr AS (SELECT id, sum({_area("x0", "y0", "x1", "y1")}) AS area FROM ce WHERE NOT EXISTS (SELECT 1 FROM cu WHERE cu.id = ce.id AND cu.xmin <= ce.x0 AND cu.xmax >= ce.x1 AND cu.ymin <= ce.y0 AND cu.ymax >= ce.y1) GROUP BY id)
+"""
 
 
-@query()
+def _clean(c: str) -> str:
+    return f"floor({c} * 1e7 + 5e-1) / 1e7"
+
+
+_LAND = f"SELECT id, {', '.join(f'{_clean(c)} AS {c}' for c in fx.BOX)} FROM u"
+
+
+def _cuts(source: str, box: str) -> str:
+    """SQL of the boxes of `source` (which has the columns box names) on each land shape, within it."""
+    return f"SELECT l.id, greatest(l.xmin, k.xmin) AS xmin, greatest(l.ymin, k.ymin) AS ymin, least(l.xmax, k.xmax) AS xmax, least(l.ymax, k.ymax) AS ymax FROM la l JOIN (SELECT {box} FROM {source}) k ON l.xmin < k.xmax AND k.xmin < l.xmax AND l.ymin < k.ymax AND k.ymin < l.ymax"
+
+
+_CLEAN_BOX = ", ".join(f"{_clean(c)} AS {c}" for c in fx.BOX)
+_TRUNCATED = ", ".join(f"floor({c} * 1e6 + 5e-1) / 1e6 AS {c}" for c in fx.BOX)
+
+
+@query(f"{_CASCADE} {_free(_LAND, _cuts('f WHERE match_type <> ' + chr(39) + 'exact' + chr(39), _TRUNCATED))} SELECT id AS land_id, round(area, 1) AS area FROM fr WHERE area > 1e0")
 def clip_unregistered(spark, d):
+    """What each land shape has left once the pending shapes are off; these leave no slivers here."""
     out = unregistered.clipped(fx.land(spark, d), _classified(spark, d).transform(spatial.with_box))
-    return out.select("land_id", F.round(geometry.area(F.col("geom")), 2).alias("area"))
+    return out.groupBy("land_id").agg(F.round(F.sum(geometry.area(F.col("geom"))), 1).alias("area"))
+
+
+@query(f"{_cascade(fx.SLANT)} {_free(_LAND, _cuts('f WHERE match_type <> ' + chr(39) + 'exact' + chr(39), _CLEAN_BOX))} SELECT id AS land_id, round(area / 10) * 10 AS area FROM fr WHERE area > 1e0", fx.SLANT)
+def clip_unregistered_slanted(spark, d):
+    out = unregistered.clipped(fx.land(spark, d, fx.SLANT), _classified(spark, d, fx.SLANT).transform(spatial.with_box))
+    return out.groupBy("land_id").agg((F.round(F.sum(geometry.area(F.col("geom"))) / 10) * 10).alias("area"))
 
 
-@query()
+@query(f"{_free('SELECT id, xmin, ymin, xmax, ymax - 2e-4 AS ymax FROM u', _cuts('n', _grown('0.2e0', '1e6')))} SELECT id AS tile_id, round(area / 1e4, 1) AS hectares FROM fr WHERE area > 1e0")
 def unregistered_init(spark, d):
-    land = fx.land(spark, d)
-    features = land.select("id", F.col("id").alias("tile_id"), "geom")
-    out = unregistered.built(land, fx.pending(spark, d), features)
-    return out.select("tile_id", F.round(geometry.area(F.col("geom")), 2).alias("area"))
+    """Each tile's land less its parcels; in tenths of a hectare, as rounded corners take a metre or two off."""
+    out = unregistered.built(fx.land(spark, d), fx.pending(spark, d), fx.features(spark, d))
+    return out.groupBy("tile_id").agg(F.round(F.sum(geometry.area(F.col("geom"))) / 1e4, 1).alias("hectares"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import itertools
 import math
+import zipfile
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +25,51 @@ def ownership_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.filter(~F.col("Title Number").eqNullSafe(F.lit(FOOTER)))
 
 
+def zipped_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """Rows of the CSV files within zip archives, as text columns, without footers; other entries are passed over.
+
+    A task reads an archive's lines one after the other. The header of one archive
+    gives the columns, unless they are named.
+    """
+    archives = spark.read.format("binaryFile").load(path).select("content")
+    names = columns or archives.mapInPandas(_heads, "names array<string>").filter("names is not null").first()[0]
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for content in frame["content"]:
+                for reader in _csvs(content):
+                    kept = ({n: r.get(n) for n in names} for r in csv.DictReader(reader) if sum(v is not None for v in r.values()) != 2 and r.get("Title Number") != FOOTER)
+                    while chunk := list(itertools.islice(kept, 10_000)):
+                        yield pd.DataFrame(chunk, columns=names)
+
+    return archives.mapInPandas(rows, ", ".join(f"`{n}` string" for n in names))
+
+
+def _csvs(content: bytes) -> Iterator[io.TextIOWrapper]:
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        for name in z.namelist():
+            if name.lower().endswith(".csv"):
+                yield io.TextIOWrapper(z.open(name), "utf-8-sig", newline="")
+
+
+def _heads(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        yield pd.DataFrame({"names": [next((next(csv.reader(r), None) for r in _csvs(c)), None) for c in frame["content"]]})
+
+
+def full_ownerships(spark: SparkSession, uk: str, overseas: str) -> DataFrame:
+    """The full data set: titles of companies at home, then abroad."""
+    return named(zipped_csv(spark, uk), False).unionByName(named(zipped_csv(spark, overseas), True), allowMissingColumns=True)
+
+
+def catalogues(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All catalogues' files in one list."""
+    out = catalogue(spark, paths[0])
+    for path in paths[1:]:
+        out = out.unionByName(catalogue(spark, path))
+    return out
+
+
 def named(df: DataFrame, overseas: bool) -> DataFrame:
     """Header names to column names, blanks to null (but tenure), dates parsed."""
     from tessera.operators.ownership import iso_date
@@ -52,6 +102,16 @@ def geojson(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("properties", F.struct(F.lit("Polygon").alias("type"), F.col("c").alias("coordinates")).alias("geom"))
 
 
+#: The countries whose land is mapped.
+COUNTRIES = ("England", "Wales")
+
+
+def countries(spark: SparkSession, path: str) -> DataFrame:
+    """(id, geom): polygons of the countries in a boundary file."""
+    rows = geojson(spark, path).filter(F.col("properties")["CTRY24NM"].isin(*COUNTRIES))
+    return rows.select(F.xxhash64(F.to_json("geom")).alias("id"), "geom")
+
+
 def to_wgs84(easting: pd.Series, northing: pd.Series) -> pd.DataFrame:
     """National Grid metres to WGS84 degrees: inverse transverse Mercator on Airy 1830, then a seven-parameter shift.
 
@@ -89,25 +149,64 @@ def to_wgs84(easting: pd.Series, northing: pd.Series) -> pd.DataFrame:
 
 
 def _positions(lists: pd.Series) -> pd.Series:
+    """Rings of positions of each feature's lists of numbers."""
     out = []
-    for text in lists:
-        xy = [float(x) for x in (text or "").split()]
-        p = to_wgs84(pd.Series(xy[0::2]), pd.Series(xy[1::2]))
-        out.append([[a, b] for a, b in zip(p["lng"].tolist(), p["lat"].tolist(), strict=True)])
+    for texts in lists:
+        rings = []
+        for text in texts:
+            xy = [float(x) for x in (text or "").split()]
+            p = to_wgs84(pd.Series(xy[0::2], dtype=float), pd.Series(xy[1::2], dtype=float))
+            rings.append([[a, b] for a, b in zip(p["lng"].tolist(), p["lat"].tolist(), strict=True)])
+        out.append(rings)
     return pd.Series(out, dtype=object)
 
 
-def gml(spark: SparkSession, path: str, council: str) -> DataFrame:
-    """(poly_id, geom, council) from a feature file in National Grid coordinates."""
+def gml(spark: SparkSession, path: str, council: str | None = None) -> DataFrame:
+    """(poly_id, geom, council) from feature files in National Grid coordinates; without a name, a file's own names the council.
+
+    A row is a feature, so two features of one id stay two shapes. Files without features give none.
+    """
     schema = "`LR:INSPIREID` long, `LR:GEOMETRY` struct<`gml:Polygon`:struct<`gml:exterior`:struct<`gml:LinearRing`:struct<`gml:posList`:string>>,`gml:interior`:array<struct<`gml:LinearRing`:struct<`gml:posList`:string>>>>>"
     df = spark.read.format("xml").option("rowTag", "LR:PREDEFINED").schema(schema).load(path)
     polygon = F.col("`LR:GEOMETRY`.`gml:Polygon`")
     outer = F.array(polygon["gml:exterior"]["gml:LinearRing"]["gml:posList"])
     holes = F.transform(F.coalesce(polygon["gml:interior"], F.array().cast("array<struct<`gml:LinearRing`:struct<`gml:posList`:string>>>")), lambda x: x["gml:LinearRing"]["gml:posList"])
-    ring = F.pandas_udf(_positions, "array<array<double>>")
-    flat = df.select(F.col("`LR:INSPIREID`").alias("poly_id"), F.posexplode(F.concat(outer, holes)).alias("i", "text")).select("poly_id", "i", ring("text").alias("ring"))
-    shapes = flat.groupBy("poly_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "ring"))), lambda x: x.ring).alias("c"))
-    return shapes.select("poly_id", F.struct(F.lit("Polygon").alias("type"), F.col("c").alias("coordinates")).alias("geom"), F.lit(council).alias("council"))
+    rings = F.pandas_udf(_positions, "array<array<array<double>>>")
+    name = F.lit(council) if council is not None else F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -1), r"(?i)(%20|\.gml$)", "")
+    shapes = df.select(F.col("`LR:INSPIREID`").alias("poly_id"), name.alias("council"), rings(F.concat(outer, holes)).alias("c"))
+    return shapes.select("poly_id", F.struct(F.lit("Polygon").alias("type"), F.col("c").alias("coordinates")).alias("geom"), "council")
+
+
+def latest_month(spark: SparkSession, folder: str) -> str | None:
+    """The last of the folders named by month."""
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    return names.select(F.regexp_extract("path", r"/([0-9]{4}-[0-9]{2})/[^/]*$", 1).alias("m")).filter("m <> ''").agg(F.max("m")).first()[0]
+
+
+def unzipped(spark: SparkSession, archives: DataFrame, target: str) -> None:
+    """(council, content) archives: their feature file as target/<council>.gml, in the shared folder that target names, by tasks."""
+
+    def texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for council, content in zip(frame["council"], frame["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for name in z.namelist():
+                        if name.lower().endswith(".gml"):
+                            yield pd.DataFrame({"council": [council], "value": [z.read(name).decode("utf-8-sig")]})
+
+    archives.select("council", "content").mapInPandas(texts, "council string, value string").write.mode("overwrite").partitionBy("council").option("lineSep", "\n").text(target)
+
+
+def load_councils(spark: SparkSession, folder: str, work: str, target: str, after: str | None = None, most: int = 10_000) -> None:
+    """Archives <council>.zip of a folder into the councils' partitions at target; councils without features keep what they have."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
+    names = found.select("path", F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.zip$", "").alias("council"))
+    listed = councils_after(names.withColumn("ordinal", F.rank().over(Window.orderBy("council"))), after, most)  # one row a council, a few hundred
+    unzipped(spark, found.join(F.broadcast(listed.select("path", "council")), "path"), work)
+    if listed.isEmpty():
+        return
+    shapes = gml(spark, work).withColumn("council", F.regexp_extract(F.input_file_name(), r"/council=([^/]*)/", 1))
+    write_councils(shapes, target)
 
 
 def write_councils(df: DataFrame, path: str) -> None:
@@ -121,8 +220,3 @@ def councils_after(councils: DataFrame, after: str | None = None, most: int = 10
         first = councils.filter(F.col("council").contains(after)).agg(F.min("ordinal").alias("_at"))
         councils = councils.join(F.broadcast(first), F.col("ordinal") > F.col("_at")).drop("_at")  # one row
     return councils.orderBy("ordinal").limit(most)
-
-
-def uncached(tiles: DataFrame, cache: DataFrame) -> DataFrame:
-    """Tiles whose features are not stored yet."""
-    return tiles.join(cache.select(F.col("tile_id").alias("id")).distinct(), "id", "left_anti")

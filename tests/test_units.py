@@ -12,13 +12,15 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry, kernel
-from tessera.operators import matching, ownership, parcels, spatial, unregistered
-from tessera.plans import runs
+from tessera.operators import matching, ownership, parcels, spatial, tables, unregistered
+from tessera.plans import analysis, runs
 from tessera.sources import files
 from tessera.streaming import changes
 
-SMALL = [[-1.4609501, 51.2205179], [-1.4611946, 51.2206139], [-1.4610909, 51.2204049], [-1.4609501, 51.2205179]]
-FAR = [[-1.4985482, 51.1845143], [-1.5071717, 51.1771746], [-1.4900932, 51.1786055], [-1.4985482, 51.1845143]]
+#: Triangles on a parallel: their area is half of R^2 * width * (sin(top) - sin(base)).
+SMALL = [[-1.5, 51.2], [-1.4998, 51.2], [-1.49993, 51.2002], [-1.5, 51.2]]
+FAR = [[-1.45, 51.17], [-1.442, 51.17], [-1.447, 51.176], [-1.45, 51.17]]
+SMALL_M2 = 6371008.8**2 / 2 * math.radians(2e-4) * (math.sin(math.radians(51.2002)) - math.sin(math.radians(51.2)))
 
 
 def shapes(spark, rows, columns):
@@ -72,8 +74,8 @@ def test_moved(spark):
 
 def test_areas(spark):
     df = shapes(spark, [(1, SMALL)], "id long")
-    assert abs(df.select(geometry.area(F.col("geom"))).first()[0] - 159.3166) < 1e-3
-    assert abs(kernel.area([[SMALL]]) - 159.3166) < 1e-3
+    assert abs(df.select(geometry.area(F.col("geom"))).first()[0] - SMALL_M2) < 1e-3
+    assert abs(kernel.area([[SMALL]]) - SMALL_M2) < 1e-3
 
 
 def box(x0, y0, x1, y1):
@@ -131,13 +133,13 @@ def test_touch_is_meeting_but_no_overlap(spark):
 def test_areas_of_search(spark):
     p = shapes(spark, [(1, "T1", SMALL), (2, None, FAR)], "poly_id long, title_no string")
     o = spark.createDataFrame([("T1", "Leasehold", "Café Diocese")], "title_no string, tenure string, proprietor_name_1 string")
-    area = [[[-1.462, 51.22], [-1.46, 51.22], [-1.461, 51.222], [-1.462, 51.22]]]
+    area = [[[-1.501, 51.2], [-1.499, 51.2], [-1.5, 51.202], [-1.501, 51.2]]]
     assert [r.poly_id for r in parcels.in_polygon(p, o, area).collect()] == [1]
     assert parcels.in_polygon(p, o, area, include_leaseholds=False).collect() == []
     assert parcels.by_proprietor(p, o, "cafe diocese").count() == 1
     with pytest.raises(ValueError):
         parcels.by_ids(p, o)
-    wkt = spark.createDataFrame([("POLYGON((51.22 -1.462, 51.22 -1.46, 51.222 -1.461, 51.22 -1.462))",)], "t string")
+    wkt = spark.createDataFrame([("POLYGON((51.2 -1.501, 51.2 -1.499, 51.202 -1.5, 51.2 -1.501))",)], "t string")
     assert wkt.select(geometry.from_wkt(F.col("t"))["coordinates"].alias("c")).first().c == area
 
 
@@ -179,24 +181,164 @@ def test_changes_equal_one_by_one(spark, tmp_path):
     assert {r.title_no: r.event_id for r in spark.read.parquet(str(tmp_path / f"out/v={last}")).collect()} == state
 
 
-def test_runs(spark):
+def test_runs(spark, tmp_path):
     empty = spark.createDataFrame([], "id long, unique_key string, startedAt timestamp, status int, last_task string, last_poly_analysed long")
     assert runs.hit_max_retries(empty).first().hit is True and runs.chain_start(empty).collect() == []
     at = [dt.datetime(2024, 1, i) for i in range(1, 6)]
     log = spark.createDataFrame([(i, f"k{i}", t, s, "analyseInspire", 9) for i, (t, s) in enumerate(zip(at, (0, 0, -1, -1, 1), strict=True))], empty.schema)
     assert runs.chain_start(log).first().startedAt == at[2]
     assert runs.tasks_between("nope", "analyseInspire") == runs.TASKS[:2] and runs.resume_position(None, True) == 1 and runs.resume_position(4, True) == 6
-    states = []
+    log = runs.RunLog(spark, str(tmp_path / "log"))
     with pytest.raises(ZeroDivisionError):
-        runs.run({t: (lambda: 1 / 0) for t in runs.TASKS}, states.append)
-    assert states[-1]["status"] == runs.INTERRUPTED
+        runs.triggered(log, {t: (lambda: 1 / 0) for t in runs.TASKS})
+    assert (log.latest().first().status, log.latest().first().last_task) == (runs.STOPPED, "ownerships")
     assert runs.duration(3720) == "1h 2min"
 
 
-@pytest.mark.parametrize("shape", [[(0, 0), (40, 0), (40, 30), (0, 30)], [(0, 0), (100, 0), (100, 3), (0, 3)], [(0, 0), (50, 0), (50, 3), (20, 3), (20, 23), (0, 23)], [(0, 0), (60, 0), (0, 5)]])
-def test_discs_agree_with_shrinking(shape):
-    k = 180 / (3.141592653589793 * 6371008.8)
+@pytest.mark.parametrize("shape, sliver", [([(0, 0), (40, 0), (40, 30), (0, 30)], False), ([(0, 0), (100, 0), (100, 3), (0, 3)], True), ([(0, 0), (50, 0), (50, 3), (20, 3), (20, 23), (0, 23)], False), ([(0, 0), (60, 0), (0, 5)], False), ([(0, 0), (4, 0), (4, 4), (0, 4)], True)])
+def test_slivers(shape, sliver):
+    k = 180 / (math.pi * 6371008.8)
     ring = [[-5 + x * k / 0.6427876, 50 + y * k] for x, y in [*shape, shape[0]]]
-    left = kernel.area(kernel.buffered([[ring]], -2.0)) > 0
-    assert not kernel.holds_disc([ring], 2.2) or left
-    assert unregistered.is_sliver([ring]) is not left
+    assert unregistered.is_sliver([ring]) is sliver
+
+
+def test_buffers_of_odd_shapes():
+    """An L and a ring grow and shrink by their outlines; a hole smaller than the distance closes."""
+    k = 180 / (math.pi * 6371008.8)
+    at = lambda points: [[x * k, y * k] for x, y in [*points, points[0]]]
+    ell = [[at([(0, 0), (100, 0), (100, 40), (40, 40), (40, 100), (0, 100)])]]
+    size = 100 * 40 + 40 * 60
+    arc = lambda d, n: n * d * d * 8 * math.sin(math.pi / 16) / 2
+    assert abs(kernel.area(kernel.buffered(ell, 5)) - (size + 400 * 5 + arc(5, 5) - 25)) < 0.05 * 5
+    assert abs(kernel.area(kernel.buffered(ell, -5)) - (size - 400 * 5 + 5 * 25 - arc(5, 1))) < 0.05 * 5
+    ring = [[at([(0, 0), (100, 0), (100, 100), (0, 100)]), at([(40, 40), (60, 40), (60, 60), (40, 60)])]]
+    grown, shrunk = kernel.buffered(ring, 5), kernel.buffered(ring, -5)
+    assert [len(p) for p in grown] == [2] and abs(kernel.area(grown) - (10000 + 400 * 5 + arc(5, 4) - 100)) < 1
+    assert [len(p) for p in shrunk] == [2] and abs(kernel.area(shrunk) - (90 * 90 - 400 - 80 * 5 - arc(5, 4))) < 1
+    assert [len(p) for p in kernel.buffered(ring, 11)] == [1]
+
+
+def test_overlay_of_parallelograms_and_shared_borders():
+    a = [[[[0, 0], [0.004, 0], [0.006, 0.004], [0.002, 0.004], [0, 0]]]]
+    b = [[[[0.002, 0], [0.006, 0], [0.008, 0.004], [0.004, 0.004], [0.002, 0]]]]
+    side = kernel.area(a)
+    assert abs(kernel.area(kernel.intersection(a, b)) - side / 2) < 1 and abs(kernel.area(kernel.union(a, b)) - 1.5 * side) < 1
+    touching = [[[[x + 0.004, y] for x, y in a[0][0]]]]
+    assert kernel.intersection(a, touching) == [] and len(kernel.union(a, touching)) == 1 and kernel.touches_or_meets(a, touching)
+    assert kernel.difference(a, a) == [] and abs(kernel.area(kernel.union(a, a)) - side) < 1
+
+
+def test_joins_of_shapes_of_all_sizes(spark):
+    """A county and a garden meet once, whatever the levels of their cells."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(60):
+        x, y, w = rng.uniform(-3, -2), rng.uniform(50, 51), 10 ** rng.uniform(-4, -0.2)
+        rows.append((i, box(x, y, x + w, y + w * rng.uniform(0.1, 1))[0][0]))
+    df = shapes(spark, rows, "id long")
+    want = sorted((i, j) for i, a in rows for j, b in rows if max(a[0][0], b[0][0]) <= min(a[2][0], b[2][0]) and max(a[0][1], b[0][1]) <= min(a[2][1], b[2][1]))
+    assert sorted((r.a, r.b) for r in spatial.join(df, df).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).collect()) == want
+
+
+def test_tables(spark):
+    t = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id long, v string, n int")
+    new = spark.createDataFrame([(2, "x", 5), (2, "y", 6), (3, "z", 7)], "id long, v string, n int")
+    assert sorted(map(tuple, tables.upserted(t, new, "id", ["n"]).collect())) == [(1, "a", 1), (2, "y", 6), (3, "z", 7)]
+    assert sorted(map(tuple, tables.upserted(t, new, "id", ["n"], keep=("n",)).collect())) == [(1, "a", 1), (2, "y", 2), (3, "z", 7)]
+    added = tables.appended(t, spark.range(5).selectExpr("'k' AS v", "9 AS n").repartition(3)).collect()
+    assert sorted(r.id for r in added) == list(range(1, 8))
+    assert tables.truncated(t).count() == 0 and tables.largest_id(tables.truncated(t)).first().id == 0 and not tables.exists(spark, "no_such_table")
+    with pytest.raises(ValueError):
+        tables.appended_shapes(t, new.filter("false"))
+
+
+def test_ownership_updates(spark):
+    schema = "title_no string, tenure string, createdAt date, file_date date, filename string, type string, op string, event_id long"
+    day = lambda n: dt.date(2018, 1, n)
+    rows = [("T1", "new", day(3), day(3), "x_COU_1", "ccod", "A", 1), ("T2", "", day(3), day(3), "x_COU_1", "ccod", "D", 2), ("T2", "again", day(4), day(4), "x_COU_2", "ccod", "A", 3), ("T3", "kept out", day(4), day(4), "x_FULL_", "ccod", "A", 4)]
+    order = ["file_date", "type", F.expr("op <> 'D'"), "event_id"]
+    changes = spark.createDataFrame(rows, schema)
+    own = spark.createDataFrame([("T1", "old", day(1)), ("T2", "old", day(1)), ("T9", "old", day(1))], "title_no string, tenure string, createdAt date")
+    nothing = changes.select("file_date").filter("false")
+    for since, base in ((nothing, own.filter("false")), (changes.select(F.lit(day(2)).alias("file_date")), own)):
+        out, until = ownership.updated(base, changes, since, own, order)
+        assert {tuple(r) for r in out.collect()} == {("T1", "new", day(1)), ("T2", "again", day(4)), ("T9", "old", day(1))}
+        assert until.first().file_date == day(4)
+    bad = spark.createDataFrame([("T7", "x", day(5), day(5), "x_COU_3", "ccod", "", 9)], schema)
+    with pytest.raises(Exception, match="No change indicator for ownership title T7"):
+        ownership.updated(own, bad, nothing, own, order)[0].collect()
+
+
+def test_analysis_and_reports(spark, tmp_path):
+    p = shapes(spark, [(1, "T1", SMALL), (2, "T1", FAR), (3, None, moved(FAR, 0.1, 0))], "poly_id long, title_no string")
+    o = spark.createDataFrame([("T1", "Freehold", "x")], "title_no string, tenure string, property_address string")
+    n = shapes(spark, [(1, 1, "c", True, "moved", SMALL), (2, 2, "c", False, None, moved(FAR, 0.001, 0.003)), (3, 9, "d", False, "merged", moved(SMALL, 1, 0))], "id long, poly_id long, council string, accepted boolean, match_type string")
+    gone, land = spark.createDataFrame([(3,)], "poly_id long"), shapes(spark, [(5, moved(FAR, 0.001, 0.003)), (6, moved(FAR, 5, 0))], "id long")
+    out = analysis.analysed(n, p, o, gone, land)
+    assert {r.poly_id: r.match_type for r in out["pending"].collect()} == {1: "exact", 2: "fail", 9: "newBoundary"}
+    assert {r.poly_id for r in out["parcels"].collect()} == {1, 2, 9} and [r.land_id for r in out["land"].collect()] == [6] and out["deletions"].count() == 0
+    later = analysis.analysed(n, p, o, gone, land, resume=True, first_id=2, update_boundaries=False)
+    assert {r.poly_id: r.match_type for r in later["pending"].collect()} == {1: "moved", 2: "fail", 9: "merged"} and later["parcels"].count() == 3
+    some = analysis.analysed(n, p, o, gone, land, max_polygons=2, update_boundaries=False)
+    assert {r.poly_id: r.match_type for r in some["pending"].collect()} == {1: "exact", 2: "fail", 9: None}
+    assert analysis.is_complete() and not analysis.is_complete(max_polygons=2)
+    analysis.write_reports(out, str(tmp_path / "r"))
+    total = [r for r in spark.read.json(str(tmp_path / "r/summary")).collect() if r.match_type == "Total"]
+    assert total[0]["count"] == "3" and spark.read.json(str(tmp_path / "r/failed-matches")).first().poly_id == 2
+    assert {r.stat for r in spark.read.json(str(tmp_path / "r/stats")).collect()} == {"percentageIntersects", "offsetMeans", "offsetStds"}
+
+
+def test_shape_checks(spark):
+    df = spark.createDataFrame([({"type": "Polygon", "coordinates": c},) for c in ([SMALL], [SMALL[:3]], [SMALL[:3] + [[0.0, 0.0]]], [])] + [(None,)], f"g {geometry.POLYGON}")
+    assert [r.v for r in df.select(geometry.is_valid(F.col("g")).alias("v")).collect()] == [True, False, False, False, False]
+    for wkt in ("POINT(1 2)", "POLYGON((1 2, 3 4, 1 2))"):
+        with pytest.raises(ValueError):
+            parcels.rings_of(wkt)
+
+
+def test_run_log(spark, tmp_path):
+    log = runs.RunLog(spark, str(tmp_path / "runs"))
+    steps = {t: (lambda: None) for t in runs.TASKS}
+    assert runs.resumed(log, steps) is None
+    first = runs.triggered(log, steps, {"maxPolygons": "3"})
+    row = log.latest().first()
+    assert (row.unique_key, row.status, row.last_task) == (first, runs.STOPPED, "analyseInspire") and json.loads(row.options) == {"maxPolygons": "3"}
+    log.put("cut", status=runs.RUNNING, startedAt=dt.datetime(2999, 1, 1), last_task="analyseInspire", last_poly_analysed=7, options="{}")
+    assert runs.triggered(log, steps) is None
+    again = runs.resumed(log, steps)
+    states = {r.unique_key: r for r in log.current().collect()}
+    assert states["cut"].status == runs.INTERRUPTED and states[again].last_poly_analysed == 7 and states[again].last_task == "analyseInspire"
+    old = runs.RunLog(spark, str(tmp_path / "old"))
+    old.put("k", status=runs.INTERRUPTED, startedAt=dt.datetime(2001, 1, 1), last_task="downloadInspire")
+    with pytest.raises(ValueError):
+        runs.resume_task(old, "now", dt.date(2024, 5, 9))
+    assert runs.latest_publish_date(dt.date(2024, 5, 9)) == dt.date(2024, 5, 5) and runs.latest_publish_date(dt.date(2024, 5, 2)) == dt.date(2024, 4, 5)
+    with pytest.raises(ValueError):
+        runs.latest_publish_date(dt.date(2024, 5, 5))
+
+
+def test_zipped_sources(spark, tmp_path):
+    import zipfile
+
+    head = "Title Number,Tenure,Change Indicator\n"
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x.csv", head + 'T1,"a, b",A\nT2,,D\nRow Count:,2\n')
+        z.writestr("readme.txt", "no rows")
+    rows = files.zipped_csv(spark, str(tmp_path / "*.zip")).collect()
+    assert [(r["Title Number"], r["Tenure"], r["Change Indicator"]) for r in rows] == [("T1", "a, b", "A"), ("T2", "", "D")]
+    ring = lambda e: f"<gml:exterior><gml:LinearRing><gml:posList>{e} 313177 {e + 10} 313177 {e + 5} 313190 {e} 313177</gml:posList></gml:LinearRing></gml:exterior>"
+    one = lambda n, e: f"<m><LR:PREDEFINED><LR:INSPIREID>{n}</LR:INSPIREID><LR:GEOMETRY><gml:Polygon>{ring(e)}</gml:Polygon></LR:GEOMETRY></LR:PREDEFINED></m>"
+    doc = lambda n, body: f'<?xml version="1.0"?><c xmlns:LR="lr" xmlns:gml="gml" numberMatched="{n}">{body}</c>'
+    for council, n, body in (("Adur", 2, one(5, 651400) + one(5, 651500)), ("Bath", 0, ""), ("York", 1, one(7, 651400))):
+        with zipfile.ZipFile(tmp_path / f"{council}.zip", "w") as z:
+            z.writestr("Land_Registry.gml", doc(n, body))
+    for folder in ("2024-05", "2024-06"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+    for f in tmp_path.glob("[ABY]*.zip"):
+        f.rename(tmp_path / "in/2024-06" / f.name)
+    assert files.latest_month(spark, str(tmp_path / "in")) == "2024-06"
+    files.load_councils(spark, str(tmp_path / "in/2024-06"), str(tmp_path / "gml"), str(tmp_path / "pending"))
+    got = spark.read.parquet(str(tmp_path / "pending")).collect()
+    assert sorted((r.council, r.poly_id, len(r.geom.coordinates)) for r in got) == [("Adur", 5, 1), ("Adur", 5, 1), ("York", 7, 1)]
+    files.load_councils(spark, str(tmp_path / "in/2024-06"), str(tmp_path / "gml2"), str(tmp_path / "pending"), after="Bath")
+    assert spark.read.parquet(str(tmp_path / "pending")).count() == 3
