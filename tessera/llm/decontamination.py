@@ -1,23 +1,25 @@
 """Benchmark decontamination by canonical templates.
 
 Texts become words in which numbers, names and units are typed placeholders:
-<number>, <unit> after a number, <name> for a capitalised word inside a sentence.
-A capitalised word that starts a sentence may be a name or not: texts with such
-words are taken in both forms.
-Windows of WIDTH such words of each benchmark item are hash-joined with the
-windows of all documents, so an item matches although its numbers or names were
-changed. A window with the item's own values, or without any, counts at once. A
-run of changed windows along one alignment counts only if its slots are
-consistent: equal values of the item have equal values in the document. Different
-ones may come out equal. Native columns only.
+<number>, <unit> after a number, <name> for a capitalised word. Items are taken in a
+second form as well, with capitalised words as plain ones, so that copies in other
+case are found too; documents in one form only.
+Windows of WIDTH such words of each benchmark item are hash-joined with the windows
+of all documents, so an item matches although its numbers or names were changed. A
+window with the item's own values, or without any, counts at once. A run of changed
+windows along one alignment counts only if its slots are consistent: equal values of
+the item have equal values in the document. Different ones may come out equal. Slots
+are looked at for texts with hits only. Native columns only.
 
 Windows of which fewer than half are plain words would match any list of numbers:
 their hash takes in the values, so they match word for word only. Items of under
-WIDTH words match as one window of their own length.
+WIDTH words match as one window of their own length, and only if PLAIN of its words
+or more are plain ones: a bare number or name is no evidence.
 
 Edge cases: null and empty texts have no words and match nothing; items without
-words match nothing; repeated rows give one result for each doc_id and item; a
-null doc_id is a document like others. Other columns are ignored.
+words, or short ones without enough plain words, match nothing; repeated rows give
+one result for each doc_id and item; a null doc_id is a document like others. Texts
+are told apart by 128 bits of MD5. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,27 +27,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WIDTH = 8
-#: Benchmark windows up to which the benchmark's side is broadcast (some 60 bytes each); beyond, both sides are shuffled.
-FEW = 200_000
+WIDTH, PLAIN = 8, 3
+#: Benchmark windows up to which their hashes are broadcast (some 30 bytes each) to sift the documents' windows; beyond, both sides are shuffled.
+MANY = 2_000_000
 MARK, SEP = "§", "¦"
 #: Units that may follow a number.
 UNITS = "km cm mm nm m kg mg g lb lbs oz t l ml mph kmh kph ft inch inches mile miles hour hours hr hrs h minute minutes min second seconds sec s day days week weeks month months year years dollar dollars euro euros cent cents percent degrees mb gb kb tb hz khz mhz ghz kw w v".split()
 
 
-def tagged(text: Column, starts: bool = False) -> Column:
-    """Words joined by spaces; a placeholder is its type, SEP and the value. starts: capitalised words are names where a sentence starts, too."""
+def tagged(text: Column, names: bool = True, values: bool = True) -> Column:
+    """Words joined by spaces; a placeholder is its type and, with values, SEP and the value. names: capitalised words are placeholders."""
+    shown = lambda kind: f"{MARK}{kind}{SEP}$1" if values else f"{MARK}{kind}"
     t = F.translate(F.coalesce(text, F.lit("")), MARK + SEP, "  ")
-    before = r"(?<![\p{L}\p{N}])" if starts else r"(?<=[\p{Ll}\p{N},;:] )"
-    t = F.regexp_replace(t, before + r"(\p{Lu}\p{Ll}+)", f"{MARK}n{SEP}$1")
+    if names:
+        t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])(\p{Lu}\p{Ll}+)", shown("n"))
     t = F.lower(t)
+    marks = MARK + SEP
 
-    def with_values(x: Column) -> Column:
-        x = F.regexp_replace(x, rf"[^\p{{L}}\p{{N}}.,%€${MARK}{SEP}]+|(?<![0-9])[.,%€$]|[.,](?![0-9])", " ")
-        numbers = F.regexp_replace(x, rf"(?<![\p{{L}}\p{{N}}{MARK}{SEP}])([0-9]+(?:[.,][0-9]+)*)", f" {MARK}#{SEP}$1 ")
-        return F.regexp_replace(numbers, rf"({MARK}#{SEP}[0-9.,]+) +({'|'.join(UNITS)}|%|€|\$)(?![\p{{L}}\p{{N}}])", f"$1 {MARK}u{SEP}$2")
+    def with_numbers(x: Column) -> Column:
+        x = F.regexp_replace(x, rf"[^\p{{L}}\p{{N}}.,%€${marks}]+|(?<![0-9])[.,%€$]|[.,](?![0-9])", " ")
+        number = F.regexp_replace(x, rf"(?<![\p{{L}}\p{{N}}{marks}])([0-9]+(?:[.,][0-9]+)*)", f" {shown('#')} ")
+        before = rf"{MARK}#{SEP}[0-9.,]+" if values else rf"{MARK}#"
+        return F.regexp_replace(number, rf"({before}) +({'|'.join(UNITS)}|%|€|\$)(?![\p{{L}}\p{{N}}])", f"$1 {shown('u').replace('$1', '$2')}")
 
-    return F.trim(_bound(t, lambda x: F.when(x.rlike("[0-9]"), with_values(x)).otherwise(F.regexp_replace(x, rf"[^\p{{L}}\p{{N}}{MARK}{SEP}]+", " "))))
+    return F.trim(_bound(t, lambda x: F.when(x.rlike("[0-9]"), with_numbers(x)).otherwise(F.regexp_replace(x, rf"[^\p{{L}}\p{{N}}{marks}]+", " "))))
 
 
 def _bound(value: Column, f) -> Column:
@@ -53,83 +58,104 @@ def _bound(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def _forms(text: Column) -> Column:
-    """(form, tagged) without and with names at starts of sentences, the latter where it differs."""
-    forms = F.array(*[F.struct(F.lit(i).alias("form"), tagged(text, bool(i)).alias("tagged")) for i in (0, 1)])
-    return _bound(forms, lambda x: F.when(x[0]["tagged"] == x[1]["tagged"], F.slice(x, 1, 1)).otherwise(x))
+def _runs(words: Column, n: int) -> Column:
+    """A hash for each run of n words, by doubling: a run of n is one of half of it beside another, or one shorter beside the last word."""
 
+    def of(h: Column, k: int) -> Column:
+        if k == 1:
+            return h
+        if k % 2:
+            return _bound(of(h, k - 1), lambda x: F.zip_with(F.slice(x, 1, F.greatest(F.size(h) - k + 1, F.lit(0))), F.slice(h, k, F.size(h)), lambda a, b: F.xxhash64(a, b)))
+        return _bound(of(h, k // 2), lambda x: F.zip_with(F.slice(x, 1, F.greatest(F.size(h) - k + 1, F.lit(0))), F.slice(x, k // 2 + 1, F.size(h)), lambda a, b: F.xxhash64(a, b)))
 
-def _windows(tagged: Column, lengths: list[int]) -> Column:
-    """(at, h, slots) of each window of words; slots has the placeholders with their values."""
-    none = F.array().cast("array<struct<at:int,h:bigint,slots:string>>")
+    cut = lambda x: F.slice(x, 1, F.greatest(F.size(words) - n + 1, F.lit(0)))
+    return F.when(F.size(words) >= n, _bound(F.transform(words, lambda w: F.xxhash64(w)), lambda h: cut(of(h, n)))).otherwise(F.array().cast("array<bigint>"))
 
-    def paired(h: Column, n: int) -> Column:
-        """Hashes of runs of n from hashes of single words, by doubling; n is a power of two."""
-        return h if n == 1 else _bound(paired(h, n // 2), lambda x: F.zip_with(x, F.slice(x, n // 2 + 1, F.size(x)), lambda a, b: F.xxhash64(a, b)))
 
-    def run(words: Column, n: int) -> Column:
-        """A hash for each window of n words."""
-        h = F.transform(words, lambda w: F.xxhash64(w))
-        if n & (n - 1) == 0:
-            return F.slice(paired(h, n), 1, F.size(words) - n + 1)
-        return F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.xxhash64(F.slice(words, i + 1, n)))
+def _typed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.substring_index(w, SEP, 1))
 
-    def of(words: Column, shown: Column, n: int, slots: bool) -> Column:
-        text = (lambda i: F.array_join(F.filter(F.slice(words, i + 1, n), lambda w: w.contains(SEP)), " ")) if slots else (lambda i: F.lit(""))
-        one = lambda h, i: F.struct(i.alias("at"), h.alias("h"), text(i).alias("slots"))
-        return F.when(F.size(words) >= n, F.transform(run(shown, n), one)).otherwise(none)
 
-    def all_of(words: Column, shown: Column, slots: bool) -> Column:
-        parts = [of(words, shown, n, slots) for n in lengths]
-        return F.concat(*parts) if len(parts) > 1 else parts[0]
-
-    split = F.split(tagged, " +")
-    plain = lambda words: F.transform(words, lambda w: F.substring_index(w, SEP, 1))
-    typed = _bound(split, lambda w: _bound(plain(w), lambda p: all_of(w, p, True)))
-    return F.when(tagged == "", none).when(tagged.contains(SEP), typed).otherwise(_bound(split, lambda w: all_of(w, w, False)))
+def _slots(words: Column, at: Column, n: Column | int) -> Column:
+    """The placeholders of a window with their values."""
+    return F.array_join(F.filter(F.slice(words, at + 1, n), lambda w: w.contains(SEP)), " ")
 
 
-def _exploded(rows: DataFrame, key: str, lengths: list[int], width: int) -> DataFrame:
-    """(key, form, at, h, slots) of each window of (key, form, tagged); h takes in the values where slots are over half of width."""
-    windows = _bound(F.col("tagged"), lambda t: _windows(t, lengths))
-    return rows.select(key, "form", F.explode(windows).alias("w")).select(key, "form", "w.at", F.when((F.col("w.slots") != "") & (F.size(F.split("w.slots", " ")) * 2 > width), F.xxhash64("w.h", "w.slots")).otherwise(F.col("w.h")).alias("h"), "w.slots")
+def windows_of(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(item_id, n, item_at, h, item_slots, heavy) of each window of each item in both forms, which have as many words; heavy: h is of the words with their values."""
+    forms = F.array_distinct(F.array(*[tagged(F.col("text"), names) for names in (True, False)]))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.explode(forms).alias("t")).filter("t <> ''").withColumn("words", F.split("t", " +"))
+    lengths = [r[0] for r in items.select(F.size("words").alias("k")).filter(F.col("k") < width).distinct().collect()]  # at most width - 1 numbers
+    out = None
+    for n in sorted({width, *lengths}):
+        rows = items.filter(F.size("words") >= width if n == width else F.size("words") == n)
+        one = lambda h, i: F.struct(F.lit(n).alias("n"), i.alias("item_at"), h.alias("typed"))  # noqa: E731, B023
+        rows = rows.withColumns({"a": _runs(_typed(F.col("words")), n), "b": _runs(F.col("words"), n)})
+        rows = rows.select("item_id", "words", "b", F.explode(F.transform("a", one)).alias("w"))
+        rows = rows.select("item_id", F.lit(n).alias("n"), "w.item_at", F.col("w.typed").alias("typed"), F.element_at("b", F.col("w.item_at") + 1).alias("full"), _slots(F.col("words"), F.col("w.item_at"), n).alias("item_slots"))
+        count = F.when(F.col("item_slots") == "", 0).otherwise(F.size(F.split("item_slots", " ")))
+        rows = rows.withColumn("heavy", count * 2 > n).filter(F.lit(True) if n == width else n - count >= PLAIN)
+        rows = rows.select("item_id", "n", "item_at", F.when(F.col("heavy"), F.col("full")).otherwise(F.col("typed")).alias("h"), "item_slots", "heavy")
+        out = rows if out is None else out.unionByName(rows)
+    return out.distinct()
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(th, item_id, n_windows, verbatim): texts (by hash) that hold windows of an item with consistent slots; verbatim: along some alignment all are equal."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.inline(_forms(F.col("text")))).filter("tagged <> ''")
-    sizes = F.size(F.split("tagged", " +"))
-    short = [r[0] for r in items.select(sizes.alias("n")).filter(F.col("n") < width).distinct().collect()]  # lengths under width
-    whole = _exploded(items.filter(sizes >= width), "item_id", [width], width)
-    for n in short:
-        whole = whole.union(_exploded(items.filter(sizes == n), "item_id", [n], width))
-    whole = whole.select("item_id", F.col("form").alias("item_form"), F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"))
-    few = whole.limit(FEW + 1).count() <= FEW
-    rows = docs.select(F.xxhash64("text").alias("th"), F.inline(_forms(F.col("text"))))
-    probes = _exploded(rows, "th", [width, *short], width)
-    hits = probes.join(F.broadcast(whole) if few else whole, "h")
-    forms = ["form", "item_form"]
-    hits = hits.groupBy("th", "item_id", *forms, (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "slots", "item_slots").agg(F.count(F.lit(1)).alias("n"))
+    """(th, item_id, n_windows, verbatim): texts (by MD5) that hold windows of an item with consistent slots; verbatim: along some alignment all are equal."""
+    windows = windows_of(benchmark, width)
+    sizes = windows.groupBy("n").agg(F.max("heavy").alias("heavy")).collect()  # a row for each length of window
+    # Without any window there is nothing to find, and the plan still has its columns.
+    lengths = sorted((r.n, bool(r.heavy)) for r in sizes) or [(width, False)]
+    few = windows.select("h").distinct().limit(MANY + 1).count() <= MANY
+
+    def listed(x: Column, heavy: bool) -> Column:
+        """Every window's hash by length and place: of typed words, or (heavy) of words with values where that differs."""
+        one = lambda n: lambda h, i: F.struct(F.lit(n).alias("n"), i.alias("at"), h.alias("h"))
+        parts = []
+        for n, any_heavy in lengths:
+            if not heavy:
+                parts.append(F.transform(_runs(x, n), one(n)))
+            elif any_heavy:
+                same = lambda n: _bound(_runs(_typed(x), n), lambda a: F.filter(F.transform(_runs(x, n), one(n)), lambda w: w["h"] != a[w["at"]]))
+                parts.append(same(n))
+        return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+    keyed = docs.select(F.md5("text").alias("th"), "text")
+    plain = _bound(F.split(tagged(F.col("text"), values=False), " +"), lambda w: listed(w, False))
+    probes = keyed.select("th", F.explode(plain).alias("w")).select("th", "w.n", "w.at", "w.h")
+    if any(heavy for _, heavy in lengths):
+        # Lists of numbers and names only: four placeholders among eight words at the least.
+        full = F.when(F.col("text").rlike(r"(?:(?:[0-9]|\p{Lu}\p{Ll})[^ \n]*[ \n]+){2}"), _bound(F.split(tagged(F.col("text")), " +"), lambda w: listed(w, True)))
+        probes = probes.unionByName(keyed.select("th", F.explode(full).alias("w")).select("th", "w.n", "w.at", "w.h"))
+    if few:
+        probes = probes.join(F.broadcast(windows.select("h").distinct()), "h", "left_semi")
+    hits = probes.join(windows, ["n", "h"]).select("th", "item_id", "n", "at", "item_at", "item_slots").distinct()
+    places = hits.groupBy("th").agg(F.collect_set(F.struct("n", "at")).alias("places"))  # at most the windows of one text
+    texts = keyed.join(places.select("th"), "th", "left_semi").groupBy("th").agg(F.first("text").alias("text")).join(places, "th")
+    shown = _bound(F.split(tagged(F.col("text")), " +"), lambda w: F.transform(F.col("places"), lambda p: F.struct(p["n"].alias("n"), p["at"].alias("at"), _slots(w, p["at"], p["n"]).alias("slots"))))
+    slots = texts.select("th", F.explode(shown).alias("p")).select("th", "p.n", "p.at", "p.slots")
+    hits = hits.join(slots, ["th", "n", "at"])
+    key = ["th", "item_id", "n"]
+    hits = hits.groupBy(*key, (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "slots", "item_slots").agg(F.count(F.lit(1)).alias("c"))
     # Runs of windows that are all changed or all equal; an item's windows are few.
     hits = hits.withColumn("same", F.col("slots") == F.col("item_slots"))
-    hits = hits.withColumn("run", F.col("item_at") - F.row_number().over(Window.partitionBy("th", "item_id", *forms, "shift", "same").orderBy("item_at")))
+    hits = hits.withColumn("run", F.col("item_at") - F.row_number().over(Window.partitionBy(*key, "shift", "same").orderBy("item_at")))
     pairs = F.when(F.col("same"), F.array().cast("array<struct<a:string,b:string>>")).otherwise(F.arrays_zip(F.split("item_slots", " ").alias("a"), F.split("slots", " ").alias("b")))
-    runs = hits.groupBy("th", "item_id", *forms, "shift", "same", "run").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+    runs = hits.groupBy(*key, "shift", "same", "run").agg(F.count(F.lit(1)).alias("c"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
     good = F.size(F.array_distinct(F.transform("pairs", lambda x: x["a"]))) == F.size("pairs")
-    lined = runs.groupBy("th", "item_id", *forms, "shift").agg(F.sum(F.when(good, F.col("n"))).alias("n"), F.min(F.col("same").cast("int")).alias("verbatim")).filter("n > 0")
-    lined = lined.groupBy("th", "item_id", *forms).agg(F.sum("n").alias("n"), F.max("verbatim").alias("verbatim"))
-    return lined.groupBy("th", "item_id").agg(F.max("n").alias("n_windows"), F.max("verbatim").cast("boolean").alias("verbatim"))
+    lined = runs.groupBy(*key, "shift").agg(F.sum(F.when(good, F.col("c"))).alias("c"), F.min(F.col("same").cast("int")).alias("verbatim")).filter("c > 0")
+    return lined.groupBy("th", "item_id").agg(F.sum("c").alias("n_windows"), F.max("verbatim").cast("boolean").alias("verbatim"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, item_id, n_windows, verbatim) of each document that holds a benchmark passage."""
     found = matches(docs, benchmark, width)
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"))
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("th"))
     return ids.join(found, "th").select("doc_id", "item_id", "n_windows", "verbatim").distinct()
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents that hold no benchmark passage."""
     found = matches(docs, benchmark, width).select(F.col("th").alias("_th")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("text").alias("_th"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.md5("text").alias("_th"))
     return rows.join(found, "_th", "left_anti").select("row.*")

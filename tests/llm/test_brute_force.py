@@ -359,11 +359,29 @@ def test_templates(spark):
     assert set(out) == {(1, 1), (3, 2), (None, 1)}
     assert out[None, 1].verbatim and not out[1, 1].verbatim
     assert {r.doc_id for r in decontamination.clean(docs, bench).collect()} == {2, 4, 5}
-    old, decontamination.FEW = decontamination.FEW, 0
+    old, decontamination.MANY = decontamination.MANY, 0
     try:
         assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()} == set(out)
     finally:
-        decontamination.FEW = old
+        decontamination.MANY = old
+
+
+def test_short_and_bare_items_are_no_evidence(spark):
+    bench = spark.createDataFrame([(1, "42"), (2, "7 km"), (3, "Alice 42 Bob"), (4, "what is the capital of France?"), (5, "5 12 7 19 23 42 8 15 16 99")], "item_id long, text string")
+    texts = ["It is 42 or 7 km from Alice 42 Bob.", "tell me what is the capital of France", "tell me what is the capital of Spain", "1 2 3 4 5 6 7 8 9 10 42", "a 5 12 7 19 23 42 8 15 b", "WHAT IS THE CAPITAL OF FRANCE"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()} == {(1, 4), (2, 4), (4, 5), (5, 4)}
+
+
+def test_decontamination_of_hard_rows(spark, hard):
+    """Long texts, repeated rows, null keys and clashing columns, in results."""
+    item = passage(2, 20)
+    bench = spark.createDataFrame([(7, f"Seen in {item} once"), (8, passage(1, 30_000).split(" ", 20_000)[-1][:400])], "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in decontamination.contaminated(hard, bench).collect()), key=str)
+    with_item = [(d, 7) for d, t in pairs(hard) if t and item.lower() in t.lower()]
+    assert got == sorted({*with_item, (6, 8), (7, 8), (8, 8)}, key=str)
+    kept = decontamination.clean(hard, bench)
+    assert kept.schema == hard.schema and kept.count() == hard.count() - sum(1 for d, t in pairs(hard) if t and (item.lower() in t.lower() or len(t) > 50_000))
 
 
 def brute_simhash(rows):
