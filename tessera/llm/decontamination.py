@@ -27,10 +27,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import checkpointed
+
 WIDTH, PLAIN = 8, 3
 #: Benchmark windows up to which their hashes are broadcast (some 30 bytes each) to sift the documents' windows; beyond, both sides are shuffled.
 MANY = 2_000_000
+#: Hashes of texts with hits up to which they are broadcast (some 100 bytes each).
+FEW = 200_000
 MARK, SEP = "§", "¦"
+NO_WINDOWS = "array<struct<n:int,at:int,h:bigint>>"
 #: Units that may follow a number.
 UNITS = "km cm mm nm m kg mg g lb lbs oz t l ml mph kmh kph ft inch inches mile miles hour hours hr hrs h minute minutes min second seconds sec s day days week weeks month months year years dollar dollars euro euros cent cents percent degrees mb gb kb tb hz khz mhz ghz kw w v".split()
 
@@ -100,6 +105,11 @@ def windows_of(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     return out.distinct()
 
 
+def sifting(keys: DataFrame) -> DataFrame:
+    """Keys that sift documents: broadcast up to FEW of them, counted; beyond, the join shuffles."""
+    return F.broadcast(keys) if keys.limit(FEW + 1).count() <= FEW else keys
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """(th, item_id, n_windows, verbatim): texts (by MD5) that hold windows of an item with consistent slots; verbatim: along some alignment all are equal."""
     windows = windows_of(benchmark, width)
@@ -120,18 +130,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFr
                 parts.append(same(n))
         return F.concat(*parts) if len(parts) > 1 else parts[0]
 
+    def both(t: Column) -> Column:
+        plain = _bound(F.split(t, " +"), lambda w: listed(w, False))
+        crowded = [n for n, heavy in lengths if heavy]
+        if not crowded:
+            return plain
+        # Only texts with so many placeholders near each other can have a window of which over half are.
+        crowd = MARK + (rf"\S*(?: +[^ {MARK}]\S*){{0,{max(n - n // 2 - 1 for n in crowded)}}} +{MARK}" * min(n // 2 for n in crowded))
+        full = _bound(F.split(tagged(F.col("text")), " +"), lambda w: listed(w, True))
+        return F.concat(plain, F.when(t.rlike(crowd), full).otherwise(F.array().cast(NO_WINDOWS)))
+
     keyed = docs.select(F.md5("text").alias("th"), "text")
-    plain = _bound(F.split(tagged(F.col("text"), values=False), " +"), lambda w: listed(w, False))
-    probes = keyed.select("th", F.explode(plain).alias("w")).select("th", "w.n", "w.at", "w.h")
-    if any(heavy for _, heavy in lengths):
-        # Lists of numbers and names only: four placeholders among eight words at the least.
-        full = F.when(F.col("text").rlike(r"(?:(?:[0-9]|\p{Lu}\p{Ll})[^ \n]*[ \n]+){2}"), _bound(F.split(tagged(F.col("text")), " +"), lambda w: listed(w, True)))
-        probes = probes.unionByName(keyed.select("th", F.explode(full).alias("w")).select("th", "w.n", "w.at", "w.h"))
+    probes = keyed.select("th", F.explode(_bound(tagged(F.col("text"), values=False), both)).alias("w")).select("th", "w.n", "w.at", "w.h")
     if few:
         probes = probes.join(F.broadcast(windows.select("h").distinct()), "h", "left_semi")
-    hits = probes.join(windows, ["n", "h"]).select("th", "item_id", "n", "at", "item_at", "item_slots").distinct()
+    hits = checkpointed(probes.join(windows, ["n", "h"]).select("th", "item_id", "n", "at", "item_at", "item_slots").distinct())
     places = hits.groupBy("th").agg(F.collect_set(F.struct("n", "at")).alias("places"))  # at most the windows of one text
-    texts = keyed.join(places.select("th"), "th", "left_semi").groupBy("th").agg(F.first("text").alias("text")).join(places, "th")
+    texts = keyed.join(sifting(hits.select("th").distinct()), "th", "left_semi").groupBy("th").agg(F.first("text").alias("text")).join(places, "th")
     shown = _bound(F.split(tagged(F.col("text")), " +"), lambda w: F.transform(F.col("places"), lambda p: F.struct(p["n"].alias("n"), p["at"].alias("at"), _slots(w, p["at"], p["n"]).alias("slots"))))
     slots = texts.select("th", F.explode(shown).alias("p")).select("th", "p.n", "p.at", "p.slots")
     hits = hits.join(slots, ["th", "n", "at"])
@@ -156,6 +171,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> D
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents that hold no benchmark passage."""
-    found = matches(docs, benchmark, width).select(F.col("th").alias("_th")).distinct()
+    found = sifting(checkpointed(matches(docs, benchmark, width).select(F.col("th").alias("_th")).distinct()))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.md5("text").alias("_th"))
     return rows.join(found, "_th", "left_anti").select("row.*")
