@@ -28,6 +28,8 @@ SHARE = 1.5
 MOST_TIMES = 2
 #: Words of a block at most, documents that a shard is to hold, seed.
 BLOCK, SHARD_ROWS, SEED = 512, 10_000, 1234
+#: Sources up to which their targets are broadcast (some 100 bytes each). Sources are ordered by one task: names, not rows.
+FEW = 100_000
 
 
 def words(text: Column) -> Column:
@@ -99,15 +101,16 @@ def _overlaps(slim: DataFrame, weights: tuple[float, ...], share: float, seed: i
     a, b, c = goals.alias("a"), quotas.alias("b"), sources.alias("c")
     goals = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source"))).join(c, F.col("a.source").eqNullSafe(F.col("c.source")))
     goals = goals.select("a.source", "a.source_size", "a.target", "b.blocks", F.greatest(F.lit(1), F.ceil(F.col("c.rows") / SHARD_ROWS)).cast("long").alias("shards"))
-    # One row a source: broadcast while Spark measures it as small, shuffled beyond that.
-    a, b = slim.alias("a"), goals.alias("b")
+    # One row a source: broadcast up to FEW of them, counted, so that a hot source's rows stay where they are; beyond, shuffled.
+    goals = checkpointed(goals)
+    a, b = slim.alias("a"), (F.broadcast(goals) if goals.count() <= FEW else goals).alias("b")
     rows = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.*", "b.source_size", "b.target", "b.blocks", "b.shards")
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("key", F.lit(seed + 1)), F.col("shards")))
     cells = rows.groupBy("source", "blocks", "shard").agg(F.sum("size").alias("cell_size"))
     cells = apportioned(cells.select("source", "shard", "cell_size", "blocks"), ["source"], "cell_size", "blocks").select("source", "shard", "cell_size", "quota")
     a, b = rows.alias("a"), cells.alias("b")
     rows = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.shard") == F.col("b.shard"))).select("a.*", "b.cell_size", F.least(F.col("b.quota") * block, F.col("b.cell_size") * MOST_TIMES).alias("words"))
-    line = Window.partitionBy("source", "shard").orderBy("key", "doc_id", "size")
+    line = Window.partitionBy("source", "shard").orderBy("key", "doc_id", "size", *[c for c in ("same",) if c in rows.columns])
     rows = rows.withColumn("end", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumn("start", F.col("end") - F.col("size")).withColumn("rest", F.when(F.col("cell_size") > 0, F.col("words") % F.col("cell_size")).otherwise(F.lit(0)))
     blocks = F.ceil(F.col("cell_size") / block)
@@ -123,16 +126,16 @@ def repeated(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     """The documents as the mix takes them, whole: each as many times as its taken words round to.
 
     Where a document is taken in part, it stays whole if half of its words or more
-    are; its row occurs twice if it is taken one and a half times or more.
+    are; its row occurs twice if it is taken one and a half times or more. Rows that
+    are the same in all columns are one key, put together before they are shuffled,
+    and come back as often as all of them are taken.
     """
-    slim = docs.select(F.col("source").cast("string").alias("source"), F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
+    same = F.md5(F.to_json(row))
+    slim = docs.select(F.col("source").cast("string").alias("source"), F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("size"), key.alias("key"), same.alias("same"))
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(F.lit(0)).cast("int")
-    wanted = _overlaps(slim, weights, share, seed).withColumn("_times", times)
-    # Repeated rows have the same (doc_id, key): the mix's copies of all of them are summed and dealt to one of the rows.
-    wanted = wanted.groupBy("doc_id", "key").agg(F.sum("_times").alias("_times"))
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"))
-    a, b = keyed.alias("a"), wanted.filter("_times > 0").alias("b")
-    joined = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.key") == F.col("b.key"))).select("a.row", "a.doc_id", "a.key", "b._times")
-    n = F.row_number().over(Window.partitionBy("doc_id", "key").orderBy(F.lit(0)))
-    joined = joined.withColumn("_n", n).filter("_n = 1")
+    wanted = _overlaps(slim, weights, share, seed).groupBy("same").agg(F.sum(times).alias("_times")).filter("_times > 0")
+    rows = docs.select(same.alias("same"), row.alias("row")).groupBy("same").agg(F.first("row").alias("row"))
+    joined = rows.join(wanted, "same")
     return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_i")).select("row.*")
