@@ -8,8 +8,8 @@ delete a paragraph without the rest of the text. The wide lanes decide equality;
 the cosine of the sketch lanes estimates how much of two texts is common.
 
 Edge cases: a null text counts as empty and has the fingerprint of no paragraphs
-(zero); empty lines are no paragraphs unless the text has text beside them: they
-count, so that equal fingerprints mean equal multisets of lines. The next
+(zero); any other text has its lines as paragraphs, empty ones too, so that equal
+fingerprints mean equal multisets of lines. The next
 document is taken by (doc_id, text), null doc_id first; a table of one document
 has itself as the next. Further columns are ignored.
 """
@@ -55,20 +55,32 @@ def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
     return wide, sketch
 
 
-def plus(x: tuple[np.ndarray, np.ndarray], paragraph: str) -> tuple[np.ndarray, np.ndarray]:
-    """The fingerprint with one more paragraph."""
-    return tuple(a + b for a, b in zip(x, vector(paragraph), strict=True))  # type: ignore[return-value]
+def paragraphs(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The sum of a text's lines as they are inserted or deleted: an empty one is a paragraph as well."""
+    if text:
+        return vector(text)
+    return np.frombuffer(b"".join(hashlib.blake2b(b"", salt=s).digest() for s in (b"\x00", b"\x01")), np.uint64), np.zeros(SKETCH, np.int32)
 
 
-def minus(x: tuple[np.ndarray, np.ndarray], paragraph: str) -> tuple[np.ndarray, np.ndarray]:
-    """The fingerprint without one of its paragraphs."""
-    return tuple(a - b for a, b in zip(x, vector(paragraph), strict=True))  # type: ignore[return-value]
+def plus(x: tuple[np.ndarray, np.ndarray], text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprint with a paragraph more, or with all those of a text of several lines."""
+    return tuple(a + b for a, b in zip(x, paragraphs(text), strict=True))  # type: ignore[return-value]
+
+
+def minus(x: tuple[np.ndarray, np.ndarray], text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprint without one of its paragraphs, or without those of a text of several lines."""
+    return tuple(a - b for a, b in zip(x, paragraphs(text), strict=True))  # type: ignore[return-value]
 
 
 def as_hex(x: tuple[np.ndarray, np.ndarray]) -> str:
     return x[0].astype("<u8").tobytes().hex() + x[1].astype("<i4").tobytes().hex()
 
 
+def from_hex(text: str) -> tuple[np.ndarray, np.ndarray]:
+    raw = bytes.fromhex(text)
+    return np.frombuffer(raw[: 8 * LANES], "<u8").astype(np.uint64), np.frombuffer(raw[8 * LANES :], "<i4").astype(np.int32)
+
+
 def likeness(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
     """1 for equal fingerprints; else the cosine of the sketches, from 0 up."""
     if (x[0] == y[0]).all() and (x[1] == y[1]).all():
@@ -113,6 +125,29 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _single, "doc_id long, fingerprint string")
 
 
+def _changed(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of a document's fingerprint (sign 0) and of its inserted (1) and deleted (-1) paragraphs, batch by batch."""
+    x = np.zeros(LANES, np.uint64), np.zeros(SKETCH, np.int32)
+    known = False
+    for batch in batches:
+        for sign, text in zip(batch.column("sign").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            known |= sign == 0
+            part = from_hex(text) if sign == 0 else paragraphs(text or "")
+            x = tuple(a - b if sign < 0 else a + b for a, b in zip(x, part, strict=True))
+    if known:
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([as_hex(x)])], names=["doc_id", "fingerprint"])
+
+
+def changed(prints: DataFrame, changes: DataFrame) -> DataFrame:
+    """(doc_id, fingerprint) after changes (doc_id, paragraph, sign: 1 inserted, -1 deleted), without the texts; doc_id names a document once.
+
+    Changes of documents that have no fingerprint are left out.
+    """
+    rows = prints.select("doc_id", F.lit(0).alias("sign"), F.col("fingerprint").alias("text"))
+    rows = rows.unionByName(changes.select(F.col("doc_id").cast("long").alias("doc_id"), F.signum("sign").cast("int").alias("sign"), F.col("paragraph").alias("text")))
+    return rows.groupBy("doc_id").applyInArrow(_changed, "doc_id long, fingerprint string")
+
+
 def compared(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint beside its edited text's and the next document's.
 
