@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import hashes, map_arrow, words_of
 
-VOCABULARY, DIM, NONZERO, BLOCKS = 8192, 64, 4, 16
+VOCABULARY, DIM, NONZERO, BLOCKS, FAN = 8192, 64, 4, 16, 256
 SHAPES = 1024
 TRAIN_ROWS = 20_000
 HIDDEN, EPOCHS, SEED = 32, 300, 11
@@ -81,21 +81,24 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _summed(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A group's sums added up, batch by batch, as one row of the same form."""
     total = None
     for batch in batches:
         for sums in batch.column("sums").to_pylist():
             part = np.frombuffer(zlib.decompress(sums), np.float32).astype(np.float64)
             total = part if total is None else total + part
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["block", "sums"])
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(total.astype(np.float32).tobytes(), 1)], pa.binary())], names=["block", "sums"])
 
 
 def context_vectors(docs: DataFrame) -> np.ndarray:
     """Unit context vectors of the hashed words, from all documents: VOCABULARY x DIM numbers, whatever the input."""
     parts = map_arrow(docs.select(F.col("text").cast("binary").alias("text")), _contexts, "block int, sums binary")
-    rows = parts.groupBy("block").applyInArrow(_summed, "block int, sums binary").collect()
+    # In two levels: a group adds up the sums of one in FAN of the tasks, then those of FAN groups.
+    some = parts.withColumn("some", F.spark_partition_id() % FAN).groupBy("block", "some").applyInArrow(_summed, "block int, sums binary")
+    rows = some.groupBy("block").applyInArrow(_summed, "block int, sums binary").collect()
     out = np.zeros((BLOCKS, VOCABULARY * DIM // BLOCKS), np.float32)
     for block, sums in rows:
-        out[block] = np.frombuffer(sums, np.float32)
+        out[block] = np.frombuffer(zlib.decompress(sums), np.float32)
     out = out.reshape(VOCABULARY, DIM)
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
 
