@@ -11,9 +11,9 @@ surroundings is trained on these probabilities, weighted by how often each
 pattern occurs; it is the final span classifier. Base spans always stay, and
 proposals stay where it says so.
 
-Patterns of votes and features are few (a count for each distinct one, MOST
-of the most frequent), so what comes to the driver has a bound; the spans
-themselves stay distributed.
+Votes and features have a handful of values each, so there are a few hundred
+distinct patterns, whatever the input, and only their counts come to the driver;
+the spans themselves stay distributed.
 
 Edge cases: a null text counts as empty; an empty text has no spans; repeated
 rows repeat; positions are code points, ends exclusive. Other columns are ignored.
@@ -36,7 +36,6 @@ from tessera.llm.common import map_arrow
 
 BASE = ("email", "ip", "card", "phone")
 EXTRA = ("secret", "account", "address")
-MOST = 20_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -180,7 +179,7 @@ def one_hot(x: np.ndarray) -> np.ndarray:
 def trained(docs: DataFrame) -> np.ndarray:
     """Weights of the span classifier, from the vote patterns of all documents."""
     counts = map_arrow(docs.select("text"), _patterns, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
-    rows = counts.orderBy(F.desc("n"), "pattern").limit(MOST).collect()
+    rows = sorted(counts.collect())
     if not rows:
         return np.zeros(one_hot(np.zeros((1, 7), int)).shape[1])
     v, x = (np.array([[int(i) for i in r.pattern.split(";")[part].split(",")] for r in rows]) for part in (0, 1))
@@ -225,7 +224,9 @@ def digests(spans: DataFrame) -> DataFrame:
     of_kind = lambda k: F.filter("found", lambda x: x.kind == k)
     base = F.filter("found", lambda x: x.base)
     counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in BASE]
-    return spans.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+    more = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in EXTRA]
+    total = F.size("found").cast("long").alias("n_spans")
+    return spans.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"), *more, total)
 
 
 def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
