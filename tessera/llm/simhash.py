@@ -298,4 +298,5 @@ def near_copies(docs: DataFrame, radius: int = 5, reach: int = 8, least: float =
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents without all but one (the least doc_id) of each group of near copies."""
     surplus = near_copies(docs).filter("doc_id <> group_id").select("doc_id").distinct()
-    return docs.join(surplus, "doc_id", "left_anti").select(docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    return rows.join(surplus, "doc_id", "left_anti").select("row.*")
