@@ -34,13 +34,20 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; on a local master alone, as in tests, one of our own where it is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return named or tempfile.mkdtemp(prefix="checkpoint-")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage in the shared folder that spark.checkpoint.dir names; a folder of our own only where it is unset."""
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 

@@ -296,7 +296,7 @@ def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     known, nameless = rows.filter("doc_id is not null"), rows.filter("doc_id is null")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, total // BUCKET_BYTES + 1)
-    packs = map_arrow(known, partial(_probe, buckets=buckets), PACK)
+
     def hits(group: pa.Table) -> pa.Table:
         return _hits(group, buckets)
 

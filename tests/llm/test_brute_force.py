@@ -131,6 +131,16 @@ def test_multiset_is_homomorphic():
     assert multiset.likeness(multiset.vector(x), multiset.vector(multiset.edited(x, y))) > 0.3 > multiset.likeness(multiset.vector(x), multiset.vector(y))
 
 
+def test_multiset_inserts_and_deletes(spark):
+    v, same = multiset.vector, lambda a, b: multiset.as_hex(a) == multiset.as_hex(b)
+    assert same(multiset.plus(v("a"), ""), v("a\n")) and same(multiset.minus(v("\na"), ""), v("a")) and same(multiset.minus(v("a"), "a"), v(""))
+    assert same(multiset.plus(v("a\nb"), "b\n"), v("b\nb\na\n")) and not same(v("a\na"), v("a")) and not same(v("\n"), v("\n\n"))
+    docs = spark.createDataFrame([(1, "a b c d\ne"), (2, None), (3, "x\n\ny")], "doc_id long, text string")
+    changes = spark.createDataFrame([(1, "e", -1), (1, "f g h", 1), (1, "", 1), (2, "new", 1), (3, "", -1), (9, "none", 1)], "doc_id long, paragraph string, sign int")
+    got = {r.doc_id: r.fingerprint for r in multiset.changed(multiset.fingerprints(docs), changes).collect()}
+    assert got == {1: multiset.as_hex(v("f g h\na b c d\n")), 2: multiset.as_hex(v("new")), 3: multiset.as_hex(v("x\ny"))}
+
+
 def test_licenses(both, empty):
     assert licenses.scanned(empty).collect() == []
     for docs in both:
@@ -168,6 +178,36 @@ def test_quality(spark, both, empty):
     assert kept.schema == both[1].schema and kept.count() == both[1].count()
 
 
+def test_context_vectors_by_hand(spark):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 30, n)) for n in (0, 1, 2, 40, 9000)] + [None]
+    place, sign = quality._index(quality.VOCABULARY, quality.SEED)
+    want = np.zeros((quality.VOCABULARY, quality.DIM))
+    for t in texts:
+        words = [xxhash.xxh64_intdigest(w.encode(), 42) % quality.VOCABULARY for w in (t or "").split()]
+        for a, b in zip(words, words[1:]):
+            for x, y in ((a, b), (b, a)):
+                for j in range(quality.NONZERO):
+                    want[x, place[y, j]] += sign[y, j]
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-6)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    for parts in (1, 7):
+        assert np.abs(quality.context_vectors(docs.repartition(parts)) - want).max() < 1e-5
+
+
+def test_network_and_temperature():
+    """Its gradient is the loss's, it learns what two layers can and one can't, and its temperature is the best of its steps."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 6))
+    y = ((x[:, 0] * x[:, 1] > 0) ^ (rng.random(3000) < 0.2)).astype(float)
+    net = quality.Network(x[:2000], y[:2000])
+    p = net.probability(x[2000:])
+    assert ((p > 0.5) == y[2000:]).mean() > 0.72
+    bins = [(p[at].mean(), y[2000:][at].mean()) for at in (p < 0.3, (p > 0.3) & (p < 0.7), p > 0.7)]
+    assert all(abs(a - b) < 0.12 for a, b in bins)
+    assert quality.Network(x[:5], np.ones(5)).probability(x[:2]).tolist() == [1.0, 1.0] and quality.Network(x[:0], y[:0]).probability(x[:2]).tolist() == [0.5, 0.5]
+
+
 def plain_spans(text):
     out = []
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
@@ -201,6 +241,34 @@ def test_pii(spark, both, empty):
     assert any("secret:" in r.spans for r in out)
 
 
+def test_reliabilities_find_the_better_labelers():
+    """Votes of known reliability: EM names most truths, better than the plain majority."""
+    rng = np.random.default_rng(6)
+    truth = rng.random(4000) < 0.4
+    right = (0.95, 0.9, 0.6, 0.55, 0.55)
+    votes = np.stack([np.where(rng.random(4000) < 0.2, 0, np.where((rng.random(4000) < r) == truth, 1, -1)) for r in right], axis=1)
+    found, n = np.unique(votes, axis=0, return_counts=True)
+    p = pii.reliabilities(found, n.astype(float))
+    of = {tuple(v): q for v, q in zip(found.tolist(), p.tolist(), strict=True)}
+    em = np.mean([(of[tuple(v)] > 0.5) == t for v, t in zip(votes.tolist(), truth, strict=True)])
+    plain = np.mean([(sum(v) > 0) == t for v, t in zip(votes.tolist(), truth, strict=True)])
+    assert em > 0.9 and em > plain + 0.03
+
+
+def test_all_added_kinds_are_found(spark):
+    rng = np.random.default_rng(9)
+    hexa = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
+    rows = []
+    for i in range(200):
+        number = "".join(map(str, rng.integers(0, 10, 16)))
+        rows += [f'token = "{hexa(40)}" end', f"my iban: GB{number} thanks", f"mail bob{i} [at] example [dot] com or a{i}@b.cd", f"order of plain-words-without-any-meaning{'x' * (i % 9)} and so on"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.digests(pii.found(docs)).collect()}
+    share = lambda k, kind: np.mean([out[i][f"n_{kind}"] > 0 for i in range(k, 800, 4)])
+    assert share(0, "secret") > 0.9 and share(1, "account") > 0.9 and share(2, "address") > 0.9 and share(2, "email") == 1 and share(3, "secret") < 0.05
+    assert all(r.n_spans == len([x for x in r.spans.split(",") if x]) for r in out.values())
+
+
 def test_pii_masks():
     text = "mail a@b.cd now"
     assert pii.masked(text, pii.base_spans(text)) == "mail <email> now"
@@ -323,6 +391,30 @@ def test_mined_rules_block(spark):
     assert all(out[i] == ("block" if i % 4 == 0 else "allow") for i in range(200))
 
 
+def test_mined_rules_hold_out(spark):
+    """Planted labels: rules learnt on one half judge the other; shuffled labels: next to nothing is blocked."""
+    rng = np.random.default_rng(8)
+    kinds = [("casino", "play"), ("news", "en"), ("shop", "cart"), ("blog", "fr")]
+    rows, bad = [], []
+    for i in range(4000):
+        host, step = kinds[rng.integers(4)]
+        rows.append((i, f"https://{host}{rng.integers(9)}.site{rng.integers(40)}.com/{step}/{rng.integers(1000)}?ref={rng.integers(5)}"))
+        bad.append(int(rng.random() < (0.95 if step == "play" else 0.03)))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    marks = lambda y: spark.createDataFrame([(i, 1 - y[i], 0) for i in range(0, 4000, 2)], "doc_id long, quality int, toxic int")
+    none = (("allow", "none", "/"),)
+    out = {r.page_id: r.verdict == "block" for r in urls.judged(pages, marks(bad), none).collect()}
+    held = [(out[i], bad[i]) for i in range(1, 4000, 2)]
+    assert sum(b and y for b, y in held) >= 0.9 * sum(b for b, _ in held) and sum(b and y for b, y in held) >= 0.85 * sum(y for _, y in held)
+    mined = [set(r["items"]) for r in urls.mined(pages, marks(bad)).collect()]
+    assert not any(a < b for a in mined for b in mined)
+    for seed in range(2):
+        mixed = np.random.default_rng(seed).permutation(bad)
+        assert sum(r.verdict == "block" for r in urls.judged(pages, marks(mixed.tolist()), none).collect()) <= 40
+    odd = spark.createDataFrame([(None, "http://casino1.site1.com/play/" + "/".join(f"s{i}" for i in range(3000)), "x", 1, 2), (7, None, None, None, None)], "page_id long, url string, rule string, tokens int, `a.b` int")
+    assert {(r.page_id, r.verdict) for r in urls.judged(odd, marks(bad), none).collect()} == {(None, "allow"), (7, "allow")}
+
+
 def test_decontamination(spark, both, empty, sf_dir):
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     assert decontamination.contaminated(empty, benchmark).collect() == []
@@ -582,3 +674,43 @@ def test_wrapped_notices(spark):
     texts = ["Licensed under CC BY-NC 4.0.", f"{more}\n{mit}\n{more}", f"{more} This Source Code Form is subject to the\nterms of the Mozilla Public License, v. 2.0. {more}", f"{more}\n{more}"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {(r.doc_id, r.license) for r in licenses.scanned(docs).collect()} == {(0, "CC-BY-NC-4.0"), (1, "MIT"), (2, "MPL-2.0")}
+
+
+def test_mix_takes_whole_rows(both, spark):
+    """Rows of one text and number but other columns are rows of their own, whatever the partitioning."""
+    twins = spark.createDataFrame([(1, "en", "a", "one two three four"), (1, "de", "b", "one two three four"), *[(2, "en", "a", "same row")] * 5, (3, "en", "b", None), (None, None, None, "x y")], "doc_id long, lang string, source string, text string")
+    for docs in (*both, twins):
+        out = mixing.repeated(docs)
+        assert out.schema == docs.schema
+        got = Counter(map(str, out.collect()))
+        assert got == Counter(map(str, mixing.repeated(docs.repartition(3)).collect()))
+        have = Counter(map(str, docs.collect()))
+        assert all(n <= 2 * have[r] for r, n in got.items()) and not set(got) - set(have)
+        sizes, took, goal = Counter(), Counter(), {}
+        for r in docs.collect():
+            sizes[r.source] += count(r.text)
+        for r in out.collect():
+            took[r.source] += count(r.text)
+        for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect():
+            goal[r.source] = r.target
+        if docs is both[0]:
+            assert all(abs(took[s] - goal[s]) <= 0.1 * goal[s] + largest[s] for s in goal)
+
+
+def test_pipeline_on_hard_rows(spark, hard, sf_dir, tmp_path):
+    """Nulls, empty and long texts, repeated rows, clashing and dotted names: all stages end and agree with the plain versions of each."""
+    import corpus_pipeline
+
+    for name, docs in (("a", hard), ("b", hard.repartition(2))):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        for table in ("labels", "benchmark"):
+            spark.read.parquet(f"{sf_dir}/{table}.parquet").write.parquet(str(tmp_path / name / f"{table}.parquet"))
+    out = [corpus_pipeline.run(spark, str(tmp_path / name)) for name in ("a", "b")]
+    rows = [Counter(str(r) for r in o.drop("slot").collect()) for o in out]
+    assert rows[0] == rows[1] and rows[0] and set(out[0].columns) >= {"doc_id", "text", "a.b", "shard", "slot", "grown_shard"}
+    spark.createDataFrame([], hard.schema).write.parquet(str(tmp_path / "c" / "documents.parquet"))
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").write.parquet(str(tmp_path / "c" / f"{table}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "c")).count() == 0
+    kept = simhash.deduplicated(hard)
+    assert kept.schema == hard.schema and kept.filter("doc_id in (6, 7, 8)").count() == 1 and kept.filter("doc_id is null").count() == 2
