@@ -2,17 +2,22 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next one's docs.
+
+Edge cases, in every stage: a null text counts as empty and has no words; rows with
+a null doc_id are kept by near-dedup; rows alike in all columns are rows of their
+own until near-dedup, which goes by doc_id; further columns go through as they are,
+whatever their names, but the last stage replaces any named like its own; an empty
+table gives an empty one. Documents without words are not taken by the mix.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontamination, mixing, quality, sharding, simhash
-from tessera.llm.common import table
+from tessera.llm.common import shared_folder, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents, each written in the shared folder that spark.checkpoint.dir names and read again."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    folder = f"{shared}/{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}_{name}")
