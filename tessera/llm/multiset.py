@@ -29,7 +29,7 @@ from tessera.llm.common import hashes, map_arrow, mixed, words_of
 
 LANES, SKETCH = 16, 128
 #: Rows that a task reads in order of doc_id.
-RUN = 8_000
+RUN = 2_000
 #: Runs at most; beyond it they get longer, and a task still holds two texts at a time.
 MOST_RUNS = 20_000
 
