@@ -686,9 +686,10 @@ def test_mix_takes_whole_rows(both, spark):
         assert got == Counter(map(str, mixing.repeated(docs.repartition(3)).collect()))
         have = Counter(map(str, docs.collect()))
         assert all(n <= 2 * have[r] for r, n in got.items()) and not set(got) - set(have)
-        sizes, took, goal = Counter(), Counter(), {}
+        sizes, took, goal, largest = Counter(), Counter(), {}, Counter()
         for r in docs.collect():
             sizes[r.source] += count(r.text)
+            largest[r.source] = max(largest[r.source], count(r.text))
         for r in out.collect():
             took[r.source] += count(r.text)
         for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect():
