@@ -237,31 +237,53 @@ def _checked(pairs: DataFrame, parts: DataFrame, least: float) -> DataFrame:
     return checkpointed(map_arrow(held.select("a", "b", "x", "y"), partial(_similar, least=least), "a long, b long"))
 
 
-def completed(good: DataFrame, open_nodes: DataFrame, parts: DataFrame, least: float, stars: int = 3) -> DataFrame:
-    """The links `good` and those that the open nodes' components still lack, by prefix filtering.
+def _relabelled(labels: DataFrame, roots: DataFrame) -> DataFrame:
+    """labels (node, root) after links (a, b) between roots."""
+    above = components(roots).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return checkpointed(labels.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
+
+
+def completed(labels: DataFrame, parts: DataFrame, least: float, stars: int = 3, spare: int = 8) -> DataFrame:
+    """labels (node, root), joined where nodes of different roots share `least` of their shingles.
 
     Of n shingles, rarest first, two sets that share `least` of them have one in
-    common among the first n - ceil(least * n) + 1. Rounds in which the holders
-    of such a shingle are held against one of them join most of a large group;
-    then all pairs of different components that share one are checked.
+    common among the first n - ceil(least * n) + 1. In the last round all pairs of
+    different roots that share one are checked: a shingle's holders outside its
+    largest root are held against all of its holders. Where these pairs are over
+    `spare` for each row, rounds go before in which holders are held against one
+    of the largest root, which joins most of a large group; they change no result.
+    Links join roots, so a round's components are those of the new links alone.
     """
-    rows = parts.join(open_nodes, "node", "left_semi").select("node", F.size("parts").alias("n"), F.explode("parts").alias("s"))
+    rows = parts.join(labels.select("node"), "node", "left_semi").select("node", F.size("parts").alias("n"), F.explode("parts").alias("s"))
     rows = rows.join(rows.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "s")
     rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("df", "s")))
     prefix = checkpointed(rows.filter((F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1) & (F.col("df") > 1)).select("s", "node", "n"))
     ratio = F.least("n", "m") >= F.greatest("n", "m") * least - 1e-9
     for turn in range(stars + 1):
-        roots = components(good)
-        rooted = prefix.join(roots, "node", "left").select("s", "node", "n", F.coalesce("root", "node").alias("root"))
-        mixed = rooted.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).alias("p")).filter("lo < hi")
-        if turn < stars:
-            met = rooted.join(mixed.select("s", F.col("p.node").alias("other"), F.col("p.n").alias("m"), F.col("p.root").alias("far")), "s")
-        else:
-            rooted = rooted.join(mixed.select("s"), "s", "left_semi")
-            met = rooted.join(rooted.select("s", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("far")), "s").filter("node < other")
-        pairs = met.filter((F.col("root") != F.col("far")) & ratio).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        good = good.union(_checked(pairs, parts, least)).distinct()
-    return good
+        rooted = prefix.join(labels, "node").select("s", "node", "n", "root")
+        mixed = rooted.groupBy("s", "root").agg(F.count(F.lit(1)).alias("of"), F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).alias("p"))
+        mixed = mixed.groupBy("s").agg(F.sum("of").alias("df"), F.max("of").alias("most"), F.max_by("p", F.struct("of", "root")).alias("p")).filter("df > most")
+        mixed = checkpointed(mixed)
+        held, pairs = mixed.agg(F.sum("df"), F.sum(F.col("df").cast("double") * (F.col("df") - F.col("most")))).first()
+        if not held:
+            break
+        last = turn == stars or pairs <= spare * held
+        met = rooted.join(mixed.select("s", F.col("p.node").alias("other"), F.col("p.n").alias("m"), F.col("p.root").alias("far")), "s").filter("root <> far")
+        if last:  # of two roots one at least is not the one with most holders
+            met = met.select("s", "node", "n", "root").join(rooted.select("s", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("far")), "s")
+        met = met.filter((F.col("root") != F.col("far")) & ratio).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        good = _checked(met, parts, least)
+        if not good.isEmpty():
+            labels = _relabelled(labels, _between(good, labels))
+        if last:
+            break
+    return labels
+
+
+def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) as pairs of different roots."""
+    ends = pairs.join(labels.select(F.col("node").alias("a"), F.col("root").alias("x")), "a").join(labels.select(F.col("node").alias("b"), F.col("root").alias("y")), "b")
+    return ends.filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
 
 def near_copies(docs: DataFrame, radius: int = 5, reach: int = 8, least: float = SIMILARITY) -> DataFrame:
@@ -272,8 +294,8 @@ def near_copies(docs: DataFrame, radius: int = 5, reach: int = 8, least: float =
     radius that covering tables reach, so candidates come from a SimHash of the
     distinct words, where nearly all such pairs lie within five bits; each
     candidate edge is then held against the shingles themselves. Where an edge
-    fails, a forest or the star of a crowded fingerprint may have stood for other
-    pairs: all members of its component are then joined on their shingles. Equal
+    fails between two groups, a forest or the star of a crowded fingerprint may have
+    stood for other pairs: all members of both are then joined on their shingles. Equal
     word sequences need no search and are one node. Rows without a doc_id are left out.
     """
     rows = docs.filter("doc_id is not null")
@@ -285,12 +307,13 @@ def near_copies(docs: DataFrame, radius: int = 5, reach: int = 8, least: float =
     parts = map_arrow(texts.join(wanted, "node", "left_semi"), _sets, "node long, parts array<long>").groupBy("node").agg(F.max("parts").alias("parts"))
     parts = checkpointed(parts)
     good = _checked(edges, parts, least)
-    failed = checkpointed(edges.join(good, ["a", "b"], "left_anti"))
-    if not failed.isEmpty():
-        wide = checkpointed(components(edges))
-        torn = wide.join(failed.select(F.col("a").alias("node")), "node", "left_semi").select("root").distinct()
-        good = completed(good, wide.join(torn, "root", "left_semi").select("node"), parts, least)
-    found = components(good)
+    labels = checkpointed(wanted.join(components(good), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+    torn = checkpointed(_between(edges.join(good, ["a", "b"], "left_anti"), labels))
+    found = labels
+    if not torn.isEmpty():
+        roots = torn.select(F.col("a").alias("root")).union(torn.select(F.col("b").alias("root"))).distinct()
+        found = labels.join(roots, "root", "left_anti").select("node", "root").union(completed(labels.join(roots, "root", "left_semi").select("node", "root"), parts, least))
+    found = checkpointed(found.join(found.groupBy("root").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "root", "left_semi"))
     named = nodes.join(found, "node", "left").filter("root is not null or n > 1").select("same", F.coalesce("root", "node").alias("group_id"))
     return prints.join(named, "same").select("doc_id", "group_id")
 
