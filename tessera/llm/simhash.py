@@ -237,47 +237,63 @@ def _checked(pairs: DataFrame, parts: DataFrame, least: float) -> DataFrame:
     return checkpointed(map_arrow(held.select("a", "b", "x", "y"), partial(_similar, least=least), "a long, b long"))
 
 
-def _relabelled(labels: DataFrame, roots: DataFrame) -> DataFrame:
-    """labels (node, root) after links (a, b) between roots."""
-    above = components(roots).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    return checkpointed(labels.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
-
-
-def completed(labels: DataFrame, parts: DataFrame, least: float, stars: int = 3, spare: int = 8) -> DataFrame:
+def _joined(table: pa.Table, least: float) -> pa.Table:
+    """Links (a, b) that join the roots of a block's rows (node, root, mine, parts) which share `least` of their shingles."""
+    node, mine = table.column("node").to_numpy(), table.column("mine").to_numpy()
+    root = np.unique(table.column("root").to_numpy(), return_inverse=True)[1]
+    parts = table.column("parts").combine_chunks()
+    sizes = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.r_[0, np.cumsum(sizes)]
+    ids = np.unique(parts.flatten().to_numpy(), return_inverse=True)[1]
+    holders = np.repeat(np.arange(len(node)), sizes)[np.argsort(ids, kind="stable")]
+    starts = np.r_[0, np.cumsum(np.bincount(ids))]
+    apart = len(np.unique(mine)) > 1  # two blocks: pairs within one are met where it is alone
+    most = root[np.argmax(np.bincount(root)[root])]
+    out = []
+    for i in range(len(node)):
+        if root[i] == most:  # its pairs with others are met from their side
+            continue
+        own = ids[ends[i] : ends[i + 1]]
+        both = np.bincount(np.concatenate([holders[starts[x] : starts[x + 1]] for x in own]), minlength=len(node))
+        near = (both >= least * (sizes + sizes[i] - both)) & (root != root[i])
+        for j in np.flatnonzero(near & (mine != mine[i]) if apart else near):
+            if root[j] != root[i]:
+                out.append((node[i], node[j]))
+                to, gone = (root[i], root[j]) if root[i] == most else (root[j], root[i])
+                root[root == gone] = to
+    ends_of = np.array(out, np.int64).reshape(-1, 2)
+    return pa.table({"a": pa.array(ends_of[:, 0]), "b": pa.array(ends_of[:, 1])})
+
+
+def completed(labels: DataFrame, parts: DataFrame, least: float, spare: int = 32, block: int = 1 << 20) -> DataFrame:
     """labels (node, root), joined where nodes of different roots share `least` of their shingles.
 
     Of n shingles, rarest first, two sets that share `least` of them have one in
-    common among the first n - ceil(least * n) + 1. In the last round all pairs of
-    different roots that share one are checked: a shingle's holders outside its
-    largest root are held against all of its holders. Where these pairs are over
-    `spare` for each row, rounds go before in which holders are held against one
-    of the largest root, which joins most of a large group; they change no result.
-    Links join roots, so a round's components are those of the new links alone.
+    common among the first n - ceil(least * n) + 1. A shingle's holders outside its
+    largest root are held against all of its holders: as pairs where they are
+    `spare` or fewer; else the holders meet in tasks, dealt to blocks of some
+    `block` shingles and each block with each, and only links that join roots come out.
     """
     rows = parts.join(labels.select("node"), "node", "left_semi").select("node", F.size("parts").alias("n"), F.explode("parts").alias("s"))
     rows = rows.join(rows.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "s")
     rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("df", "s")))
-    prefix = checkpointed(rows.filter((F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1) & (F.col("df") > 1)).select("s", "node", "n"))
-    ratio = F.least("n", "m") >= F.greatest("n", "m") * least - 1e-9
-    for turn in range(stars + 1):
-        rooted = prefix.join(labels, "node").select("s", "node", "n", "root")
-        mixed = rooted.groupBy("s", "root").agg(F.count(F.lit(1)).alias("of"), F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).alias("p"))
-        mixed = mixed.groupBy("s").agg(F.sum("of").alias("df"), F.max("of").alias("most"), F.max_by("p", F.struct("of", "root")).alias("p")).filter("df > most")
-        mixed = checkpointed(mixed)
-        held, pairs = mixed.agg(F.sum("df"), F.sum(F.col("df").cast("double") * (F.col("df") - F.col("most")))).first()
-        if not held:
-            break
-        last = turn == stars or pairs <= spare * held
-        met = rooted.join(mixed.select("s", F.col("p.node").alias("other"), F.col("p.n").alias("m"), F.col("p.root").alias("far")), "s").filter("root <> far")
-        if last:  # of two roots one at least is not the one with most holders
-            met = met.select("s", "node", "n", "root").join(rooted.select("s", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("far")), "s")
-        met = met.filter((F.col("root") != F.col("far")) & ratio).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        good = _checked(met, parts, least)
-        if not good.isEmpty():
-            labels = _relabelled(labels, _between(good, labels))
-        if last:
-            break
-    return labels
+    prefix = rows.filter((F.col("at") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1) & (F.col("df") > 1)).select("s", "node", "n")
+    rooted = checkpointed(prefix.join(labels, "node").select("s", "node", "n", "root"))
+    mixed = rooted.groupBy("s", "root").agg(F.count(F.lit(1)).alias("of"), F.sum("n").alias("size"))
+    mixed = mixed.groupBy("s").agg(F.sum("of").alias("df"), F.max("of").alias("most"), F.max_by("root", F.struct("of", "root")).alias("major"), F.sum("size").alias("size")).filter("df > most")
+    mixed = checkpointed(mixed.withColumn("few", F.col("df") - F.col("most") <= spare))
+    other = rooted.select("s", F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("far"))
+    met = rooted.join(mixed.filter("few").select("s", "major"), "s").filter("root <> major").join(other, "s")
+    met = met.filter((F.col("root") != F.col("far")) & (F.least("n", "m") >= F.greatest("n", "m") * least - 1e-9))
+    good = _checked(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), parts, least)
+    many = rooted.join(mixed.filter("not few").select("s", F.ceil(F.col("size") / block).alias("blocks")), "s")
+    many = many.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("s", "node", "root", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
+    many = many.join(parts.select("node", "parts"), "node").withColumns({"lo": F.least("mine", "with"), "hi": F.greatest("mine", "with")})
+    spread = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number given: little data but much work, not to be put together
+    many = many.repartition(spread, "s", "lo", "hi").groupBy("s", "lo", "hi")
+    good = checkpointed(good.union(many.applyInArrow(lambda table: _joined(table, least), "a long, b long")))
+    above = components(_between(good, labels)).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return labels.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
 
 
 def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -640,6 +640,25 @@ def test_near_copies_of_a_crowded_fingerprint(spark):
     assert len(near) == 85 and group == {d: a for a, b in near for d in (a, b)}
 
 
+def test_crowded_shingles_are_joined_in_blocks(spark):
+    """Any split into pairs, one block or many blocks gives the components of all pairs of similar sets."""
+    rng = np.random.default_rng(11)
+    base = list(range(40))
+    sets = [sorted({*rng.permutation(base)[: rng.integers(30, 41)].tolist(), *(1000 * i + np.arange(rng.integers(0, 6))).tolist()}) for i in range(1, 91)]
+    root = list(range(90))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            both = len(set(x) & set(y))
+            if both >= 0.8 * (len(x) + len(y) - both):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    assert 1 < len(set(root)) < 80
+    parts = spark.createDataFrame(list(enumerate(sets)), "node long, parts array<long>").repartition(3)
+    labels = spark.createDataFrame([(i, i) for i in range(90)], "node long, root long")
+    for spare, block in ((32, 1 << 20), (0, 1 << 20), (0, 300), (1000, 300)):
+        found = {r.node: r.root for r in simhash.completed(labels, parts, 0.8, spare, block).collect()}
+        assert found == dict(enumerate(root)), (spare, block)
+
+
 def test_one_bad_slot_drops_no_other_window(spark):
     item = "The quiet river carries old wooden boats down to the distant harbour town every single morning with 5 sailors and 3 dogs on board"
     bench = spark.createDataFrame([(1, item), (2, "Then 5 men carry some of the 3 stones")], "item_id long, text string")
