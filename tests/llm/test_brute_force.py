@@ -734,3 +734,26 @@ def test_pipeline_on_hard_rows(spark, hard, sf_dir, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path / "c")).count() == 0
     kept = simhash.deduplicated(hard)
     assert kept.schema == hard.schema and kept.filter("doc_id in (6, 7, 8)").count() == 1 and kept.filter("doc_id is null").count() == 2
+
+
+def test_components_of_any_graph(spark):
+    """Chains, stars, hubs of small or large ids, repeated and reversed edges, loops and no edges at all."""
+    from tessera.llm.common import components
+
+    rng = np.random.default_rng(5)
+    graphs = [
+        [],
+        [(7, 7)],
+        [(i, i + 1) for i in range(60)],
+        [(500, i) for i in range(200)] + [(0, 900), (900, 0), (900, 0)],
+        [(-5, i) for i in range(100)] + [(i, i + 1000) for i in range(100)],
+        [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))],
+    ]
+    for edges in graphs:
+        root = {x: x for e in edges for x in e if e[0] != e[1]}
+        for _ in root:
+            for a, b in edges:
+                if a != b:
+                    root[a] = root[b] = min(root[a], root[b])
+        found = components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()
+        assert sorted((r.node, r.root) for r in found) == sorted(root.items())
