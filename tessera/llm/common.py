@@ -51,6 +51,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of plans that are done with.
+
+    Spark deletes them once the driver's JVM has collected the plans, which a driver
+    with little to do puts off: rounds of a loop and stages of a pipeline would pile
+    up on the executors' disks. Asked for between rounds, where it takes a moment.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """The words of a UTF-8 text: bytes.split() parts at exactly the six ASCII white-space characters."""
     return text.split() if text else []
@@ -92,6 +102,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(pair("a", "m"), pair("b", "m"))).alias("e")).select("e.a", "e.b")
         edges = checkpointed(small.filter("a <> b").distinct())
+        release(edges.sparkSession)
         now = state(edges)
         if now == before:
             break

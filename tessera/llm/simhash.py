@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, components, hashes, map_arrow, words_of
+from tessera.llm.common import checkpointed, components, hashes, map_arrow, release, words_of
 
 BITS = 64
 #: Members of a bucket that one task compares at once.
@@ -292,6 +292,7 @@ def completed(labels: DataFrame, parts: DataFrame, least: float, spare: int = 32
     spread = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number given: little data but much work, not to be put together
     many = many.repartition(spread, "s", "lo", "hi").groupBy("s", "lo", "hi")
     good = checkpointed(good.union(many.applyInArrow(lambda table: _joined(table, least), "a long, b long")))
+    release(parts.sparkSession)
     above = components(_between(good, labels)).select(F.col("node").alias("root"), F.col("root").alias("top"))
     return labels.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
 
@@ -322,6 +323,7 @@ def near_copies(docs: DataFrame, radius: int = 5, reach: int = 8, least: float =
     texts = rows.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("binary").alias("text"))
     parts = map_arrow(texts.join(wanted, "node", "left_semi"), _sets, "node long, parts array<long>").groupBy("node").agg(F.max("parts").alias("parts"))
     parts = checkpointed(parts)
+    release(docs.sparkSession)
     good = _checked(edges, parts, least)
     labels = checkpointed(wanted.join(components(good), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
     torn = checkpointed(_between(edges.join(good, ["a", "b"], "left_anti"), labels))
