@@ -1,7 +1,8 @@
 """A training corpus from documents: quality, near-dedup, decontamination, mixing, sharding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
-Parquet and read again as the next one's docs.
+Parquet and read again as the next one's docs; as it begins, what its predecessor
+shuffled is let go of.
 
 Edge cases, in every stage: a null text counts as empty and has no words; rows with
 a null doc_id are kept by near-dedup; rows alike in all columns are rows of their
@@ -17,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontamination, mixing, quality, sharding, simhash
-from tessera.llm.common import shared_folder, table
+from tessera.llm.common import release, shared_folder, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,21 +28,25 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: one document of each group of near copies stays."""
+    release(spark)
     return simhash.deduplicated(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: documents that hold a benchmark passage go."""
+    release(spark)
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: each document as often as the mix takes it."""
+    release(spark)
     return mixing.repeated(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: the documents' columns, size, shard, slot and the shard of a grown set."""
+    release(spark)
     return sharding.sharded(docs)
 
 
