@@ -85,9 +85,9 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     is the least node of its component. Each round is joins and pre-aggregated
     minima; a round's edges are checkpointed, and only their number and a
     checksum come to the driver. AQE splits the join of a star's hot centre.
-    A round shuffles five times: both directions of an edge, and both edges that
-    the small star makes of one, come of one row rather than of a union, which
-    would write the files of twice as many tasks.
+    Both directions of an edge, and both edges that the small star makes of one,
+    come of one row rather than of a union, which would write the files of twice as
+    many tasks.
     """
     state = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     pair = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
@@ -98,7 +98,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
             break
         both = edges.select(F.explode(F.array(pair("a", "b"), pair("b", "a"))).alias("e")).select(F.col("e.a").alias("x"), F.col("e.b").alias("y"))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.join(least, "x").filter("y > x").select(F.col("y").alias("a"), F.col("m").alias("b"))
+        large = both.join(least, "x").filter("y > x").select(F.col("y").alias("a"), F.col("m").alias("b")).distinct()  # a hub's rows, alike but for x, would meet in one task
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(pair("a", "m"), pair("b", "m"))).alias("e")).select("e.a", "e.b")
         edges = checkpointed(small.filter("a <> b").distinct())
