@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontamination, licenses, mixing, multiset, pii, quality, sharding, simhash, substrings, urls
+import public_tokenizers
+
+from tessera.llm import decontamination, divergence, infilling, licenses, mixing, multiset, pii, quality, records, sharding, simhash, substrings, urls
 from tessera.llm.common import table
 
+#: The tokenizer whose ids op11 writes.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
@@ -52,6 +57,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix, op2_multiset_fingerprint, op3_license_scan, op4_quality, op5_pii, op6_shards, op7_substring_dedup, op8_url_filter, op9_decontaminate, op10_simhash)}
+def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infilling.digests(infilling.arranged(table(spark, sf_dir, "documents")))
+
+
+_ALL = (op1_mix, op2_multiset_fingerprint, op3_license_scan, op4_quality, op5_pii, op6_shards, op7_substring_dedup, op8_url_filter, op9_decontaminate, op10_simhash, op11_token_records, op12_divergence, op13_fill_in_middle)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_divergence": divergence.SQL, "op13_fill_in_middle": infilling.SQL}
