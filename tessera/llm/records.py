@@ -2,8 +2,9 @@
 
 A record frames one document's sequence: its payload's length (unsigned 64 bits,
 little-endian), the masked checksum of these 8 bytes (32 bits), the payload, the
-payload's masked checksum. The payload is one byte (1 if there is no doc_id), the
-doc_id (signed 64 bits) and the ids (unsigned 32 bits each). A checksum is zlib's
+payload's masked checksum. The payload is one byte (1 if there is no doc_id, plus 2
+if ids are wide), the doc_id (signed 64 bits) and the ids, unsigned, of 16 bits each
+or, of a vocabulary that needs it, wide ones of 32. A checksum is zlib's
 CRC-32, rotated right by 15 bits plus MASK, so that a checksum stored in data isn't
 taken for one over it.
 
@@ -15,10 +16,11 @@ executor leaves nothing wrong. `read` goes through files in order, `shuffled` go
 by the index in a seeded order.
 
 The tokenizer is applied to runs of text that its own splitting keeps apart: it
-parts text before any white space that follows anything else. So a text is cut
-before runs of spaces and line ends, and the library encodes each distinct piece
-once a task (pieces of CACHE characters in all are held). A text where such a run
-follows other white space is encoded whole.
+parts text before white space that follows anything else, and between a letter and
+a sign. So a text is cut before runs of spaces and line ends and between a Latin
+letter and an ASCII sign, a batch at a time by Arrow, and the library encodes each
+distinct piece that a worker doesn't hold yet. A text where such a run follows
+other white space, or that holds a special token, is encoded whole.
 
 Edge cases: a null text counts as empty and has the end id alone; a null doc_id
 comes first and is read back as null; documents of one doc_id stand in order of
@@ -28,7 +30,8 @@ and an empty index. Other columns are ignored.
 
 from __future__ import annotations
 
-import re
+import hashlib
+import os
 import struct
 import uuid
 import zlib
@@ -36,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -45,8 +49,8 @@ from tessera.llm.common import map_arrow, shared_folder
 
 END = 0
 MASK = 0xA282EAD8
-#: Characters of the pieces whose ids a task holds.
-CACHE = 4_000_000
+#: Characters of the pieces that a worker holds newest; as many older ones are held besides.
+CACHE = 3_000_000
 #: Bytes that a reader takes from a file at once.
 BLOCK = 1 << 20
 
@@ -55,9 +59,10 @@ HEAD, CHECK, OWN = "<Q", "<I", "<Bq"
 INDEX = "part int, file string, doc_id long, number long, offset long, length long, n_tokens long"
 READ = "part int, doc_id long, start long, n_tokens long, ids array<long>, ids_crc32 long"
 
-_PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: White space of any kind, or what some tables count as such, before a cut.
-_ODD = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff][ \n]")
+#: Where texts are cut, NUL in between.
+_CUT, _PARTED = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-/:-@\[-`{-~])|([ \n]+)", "\\1\x00\\2\\3"
+#: White space of any kind, or what some tables count as such, before a cut; and NUL.
+_ODD = r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}][ \n]|\x00"
 
 
 def masked(data: bytes) -> int:
@@ -70,34 +75,71 @@ def framed(payload: bytes) -> bytes:
     return b"".join((head, struct.pack(CHECK, masked(head)), payload, struct.pack(CHECK, masked(payload))))
 
 
+class _Known(dict):
+    """Ids of pieces as bytes, encoded when first asked for; of those held longest, what isn't asked for again is let go."""
+
+    def __init__(self, encode) -> None:
+        self.encode, self.before, self.held = encode, {}, 0
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.before.get(piece) or self.encode(piece)
+        self.held += len(piece)
+        return ids
+
+    def aged(self) -> None:
+        if self.held > CACHE:
+            self.before, self.held = dict(self), 0
+            self.clear()
+
+
 class Encoder:
-    """Ids of texts as little-endian bytes, by a tokenizer of the tokenizers library given as its JSON."""
+    """Ids of texts by a tokenizer of the tokenizers library, given as its JSON, each with the end id, if any."""
 
     def __init__(self, definition: str, end: int | None = END) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are what runs side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.cache: dict[str, bytes] = {}
-        self.held = 0
-        self.end = b"" if end is None else struct.pack(CHECK, end)
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        for text in texts:
-            if text and _ODD.search(text):
-                yield self._ids([text])[0] + self.end
-                continue
-            pieces = _PIECE.findall(text or "")
-            new = list({p for p in pieces if p not in self.cache})
-            if self.held > CACHE:
-                self.cache.clear()
-                self.held, new = 0, list(set(pieces))
-            self.held += sum(map(len, new))
-            for at in range(0, len(new), 10_000):
-                self.cache.update(zip(new[at : at + 10_000], self._ids(new[at : at + 10_000]), strict=True))
-            yield b"".join(map(self.cache.__getitem__, pieces)) + self.end
+        self.kind = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), (end or 0) + 1) <= 1 << 16 else "<u4")
+        self.known = _Known(self._ids)
+        self.whole = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.end = np.array([] if end is None else [end], self.kind)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        texts = texts.fill_null("")
+        odd = pc.match_substring_regex(texts, _ODD)
+        for token in self.whole:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        parts = pc.split_pattern(pc.replace_substring_regex(pc.if_else(odd, "", texts), _CUT, _PARTED), "\x00")
+        pieces = pc.dictionary_encode(parts.flatten())
+        self.known.aged()
+        ids = [self.known[p] if p else b"" for p in pieces.dictionary.to_pylist()]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        flat, start = np.frombuffer(b"".join(ids), self.kind), np.cumsum(size) - size
+        which = pieces.indices.to_numpy()
+        many = size[which]
+        upto = np.cumsum(many)
+        out = flat[np.arange(many.sum()) + np.repeat(start[which] - (upto - many), many)]
+        at = np.asarray(parts.offsets)
+        ends = np.concatenate([[0], upto])[at - at[0]].tolist()
+        for i, whole in enumerate(odd.to_pylist()):
+            own = np.frombuffer(self._ids(texts[i].as_py()), self.kind) if whole else out[ends[i] : ends[i + 1]]
+            yield np.concatenate([own, self.end])
+
+
+_encoders: dict[tuple, Encoder] = {}
+
+
+def encoder(definition: str, end: int | None) -> Encoder:
+    """A worker's encoder, kept from task to task."""
+    key = (hashlib.sha256(definition.encode()).digest(), end)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(definition, end)
+    return _encoders[key]
 
 
 def _store(folder: str) -> tuple[fs.FileSystem, str]:
@@ -122,15 +164,15 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int | None = END) -
                 if not batch.num_rows:
                     continue
                 if out is None:
-                    encode = Encoder(definition.value, end)
+                    encode = encoder(definition.value, end)
                     store, place = _store(folder)
                     name = f"{part:06d}-{uuid.uuid4().hex}.bin"
                     out = store.open_output_stream(f"{place}/records/{name}", buffer_size=BLOCK)
                 rows = []
-                for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
-                    record = framed(struct.pack(OWN, doc_id is None, doc_id or 0) + ids)
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
+                    record = framed(struct.pack(OWN, (doc_id is None) + 2 * (ids.itemsize == 4), doc_id or 0) + ids.tobytes())
                     out.write(record)
-                    rows.append((part, name, doc_id, number, offset, len(record), len(ids) // 4))
+                    rows.append((part, name, doc_id, number, offset, len(record), len(ids)))
                     offset += len(record)
                     number += 1
                 cols = list(zip(*rows, strict=True))
@@ -166,8 +208,8 @@ def _records(stream: pa.NativeFile, where: str) -> Iterator[bytes]:
 
 def parsed(payload: bytes) -> tuple[int | None, np.ndarray]:
     """(doc_id, ids) of a payload."""
-    none, doc_id = struct.unpack_from(OWN, payload)
-    return None if none else doc_id, np.frombuffer(payload, "<u4", offset=struct.calcsize(OWN))
+    kind, doc_id = struct.unpack_from(OWN, payload)
+    return None if kind & 1 else doc_id, np.frombuffer(payload, "<u4" if kind & 2 else "<u2", offset=struct.calcsize(OWN)).astype("<u4")
 
 
 def index(spark: SparkSession, folder: str) -> DataFrame:
