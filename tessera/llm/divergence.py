@@ -145,10 +145,11 @@ def top(rows: DataFrame, group: list[str], value: str, item: str, k: int) -> Dat
 
 def audit(docs: DataFrame, least: int = LEAST, k: int = TOP) -> DataFrame:
     """(lang, source, part, item, value, rank): how far each source is from each other one of its language, and the terms by which it stands out most."""
-    counts = checkpointed(counted(docs))
-    groups = counts.filter("term = ''").select("lang", "source")
-    common = counts.filter("term <> ''").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all")).filter(F.col("docs") >= least)
-    kept = checkpointed(counts.filter("term <> ''").select("lang", "source", "term", "n").join(common.select("lang", "term", "all"), ["lang", "term"]))
+    counts = counted(docs)  # read twice in one plan, which shuffles it once; what few documents have is never written
+    common = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all")).filter((F.col("docs") >= least) | (F.col("term") == ""))
+    found = checkpointed(counts.select("lang", "source", "term", "n").join(common.select("lang", "term", "all"), ["lang", "term"]))
+    groups, kept = found.filter("term = ''").select("lang", "source"), found.filter("term <> ''")
+    common = kept.groupBy("lang", "term").agg(F.first("all").alias("all"))
     langs = kept.groupBy("lang").agg(F.sum("n").alias("whole")).join(common.groupBy("lang").agg(F.count(F.lit(1)).alias("terms")), "lang")
     sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("own"))
     groups = groups.join(sums, ["lang", "source"], "left").join(langs, "lang", "left")
