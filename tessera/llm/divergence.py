@@ -38,7 +38,7 @@ LEAST, SCALE, TOP = 10, 1_000_000_000, 10
 #: Bits of a value, of a digit.
 BITS, DIGIT = 30, 10
 #: Terms that a task holds before it hands them on.
-HELD = 200_000
+HELD = 400_000
 #: Groups up to which one row of each is broadcast, counted first; beyond, they are joined by shuffles.
 FEW = 100_000
 
