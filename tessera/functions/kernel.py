@@ -74,7 +74,7 @@ def _cross(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _split(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges between all crossings, and which edge each is of."""
     of = np.arange(len(e))
-    for _ in range(6):  # rounding moves a crossing by less than a step, so a round or two more finds what that brings together
+    for _ in range(12):  # rounding moves a crossing by less than a step, so a round or two more finds what that brings together
         cut_edge, cut_at, cut_point = [], [], []
 
         def cut(k: np.ndarray, p: np.ndarray) -> None:
@@ -117,6 +117,8 @@ def _split(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keep = (edge[1:] == edge[:-1]) & (point[1:] != point[:-1]).any(1)
         of = of[edge[:-1][keep]]
         e = np.concatenate([point[:-1][keep], point[1:][keep]], axis=1)
+    else:
+        raise ArithmeticError("edges still cross after being split")
     return e, of
 
 

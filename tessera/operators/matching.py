@@ -23,6 +23,10 @@ ACCEPTED = ("exact", "exactOffset", "highOverlap", "boundariesShifted", "merged"
 OFFSET_MEAN, OFFSET_STD, DIFFERENCE_M2, OVERLAP_PCT, MOVED_M = 1e-4, 5e-8, 100.0, 95.0, 50.0
 
 
+#: Ids of a range that one task puts in order.
+SPAN = 50_000
+
+
 def first_of_each(pending: DataFrame) -> DataFrame:
     """Each poly_id once, with its least id."""
     w = Window.partitionBy("poly_id").orderBy("id")
@@ -36,8 +40,10 @@ def existing(parcels: DataFrame, titles: DataFrame) -> DataFrame:
 
 def compared(pending: DataFrame, parcels: DataFrame, titles: DataFrame) -> DataFrame:
     """Deduplicated pending rows with their old shape, is_exact, offset statistics and is_offset."""
-    old = existing(parcels, titles).select("poly_id", F.col("geom").alias("old_geom"), "property_address", F.lit(True).alias("is_known"))
+    old = existing(parcels, titles).select("poly_id", F.col("geom").alias("old_geom"), "property_address", F.lit(True).alias("is_known"), F.struct("title_no", *spatial.BOX).alias("_order"))
     rows = first_of_each(pending).join(old, "poly_id", "left")
+    # A number with several shapes: the first counts. Rows are dealt by poly_id already.
+    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("poly_id").orderBy("_order"))).filter("_n = 1").drop("_n", "_order")
     a, b = geometry.ring("old_geom"), geometry.ring("geom")
     plain = F.coalesce(F.col("is_known"), F.lit(False)) & (F.col("geom.type") == "Polygon")
     rows = rows.withColumn("is_exact", plain & F.coalesce(geometry.same_ring(a, b), F.lit(False))).withColumn("stats", F.when(plain, geometry.offset_stats(a, b)))
@@ -49,13 +55,19 @@ def compared(pending: DataFrame, parcels: DataFrame, titles: DataFrame) -> DataF
 def carried_offset(rows: DataFrame) -> DataFrame:
     """Adds lng_offset and lat_offset: those of the council's last exact offset before, else 0.
 
-    The window orders numbers alone, no shapes; its result is joined back by poly_id.
+    A scan in two levels, so that no task holds a council: within ranges of SPAN ids,
+    and over what each range ends with, one row a range. Windows order numbers alone,
+    no shapes; their result is joined back by poly_id, which is unique in rows.
     """
-    before = Window.partitionBy("council").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    last = F.last(F.when(F.col("is_offset"), F.struct(F.col("stats.lng_mean").alias("x"), F.col("stats.lat_mean").alias("y"))), ignorenulls=True).over(before)
-    slim = rows.select("poly_id", "council", "id", "is_offset", "stats").withColumn("_last", last)
-    slim = slim.select("poly_id", F.coalesce("_last.x", F.lit(0.0)).alias("lng_offset"), F.coalesce("_last.y", F.lit(0.0)).alias("lat_offset"))
-    return rows.join(slim, "poly_id")
+    offset = F.when(F.col("is_offset"), F.struct(F.col("stats.lng_mean").alias("x"), F.col("stats.lat_mean").alias("y")))
+    slim = rows.select("poly_id", "council", "id", F.floor(F.col("id") / SPAN).alias("_range"), offset.alias("_at"))
+    ends = slim.filter("_at is not null").groupBy("council", "_range").agg(F.max_by("_at", "id").alias("_end"))
+    ranges = slim.select("council", "_range").distinct().join(ends, ["council", "_range"], "left")
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("council", "_range", F.last("_end", ignorenulls=True).over(before("council").orderBy("_range")).alias("_start"))
+    slim = slim.withColumn("_last", F.last("_at", ignorenulls=True).over(before("council", "_range").orderBy("id"))).join(ranges, ["council", "_range"])
+    last = F.coalesce("_last", "_start")
+    return rows.join(slim.select("poly_id", F.coalesce(last["x"], F.lit(0.0)).alias("lng_offset"), F.coalesce(last["y"], F.lit(0.0)).alias("lat_offset")), "poly_id")
 
 
 def new_shapes_in_conflict(rows: DataFrame, parcels: DataFrame, titles: DataFrame) -> DataFrame:
@@ -97,7 +109,10 @@ def classified(pending: DataFrame, parcels: DataFrame, titles: DataFrame, places
     )
     pct = F.when(F.col("is_exact") | F.col("is_offset"), 100.0).otherwise(F.col("pct"))
     rows = rows.withColumn("match_type", match).withColumn("accepted", F.col("match_type").isin(*ACCEPTED)).withColumn("pct", pct)
-    return written(rows.select("id", "poly_id", "council", "geom", "accepted", "match_type", "pct", "area_diff", "stats", "is_exact", "lng_offset", "lat_offset"))
+    start = lambda g: geometry.ring(g)[0]
+    known = [F.coalesce("is_known", F.lit(False)).alias("is_known"), F.when(F.col("is_known"), start("old_geom")).alias("old_start"), start("geom").alias("new_start"), "old_geom"]
+    dated = [c for c in ("createdAt",) if c in rows.columns]
+    return written(rows.select("id", "poly_id", "council", "geom", "accepted", "match_type", "pct", "area_diff", "stats", "is_exact", "lng_offset", "lat_offset", *dated, *known))
 
 
 def summary(rows: DataFrame) -> DataFrame:
@@ -142,23 +157,33 @@ def histograms(stats: DataFrame) -> DataFrame:
 
 
 def merged(parcels: DataFrame, rows: DataFrame) -> DataFrame:
-    """(poly_id, title_no, geom): parcels with accepted shapes put in their place or added; titles stay."""
-    new = rows.filter("accepted").select(F.col("poly_id").alias("_poly"), F.col("geom").alias("_geom"))
-    out = parcels.join(new, F.col("poly_id") == F.col("_poly"), "full_outer")
-    return out.select(F.coalesce("poly_id", "_poly").alias("poly_id"), "title_no", F.coalesce("_geom", "geom").alias("geom"), F.col("_poly").isNotNull().alias("is_updated"))
+    """parcels with accepted shapes put in their place or added, and is_updated.
+
+    Of a parcel that changes its shape, its box and updatedAt (the row's createdAt)
+    are the new ones, and all other columns stay, so that the result is parcels again.
+    """
+    dated = "updatedAt" in parcels.columns and "createdAt" in rows.columns
+    new = rows.filter("accepted").select(F.col("poly_id").alias("_poly"), F.col("geom").alias("_geom"), *([F.col("createdAt").alias("_at")] if dated else []))
+    new = new.withColumn("_box", F.struct(*[b.alias(n) for n, b in zip(spatial.BOX, geometry.bbox(geometry.ring("_geom")), strict=True)]))
+    out = parcels.drop("is_updated").join(new, F.col("poly_id") == F.col("_poly"), "full_outer")
+    is_new = F.col("_poly").isNotNull()
+    value = {"poly_id": F.coalesce("poly_id", "_poly"), "geom": F.coalesce("_geom", "geom")} | {c: F.when(is_new, F.col(f"_box.{c}")).otherwise(F.col(c)) for c in spatial.BOX if c in parcels.columns}
+    if dated:
+        value["updatedAt"] = F.when(is_new, F.col("_at")).otherwise(F.col("updatedAt"))
+    return out.select(*[value.get(c, F.col(c)).alias(c) for c in parcels.columns if c != "is_updated"], is_new.alias("is_updated"))
 
 
 def without(parcels: DataFrame, gone: DataFrame) -> DataFrame:
     return parcels.join(gone.select("poly_id").distinct(), "poly_id", "left_anti")
 
 
-def counted(pending: DataFrame, before: int | None = None, match_type: str | None = "any") -> DataFrame:
-    """(n) of pending rows with an id below `before` and a match type (None: those without)."""
+def counted(pending: DataFrame, before: int | None = None, match_type: str | None = "any", by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, n) of pending rows with an id below `before` and a match type (None: those without)."""
     if before is not None:
         pending = pending.filter(F.col("id") < before)
     if match_type != "any":
         pending = pending.filter(F.col("match_type").eqNullSafe(F.lit(match_type)))
-    return pending.agg(F.count(F.lit(1)).alias("n"))
+    return pending.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
 def reset(pending: DataFrame) -> DataFrame:

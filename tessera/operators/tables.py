@@ -11,11 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; on a local master alone, as in tests, one of our own where it is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return named or tempfile.mkdtemp(prefix="checkpoint-")
+
+
 def written(df: DataFrame) -> DataFrame:
-    """Rows that several later steps read, written once to the folder that spark.checkpoint.dir names; a folder of our own only where it is unset, as in tests."""
+    """Rows that several later steps read, written once to the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -29,13 +37,13 @@ def largest_id(table: DataFrame) -> DataFrame:
     return table.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("id"))
 
 
-def appended(table: DataFrame, rows: DataFrame) -> DataFrame:
-    """table with rows that get the next ids, without gaps, in no set order: rows are counted by partition, so none orders them all."""
+def appended(table: DataFrame, rows: DataFrame, last: int | None = None) -> DataFrame:
+    """table with rows that get the next ids (after `last`, if given), without gaps, in no set order: rows are counted by partition, so none orders them all."""
     spark = table.sparkSession
     rows = written(rows.select([c for c in table.columns if c != "id"]))
     placed = rows.withColumn("_part", F.spark_partition_id()).withColumn("_n", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = sorted(tuple(r) for r in placed.groupBy("_part").agg(F.count(F.lit(1))).collect())  # a number for each partition
-    starts, at = [], largest_id(table).first()[0] + 1
+    starts, at = [], (largest_id(table).first()[0] if last is None else last) + 1
     for part, n in sizes:
         starts.append((part, at))
         at += n

@@ -1,7 +1,7 @@
 """The unregistered-land layer: land less the parcels on it.
 
 Each land shape changes on its own, so pending shapes are joined to the land they
-overlap and folded in order of id within each land shape.
+overlap and taken off it together.
 """
 
 from __future__ import annotations
@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geometry, kernel
 from tessera.operators import spatial
+from tessera.operators.tables import appended, largest_id, written
 
 LEAST_M2, SLIVER_M, OPENING_M, GAP_M, BORDER_M, TILE_M2 = 20.0, 2.0, 0.6, 0.2, 50.0, 2000.0
+#: Square metres beyond which a land shape is worked on in parts.
+MOST_M2 = 1e6
 
 
 def rounded(polygons: list, places: int = 6) -> list:
@@ -27,25 +30,34 @@ def is_sliver(polygon: list) -> bool:
     return kernel.area([polygon]) <= LEAST_M2 or not kernel.buffered([polygon], -SLIVER_M)
 
 
-def _less(pieces: list, shape: list) -> list:
-    """Pieces less a shape; those that it overlaps are truncated, taken apart and lose their slivers."""
-    out = []
-    for piece in pieces:
-        near = not kernel.apart([piece], shape)
-        cut = kernel.difference(rounded([piece]), shape) if near else None
-        if not near or abs(kernel.area(rounded([piece])) - kernel.area(cut)) < 1e-6:
-            out.append(piece)
-        else:
-            out += [p for p in rounded(cut) if not is_sliver(p)]
-    return out
+def _cut(group: pd.DataFrame) -> pd.DataFrame:
+    """A part of a land shape less what lies on it, at once: the order of the cuts makes no difference, as slivers leave slivers only."""
+    land = kernel.polygons_of(group["land"].iloc[0])
+    rest = kernel.difference(land, *(rounded(kernel.polygons_of(c)) for c in group["cut"]))
+    changed = abs(kernel.area(land) - kernel.area(rest)) >= 1e-6
+    alone = bool(group["alone"].iloc[0])
+    pieces = [p for p in rounded(rest) if not is_sliver(p)] if alone and changed else rest
+    rows = [(group["land_id"].iloc[0], changed, {"type": "Polygon", "coordinates": p}) for p in pieces] or [(group["land_id"].iloc[0], changed, None)]
+    return pd.DataFrame(rows, columns=["land_id", "changed", "geom"])
 
 
-def _clip(group: pd.DataFrame) -> pd.DataFrame:
-    pieces = kernel.polygons_of(group["land"].iloc[0])
-    for cut in group.sort_values("id")["cut"]:
-        pieces = _less(pieces, rounded(kernel.polygons_of(cut)))
-    rows = [{"land_id": group["land_id"].iloc[0], "part": group["part"].iloc[0], "geom": {"type": "Polygon", "coordinates": p}} for p in pieces]
-    return pd.DataFrame(rows, columns=["land_id", "part", "geom"])
+def _straightened(ring: list) -> list:
+    """The ring without points that lie on the line between their neighbours, within 3 steps of the grid: crossings of a part's border."""
+    p = ring[:-1]
+    keep = []
+    for i, b in enumerate(p):
+        a, c = p[i - 1], p[(i + 1) % len(p)]
+        u, v = (c[0] - a[0], c[1] - a[1]), (b[0] - a[0], b[1] - a[1])
+        if abs(u[0] * v[1] - u[1] * v[0]) > 3 * kernel.GRID * max(abs(u[0]), abs(u[1])):
+            keep.append(b)
+    return [*keep, keep[0]] if len(keep) > 2 else ring
+
+
+def _joined(group: pd.DataFrame) -> pd.DataFrame:
+    """What is left of the parts of one land shape, put together across their borders, without slivers."""
+    whole = [[_straightened(ring) for ring in p] for p in kernel.union(*(kernel.polygons_of(g) for g in group["geom"]))]
+    rows = [(group["land_id"].iloc[0], {"type": "Polygon", "coordinates": p}) for p in rounded(whole) if not is_sliver(p)]
+    return pd.DataFrame(rows, columns=["land_id", "geom"])
 
 
 def _dealt(df: DataFrame, *keys: str) -> DataFrame:
@@ -54,19 +66,37 @@ def _dealt(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def clipped(land: DataFrame, pending: DataFrame, new_or_changed_only: bool = True) -> DataFrame:
-    """(land_id, geom): land after taking off the pending shapes, slivers left out.
+    """(land_id, is_whole, geom): land after taking off the pending shapes, slivers left out; land that none overlaps stays as it is.
 
     new_or_changed_only leaves exact matches out, which change nothing. Land over
-    1 km2 is cut to tiles first, so a group holds one tile and what lies on it.
+    1 km2 is cut in parts, so that a task holds one part and what lies on it; what
+    is left of them is put together again before slivers are judged, so the parts
+    don't show in the result.
     """
     cuts = pending.filter(~F.col("match_type").eqNullSafe(F.lit("exact"))) if new_or_changed_only else pending
-    parts = spatial.tiles(land, ["id"]).withColumn("part", F.xxhash64("ix", "iy", F.to_json("geom")))
-    parts = spatial.with_box(parts.select("id", "part", "geom"))
-    pairs = spatial.join(parts, cuts.select("id", "geom", *spatial.BOX), "overlaps").select(F.col("l.id").alias("land_id"), F.col("l.part").alias("part"), F.col("l.geom").alias("land"), "r.id", F.col("r.geom").alias("cut"))
-    changed = _dealt(pairs, "land_id", "part").groupBy("land_id", "part").applyInPandas(_clip, f"land_id long, part long, geom {geometry.POLYGON}").select("land_id", "geom")
-    touched = pairs.select("land_id", "part").distinct()
-    whole = parts.select(F.col("id").alias("land_id"), "part", "geom").join(touched, ["land_id", "part"], "left_anti")
-    return whole.select("land_id", "geom").unionByName(changed)
+    plain = land.select("id", F.col("geom").alias("_whole"), geometry.truncated_shape(F.col("geom")).alias("geom"))
+    large = geometry.area(F.col("geom")) > MOST_M2
+    parts = spatial.tiles(spatial.with_box(plain).withColumn("alone", ~large), ["id", "alone"], most=MOST_M2)
+    parts = spatial.with_box(parts.select("id", "alone", "geom").withColumn("part", F.xxhash64(F.to_json("geom"))))
+    pairs = spatial.join(parts, cuts.select("id", "geom", *spatial.BOX), "overlaps").select(F.col("l.id").alias("land_id"), "l.alone", F.col("l.part").alias("part"), F.col("l.geom").alias("land"), F.col("r.geom").alias("cut"))
+    left = written(_dealt(pairs, "land_id", "part").groupBy("land_id", "part").applyInPandas(lambda key, g: _cut(g).assign(part=key[1], alone=bool(g["alone"].iloc[0])), f"land_id long, part long, alone boolean, changed boolean, geom {geometry.POLYGON}"))
+    touched = left.filter("changed").select("land_id").distinct()
+    whole = land.join(touched.withColumnRenamed("land_id", "id"), "id", "left_anti").select(F.col("id").alias("land_id"), F.lit(True).alias("is_whole"), "geom")
+    single = left.filter("alone and changed and geom is not null").select("land_id", F.lit(False).alias("is_whole"), "geom")
+    rest = parts.filter("not alone").select(F.col("id").alias("land_id"), "part", "geom").join(left.select("land_id", "part"), ["land_id", "part"], "left_anti")
+    pieces = left.filter("not alone and geom is not null").select("land_id", "geom").unionByName(rest.select("land_id", "geom")).join(touched, "land_id", "left_semi")
+    again = _dealt(pieces, "land_id").groupBy("land_id").applyInPandas(_joined, f"land_id long, geom {geometry.POLYGON}")
+    return whole.unionByName(single).unionByName(again.select("land_id", F.lit(False).alias("is_whole"), "geom"))
+
+
+def renumbered(land: DataFrame, rows: DataFrame) -> DataFrame:
+    """The land layer after a clip: whole shapes keep their rows, pieces get new ids and boxes, other columns are null for them."""
+    rows = written(rows)
+    kept = land.join(rows.filter("is_whole").select(F.col("land_id").alias("id")), "id", "left_semi")
+    pieces = spatial.with_box(rows.filter("not is_whole").select("geom"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in land.dtypes if c not in (*spatial.BOX, "geom", "id")]
+    last = largest_id(land).first()[0]
+    return appended(kept.select(*land.columns), pieces.select("*", *none), last)
 
 
 def _shrunk(frames):

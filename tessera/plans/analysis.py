@@ -25,10 +25,10 @@ def analysed(
     pending: classified rows (those before first_id, or beyond the cap, as they
     were); summary, statistics, failed: reports; parcels, land, deletions: the
     tables, changed only with update_boundaries. Without resume, earlier results
-    and deletion marks are dropped first.
+    and deletion marks are dropped first. parcels and land can go into the next run.
     """
     if not resume:
-        pending, deletions = matching.reset(pending), tables.truncated(deletions) if not update_boundaries else deletions
+        pending, deletions = matching.reset(pending), tables.truncated(deletions)
     rows = matching.first_of_each(pending)
     todo = rows.filter(F.col("id") >= first_id)
     if max_polygons is not None:
@@ -42,18 +42,28 @@ def analysed(
         "pending": result,
         "summary": matching.summary(result),
         "statistics": matching.statistics(found),
-        "failed": found.filter("match_type = 'fail'").select("council", "poly_id", "pct", "area_diff", "geom"),
+        "failed": failed(found, todo),
         "parcels": parcels,
         "land": land,
         "deletions": deletions,
     }
     if update_boundaries:
-        out["land"] = unregistered.clipped(land, spatial.with_box(result))
+        out["land"] = unregistered.renumbered(land, unregistered.clipped(land, spatial.with_box(result)))
         out["parcels"] = matching.merged(matching.without(parcels, deletions), result)
         out["deletions"] = tables.truncated(deletions)
     return out
 
 
+def failed(found: DataFrame, todo: DataFrame) -> DataFrame:
+    """Failed known polygons with their overlap, offset statistics and first positions.
+
+    Shapes of another kind, new numbers and those that had failed before are not reported.
+    """
+    before = todo.filter("match_type = 'fail'").select("id")
+    rows = found.filter("match_type = 'fail' and is_known and geom.type = 'Polygon'").join(before, "id", "left_anti")
+    return rows.select("council", "poly_id", "pct", "area_diff", "stats.*", F.col("old_start").alias("old_lng_lat"), F.col("new_start").alias("new_lng_lat"))
+
+
 def is_complete(max_polygons: int | None = None, max_councils: int | None = None, after_council: str | None = None) -> bool:
     """Only a run over all councils and shapes moves the date of the parcels on."""
     return max_polygons is None and max_councils is None and after_council is None

@@ -19,7 +19,7 @@ BOX = ["xmin", "ymin", "xmax", "ymax"]
 SLANT = 0.5
 
 #: Two parcels share a title; every seventh parcel has none, and the last ones' titles are of no order.
-PARCELS = {"poly_id": "c_custkey", "title_no": "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE concat('T', CAST(CAST(floor(c_custkey / 2e0) * 23 AS BIGINT) AS STRING)) END", "xmin": X0, "ymin": Y0, "xmax": f"{X0} + 1e-3", "ymax": f"{Y0} + 8e-4"}
+PARCELS = {"poly_id": "c_custkey", "title_no": "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE concat('T', CAST(CAST(floor(c_custkey / 2e0) * 23 AS BIGINT) AS STRING)) END", "xmin": X0, "ymin": Y0, "xmax": f"{X0} + 1e-3", "ymax": f"{Y0} + 8e-4", "updatedAt": "CAST('2024-01-07' AS DATE)"}
 TITLES = {
     "title_no": "concat('T', CAST(o_orderkey AS STRING))",
     "tenure": "CASE WHEN o_orderkey % 3 = 0 THEN 'Leasehold' ELSE 'Freehold' END",
@@ -35,6 +35,7 @@ def pending_columns(slant: float = 0.0) -> dict[str, str]:
     dx, dy = ("3e-5", "2e-5") if slant else ("3.025e-5", "2.025e-5")  # between the edges of a histogram's bins; slanted ones keep to six places
     return {
         "id": "c_custkey + 1",
+        "createdAt": "CAST(concat('2024-05-', lpad(CAST(c_nationkey + 1 AS STRING), 2, '0')) AS DATE)",
         "poly_id": f"CASE WHEN {V} >= 8 THEN c_custkey + 100000000 ELSE c_custkey END",
         "council": "concat('council_', lpad(CAST(c_nationkey AS STRING), 2, '0'))",
         "kind": f"CASE WHEN {V} = 6 THEN 'MultiPolygon' ELSE 'Polygon' END",
@@ -45,7 +46,9 @@ def pending_columns(slant: float = 0.0) -> dict[str, str]:
     }
 
 
-LAND = {"id": "s_suppkey", "xmin": "-5e0 + (s_suppkey % 20) * 1e-2 + 1e-4", "ymin": "50e0 + floor(s_suppkey / 20e0) * 3e-3 - 1.3e-3", "xmax": "-5e0 + (s_suppkey % 20) * 1e-2 + 9.3e-3", "ymax": "50e0 + floor(s_suppkey / 20e0) * 3e-3 + 1.1e-3"}
+#: Every ninth shape reaches so far up that it is over 1 km2, and over some forty rows of parcels.
+TALL = "CASE WHEN s_suppkey % 9 = 4 THEN 1.5e-2 ELSE 0e0 END"
+LAND = {"id": "s_suppkey", "xmin": "-5e0 + (s_suppkey % 20) * 1e-2 + 1e-4", "ymin": "50e0 + floor(s_suppkey / 20e0) * 3e-3 - 1.3e-3", "xmax": "-5e0 + (s_suppkey % 20) * 1e-2 + 9.3e-3", "ymax": f"50e0 + floor(s_suppkey / 20e0) * 3e-3 + 1.1e-3 + {TALL}"}
 #: Two features on each land shape, which overlap and leave its upper border free.
 FEATURES = {"id": "2 * s_suppkey + half", "tile_id": "s_suppkey", "xmin": f"{LAND['xmin']} + half * 4e-3", "ymin": LAND["ymin"], "xmax": f"{LAND['xmin']} + 5e-3 + half * 4.2e-3", "ymax": f"{LAND['ymax']} - 2e-4"}
 WIDE = {"id": "s_suppkey", "xmin": "-5e0 + s_suppkey * 1e-1", "ymin": "50e0", "xmax": "-5e0 + s_suppkey * 1e-1 + 1.37e-2 + (s_suppkey % 3) * 1.1e-2", "ymax": "50e0 + 2.15e-2"}

@@ -25,11 +25,14 @@ def previous(runs: DataFrame, key: str) -> DataFrame:
     return newest(runs.filter(F.col("unique_key") != key))
 
 
-def hit_max_retries(runs: DataFrame) -> DataFrame:
-    """(hit): the last MAX_RETRIES + 1 runs before the current were interrupted at one shape; true for none."""
-    last = runs.orderBy(F.desc("startedAt"), F.desc("id")).limit(MAX_RETRIES + 1)
+def hit_max_retries(runs: DataFrame, key: str | None = None) -> DataFrame:
+    """(hit): the last MAX_RETRIES + 1 runs but the current one, `key`, were interrupted at one shape; true for none.
+
+    A position that is not set, or 0, is none.
+    """
+    last = (runs if key is None else runs.filter(F.col("unique_key") != key)).orderBy(F.desc("startedAt"), F.desc("id")).limit(MAX_RETRIES + 1)
     first = F.first("last_poly_analysed").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("startedAt"), F.desc("id")))
-    same = (F.col("status") == INTERRUPTED) & F.col("last_task").eqNullSafe(F.lit("analyseInspire")) & F.col("last_poly_analysed").eqNullSafe(F.col("_first"))
+    same = (F.col("status") == INTERRUPTED) & F.col("last_task").eqNullSafe(F.lit("analyseInspire")) & F.coalesce((F.col("last_poly_analysed") == F.col("_first")) & (F.col("_first") != 0), F.lit(False))
     return last.withColumn("_first", first).agg(F.coalesce(F.bool_and(same), F.lit(True)).alias("hit"))
 
 

@@ -117,7 +117,8 @@ def pending_dedup(spark, d):
 
 @query("SELECT council, count(*) AS n, count(*) FILTER (WHERE id < 1000) AS n_before FROM n GROUP BY council")
 def pending_counts(spark, d):
-    return fx.pending(spark, d).groupBy("council").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("id") < 1000).alias("n_before"))
+    counts = matching.counted(fx.pending(spark, d), by=("council",)).join(matching.counted(fx.pending(spark, d), before=1000, by=("council",)).withColumnRenamed("n", "n_before"), "council", "left")
+    return counts.select("council", "n", F.coalesce("n_before", F.lit(0)).alias("n_before"))
 
 
 @query(f"SELECT poly_id, round({_area('xmin', 'ymin', 'xmax', 'ymax')}, 4) AS area FROM p")
@@ -288,10 +289,10 @@ def match_histogram(spark, d):
     return matching.histogram(matching.statistics(_classified(spark, d)), "percentageIntersects", 0, 99.5, 1)
 
 
-@query(f"{_CASCADE} SELECT coalesce(p.poly_id, k.poly_id) AS poly_id, p.title_no, round(coalesce(k.xmin, p.xmin), 9) AS xmin, k.poly_id IS NOT NULL AS is_updated FROM p FULL OUTER JOIN (SELECT * FROM f WHERE match_type <> 'fail') k ON p.poly_id = k.poly_id")
+@query(f"{_CASCADE} SELECT coalesce(p.poly_id, k.poly_id) AS poly_id, p.title_no, round(coalesce(k.xmin, p.xmin), 9) AS xmin, coalesce(k.createdAt, p.updatedAt) AS updatedAt, k.poly_id IS NOT NULL AS is_updated FROM p FULL OUTER JOIN (SELECT * FROM f WHERE match_type <> 'fail') k ON p.poly_id = k.poly_id")
 def merge_accepted(spark, d):
     out = matching.merged(fx.parcels(spark, d), _classified(spark, d))
-    return out.select("poly_id", "title_no", F.round(geometry.ring("geom")[0][0], 9).alias("xmin"), "is_updated")
+    return out.select("poly_id", "title_no", F.round("xmin", 9).alias("xmin"), "updatedAt", "is_updated")
 
 
 @query(f"{_CASCADE} SELECT f.id, f.poly_id, f.council, 'Accepted' AS tenure FROM f WHERE match_type <> 'fail' AND {_BOX} ORDER BY poly_id, id LIMIT 5000")
@@ -311,23 +312,33 @@ def mark_deletions(spark, d):
     return tables.marked(fx.deletions(spark, d), fx.pending(spark, d).filter("council = 'council_07'"))
 
 
+_ANALYSED = "SELECT coalesce(q.poly_id, k.poly_id) AS poly_id, q.title_no, round(coalesce(k.xmin, q.xmin), 9) AS xmin FROM {0} q FULL OUTER JOIN (SELECT * FROM f WHERE match_type <> 'fail') k ON q.poly_id = k.poly_id"
 _KEPT = "(SELECT * FROM p WHERE poly_id NOT IN (SELECT poly_id FROM n WHERE council = 'council_99'))"
 
 
-@query(f"{_CASCADE} SELECT coalesce(q.poly_id, k.poly_id) AS poly_id, q.title_no, round(coalesce(k.xmin, q.xmin), 9) AS xmin FROM {_KEPT} q FULL OUTER JOIN (SELECT * FROM f WHERE match_type <> 'fail') k ON q.poly_id = k.poly_id")
+@query(f"{_CASCADE} {_ANALYSED.format('p')}")
 def analysis_parcels(spark, d):
-    """The whole analysis of pending shapes: the parcels that it leaves."""
+    """The whole analysis of pending shapes, old deletion marks dropped: the parcels that it leaves."""
     out = _analysis(spark, d)["parcels"]
-    return out.select("poly_id", "title_no", F.round(geometry.ring("geom")[0][0], 9).alias("xmin"))
+    return out.select("poly_id", "title_no", _r("xmin"))
 
 
-@query(f"{_CASCADE} SELECT council, poly_id, CASE WHEN known AND kind = 'Polygon' THEN round(pct, 6) END AS pct FROM f WHERE match_type = 'fail'")
+@query(f"{_CASCADE} {_ANALYSED.format(_KEPT)}")
+def analysis_resumed_parcels(spark, d):
+    """A run that goes on: marks made before it count."""
+    out = _analysis(spark, d, resume=True)["parcels"]
+    return out.select("poly_id", "title_no", _r("xmin"))
+
+
+@query(f"{_CASCADE} SELECT council, poly_id, round(pct, 6) AS pct, round(mx, 9) + 0e0 AS lng_mean, round(sy, 9) + 0e0 AS lat_std, round(oxmin, 9) AS old_lng, round(ymin, 9) AS new_lat FROM f WHERE match_type = 'fail' AND known AND kind = 'Polygon'")
 def analysis_failed(spark, d):
-    return _analysis(spark, d)["failed"].select("council", "poly_id", F.round("pct", 6).alias("pct"))
+    """Failed known polygons only."""
+    rows = _analysis(spark, d)["failed"]
+    return rows.select("council", "poly_id", F.round("pct", 6).alias("pct"), *[(F.round(c, 9) + F.lit(0.0)).alias(c) for c in ("lng_mean", "lat_std")], F.round(F.col("old_lng_lat")[0], 9).alias("old_lng"), F.round(F.col("new_lng_lat")[1], 9).alias("new_lat"))
 
 
-def _analysis(spark, d):
-    return analysis.analysed(fx.pending(spark, d), fx.parcels(spark, d), fx.titles(spark, d), fx.deletions(spark, d), fx.land(spark, d), fx.places(spark, d))
+def _analysis(spark, d, **kw):
+    return analysis.analysed(fx.pending(spark, d), fx.parcels(spark, d), fx.titles(spark, d), fx.deletions(spark, d), fx.land(spark, d), fx.places(spark, d), **kw)
 
 
 _MEET = "a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax"
@@ -467,9 +478,10 @@ def last_run(spark, d):
     return runs.newest(rest).select("id", "unique_key", F.col("status").cast("int").alias("status"))
 
 
-@query("SELECT coalesce(bool_and(status = -1 AND last_task = 'analyseInspire' AND last_poly_analysed = first_poly), true) AS hit FROM (SELECT *, first_value(last_poly_analysed) OVER (ORDER BY startedAt DESC, id DESC) AS first_poly FROM r ORDER BY startedAt DESC, id DESC LIMIT 2)")
+@query("SELECT coalesce(bool_and(coalesce(status = -1 AND last_task = 'analyseInspire' AND last_poly_analysed = first_poly AND first_poly <> 0, false)), true) AS hit FROM (SELECT *, first_value(last_poly_analysed) OVER (ORDER BY startedAt DESC, id DESC) AS first_poly FROM r WHERE unique_key <> (SELECT unique_key FROM r ORDER BY startedAt DESC, id DESC LIMIT 1) ORDER BY startedAt DESC, id DESC LIMIT 2)")
 def hit_max_retries(spark, d):
-    return runs.hit_max_retries(fx.runs(spark, d))
+    log = fx.runs(spark, d)
+    return runs.hit_max_retries(log, runs.newest(log).first()["unique_key"])
 
 
 @query("SELECT startedAt FROM (SELECT startedAt, row_number() OVER (ORDER BY startedAt DESC, id DESC) AS n FROM r) WHERE n = (SELECT coalesce(min(n) - 1, 1) FROM (SELECT status, row_number() OVER (ORDER BY startedAt DESC, id DESC) AS n FROM r) WHERE n > 1 AND status <> -1)")
@@ -552,8 +564,10 @@ def clip_unregistered(spark, d):
 
 @query(f"{_cascade(fx.SLANT)} {_free(_LAND, _cuts('f WHERE match_type <> ' + chr(39) + 'exact' + chr(39), _CLEAN_BOX))} SELECT id AS land_id, round(area / 10) * 10 AS area FROM fr WHERE area > 1e0", fx.SLANT)
 def clip_unregistered_slanted(spark, d):
+    """Areas are those of the shapes set upright again, as the area of long slanted edges depends a little on where these have vertices."""
     out = unregistered.clipped(fx.land(spark, d, fx.SLANT), _classified(spark, d, fx.SLANT).transform(spatial.with_box))
-    return out.groupBy("land_id").agg((F.round(F.sum(geometry.area(F.col("geom"))) / 10) * 10).alias("area"))
+    upright = F.struct(F.lit("Polygon").alias("type"), F.transform(F.col("geom.coordinates"), lambda r: F.transform(r, lambda p: F.array(p[0] - fx.SLANT * p[1], p[1]))).alias("coordinates"))
+    return out.groupBy("land_id").agg((F.round(F.sum(geometry.area(upright)) / 10) * 10).alias("area"))
 
 
 @query(f"{_free('SELECT id, xmin, ymin, xmax, ymax - 2e-4 AS ymax FROM u', _cuts('n', _grown('0.2e0', '1e6')))} SELECT id AS tile_id, round(area / 1e4, 1) AS hectares FROM fr WHERE area > 1e0")

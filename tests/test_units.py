@@ -187,6 +187,9 @@ def test_runs(spark, tmp_path):
     at = [dt.datetime(2024, 1, i) for i in range(1, 6)]
     log = spark.createDataFrame([(i, f"k{i}", t, s, "analyseInspire", 9) for i, (t, s) in enumerate(zip(at, (0, 0, -1, -1, 1), strict=True))], empty.schema)
     assert runs.chain_start(log).first().startedAt == at[2]
+    for positions, key, hit in (([9, 9], None, True), ([9, 8], None, False), ([None, None], None, False), ([0, 0], None, False), ([9, 9, 4], "k2", True), ([9, 9, 4], None, False)):
+        rows = [(i, f"k{i}", at[i], -1 if i < 2 else 1, "analyseInspire", x) for i, x in enumerate(positions)]
+        assert runs.hit_max_retries(spark.createDataFrame(rows, empty.schema), key).first().hit is hit, positions
     assert runs.tasks_between("nope", "analyseInspire") == runs.TASKS[:2] and runs.resume_position(None, True) == 1 and runs.resume_position(4, True) == 6
     log = runs.RunLog(spark, str(tmp_path / "log"))
     with pytest.raises(ZeroDivisionError):
@@ -240,6 +243,41 @@ def test_joins_of_shapes_of_all_sizes(spark):
     assert sorted((r.a, r.b) for r in spatial.join(df, df).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).collect()) == want
 
 
+def box(x0, y0, x1, y1):
+    return [[float(x), float(y)] for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
+
+
+def test_clip_of_land_in_parts(spark):
+    """Land over 1 km2: the parts it is worked on in don't show."""
+    land = shapes(spark, [(1, box(0, 50, 0.03, 50.03)), (2, box(1, 50, 1.03, 50.03)), (3, box(2, 50, 2.03, 50.03))], "id long")
+    cuts = [(1, None, box(-0.001, 49.99, 0.015 - 4e-5, 50.04)), (2, None, box(0.015 + 4e-5, 49.99, 0.031, 50.04)), (3, None, box(2.01, 50.01, 2.011, 50.011)), (4, "exact", box(1.01, 50.01, 1.02, 50.02))]
+    pending = shapes(spark, cuts, "id long, match_type string")
+    out = unregistered.clipped(land, pending).select("land_id", "is_whole", "geom", F.round(geometry.area(F.col("geom"))).alias("area")).collect()
+    assert sorted((r.land_id, r.is_whole, len(r.geom.coordinates)) for r in out) == [(1, False, 1), (2, True, 1), (3, False, 2)]
+    assert next(r.area for r in out if r.land_id == 1) == 19068  # a strip of 5.7 m along a border of parts stays, whole
+    table = unregistered.renumbered(land, unregistered.clipped(land, pending))
+    assert table.columns == land.columns and sorted(r.id for r in table.collect()) == [2, 4, 5]
+    assert unregistered.clipped(land, pending, new_or_changed_only=False).filter("is_whole").count() == 0
+
+
+def test_offsets_carried_over_ranges(spark):
+    """The scan in two levels equals a fold over each council."""
+    r = random.Random(3)
+    rows = [(i, i, r.choice("ab"), r.random() < 0.2, (float(i), -float(i))) for i in r.sample(range(1, 4000), 600)]
+    df = spark.createDataFrame(rows, "id long, poly_id long, council string, is_offset boolean, stats struct<lng_mean:double,lat_mean:double>")
+    old, matching.SPAN = matching.SPAN, 7
+    try:
+        got = {x.id: (x.lng_offset, x.lat_offset) for x in matching.carried_offset(df).collect()}
+    finally:
+        matching.SPAN = old
+    state, want = {}, {}
+    for i, _, council, hit, stats in sorted(rows):
+        want[i] = state.get(council, (0.0, 0.0))
+        if hit:
+            state[council] = stats
+    assert got == want
+
+
 def test_tables(spark):
     t = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id long, v string, n int")
     new = spark.createDataFrame([(2, "x", 5), (2, "y", 6), (3, "z", 7)], "id long, v string, n int")
@@ -276,7 +314,13 @@ def test_analysis_and_reports(spark, tmp_path):
     gone, land = spark.createDataFrame([(3,)], "poly_id long"), shapes(spark, [(5, moved(FAR, 0.001, 0.003)), (6, moved(FAR, 5, 0))], "id long")
     out = analysis.analysed(n, p, o, gone, land)
     assert {r.poly_id: r.match_type for r in out["pending"].collect()} == {1: "exact", 2: "fail", 9: "newBoundary"}
-    assert {r.poly_id for r in out["parcels"].collect()} == {1, 2, 9} and [r.land_id for r in out["land"].collect()] == [6] and out["deletions"].count() == 0
+    assert {r.poly_id for r in out["parcels"].collect()} == {1, 2, 3, 9} and [r.id for r in out["land"].collect()] == [6] and out["deletions"].count() == 0  # old marks don't count
+    report = out["failed"].collect()
+    assert [r.poly_id for r in report] == [2] and report[0].old_lng_lat == FAR[0] and report[0].new_lng_lat == moved(FAR, 0.001, 0.003)[0] and abs(report[0].lng_mean - 0.001) < 1e-9
+    again = analysis.analysed(shapes(spark, [(1, 1, "c", False, None, SMALL), (2, 9, "c", False, None, moved(SMALL, 1, 0))], "id long, poly_id long, council string, accepted boolean, match_type string"), out["parcels"], o, out["deletions"], out["land"])
+    assert {r.poly_id: r.match_type for r in again["pending"].collect()} == {1: "exact", 9: "exact"} and again["parcels"].count() == 4 and [r.id for r in again["land"].collect()] == [6]
+    marked = analysis.analysed(n, p, o, gone, land, resume=True)
+    assert {r.poly_id for r in marked["parcels"].collect()} == {1, 2, 9}
     later = analysis.analysed(n, p, o, gone, land, resume=True, first_id=2, update_boundaries=False)
     assert {r.poly_id: r.match_type for r in later["pending"].collect()} == {1: "moved", 2: "fail", 9: "merged"} and later["parcels"].count() == 3
     some = analysis.analysed(n, p, o, gone, land, max_polygons=2, update_boundaries=False)
