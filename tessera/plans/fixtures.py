@@ -56,6 +56,24 @@ CHANGES = {"title_no": "concat('T', CAST(user_id AS STRING))", "file_date": "CAS
 RUNS = {"id": "event_id", "startedAt": "ts", "status": "CASE event_type WHEN 'error' THEN -1 WHEN 'click' THEN 1 ELSE 0 END", "last_poly_analysed": "user_id", "last_task": "CASE WHEN event_id % 2 = 0 THEN 'analyseInspire' ELSE 'ownerships' END", "latest_ownership_data": "CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(ts AS DATE) END", "unique_key": "concat('k', CAST(event_id AS STRING))"}
 
 
+#: What becomes of parcels: a cell of the grid plays one scene, by the last digit of its number; boxes in ten-thousandths of a degree.
+#: (scene, edition, number, xmin, ymin, xmax, ymax)
+SCENES = [
+    (0, "old", 1, 0, 0, 5, 8), (0, "old", 2, 5, 0, 10, 8), (0, "new", 1, 0, 0, 10, 8),  # merged
+    (1, "old", 1, 0, 0, 10, 8), (1, "new", 1, 0, 0, 5, 8), (1, "new", 3, 5, 0, 10, 8),  # segmented
+    (2, "old", 1, 0, 0, 5, 8), (2, "old", 2, 5, 4, 7, 8), (2, "new", 1, 0, 4, 7, 8), (2, "new", 3, 0, 0, 5, 4),  # both
+    (3, "old", 1, 0, 0, 5, 8), (3, "old", 2, 5, 0, 10, 8), (3, "new", 1, 0, 0, 15, 8),  # merged, and land that was no one's
+    (4, "old", 1, 0, 0, 10, 8), (4, "new", 1, 0, 0, 5, 8),  # land given up
+    (5, "old", 1, 0, 0, 5, 8), (5, "old", 2, 5, 0, 10, 8), (5, "new", 1, 0, 0, 6, 8), (5, "new", 2, 6, 0, 10, 8),  # a boundary shifted
+    (6, "old", 1, 0, 0, 5, 8), (6, "old", 2, 5, 0, 10, 8), (6, "old", 4, 12, 0, 14, 8), (6, "new", 1, 0, 0, 10, 8), (6, "new", 2, 12, 0, 15, 8),  # taken over by a neighbour that moved away
+    (7, "old", 1, 0, 0, 5, 8), (7, "new", 3, 0, 0, 5, 8),  # a new number
+    (8, "old", 1, 0, 0, 5, 8), (8, "new", 1, 0, 0, 5, 8), (8, "new", 3, 10, 0, 15, 8),  # nothing, and a new parcel
+    (9, "old", 1, 0, 0, 5, 8), (9, "new", 3, 3, 0, 8, 8),  # a new number on half of an old parcel
+]
+#: Every second cell has its rows in reverse order.
+EDITION = {"poly_id": "10 * c_custkey + j", "id": "10 * c_custkey + CASE WHEN c_custkey % 20 < 10 THEN j ELSE 9 - j END", "council": "concat('council_', lpad(CAST(c_nationkey AS STRING), 2, '0'))"} | {c: f"{o} + {c[0]}{i} * 1e-4" for c, o, i in (("xmin", X0, 0), ("ymin", Y0, 0), ("xmax", X0, 1), ("ymax", Y0, 1))}
+
+
 def _derived(spark: SparkSession, sf_dir: str, table: str, columns: dict[str, str], halves: bool = False) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     df = df.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("half")) if halves else df
@@ -91,6 +109,18 @@ def deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending(spark, sf_dir).filter("council = 'council_99'").select("poly_id")
 
 
+def edition(spark: SparkSession, sf_dir: str, which: str, slant: float = 0.0) -> DataFrame:
+    """Old parcels, or pending shapes, of the scenes. New numbers have their rings from another point on, the other way round."""
+    scenes = spark.createDataFrame(SCENES, "v long, edition string, j long, x0 long, y0 long, x1 long, y1 long")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").join(F.broadcast(scenes), F.col("v") == F.expr(V)).filter(F.col("edition") == which)
+    df = _shaped(rows.selectExpr(*[f"{e} AS {n}" for n, e in EDITION.items()], "j"), slant=slant)
+    if which == "old":
+        return df.select("poly_id", F.lit(None).cast("string").alias("title_no"), "geom", *BOX)
+    turned = F.reverse(F.concat(F.slice(F.col("geom.coordinates")[0], 3, 3), F.slice(F.col("geom.coordinates")[0], 2, 2)))
+    df = df.withColumn("geom", F.struct(F.lit("Polygon").alias("type"), F.array(F.when(F.col("j") == 3, turned).otherwise(F.col("geom.coordinates")[0])).alias("coordinates")))
+    return df.drop("j").withColumn("accepted", F.lit(False)).withColumn("match_type", F.lit(None).cast("string"))
+
+
 def land(spark: SparkSession, sf_dir: str, slant: float = 0.0) -> DataFrame:
     return _shaped(_derived(spark, sf_dir, "supplier", LAND), slant=slant)
 
@@ -135,6 +165,10 @@ def ctes(slant: float = 0.0) -> str:
             _cte("wi", "supplier", WIDE),
             _cte("ch", "events", CHANGES),
             _cte("r", "events", RUNS),
+            "sc(v, edition, j, x0, y0, x1, y1) AS (VALUES " + ", ".join(str(s) for s in SCENES) + ")",
+            "ed AS (SELECT edition, " + ", ".join(f"{e} AS {n}" for n, e in EDITION.items()) + f" FROM customer JOIN sc ON sc.v = {V})",
+            "lo AS (SELECT * FROM ed WHERE edition = 'old')",
+            "ln AS (SELECT * FROM ed WHERE edition = 'new')",
             "po AS (SELECT p.*, o.tenure, o.property_address, o.proprietor_category_1, o.proprietor_name_1 FROM p LEFT JOIN o ON p.title_no = o.title_no)",
             "x AS (SELECT * FROM po WHERE tenure = 'Freehold' OR tenure IS NULL)",
             "d AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY poly_id ORDER BY id) = 1)",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry
-from tessera.operators import matching, ownership, parcels, spatial, tables, unregistered
+from tessera.operators import lineage, matching, ownership, parcels, spatial, tables, unregistered
 from tessera.plans import analysis, runs
 from tessera.plans import fixtures as fx
 
@@ -575,3 +575,144 @@ def unregistered_init(spark, d):
     """Each tile's land less its parcels; in tenths of a hectare, as rounded corners take a metre or two off."""
     out = unregistered.built(fx.land(spark, d), fx.pending(spark, d), fx.features(spark, d))
     return out.groupBy("tile_id").agg(F.round(F.sum(geometry.area(F.col("geom"))) / 1e4, 1).alias("hectares"))
+
+
+def _gap(a: str, b: str) -> str:
+    """SQL of the metres between two boxes."""
+    dx, dy = (f"greatest(0e0, {a}.{c}min - {b}.{c}max, {b}.{c}min - {a}.{c}max) / {_DEGREE}" for c in "xy")
+    return f"sqrt(pow(({dx}) * cos(radians({a}.ymin)), 2) + pow({dy}, 2))"
+
+
+@query(f"SELECT a.poly_id, b.poly_id AS other_id, round({_gap('a', 'b')}, 3) + 0e0 AS metres FROM ln a JOIN ln b ON a.poly_id <> b.poly_id AND abs(a.xmin - b.xmin) < 1e-2 AND abs(a.ymin - b.ymin) < 1e-2 WHERE {_gap('a', 'b')} <= 5e0 ")
+def parcels_adjacent(spark, d):
+    """New parcels within 5 m of each other."""
+    new = fx.edition(spark, d, "new")
+    return lineage.adjacent(new, new).select("poly_id", "other_id", (F.round("metres", 3) + F.lit(0.0)).alias("metres"))
+
+
+def _common_box(a: str, b: str) -> str:
+    return _area(*[f"{f}({a}.{c}, {b}.{c})" for f, c in (("greatest", "xmin"), ("greatest", "ymin"), ("least", "xmax"), ("least", "ymax"))])
+
+
+def _of(a: str) -> str:
+    return _area(*[f"{a}.{c}" for c in fx.BOX])
+
+
+_COVERED = f", cv AS (SELECT o.poly_id AS old_id, n.poly_id AS new_id, {_common_box('o', 'n')} AS common, {_of('o')} AS a, {_of('n')} AS b FROM lo o JOIN ln n ON o.xmin < n.xmax AND n.xmin < o.xmax AND o.ymin < n.ymax AND n.ymin < o.ymax WHERE {_common_box('o', 'n')} > 2e0)"
+
+
+@query(f"{_COVERED} SELECT old_id, new_id, round(common, 2) AS common, round(100e0 * common / a, 4) AS old_share, round(100e0 * common / b, 4) AS new_share FROM cv")
+def parcels_covered(spark, d):
+    """What old and new parcels cover of each other."""
+    out = lineage.covered(fx.edition(spark, d, "old"), fx.edition(spark, d, "new"))
+    return out.select("old_id", "new_id", F.round("common", 2).alias("common"), F.round("old_share", 4).alias("old_share"), F.round("new_share", 4).alias("new_share"))
+
+
+@query(f"""{_COVERED}, e AS (SELECT old_id AS a, -new_id AS b FROM cv UNION SELECT -new_id, old_id FROM cv), reach AS (
+SELECT a, a AS z FROM e UNION SELECT a, b FROM e UNION SELECT x.a, y.b FROM e x JOIN e y ON x.b = y.a UNION SELECT x.a, z.b FROM e x JOIN e y ON x.b = y.a JOIN e z ON y.b = z.a UNION SELECT x.a, w.b FROM e x JOIN e y ON x.b = y.a JOIN e z ON y.b = z.a JOIN e w ON z.b = w.a),
+fam AS (SELECT a, min(z) FILTER (WHERE z > 0) AS family FROM reach GROUP BY a), g AS (SELECT family, list(a ORDER BY a) FILTER (WHERE a > 0) AS o, list(-a ORDER BY -a) FILTER (WHERE a < 0) AS n FROM fam GROUP BY family)
+SELECT family, array_to_string(o, ',') AS old_ids, array_to_string(n, ',') AS new_ids, CASE WHEN len(o) = 1 AND len(n) = 1 THEN 'one' WHEN len(n) = 1 THEN 'merged' WHEN len(o) = 1 THEN 'segmented' ELSE 'mixed' END AS kind FROM g""")
+def parcel_families(spark, d):
+    """Groups of old and new parcels that land went between."""
+    out = lineage.families(lineage.covered(fx.edition(spark, d, "old"), fx.edition(spark, d, "new")))
+    return out.select("family", _joined("old_ids"), _joined("new_ids"), "kind")
+
+
+def _joined(ids: str):
+    return F.array_join(F.col(ids).cast("array<string>"), ",").alias(ids)
+
+
+def _strips(a: str, b: str) -> str:
+    """SQL of the boxes that a box a has outside of b: here there is one at most."""
+    sides = [
+        (f"{a}.xmin", f"{a}.ymin", f"least({a}.xmax, {b}.xmin)", f"{a}.ymax"),
+        (f"greatest({a}.xmin, {b}.xmax)", f"{a}.ymin", f"{a}.xmax", f"{a}.ymax"),
+        (f"greatest({a}.xmin, {b}.xmin)", f"{a}.ymin", f"least({a}.xmax, {b}.xmax)", f"least({a}.ymax, {b}.ymin)"),
+        (f"greatest({a}.xmin, {b}.xmin)", f"greatest({a}.ymin, {b}.ymax)", f"least({a}.xmax, {b}.xmax)", f"{a}.ymax"),
+    ]
+    return " UNION ALL ".join(f"SELECT n.id, n.poly_id, {x0} AS xmin, {y0} AS ymin, {x1} AS xmax, {y1} AS ymax FROM op n JOIN lo o USING (poly_id) WHERE {_area(x0, y0, x1, y1)} > 2e0" for x0, y0, x1, y1 in sides)
+
+
+_HIT = "s.xmin < m.xmax AND m.xmin < s.xmax AND s.ymin < m.ymax AND m.ymin < s.ymax AND m.poly_id <> s.poly_id"
+_DECIDED = f"""
+, op AS (SELECT n.* FROM ln n JOIN lo o ON n.poly_id = o.poly_id WHERE {_common_box("n", "o")} / ({_of("n")} + {_of("o")} - {_common_box("n", "o")}) <= 0.95e0)
+, gs AS ({_strips("n", "o")}), ls AS ({_strips("o", "n")})
+, gm AS (SELECT s.id, s.poly_id, m.poly_id AS other, {_common_box("s", "m")} AS common, w.poly_id IS NULL AS gone, w.poly_id IS NOT NULL AND {_gap("n", "w")} <= 5e0 AS near, {_common_box("m", "n")} / {_of("m")} > 0.95e0 AS inside
+  FROM gs s JOIN lo m ON {_HIT} JOIN op n ON n.id = s.id LEFT JOIN ln w ON w.poly_id = m.poly_id WHERE {_common_box("s", "m")} > 2e0)
+, lm AS (SELECT s.id, s.poly_id, m.poly_id AS other, {_common_box("s", "m")} AS common, w.poly_id IS NULL AS fresh, w.poly_id IS NOT NULL AND {_gap("o", "w")} <= 5e0 AS near, {_common_box("m", "o")} / {_of("m")} > 0.95e0 AS inside
+  FROM ls s JOIN ln m ON {_HIT} JOIN lo o ON o.poly_id = s.poly_id LEFT JOIN lo w ON w.poly_id = m.poly_id WHERE {_common_box("s", "m")} > 2e0)
+, ga AS (SELECT id, list_sort(coalesce(list(DISTINCT other) FILTER (WHERE gone), [])) AS merged, list_sort(coalesce(list(DISTINCT other) FILTER (WHERE NOT gone AND NOT near), [])) AS strange, bool_or(NOT near AND NOT (gone AND inside)) AS bad FROM gm GROUP BY id)
+, la AS (SELECT id, list_sort(coalesce(list(DISTINCT other) FILTER (WHERE NOT near), [])) AS segments, bool_or(NOT near AND NOT (fresh AND inside)) AS bad FROM lm GROUP BY id)
+, gi AS (SELECT id, sum({_of("gs")}) - coalesce((SELECT sum(common) FROM gm WHERE gm.id = gs.id), 0e0) > 2e0 AS open FROM gs GROUP BY id)
+, li AS (SELECT id, sum({_of("ls")}) - coalesce((SELECT sum(common) FROM lm WHERE lm.id = ls.id), 0e0) > 2e0 AS open FROM ls GROUP BY id)
+, dv AS (SELECT op.id, op.poly_id, coalesce(ga.merged, []) AS merged, coalesce(ga.strange, []) AS strange, coalesce(la.segments, []) AS segments, coalesce(ga.bad, false) AS fa, coalesce(la.bad, false) AS fb, coalesce(gi.open, false) AS ia, coalesce(li.open, false) AS ib
+  FROM op LEFT JOIN ga USING (id) LEFT JOIN la USING (id) LEFT JOIN gi USING (id) LEFT JOIN li USING (id))
+, de AS (SELECT id, poly_id, CASE WHEN fa OR fb THEN 'fail' WHEN (ia OR len(merged) > 0) AND (ib OR len(segments) > 0) THEN 'mergedAndSegmented' WHEN ia THEN 'mergedIncomplete' WHEN ib THEN 'segmentedIncomplete' WHEN len(merged) > 0 THEN 'merged' WHEN len(segments) > 0 THEN 'segmented' ELSE 'boundariesShifted' END AS decision,
+  merged AS merged_ids, CASE WHEN fa THEN strange ELSE segments END AS segment_ids FROM dv)
+"""
+_DECISIONS = " SELECT id, poly_id, decision, array_to_string(merged_ids, ',') AS merged_ids, array_to_string(segment_ids, ',') AS segment_ids FROM de"
+
+
+def _editions(spark, d, slant=0.0):
+    return fx.edition(spark, d, "old", slant), fx.edition(spark, d, "new", slant)
+
+
+def _open(spark, d, slant=0.0):
+    """The classifier's rows on the scenes, those it has no match for, and the editions."""
+    old, new = _editions(spark, d, slant)
+    rows = matching.classified(new, old, fx.titles(spark, d))
+    return rows, lineage.unmatched(rows), old, new
+
+
+def _decided(spark, d, slant=0.0):
+    _, open_, old, new = _open(spark, d, slant)
+    return lineage.decided(open_, old, new).select("id", "poly_id", "decision", _joined("merged_ids"), _joined("segment_ids"))
+
+
+@query(_DECIDED + _DECISIONS)
+def lineage_decisions(spark, d):
+    """Merged, segmented, shifted: what became of known parcels that no plain match fits."""
+    return _decided(spark, d)
+
+
+@query(_DECIDED + _DECISIONS, fx.SLANT)
+def lineage_decisions_slanted(spark, d):
+    return _decided(spark, d, fx.SLANT)
+
+
+#: No decision here is failed by one that has itself been failed.
+_RESOLVED = f"""{_DECIDED}
+, ev AS (SELECT id AS by_id, decision = 'fail' AS bad, unnest(segment_ids) AS poly_id FROM de WHERE decision <> 'boundariesShifted')
+, st AS (SELECT * FROM de WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.poly_id = de.poly_id AND ev.bad AND ev.by_id < de.id))
+, la2 AS (SELECT poly_id, arg_max(bad, by_id) AS bad FROM ev WHERE by_id IN (SELECT id FROM st) GROUP BY poly_id)
+, own AS (SELECT n.id, n.poly_id, CASE WHEN o.poly_id IS NULL THEN (CASE WHEN EXISTS (SELECT 1 FROM lo z WHERE n.xmin <= z.xmax AND z.xmin <= n.xmax AND n.ymin <= z.ymax AND z.ymin <= n.ymax) THEN 'fail' ELSE 'newBoundary' END) WHEN st.id IS NOT NULL THEN st.decision WHEN de.id IS NOT NULL THEN 'fail' ELSE 'exact' END AS match_type
+  FROM ln n LEFT JOIN lo o ON n.poly_id = o.poly_id LEFT JOIN de ON de.id = n.id LEFT JOIN st ON st.id = n.id)"""
+
+
+@query(f"{_RESOLVED} SELECT own.id, own.poly_id, CASE WHEN la2.bad THEN 'fail' WHEN NOT la2.bad THEN 'newSegment' ELSE match_type END AS match_type FROM own LEFT JOIN la2 ON own.poly_id = la2.poly_id")
+def lineage_resolved(spark, d):
+    """Match types once decisions have acted on other rows, in order of id."""
+    rows, open_, old, new = _open(spark, d)
+    return lineage.resolved(rows.select("id", "poly_id", "match_type"), lineage.decided(open_, old, new))[0]
+
+
+@query(f"{_RESOLVED} SELECT DISTINCT unnest(merged_ids) AS poly_id FROM st WHERE decision <> 'fail'")
+def lineage_deletions(spark, d):
+    """Old parcels that merges take away."""
+    rows, open_, old, new = _open(spark, d)
+    return lineage.resolved(rows.select("id", "poly_id", "match_type"), lineage.decided(open_, old, new))[1]
+
+
+@query(f"{_COVERED} SELECT new_id AS poly_id, old_id, round(100e0 * common / a, 4) AS old_share, round(100e0 * common / b, 4) AS new_share FROM cv WHERE old_id NOT IN (SELECT poly_id FROM ln) AND new_id NOT IN (SELECT poly_id FROM lo) AND common > 0.95e0 * least(a, b) QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY greatest(common / a, common / b) DESC, old_id) = 1")
+def new_in_old(spark, d):
+    """Old parcels, gone since, that contain a new number's or lie in it."""
+    old, new = _editions(spark, d)
+    out = lineage.containing(new.join(old.select("poly_id"), "poly_id", "left_anti"), old, new)
+    return out.select("poly_id", "old_id", F.round("old_share", 4).alias("old_share"), F.round("new_share", 4).alias("new_share"))
+
+
+@query("SELECT o.poly_id AS old_id, n.poly_id AS new_id, CAST(NULL AS VARCHAR) AS old_title_no FROM lo o JOIN ln n ON o.xmin = n.xmin AND o.ymin = n.ymin AND o.xmax = n.xmax AND o.ymax = n.ymax WHERE o.poly_id NOT IN (SELECT poly_id FROM ln) AND n.poly_id NOT IN (SELECT poly_id FROM lo)")
+def parcels_renumbered(spark, d):
+    """Rings that go on under a new number, wherever they start and whichever way they turn."""
+    old, new = _editions(spark, d)
+    return lineage.renamed(new.join(old.select("poly_id"), "poly_id", "left_anti"), old, new).select("old_id", "new_id", "old_title_no")
