@@ -716,3 +716,15 @@ def parcels_renumbered(spark, d):
     """Rings that go on under a new number, wherever they start and whichever way they turn."""
     old, new = _editions(spark, d)
     return lineage.renamed(new.join(old.select("poly_id"), "poly_id", "left_anti"), old, new).select("old_id", "new_id", "old_title_no")
+
+
+@query(f"""{_RESOLVED}, fin AS (SELECT own.id, own.poly_id, CASE WHEN la2.bad THEN 'fail' WHEN NOT la2.bad THEN 'newSegment' ELSE match_type END AS match_type FROM own LEFT JOIN la2 ON own.poly_id = la2.poly_id)
+, rn AS (SELECT o.poly_id AS old_id, n.poly_id AS new_id FROM lo o JOIN ln n ON o.xmin = n.xmin AND o.ymin = n.ymin AND o.xmax = n.xmax AND o.ymax = n.ymax JOIN fin ON fin.id = n.id AND fin.match_type = 'fail' WHERE o.poly_id NOT IN (SELECT poly_id FROM ln) AND n.poly_id NOT IN (SELECT poly_id FROM lo))
+, dl AS (SELECT unnest(merged_ids) AS poly_id FROM st WHERE decision <> 'fail' UNION SELECT old_id FROM rn)
+, ok AS (SELECT n.* FROM ln n JOIN fin USING (id) WHERE fin.match_type <> 'fail' OR n.poly_id IN (SELECT new_id FROM rn))
+SELECT coalesce(o.poly_id, n.poly_id) AS poly_id, round(coalesce(n.xmax, o.xmax), 9) AS xmax, n.poly_id IS NOT NULL AS is_updated FROM (SELECT * FROM lo WHERE poly_id NOT IN (SELECT poly_id FROM dl)) o FULL OUTER JOIN ok n ON o.poly_id = n.poly_id""")
+def analysis_with_relations(spark, d):
+    """The analysis with merges, segments and new numbers: the parcels that it leaves."""
+    old, new = _editions(spark, d)
+    gone, land = fx.deletions(spark, d).filter("false"), fx.land(spark, d)
+    return analysis.analysed(new, old, fx.titles(spark, d), gone, land, relations=True)["parcels"].select("poly_id", F.round("xmax", 9).alias("xmax"), "is_updated")

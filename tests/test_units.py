@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry, kernel
-from tessera.operators import matching, ownership, parcels, spatial, tables, unregistered
+from tessera.operators import lineage, matching, ownership, parcels, spatial, tables, unregistered
 from tessera.plans import analysis, runs
 from tessera.sources import files
 from tessera.streaming import changes
@@ -386,3 +386,90 @@ def test_zipped_sources(spark, tmp_path):
     assert sorted((r.council, r.poly_id, len(r.geom.coordinates)) for r in got) == [("Adur", 5, 1), ("Adur", 5, 1), ("York", 7, 1)]
     files.load_councils(spark, str(tmp_path / "in/2024-06"), str(tmp_path / "gml2"), str(tmp_path / "pending"), after="Bath")
     assert spark.read.parquet(str(tmp_path / "pending")).count() == 3
+
+
+def test_distances_of_odd_shapes(spark):
+    """Triangles and rectangles at known distances, one within another, and a pair that crosses without a corner near."""
+    m = 180 / (math.pi * 6371008.8)
+    tri = [[0.0, 0.0], [100 * m, 0.0], [50 * m, 80 * m], [0.0, 0.0]]
+    rows = [(1, tri), (2, [[100 * m + 3 * m, 0.0], [200 * m, 0.0], [200 * m, 9 * m], [103 * m, 0.0]]), (3, box(0, -20 * m, 100 * m, -4 * m)), (4, box(45 * m, 20 * m, 55 * m, 25 * m)), (5, [[0.0, -30 * m], [1000 * m, -26.0 * m], [0.0, -26 * m], [0.0, -30 * m]])]
+    df = shapes(spark, rows, "poly_id long")
+    got = {(r.poly_id, r.other_id): r.metres for r in lineage.adjacent(df, df).collect()}
+    assert {k for k in got if k[0] < k[1]} == {(1, 2), (1, 3), (1, 4), (2, 3)} - ({(2, 3)} if math.hypot(3, 4) > 5 else set()) and all((b, a) in got for a, b in got)
+    assert abs(got[1, 2] - 3) < 1e-3 and abs(got[1, 3] - 4) < 1e-3 and got[1, 4] == 0
+
+
+def test_components_of_chains(spark):
+    r = random.Random(2)
+    n = list(range(60))
+    r.shuffle(n)
+    edges = list(zip(n[:50], n[1:51], strict=True)) + [(1000 + i, 1000) for i in range(30)] + [(7000, 7001)]
+    got = {x.node: x.root for x in lineage.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(n[:51], min(n[:51])), **dict.fromkeys(range(1000, 1030), 1000), 7000: 7000, 7001: 7000}
+
+
+def test_ring_keys(spark):
+    """Free of start, direction and shift; not of mirroring, scale or another point."""
+    ring = [[-1.5, 51.2], [-1.4998, 51.2001], [-1.4997, 51.2004], [-1.5001, 51.2003], [-1.5, 51.2]]
+    turned = ring[2:-1] + ring[:3]
+    same = [ring, turned, turned[::-1], ring[::-1], moved(ring, 3e-5, -2e-5)]
+    other = [[[-x, y] for x, y in ring], ring[:3] + ring[4:], [[x, y + (y - 51.2)] for x, y in ring], ring[:2] + [[-1.4997, 51.20041]] + ring[3:]]
+    keys = [r.k for r in spark.createDataFrame([(i, p) for i, p in enumerate(same + other)], "i int, ring array<array<double>>").select("i", lineage.ring_key(F.col("ring")).alias("k")).orderBy("i").collect()]
+    assert len(set(keys[:5])) == 1 and len(set(keys)) == 5
+
+
+def _settle(rows, decisions):
+    """A plain fold of rows in order of id."""
+    state, known, marks = {}, {d[0]: d for d in decisions}, set()
+    ids = {p: i for i, p, _ in rows}
+    for i, p, own in sorted(rows):
+        if state.get(p) == "fail" or (state.get(p) == "newSegment" and i not in known):
+            continue
+        if i not in known:
+            state[p] = own
+            continue
+        _, _, decision, gone, segments = known[i]
+        state[p] = decision
+        if decision != "boundariesShifted":
+            for s in segments:
+                if s in ids:
+                    state[s] = "fail" if decision == "fail" else "newSegment"
+            marks |= set(gone) if decision != "fail" else set()
+    return state, marks
+
+
+def test_decisions_act_in_order(spark):
+    r = random.Random(8)
+    for size in (24,):
+        order = r.sample(range(1000), size)
+        rows = [(i, 10 + p, r.choice(["exact", "fail", "newBoundary"])) for p, i in enumerate(order)]
+        decisions = []
+        for i, p, _ in rows:
+            if r.random() < 0.7:
+                what = r.choice(["fail", "fail", "merged", "segmented", "boundariesShifted", "mergedAndSegmented"])
+                pool = [q for j, q, _ in rows if q != p]
+                # Segments that are accepted are new numbers; only failures name any row.
+                segments = r.sample(pool, min(len(pool), r.randrange(4))) if what == "fail" else []
+                decisions.append((i, p, what, [900 + p] if what.startswith("merged") else [], segments))
+        fresh = [(i, p, o) for i, p, o in rows if i not in {d[0] for d in decisions}]
+        for d in decisions:
+            if d[2] in ("segmented", "mergedAndSegmented") and fresh:
+                d[4].extend({r.choice(fresh)[1] for _ in range(2)})
+        a = spark.createDataFrame(rows, "id long, poly_id long, match_type string")
+        b = spark.createDataFrame(decisions, "id long, poly_id long, decision string, merged_ids array<long>, segment_ids array<long>")
+        out, marks = lineage.resolved(a, b)
+        state, gone = _settle(rows, decisions)
+        assert {x.poly_id: x.match_type for x in out.collect()} == state and {x.poly_id for x in marks.collect()} == gone
+
+
+def test_losses_in_rounds(spark):
+    """What is left after a first neighbour is looked at again, shrunk by less; land of no one ends it."""
+    u = 1e-4
+    old = shapes(spark, [(1, box(0, 0, 20 * u, 8 * u))], "poly_id long")
+    keep, wide = box(0, 0, 2 * u, 8 * u), box(2 * u, 0, 18.6 * u, 8 * u)
+    thin = box(18.6 * u, 0, 20 * u, 8 * u)
+    for last, incomplete, segments in ((thin, False, [2, 3]), (None, True, [2])):
+        new = shapes(spark, [(1, keep), (2, wide)] + ([(3, last)] if last else []), "poly_id long")
+        rows = old.select("poly_id", F.col("geom").alias("old_geom")).join(new.select("poly_id", "geom"), "poly_id").select(F.lit(1).cast("long").alias("id"), "*", F.lit(0.0).alias("lng_offset"), F.lit(0.0).alias("lat_offset"))
+        got = lineage.losses(lineage._shapes(rows), old, new).first()
+        assert (got.segments, got.failed, got.incomplete) == (segments, False, incomplete)
