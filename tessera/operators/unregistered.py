@@ -6,8 +6,10 @@ overlap and taken off it together.
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry, kernel
@@ -153,3 +155,28 @@ def with_features(tiles: DataFrame, cache: DataFrame, source: DataFrame) -> Data
     missing = uncached(tiles, cache).select("id", "geom", *spatial.BOX)
     new = spatial.join(missing, source.select("id", "geom", *spatial.BOX), exact=False).select("r.id", F.col("l.id").alias("tile_id"), "r.geom")
     return cache.select("id", "tile_id", "geom").unionByName(new)
+
+
+LEDGER = "first long, next long, at timestamp"
+
+
+def ranges_left(spark: SparkSession, ledger: str, first: int, stop: int, step: int) -> list[tuple[int, int]]:
+    """Ranges [a, b) of tile ids from `first` to before `stop` that the ledger doesn't have yet; one entry a range."""
+    done = {(r["first"], r["next"]) for r in spark.read.schema(LEDGER).parquet(ledger).collect()}
+    return [(a, b) for a, b in ((a, min(a + step, stop)) for a in range(first, stop, step)) if (a, b) not in done]
+
+
+def build(tiles: DataFrame, pending: DataFrame, land: DataFrame, target: str, first: int, stop: int, step: int = 1_000) -> None:
+    """Build the layer of the tiles with ids from `first` to before `stop` at target/layer, a range of `step` ids after the other.
+
+    A range is written over what an earlier try left of it, and entered in the ledger
+    (target/ledger) once it is whole. So a build that is cut off goes on, when called
+    again, with the first range that isn't entered, and gives what one in one go does.
+    """
+    spark = tiles.sparkSession
+    spark.createDataFrame([], LEDGER).write.mode("append").parquet(f"{target}/ledger")
+    for a, b in ranges_left(spark, f"{target}/ledger", first, stop, step):
+        own = tiles.filter((F.col("id") >= a) & (F.col("id") < b))
+        near = land.filter((F.col("tile_id") >= a) & (F.col("tile_id") < b))
+        built(own, pending, near).write.mode("overwrite").parquet(f"{target}/layer/first={a}")
+        spark.createDataFrame([(a, b, dt.datetime.now())], LEDGER).coalesce(1).write.mode("append").parquet(f"{target}/ledger")

@@ -7,7 +7,7 @@ import io
 import itertools
 import math
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -112,14 +112,24 @@ def countries(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.xxhash64(F.to_json("geom")).alias("id"), "geom")
 
 
+#: Half axes of Airy 1830.
+AIRY = (6377563.396, 6356256.909)
+
+
 def to_wgs84(easting: pd.Series, northing: pd.Series) -> pd.DataFrame:
-    """National Grid metres to WGS84 degrees: inverse transverse Mercator on Airy 1830, then a seven-parameter shift.
+    """National Grid metres to WGS84 degrees by the seven-parameter shift."""
+    p = unprojected(easting, northing)
+    return helmert(p["lng"], p["lat"])
+
+
+def unprojected(easting: pd.Series, northing: pd.Series) -> pd.DataFrame:
+    """National Grid metres to degrees on Airy 1830: inverse transverse Mercator.
 
-    Fixed values: the ellipsoids, the projection and the published Helmert parameters (metres-level).
+    Fixed values: the projection.
     """
     import numpy as np
 
-    a, b, f0, lat0, lng0, e0, n0 = 6377563.396, 6356256.909, 0.9996012717, math.radians(49), math.radians(-2), 400000.0, -100000.0
+    (a, b), f0, lat0, lng0, e0, n0 = AIRY, 0.9996012717, math.radians(49), math.radians(-2), 400000.0, -100000.0
     e, n = np.asarray(easting, float), np.asarray(northing, float)
     e2, k = 1 - b * b / (a * a), (a - b) / (a + b)
 
@@ -135,6 +145,18 @@ def to_wgs84(easting: pd.Series, northing: pd.Series) -> pd.DataFrame:
     h, t, c, x = v / p - 1, np.tan(lat), 1 / np.cos(lat), e - e0
     phi = lat - t / (2 * p * v) * x**2 + t / (24 * p * v**3) * (5 + 3 * t**2 + h - 9 * t**2 * h) * x**4 - t / (720 * p * v**5) * (61 + 90 * t**2 + 45 * t**4) * x**6
     lam = lng0 + c / v * x - c / (6 * v**3) * (v / p + 2 * t**2) * x**3 + c / (120 * v**5) * (5 + 28 * t**2 + 24 * t**4) * x**5 - c / (5040 * v**7) * (61 + 662 * t**2 + 1320 * t**4 + 720 * t**6) * x**7
+    return pd.DataFrame({"lng": np.degrees(lam), "lat": np.degrees(phi)})
+
+
+def helmert(lng: pd.Series, lat: pd.Series) -> pd.DataFrame:
+    """Degrees on Airy 1830 to WGS84 by seven parameters.
+
+    Fixed values: the ellipsoid and the published parameters (metres-level).
+    """
+    import numpy as np
+
+    (a, b), lam, phi = AIRY, np.radians(np.asarray(lng, float)), np.radians(np.asarray(lat, float))
+    e2 = 1 - b * b / (a * a)
     v = a / np.sqrt(1 - e2 * np.sin(phi) ** 2)
     px, py, pz = v * np.cos(phi) * np.cos(lam), v * np.cos(phi) * np.sin(lam), (1 - e2) * v * np.sin(phi)
     tx, ty, tz, scale = 446.448, -125.157, 542.060, 1 - 20.4894e-6
@@ -150,20 +172,30 @@ def to_wgs84(easting: pd.Series, northing: pd.Series) -> pd.DataFrame:
 
 def _positions(lists: pd.Series) -> pd.Series:
     """Rings of positions of each feature's lists of numbers."""
+    return _rings(lists, to_wgs84)
+
+
+def _airy_positions(lists: pd.Series) -> pd.Series:
+    return _rings(lists, unprojected)
+
+
+def _rings(lists: pd.Series, degrees: Callable[[pd.Series, pd.Series], pd.DataFrame]) -> pd.Series:
     out = []
     for texts in lists:
         rings = []
         for text in texts:
             xy = [float(x) for x in (text or "").split()]
-            p = to_wgs84(pd.Series(xy[0::2], dtype=float), pd.Series(xy[1::2], dtype=float))
+            p = degrees(pd.Series(xy[0::2], dtype=float), pd.Series(xy[1::2], dtype=float))
             rings.append([[a, b] for a, b in zip(p["lng"].tolist(), p["lat"].tolist(), strict=True)])
         out.append(rings)
     return pd.Series(out, dtype=object)
 
 
-def gml(spark: SparkSession, path: str, council: str | None = None) -> DataFrame:
+def gml(spark: SparkSession, path: str, council: str | None = None, grid: str | None = None) -> DataFrame:
     """(poly_id, geom, council) from feature files in National Grid coordinates; without a name, a file's own names the council.
 
+    grid: path of an NTv2 file from Airy 1830 to WGS84; without it the shift is by seven parameters, metres off.
+
     A row is a feature, so two features of one id stay two shapes. Files without features give none.
     """
     schema = "`LR:INSPIREID` long, `LR:GEOMETRY` struct<`gml:Polygon`:struct<`gml:exterior`:struct<`gml:LinearRing`:struct<`gml:posList`:string>>,`gml:interior`:array<struct<`gml:LinearRing`:struct<`gml:posList`:string>>>>>"
@@ -171,10 +203,15 @@ def gml(spark: SparkSession, path: str, council: str | None = None) -> DataFrame
     polygon = F.col("`LR:GEOMETRY`.`gml:Polygon`")
     outer = F.array(polygon["gml:exterior"]["gml:LinearRing"]["gml:posList"])
     holes = F.transform(F.coalesce(polygon["gml:interior"], F.array().cast("array<struct<`gml:LinearRing`:struct<`gml:posList`:string>>>")), lambda x: x["gml:LinearRing"]["gml:posList"])
-    rings = F.pandas_udf(_positions, "array<array<array<double>>>")
+    rings = F.pandas_udf(_positions if grid is None else _airy_positions, "array<array<array<double>>>")
     name = F.lit(council) if council is not None else F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -1), r"(?i)(%20|\.gml$)", "")
     shapes = df.select(F.col("`LR:INSPIREID`").alias("poly_id"), name.alias("council"), rings(F.concat(outer, holes)).alias("c"))
-    return shapes.select("poly_id", F.struct(F.lit("Polygon").alias("type"), F.col("c").alias("coordinates")).alias("geom"), "council")
+    shapes = shapes.select("poly_id", F.struct(F.lit("Polygon").alias("type"), F.col("c").alias("coordinates")).alias("geom"), "council")
+    if grid is None:
+        return shapes
+    from tessera.sources import gridshift
+
+    return gridshift.applied(shapes, gridshift.cells(spark, grid))
 
 
 def latest_month(spark: SparkSession, folder: str) -> str | None:

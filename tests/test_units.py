@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import math
 import random
+import struct
 
 import pandas as pd
 import pytest
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geometry, kernel
 from tessera.operators import lineage, matching, ownership, parcels, spatial, tables, unregistered
 from tessera.plans import analysis, runs
-from tessera.sources import files
+from tessera.sources import files, gridshift
 from tessera.streaming import changes
 
 #: Triangles on a parallel: their area is half of R^2 * width * (sin(top) - sin(base)).
@@ -473,3 +474,75 @@ def test_losses_in_rounds(spark):
         rows = old.select("poly_id", F.col("geom").alias("old_geom")).join(new.select("poly_id", "geom"), "poly_id").select(F.lit(1).cast("long").alias("id"), "*", F.lit(0.0).alias("lng_offset"), F.lit(0.0).alias("lat_offset"))
         got = lineage.losses(lineage._shapes(rows), old, new).first()
         assert (got.segments, got.failed, got.incomplete) == (segments, False, incomplete)
+
+
+def _grid_file(order, *grids):
+    """An NTv2 file; grids: (name, south, north, west, east, step in degrees, shift of (lat, lng) in seconds)."""
+    text = lambda x: x.ljust(8).encode()
+    whole = lambda k, x: text(k) + struct.pack(f"{order}i", x) + b"\0" * 4
+    real = lambda k, x: text(k) + struct.pack(f"{order}d", x)
+    word = lambda k, x: text(k) + text(x)
+    out = [whole("NUM_OREC", 11), whole("NUM_SREC", 11), whole("NUM_FILE", len(grids)), word("GS_TYPE", "SECONDS"), word("VERSION", "1"), word("SYSTEM_F", "A"), word("SYSTEM_T", "B"), *[real(k, 6e6) for k in ("MAJOR_F", "MINOR_F", "MAJOR_T", "MINOR_T")]]
+    for name, south, north, west, east, step, shift in grids:
+        rows, cols = round((north - south) / step) + 1, round((east - west) / step) + 1
+        out += [word("SUB_NAME", name), word("PARENT", "NONE"), word("CREATED", ""), word("UPDATED", "")]
+        out += [real(k, x * 3600) for k, x in (("S_LAT", south), ("N_LAT", north), ("E_LONG", -east), ("W_LONG", -west), ("LAT_INC", step), ("LONG_INC", step))] + [whole("GS_COUNT", rows * cols)]
+        for i in range(rows):
+            for j in range(cols):
+                lat, lng = shift(south + i * step, east - j * step)
+                out.append(struct.pack(f"{order}4f", lat, -lng, 0, 0))
+    return b"".join(out) + text("END") + b"\0" * 8
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_grid_shift(spark, tmp_path, order):
+    """Shifts that are bilinear come out exactly; of nested sub-grids the finer counts; beyond them seven parameters do."""
+    coarse = lambda lat, lng: (3 + 2 * (lat - 50) + 0.5 * (lng + 3) * (lat - 50), -4 + (lng + 3) * 1.5)
+    fine = lambda lat, lng: (7 - (lat - 51), 1 + (lng + 2))
+    (tmp_path / "g.gsb").write_bytes(_grid_file(order, ("COARSE", 50, 52, -3, 0, 0.5, coarse), ("FINE", 51, 51.5, -2, -1.5, 0.125, fine)))
+    r = random.Random(4)
+    at = [(r.uniform(-3, 0), r.uniform(50, 52)) for _ in range(60)] + [(-3.0, 50.0), (0.0, 52.0), (-2.0, 51.0), (-1.5, 51.5), (-1.75, 51.25), (-9.0, 49.0)]
+    cells = gridshift.cells(spark, str(tmp_path / "g.gsb"))
+    assert cells.groupBy("grid").count().orderBy("grid").collect() == [("COARSE", 24), ("FINE", 16)]
+    got = {x.key: (x.lng, x.lat) for x in gridshift.shifted(spark.createDataFrame([(i, *p) for i, p in enumerate(at)], "key long, lng double, lat double"), cells).collect()}
+    for i, (lng, lat) in enumerate(at):
+        if lng == -9:
+            far = files.helmert(pd.Series([lng]), pd.Series([lat])).iloc[0]
+            want = (far.lng, far.lat)
+        else:
+            dlat, dlng = (fine if 51 <= lat <= 51.5 and -2 <= lng <= -1.5 else coarse)(lat, lng)
+            want = (lng + dlng / 3600, lat + dlat / 3600)
+        assert abs(got[i][0] - want[0]) < 1e-8 and abs(got[i][1] - want[1]) < 1e-8, at[i]
+    hole = [[-2.5, 50.2], [-2.4, 50.2], [-2.4, 50.3], [-2.5, 50.2]]
+    df = spark.createDataFrame([(1, {"type": "Polygon", "coordinates": [box(-2.9, 50.1, -1.1, 51.9), hole]}), (2, {"type": "Polygon", "coordinates": [hole]}), (2, {"type": "Polygon", "coordinates": [hole]})], f"id long, geom {geometry.POLYGON}")
+    out = gridshift.applied(df, cells).collect()
+    assert sorted((x.id, [len(c) for c in x.geom.coordinates]) for x in out) == [(1, [5, 4]), (2, [4]), (2, [4])]
+    dlat, dlng = coarse(50.2, -2.4)
+    assert all(abs(x.geom.coordinates[-1][1][0] - (-2.4 + dlng / 3600)) < 1e-8 and abs(x.geom.coordinates[-1][1][1] - (50.2 + dlat / 3600)) < 1e-8 for x in out)
+    with pytest.raises(ValueError):
+        list(gridshift.subgrids(b"\0" * 400))
+
+
+def test_build_goes_on(spark, tmp_path, monkeypatch):
+    """A build that is cut off and called again gives what one in one go does."""
+    tiles = shapes(spark, [(i, box(i * 0.01, 50, i * 0.01 + 0.009, 50.005)) for i in range(1, 6)], "id long")
+    parcels_ = shapes(spark, [(1, box(0.012, 50.001, 0.015, 50.003)), (2, box(0.04, 49.99, 0.044, 50.01))], "id long")
+    land = shapes(spark, [(i, i, box(i * 0.01, 50, i * 0.01 + 0.008, 50.005)) for i in range(1, 6)], "id long, tile_id long")
+    area = lambda df: sorted((r.tile_id, round(r.a, 2)) for r in df.groupBy("tile_id").agg(F.sum(geometry.area(F.col("geom"))).alias("a")).collect())
+    whole, target, calls = unregistered.built, str(tmp_path / "u"), []
+
+    def cut_off(*a):
+        calls.append(1)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        return whole(*a)
+
+    monkeypatch.setattr(unregistered, "built", cut_off)
+    with pytest.raises(KeyboardInterrupt):
+        unregistered.build(tiles, parcels_, land, target, 1, 6, step=2)
+    assert unregistered.ranges_left(spark, f"{target}/ledger", 1, 6, 2) == [(3, 5), (5, 6)]
+    unregistered.build(tiles, parcels_, land, target, 1, 6, step=2)
+    unregistered.build(tiles, parcels_, land, target, 1, 6, step=2)
+    assert len(calls) == 4 and area(spark.read.parquet(f"{target}/layer")) == area(whole(tiles, parcels_, land))
+    unregistered.build(tiles, parcels_, land, str(tmp_path / "some"), 2, 4)
+    assert {t for t, _ in area(spark.read.parquet(str(tmp_path / "some/layer")))} == {2, 3}
