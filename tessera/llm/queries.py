@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
 from tessera.llm import decontamination, divergence, infilling, licenses, mixing, multiset, pii, quality, records, sharding, simhash, substrings, urls
 from tessera.llm.common import table
 
-#: The tokenizer whose ids op11 writes.
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+def tokenizer() -> str:
+    """Path of the tokenizer whose ids op11 writes."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
+    return records.round_trip(table(spark, sf_dir, "documents"), tokenizer())
 
 
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

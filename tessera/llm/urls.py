@@ -27,8 +27,8 @@ from tessera.llm.common import checkpointed
 #: Fixed values: (verdict, host, path) of the rules.
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 SUPPORT, CONFIDENCE, RISK = 0.005, 0.6, 0.01
-#: Labelled pages that a rule needs at least, and tokens of a URL that mining looks at (itemsets grow with 2 to their number; matching looks at all).
-LEAST, MINED_TOKENS = 10, 16
+#: Labelled pages that a rule needs at least.
+LEAST = 10
 BAD = "=bad"
 #: Rules beyond this number are joined by shuffle.
 FEW = 10_000
@@ -77,15 +77,25 @@ def by_rule(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def mined(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, risk: float = RISK) -> DataFrame:
     """(rule_id, items, n, confidence): token combinations that imply a bad label (quality 0 or toxic 1) beyond chance.
 
-    labels tell of the document with the page's number.
+    labels tell of the document with the page's number. Tokens that occur on too few
+    labelled pages are left out, and of tokens that occur on the same pages, all of
+    which support the same rules, the least stands for all, so that a URL of many
+    tokens, wherever they stand, makes no more itemsets than it has kinds of them.
     """
     marks = labels.groupBy(F.col("doc_id").alias("page_id")).agg(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("bad"))
-    rows = pages.select("page_id", F.slice(tokens(F.col("url")), 1, MINED_TOKENS).alias("t")).join(marks, "page_id").filter(F.size("t") > 0)
-    baskets = checkpointed(rows.select(F.concat("t", F.when(F.col("bad") == 1, F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items"), "bad"))
-    n, bad = baskets.agg(F.count(F.lit(1)), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    rows = pages.select("page_id", tokens(F.col("url")).alias("t")).join(marks, "page_id").filter(F.size("t") > 0)
+    rows = checkpointed(rows.select(F.monotonically_increasing_id().alias("row"), "t", "bad"))
+    n, bad = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("bad"), F.lit(0))).first()
     if not 0 < bad < n:
         return pages.sparkSession.createDataFrame([], "rule_id string, items array<string>, n long, confidence double")
-    model = FPGrowth(itemsCol="items", minSupport=max(support, LEAST * confidence / n), minConfidence=confidence).fit(baskets.select("items"))
+    least = max(support, LEAST * confidence / n)
+    each = rows.select("row", F.explode("t").alias("token"))
+    spread = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("where")).filter(F.col("n") >= least * n)
+    kinds = spread.groupBy("n", "where").agg(F.min("token").alias("token")).select("token")
+    kept = each.join(kinds, "token").groupBy("row").agg(F.collect_list("token").alias("kept"))
+    items = F.concat(F.coalesce("kept", F.array().cast("array<string>")), F.when(F.col("bad") == 1, F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")))
+    baskets = checkpointed(rows.select("row", "bad").join(kept, "row", "left").select(items.alias("items")))
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(baskets)
     sets = checkpointed(model.freqItemsets)
     tried, base = sets.count(), bad / n
     key = F.array_join(F.array_sort("items"), " ")

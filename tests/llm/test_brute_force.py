@@ -757,3 +757,12 @@ def test_components_of_any_graph(spark):
                     root[a] = root[b] = min(root[a], root[b])
         found = components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()
         assert sorted((r.node, r.root) for r in found) == sorted(root.items())
+
+
+def test_url_tokens_count_wherever_they_stand(spark):
+    """URLs of 3,000 tokens: a token that tells bad pages is found behind all others, and those that go together are one."""
+    many = "/".join(f"s{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3000))
+    rows = [(i, f"http://a.org/{many}/{'zzbad' if i % 3 == 0 else 'zzgood'}/x{chr(97 + i % 20)}") for i in range(240)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0 if i % 3 == 0 else 1, 0) for i in range(240)], "doc_id long, quality int, toxic int")
+    assert [r["items"] for r in urls.mined(pages, labels).collect()] == [["p:zzbad"]]

@@ -112,8 +112,8 @@ def test_radix_select(spark):
 
 
 def test_token_records(spark, both, empty):
-    tokenizer = Tokenizer.from_file(queries.TOKENIZER)
-    assert records.round_trip(empty, queries.TOKENIZER).collect() == []
+    tokenizer = Tokenizer.from_file(queries.tokenizer())
+    assert records.round_trip(empty, queries.tokenizer()).collect() == []
     for docs in both:
         rows = sorted(((r.doc_id, r.text or "", r.text is not None) for r in docs.select("doc_id", "text").collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[2], x[1].encode()))
         start, want = 0, []
@@ -121,12 +121,12 @@ def test_token_records(spark, both, empty):
             ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 0]
             want.append((d, start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
             start += len(ids)
-        assert sorted(map(tuple, records.round_trip(docs, queries.TOKENIZER).collect()), key=lambda x: x[1]) == want
+        assert sorted(map(tuple, records.round_trip(docs, queries.tokenizer()).collect()), key=lambda x: x[1]) == want
 
 
 def test_token_records_format(spark, hard, tmp_path):
     folder = str(tmp_path / "out")
-    records.write(hard, folder, queries.TOKENIZER)
+    records.write(hard, folder, queries.tokenizer())
     inorder = records.read(spark, folder).orderBy("start").collect()
     mixed = records.shuffled(spark, folder, 3).collect()
     assert sorted((str(r.doc_id), r.ids) for r in mixed) == sorted((str(r.doc_id), r.ids) for r in inorder)
@@ -155,7 +155,7 @@ def test_token_records_format(spark, hard, tmp_path):
 
 
 def test_encoder_cuts_where_the_tokenizer_does():
-    with open(queries.TOKENIZER, encoding="utf-8") as f:
+    with open(queries.tokenizer(), encoding="utf-8") as f:
         definition = f.read()
     whole, encode = Tokenizer.from_str(definition), records.Encoder(definition, None)
     r = random.Random(11)
