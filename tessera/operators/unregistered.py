@@ -17,6 +17,8 @@ from tessera.operators import spatial
 from tessera.operators.tables import appended, largest_id, written
 
 LEAST_M2, SLIVER_M, OPENING_M, GAP_M, BORDER_M, TILE_M2 = 20.0, 2.0, 0.6, 0.2, 50.0, 2000.0
+#: Fixed value: places of the second try.
+COARSE = 5
 #: Square metres beyond which a land shape is worked on in parts.
 MOST_M2 = 1e6
 
@@ -32,12 +34,23 @@ def is_sliver(polygon: list) -> bool:
     return kernel.area([polygon]) <= LEAST_M2 or not kernel.buffered([polygon], -SLIVER_M)
 
 
+def _less(land: list, cuts: list[list], alone: bool) -> list:
+    """land less the cuts; where rounding leaves crossings, once more with coarser places, which part long borders that nearly run together.
+
+    The land of a part keeps its places, so that it still meets its neighbours.
+    """
+    try:
+        return kernel.difference(land, *(rounded(c) for c in cuts))
+    except ArithmeticError:
+        return kernel.difference(rounded(land, COARSE) if alone else land, *(rounded(c, COARSE) for c in cuts))
+
+
 def _cut(group: pd.DataFrame) -> pd.DataFrame:
     """A part of a land shape less what lies on it, at once: the order of the cuts makes no difference, as slivers leave slivers only."""
     land = kernel.polygons_of(group["land"].iloc[0])
-    rest = kernel.difference(land, *(rounded(kernel.polygons_of(c)) for c in group["cut"]))
-    changed = abs(kernel.area(land) - kernel.area(rest)) >= 1e-6
     alone = bool(group["alone"].iloc[0])
+    rest = _less(land, [kernel.polygons_of(c) for c in group["cut"]], alone)
+    changed = abs(kernel.area(land) - kernel.area(rest)) >= 1e-6
     pieces = [p for p in rounded(rest) if not is_sliver(p)] if alone and changed else rest
     rows = [(group["land_id"].iloc[0], changed, {"type": "Polygon", "coordinates": p}) for p in pieces] or [(group["land_id"].iloc[0], changed, None)]
     return pd.DataFrame(rows, columns=["land_id", "changed", "geom"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,6 +12,8 @@ from tessera.functions import geometry
 from tessera.operators import lineage, matching, ownership, parcels, spatial, tables, unregistered
 from tessera.plans import analysis, runs
 from tessera.plans import fixtures as fx
+from tessera.sources import stored
+from tessera.streaming import titles as title_stream
 
 BOX = (-4.99, 50.0, -4.9, 50.01)
 _BOX = "xmin <= -4.9e0 AND xmax >= -4.99e0 AND ymin <= 50.01e0 AND ymax >= 50e0"
@@ -34,6 +37,11 @@ def _r(c: str, places: int = 9):
     return F.round(c, places).alias(c)
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder in the shared one."""
+    return f"{tables.shared_folder(spark)}/{uuid.uuid4()}"
+
+
 def _area(x0: str, y0: str, x1: str, y1: str) -> str:
     return f"(CASE WHEN ({x1}) > ({x0}) AND ({y1}) > ({y0}) THEN (radians({x1}) - radians({x0})) * (sin(radians({y1})) - sin(radians({y0}))) * {R} * {R} ELSE 0e0 END)"
 
@@ -51,6 +59,14 @@ def boundaries_all(spark, d):
     return _box(spark, d)
 
 
+@query(f"{_SELECT} {_BOX} ORDER BY poly_id LIMIT 5000")
+def boundaries_along_curve(spark, d):
+    """The search by box on parcels stored along the curve."""
+    folder = _folder(spark)
+    stored.write_along_curve(fx.parcels(spark, d), folder, 16)
+    return parcels.in_box(stored.near_box(spark, folder, *BOX), fx.titles(spark, d), BOX).select(*_OWNED, _r("xmin"))
+
+
 @query(f"{_SELECT} {_BOX} AND (tenure = 'Freehold' OR tenure IS NULL) ORDER BY poly_id LIMIT 5000")
 def boundaries_no_leasehold(spark, d):
     return _box(spark, d, include_leaseholds=False)
@@ -295,6 +311,15 @@ def merge_accepted(spark, d):
     return out.select("poly_id", "title_no", F.round("xmin", 9).alias("xmin"), "updatedAt", "is_updated")
 
 
+@query(f"{_CASCADE} SELECT coalesce(q.poly_id, k.poly_id) AS poly_id, q.title_no, round(coalesce(k.xmin, q.xmin), 9) AS xmin, coalesce(k.createdAt, q.updatedAt) AS updatedAt FROM (SELECT * FROM p WHERE poly_id NOT IN (SELECT poly_id FROM n WHERE council = 'council_99')) q FULL OUTER JOIN (SELECT * FROM f WHERE match_type <> 'fail') k ON q.poly_id = k.poly_id")
+def merge_stored(spark, d):
+    """Marked parcels taken out of a table of buckets and accepted shapes put in."""
+    folder = _folder(spark)
+    stored.write_by_key(fx.parcels(spark, d), folder, 16)
+    stored.merge(spark, folder, _classified(spark, d), fx.deletions(spark, d))
+    return stored.by_key(spark, folder).select("poly_id", "title_no", _r("xmin"), "updatedAt")
+
+
 @query(f"{_CASCADE} SELECT f.id, f.poly_id, f.council, 'Accepted' AS tenure FROM f WHERE match_type <> 'fail' AND {_BOX} ORDER BY poly_id, id LIMIT 5000")
 def boundaries_pending_accepted(spark, d):
     rows = spatial.with_box(_classified(spark, d))
@@ -373,6 +398,15 @@ def ownership_cdc(spark, d):
     return out.select("title_no", "file_date", (F.col("type") == "ccod").alias("proprietor_uk_based"), "event_id")
 
 
+@query("SELECT title_no, file_date, type, event_id FROM (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY title_no ORDER BY file_date DESC, type DESC, op <> 'D' DESC, event_id DESC) = 1) WHERE op = 'A'")
+def ownership_stream(spark, d):
+    """The same from a stream that keeps each title's last change, in two batches of files."""
+    folder, changes = _folder(spark), fx.changes(spark, d)
+    changes.repartition(8).write.parquet(f"{folder}/in")
+    title_stream.follow(spark, f"{folder}/in", changes.schema, f"{folder}/log", f"{folder}/marks", files=4).awaitTermination()
+    return title_stream.titles(spark, f"{folder}/log")
+
+
 _FILES = "SELECT DISTINCT file_date, type, concat(upper(type), '_COU_', CAST(file_date AS STRING), '.zip') AS filename FROM ch"
 
 

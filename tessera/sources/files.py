@@ -234,10 +234,18 @@ def unzipped(spark: SparkSession, archives: DataFrame, target: str) -> None:
     archives.select("council", "content").mapInPandas(texts, "council string, value string").write.mode("overwrite").partitionBy("council").option("lineSep", "\n").text(target)
 
 
-def load_councils(spark: SparkSession, folder: str, work: str, target: str, after: str | None = None, most: int = 10_000) -> None:
-    """Archives <council>.zip of a folder into the councils' partitions at target; councils without features keep what they have."""
+def archived(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, council) of a folder's archives."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
-    names = found.select("path", F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.zip$", "").alias("council"))
+    return found.select("path", F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.zip$", "").alias("council"))
+
+
+def load_councils(spark: SparkSession, folder: str, work: str, target: str, after: str | None = None, most: int = 10_000, only: list[str] | None = None) -> None:
+    """Archives <council>.zip of a folder, or those of the councils `only`, into the councils' partitions at target; councils without features keep what they have."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
+    names = archived(spark, folder)
+    if only is not None:
+        names = names.filter(F.col("council").isin(only))
     listed = councils_after(names.withColumn("ordinal", F.rank().over(Window.orderBy("council"))), after, most)  # one row a council, a few hundred
     unzipped(spark, found.join(F.broadcast(listed.select("path", "council")), "path"), work)
     if listed.isEmpty():

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tessera.operators import ownership
@@ -66,7 +67,7 @@ def last_changes(changes: DataFrame) -> DataFrame:
     return rows.groupBy("title_no").transformWithStateInPandas(LastChange(), _OUT, "update", "none")
 
 
-def follow(spark: SparkSession, source: str, schema: str, log: str, checkpoint: str, files: int = 100) -> StreamingQuery:
+def follow(spark: SparkSession, source: str, schema: str | T.StructType, log: str, checkpoint: str, files: int = 100) -> StreamingQuery:
     """Follow change files of `source`: new last changes go to log/batch=<number>, which a batch run again replaces."""
 
     def put(batch: DataFrame, n: int) -> None:
