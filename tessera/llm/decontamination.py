@@ -1,7 +1,8 @@
 """Benchmark decontamination by canonical templates.
 
 Texts become words in which numbers, names and units are typed placeholders:
-<number>, <unit> after a number, <name> for a capitalised word. Items are taken in a
+<number>, <unit> after a number, <name> for a capitalised word. Eight or more
+capitalised words on end are text in title case: their words are plain. Items are taken in a
 second form as well, with capitalised words as plain ones, so that copies in other
 case are found too; documents in one form only.
 Windows of WIDTH such words of each benchmark item are hash-joined with the windows
@@ -35,6 +36,8 @@ MANY = 2_000_000
 #: Hashes of texts with hits up to which they are broadcast (some 100 bytes each).
 FEW = 200_000
 MARK, SEP = "§", "¦"
+#: Capitalised words on end, with no letters between, or what goes on behind so many that one match ends.
+TITLE = r"(?<!\p{L})\p{Lu}\p{L}*+(?:[^\p{L}]{1,20}+\p{Lu}\p{L}*+){7,200}+|\G(?!\A)(?:[^\p{L}]{1,20}+\p{Lu}\p{L}*+){1,200}+"
 NO_WINDOWS = "array<struct<n:int,at:int,h:bigint>>"
 #: Units that may follow a number.
 UNITS = "km cm mm nm m kg mg g lb lbs oz t l ml mph kmh kph ft inch inches mile miles hour hours hr hrs h minute minutes min second seconds sec s day days week weeks month months year years dollar dollars euro euros cent cents percent degrees mb gb kb tb hz khz mhz ghz kw w v".split()
@@ -45,6 +48,7 @@ def tagged(text: Column, names: bool = True, values: bool = True) -> Column:
     shown = lambda kind: f"{MARK}{kind}{SEP}$1" if values else f"{MARK}{kind}"
     t = F.translate(F.coalesce(text, F.lit("")), MARK + SEP, "  ")
     if names:
+        t = _bound(t, lambda x: F.when(x.rlike(TITLE), _lowered(x)).otherwise(x))
         t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])(\p{Lu}\p{Ll}+)", shown("n"))
     t = F.lower(t)
     marks = MARK + SEP
@@ -58,6 +62,12 @@ def tagged(text: Column, names: bool = True, values: bool = True) -> Column:
     return F.trim(_bound(t, lambda x: F.when(x.rlike("[0-9]"), with_numbers(x)).otherwise(F.regexp_replace(x, rf"[^\p{{L}}\p{{N}}{marks}]+", " "))))
 
 
+def _lowered(text: Column) -> Column:
+    """The text with its runs in title case in lower case."""
+    runs = F.regexp_extract_all(text, F.lit(TITLE), F.lit(0))
+    return F.array_join(F.zip_with(F.split(text, TITLE), runs, lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.lower(F.coalesce(b, F.lit(""))))), "")
+
+
 def _bound(value: Column, f) -> Column:
     """f(value) with the value computed once: a lambda's own expressions are evaluated anew for each element."""
     return F.transform(F.array(value), f)[0]

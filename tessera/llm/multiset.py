@@ -2,7 +2,8 @@
 
 A paragraph (a line) hashes to a wide vector of LANES 64-bit lanes (BLAKE2b in
 counter mode) and SKETCH 32-bit lanes, the signed count sketch of its three-word
-shingles. A document's fingerprint is the sum of its paragraphs' vectors, modulo
+shingles; of a paragraph of fewer than SHORT words its words and pairs as well, and
+of one of fewer than three, beyond LONG bytes, its runs of eight bytes. A document's fingerprint is the sum of its paragraphs' vectors, modulo
 2^64 and 2^32. Sums don't depend on order, and `plus` and `minus` insert and
 delete a paragraph without the rest of the text. The wide lanes decide equality;
 the cosine of the sketch lanes estimates how much of two texts is common.
@@ -28,6 +29,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import hashes, map_arrow, mixed, words_of
 
 LANES, SKETCH = 16, 128
+#: Words from which a paragraph counts by its three-word shingles alone.
+SHORT = 8
+#: Bytes beyond which a paragraph of one or two words counts by its runs of bytes as well.
+LONG = 32
 #: Rows that a task reads in order of doc_id.
 RUN = 2_000
 #: Runs at most; beyond it they get longer, and a task still holds two texts at a time.
@@ -39,20 +44,33 @@ def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
     wide, sketch = np.zeros(LANES, np.uint64), np.zeros(SKETCH, np.int32)
     if not text:
         return wide, sketch
-    digests, words, lengths = [], [], []
+    digests, words, lengths, features = [], [], [], []
     for line in text.encode("utf-8", "surrogatepass").split(b"\n"):
         digests += [hashlib.blake2b(line, salt=b"\x00").digest(), hashlib.blake2b(line, salt=b"\x01").digest()]
         own = words_of(line)
         words += own
         lengths.append(len(own))
+        if len(own) < 3 and len(line) > LONG:
+            features.append(_octets(line))
     wide = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, LANES).sum(0, dtype=np.uint64)
     h = hashes(words)
     line = np.repeat(np.arange(len(lengths)), lengths)
-    if len(h) >= 3:
-        three = mixed((h[:-2] * np.uint64(3) + h[1:-1]) * np.uint64(0x9E3779B97F4A7C15) + h[2:])[line[:-2] == line[2:]]
-        counts = np.bincount((three & np.uint64(SKETCH - 1)).astype(np.int64), 1.0 - 2.0 * ((three >> np.uint64(40)) & np.uint64(1)), SKETCH)
-        sketch = counts.astype(np.int64).astype(np.int32)
-    return wide, sketch
+    short = (np.array(lengths) < SHORT)[line]
+    features.append(mixed((h[:-2] * np.uint64(3) + h[1:-1]) * np.uint64(0x9E3779B97F4A7C15) + h[2:])[line[:-2] == line[2:]])
+    features.append(mixed(h[short] + np.uint64(1)))
+    features.append(mixed(h[:-1] * np.uint64(3) + h[1:])[short[1:] & (line[:-1] == line[1:])])
+    f = np.concatenate(features)
+    counts = np.bincount((f & np.uint64(SKETCH - 1)).astype(np.int64), 1.0 - 2.0 * ((f >> np.uint64(40)) & np.uint64(1)), SKETCH)
+    return wide, counts.astype(np.int64).astype(np.int32)
+
+
+def _octets(line: bytes) -> np.ndarray:
+    """A hash of each run of eight bytes."""
+    x = np.frombuffer(line, np.uint8).astype(np.uint64)
+    out = np.zeros(len(x) - 7, np.uint64)
+    for i in range(8):
+        out |= x[i : len(x) - 7 + i] << np.uint64(8 * i)
+    return mixed(mixed(out))
 
 
 def paragraphs(text: str) -> tuple[np.ndarray, np.ndarray]:
