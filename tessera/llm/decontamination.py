@@ -37,7 +37,9 @@ MANY = 2_000_000
 FEW = 200_000
 MARK, SEP = "§", "¦"
 #: Capitalised words on end, with no letters between, or what goes on behind so many that one match ends.
-TITLE = r"(?<!\p{L})\p{Lu}\p{L}*+(?:[^\p{L}]{1,20}+\p{Lu}\p{L}*+){7,200}+|\G(?!\A)(?:[^\p{L}]{1,20}+\p{Lu}\p{L}*+){1,200}+"
+TITLE = r"(?=\p{Lu})(?<!\p{L})\p{Lu}\p{L}*+(?:[^\p{L}]{1,20}+\p{Lu}\p{L}*+){7,200}+|\G(?!\A)(?:[^\p{L}]{1,20}+\p{Lu}\p{L}*+){1,200}+"
+#: What all texts with a TITLE run hold; cheaper to look for.
+TITLED = r"\p{Lu}\p{L}*+(?:[^\p{L}]{1,20}+\p{Lu}\p{L}*+){7}"
 NO_WINDOWS = "array<struct<n:int,at:int,h:bigint>>"
 #: Units that may follow a number.
 UNITS = "km cm mm nm m kg mg g lb lbs oz t l ml mph kmh kph ft inch inches mile miles hour hours hr hrs h minute minutes min second seconds sec s day days week weeks month months year years dollar dollars euro euros cent cents percent degrees mb gb kb tb hz khz mhz ghz kw w v".split()
@@ -48,14 +50,14 @@ def tagged(text: Column, names: bool = True, values: bool = True) -> Column:
     shown = lambda kind: f"{MARK}{kind}{SEP}$1" if values else f"{MARK}{kind}"
     t = F.translate(F.coalesce(text, F.lit("")), MARK + SEP, "  ")
     if names:
-        t = _bound(t, lambda x: F.when(x.rlike(TITLE), _lowered(x)).otherwise(x))
-        t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])(\p{Lu}\p{Ll}+)", shown("n"))
+        t = _bound(t, lambda x: F.when(x.rlike(TITLED), _lowered(x)).otherwise(x))
+        t = F.regexp_replace(t, r"(?=\p{Lu})(?<![\p{L}\p{N}])(\p{Lu}\p{Ll}+)", shown("n"))
     t = F.lower(t)
     marks = MARK + SEP
 
     def with_numbers(x: Column) -> Column:
         x = F.regexp_replace(x, rf"[^\p{{L}}\p{{N}}.,%€${marks}]+|(?<![0-9])[.,%€$]|[.,](?![0-9])", " ")
-        number = F.regexp_replace(x, rf"(?<![\p{{L}}\p{{N}}{marks}])([0-9]+(?:[.,][0-9]+)*)", f" {shown('#')} ")
+        number = F.regexp_replace(x, rf"(?=[0-9])(?<![\p{{L}}\p{{N}}{marks}])([0-9]+(?:[.,][0-9]+)*)", f" {shown('#')} ")
         before = rf"{MARK}#{SEP}[0-9.,]+" if values else rf"{MARK}#"
         return F.regexp_replace(number, rf"({before}) +({'|'.join(UNITS)}|%|€|\$)(?![\p{{L}}\p{{N}}])", f"$1 {shown('u').replace('$1', '$2')}")
 
