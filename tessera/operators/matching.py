@@ -75,8 +75,9 @@ def new_shapes_in_conflict(rows: DataFrame, parcels: DataFrame, titles: DataFram
     new = rows.filter("is_known is null and geom.type = 'Polygon'")
     ring = geometry.shifted(geometry.ring("geom"), -F.col("lng_offset"), -F.col("lat_offset"))
     shifted = new.select("poly_id", F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geom"))
-    old = existing(parcels, titles).select("geom", *spatial.BOX)
-    return spatial.join(spatial.with_box(shifted), old).select("l.poly_id").distinct()
+    pairs = spatial.join(spatial.with_box(shifted), parcels.select("title_no", "geom", *spatial.BOX), shapes=False)
+    # Tenure is looked up for what is met alone.
+    return existing(pairs.select("l.poly_id", "r.title_no").distinct(), titles).select("poly_id").distinct()
 
 
 def classified(pending: DataFrame, parcels: DataFrame, titles: DataFrame, places: DataFrame | None = None) -> DataFrame:
@@ -85,9 +86,10 @@ def classified(pending: DataFrame, parcels: DataFrame, titles: DataFrame, places
     places: (property_address, places: array of {lng, lat}), what an address resolves to.
     Rows marked fail before stay so, and new shapes keep the type they have. The
     rows with their old shapes, and the result, are written to the folder of
-    spark.checkpoint.dir, as several steps read them.
+    spark.checkpoint.dir: several steps read them, and a filter on the result would
+    otherwise have the overlaps computed once more for each of its columns.
     """
-    rows = written(carried_offset(compared(pending, parcels, titles)))
+    rows = carried_offset(written(compared(pending, parcels, titles)))
     clash = new_shapes_in_conflict(rows, parcels, titles).withColumn("_clash", F.lit(True))
     open_ = F.col("is_known") & (F.col("geom.type") == "Polygon") & ~F.col("is_exact") & ~F.col("is_offset")
     rows = spatial.overlap(rows, geometry.shifted(geometry.ring("old_geom"), F.col("lng_offset"), F.col("lat_offset")), geometry.ring("geom"), open_)

@@ -36,33 +36,44 @@ def _level(cell: float) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(LEVELS - 1), F.ceil(F.log(side / cell) / F.log(F.lit(float(STEP))))).cast("int"))
 
 
-def _listed(df: DataFrame, name: str, level: str, further: list[int], cell: float) -> DataFrame:
-    """(name struct, level, c) of each cell: those of the shape's own level, and of the wider ones that the other side has."""
+def _levels(df: DataFrame, cell: float) -> DataFrame:
+    """One row: the levels of the shapes, at most LEVELS numbers."""
+    return df.select(_level(cell).alias("k")).agg(F.collect_set("k").alias("_further"))
+
+
+def _listed(df: DataFrame, name: str, further: DataFrame, cell: float, shapes: bool) -> DataFrame:
+    """(name struct, its plainness, level and odd rings, c) of each cell: those of the shape's own level, and of the wider ones that the other side has."""
     wide = lambda k: F.pow(F.lit(float(STEP)), k) * cell
     span = lambda a, b, k: F.sequence(F.floor(F.col(a) / wide(k)), F.floor(F.col(b) / wide(k)))
     of = lambda k: F.flatten(F.transform(span("xmin", "xmax", k), lambda x: F.transform(span("ymin", "ymax", k), lambda y: F.struct(k.alias("k"), x.alias("x"), y.alias("y")))))
-    at = F.array_distinct(F.concat(F.array(_level(cell)), F.filter(F.array(*[F.lit(x) for x in further]), lambda k: k > _level(cell))))
-    return df.select(F.struct("*").alias(name), _level(cell).alias(level), F.explode(F.flatten(F.transform(at, of))).alias("c"))
+    carried = F.struct(*[c for c in df.columns if shapes or c not in ("geom", *BOX)]).alias(name)
+    box = F.struct(*BOX).alias(f"{name}_box")
+    rings = F.col("geom.coordinates") if "geom" in df.columns else F.lit(None).cast(_rings)
+    plain = F.coalesce(_plain(rings), F.lit(False))
+    df = df.select(carried, box, plain.alias(f"{name}_plain"), F.when(~plain, rings).alias(f"{name}_rings"), *BOX, _level(cell).alias(f"{name}_level")).crossJoin(F.broadcast(further))  # one row
+    own = F.col(f"{name}_level")
+    at = F.concat(F.array(own), F.filter("_further", lambda k: k > own))
+    return df.select(name, f"{name}_box", f"{name}_plain", f"{name}_rings", f"{name}_level", F.explode(F.flatten(F.transform(at, of))).alias("c"))
 
 
-def join(left: DataFrame, right: DataFrame, how: str = "meets", cell: float = CELL, exact: bool = True) -> DataFrame:
+def join(left: DataFrame, right: DataFrame, how: str = "meets", cell: float = CELL, exact: bool = True, shapes: bool = True) -> DataFrame:
     """Pairs (l struct, r struct) of rows whose shapes meet; how="overlaps" leaves out pairs that only touch.
 
     Both sides have xmin, ymin, xmax, ymax and geom. Rows without a box meet nothing.
+    shapes=False leaves geom and box out of l and r: rectangles then travel as their
+    boxes, and only other shapes take their rings along to the exact test.
     """
-    levels = [[r[0] for r in x.select(_level(cell).alias("k")).filter("k is not null").distinct().collect()] for x in (left, right)]  # at most LEVELS numbers
-    pairs = _listed(left, "l", "lk", levels[1], cell).join(_listed(right, "r", "rk", levels[0], cell), "c")
+    pairs = _listed(left, "l", _levels(right, cell), cell, shapes).join(_listed(right, "r", _levels(left, cell), cell, shapes), "c")
     wide = F.pow(F.lit(float(STEP)), F.col("c.k")) * cell
-    corner = (F.col("c.k") == F.greatest("lk", "rk")) & (F.col("c.x") == F.floor(F.greatest("l.xmin", "r.xmin") / wide)) & (F.col("c.y") == F.floor(F.greatest("l.ymin", "r.ymin") / wide))
-    if how == "meets":
-        box = (F.col("l.xmin") <= F.col("r.xmax")) & (F.col("r.xmin") <= F.col("l.xmax")) & (F.col("l.ymin") <= F.col("r.ymax")) & (F.col("r.ymin") <= F.col("l.ymax"))
-    else:
-        box = (F.col("l.xmin") < F.col("r.xmax")) & (F.col("r.xmin") < F.col("l.xmax")) & (F.col("l.ymin") < F.col("r.ymax")) & (F.col("r.ymin") < F.col("l.ymax"))
-    pairs = pairs.filter(corner & box).select("l", "r")
+    of = {f"{s}.{n}": F.col(f"{s}_box.{n}") for s in "lr" for n in BOX}
+    corner = (F.col("c.k") == F.greatest("l_level", "r_level")) & (F.col("c.x") == F.floor(F.greatest(of["l.xmin"], of["r.xmin"]) / wide)) & (F.col("c.y") == F.floor(F.greatest(of["l.ymin"], of["r.ymin"]) / wide))
+    below = (lambda a, b: of[a] <= of[b]) if how == "meets" else (lambda a, b: of[a] < of[b])
+    box = below("l.xmin", "r.xmax") & below("r.xmin", "l.xmax") & below("l.ymin", "r.ymax") & below("r.ymin", "l.ymax")
+    pairs = pairs.filter(corner & box)
     if not exact:
-        return pairs
-    a, b = F.col("l.geom.coordinates"), F.col("r.geom.coordinates")
-    return _judged(pairs, _plain(a) & _plain(b), a, b, how).select("l", "r")
+        return pairs.select("l", "r")
+    rings = [F.when(F.col(f"{s}_plain"), geometry.rect(*[of[f"{s}.{n}"] for n in BOX])["coordinates"]).otherwise(F.col(f"{s}_rings")) for s in "lr"]
+    return _judged(pairs, F.col("l_plain") & F.col("r_plain"), *rings, how).select("l", "r")
 
 
 def _plain(rings: Column) -> Column:

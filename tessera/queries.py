@@ -371,23 +371,23 @@ _MEET = "a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <
 
 @query(f"SELECT a.id AS land_id, b.id AS pending_id FROM u a JOIN n b ON {_MEET}")
 def spatial_join_tiles(spark, d):
-    return spatial.join(fx.land(spark, d), fx.pending(spark, d)).select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
+    return spatial.join(fx.land(spark, d), fx.pending(spark, d), shapes=False).select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
 
 
 @query(f"SELECT a.id AS land_id, b.id AS pending_id FROM u a JOIN n b ON {_MEET.replace('<=', '<')}")
 def spatial_join_overlap(spark, d):
-    return spatial.join(fx.land(spark, d), fx.pending(spark, d), "overlaps").select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
+    return spatial.join(fx.land(spark, d), fx.pending(spark, d), "overlaps", shapes=False).select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
 
 
 @query(f"SELECT a.id AS land_id, b.id AS pending_id FROM u a JOIN n b ON {_MEET}", fx.SLANT)
 def spatial_join_slanted(spark, d):
     """Parallelograms: the exact test judges those whose boxes meet."""
-    return spatial.join(fx.land(spark, d, fx.SLANT), fx.pending(spark, d, fx.SLANT)).select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
+    return spatial.join(fx.land(spark, d, fx.SLANT), fx.pending(spark, d, fx.SLANT), shapes=False).select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
 
 
 @query(f"SELECT a.id AS land_id, b.id AS pending_id FROM u a JOIN n b ON {_MEET.replace('<=', '<')}", fx.SLANT)
 def spatial_join_slanted_overlap(spark, d):
-    return spatial.join(fx.land(spark, d, fx.SLANT), fx.pending(spark, d, fx.SLANT), "overlaps").select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
+    return spatial.join(fx.land(spark, d, fx.SLANT), fx.pending(spark, d, fx.SLANT), "overlaps", shapes=False).select(F.col("l.id").alias("land_id"), F.col("r.id").alias("pending_id"))
 
 
 @query("SELECT title_no, file_date, type = 'ccod' AS proprietor_uk_based, event_id FROM (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY title_no ORDER BY file_date DESC, type DESC, op <> 'D' DESC, event_id DESC) = 1) WHERE op = 'A'")
