@@ -130,20 +130,33 @@ def _sides(e: np.ndarray, net: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     left = np.zeros_like(net)
     slope = (y1 - y0) / np.where(upright, 1.0, x1 - x0)
     back = (x1 - x0) / np.where(y1 == y0, 1.0, y1 - y0)
-    step = max(1, BLOCK // max(1, len(e)))
+    edge, group = np.nonzero(net)
     for ray in (False, True):
+        # Midpoints in order: an edge lies over a range of them, and only these are looked at.
         which = np.flatnonzero(upright == ray)
-        for at in range(0, len(which), step):
-            k = which[at : at + step]
-            px, py = mx[k, None], my[k, None]
+        which = which[np.argsort((my if ray else mx)[which], kind="stable")]
+        line = (my if ray else mx)[which]
+        lo, hi = (np.minimum(y0, y1), np.maximum(y0, y1)) if ray else (x0, x1)
+        first = np.searchsorted(line, lo)[edge]
+        many = np.searchsorted(line, hi)[edge] - first
+        total = np.cumsum(many)
+        start = 0
+        while start < len(edge):
+            stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + BLOCK, "right")))
+            n = many[start:stop]
+            at = np.repeat(np.arange(start, stop), n)
+            k = which[first[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
+            c = edge[at]
             if ray:  # to the right: what lies there is the right side
-                over = ((y0 > py) != (y1 > py)) & (x0 + (py - y0) * back > px)
+                over = x0[c] + (my[k] - y0[c]) * back[c] > mx[k]
             else:  # upwards: what lies there is the left side
-                over = (x0 <= px) & (x1 > px) & (y0 + (px - x0) * slope > py)
-            over[np.arange(len(k)), k] = False
-            r, c = np.nonzero(over)
-            np.add.at(left, k[r], net[c] * (np.sign(y1 - y0)[c, None] if ray else -1.0))
-            left[k] += net[k] if ray else 0
+                over = y0[c] + (mx[k] - x0[c]) * slope[c] > my[k]
+            over &= k != c
+            k, c, g = k[over], c[over], group[at[over]]
+            np.add.at(left, (k, g), net[c, g] * (np.sign(y1 - y0)[c] if ray else -1.0))
+            start = stop
+        if ray:
+            left[which] += net[which]
     return left, left - net
 
 
