@@ -288,6 +288,23 @@ def _offset(p: np.ndarray, d: float, quarter: int) -> np.ndarray:
     return np.array([*out, out[0]])
 
 
+def _is_convex(p: np.ndarray) -> bool:
+    """A closed counter-clockwise ring that turns left at every point, once round."""
+    d = p[1:] - p[:-1]
+    after = np.roll(d, -1, 0)
+    turn = np.arctan2(_cross(d, after), (d * after).sum(1))
+    return bool((turn > 1e-9).all() and turn.sum() < 7)
+
+
+def _ring_of(curve: np.ndarray) -> list[Polygon]:
+    """A curve that doesn't meet itself, on the grid, as `winding` gives it: from its least point on, without points on a line."""
+    p = np.round(curve / GRID)
+    p = p[:-1][(p[1:] != p[:-1]).any(1)]
+    p = p[_cross(p - np.roll(p, 1, 0), np.roll(p, -1, 0) - p) != 0]
+    p = np.roll(p, -int(np.lexsort((p[:, 1], p[:, 0]))[0]), 0)
+    return [[(np.concatenate([p, p[:1]]) * GRID).tolist()]]
+
+
 def buffered(polygons: list[Polygon], metres: float, quarter: int = 8) -> list[Polygon]:
     """The shape grown by `metres`, or shrunk if negative: a curve beside each ring; outsides grow where holes shrink."""
     if not polygons or not metres:
@@ -295,6 +312,10 @@ def buffered(polygons: list[Polygon], metres: float, quarter: int = 8) -> list[P
     x0, y0, x1, y1 = bounds(polygons)
     ky = 180 / (math.pi * R)
     k, at = np.array([ky / math.cos(math.radians((y0 + y1) / 2)), ky]), np.array([x0, y0])
+    if metres > 0 and len(polygons) == 1 and len(polygons[0]) == 1:
+        p = (_turned(polygons[0][0], True) - at) / k
+        if _is_convex(p):
+            return _ring_of(_offset(p, metres, quarter) * k + at)
     curves, holes = [], []
     for rings in polygons:
         holes.append(range(len(curves) + 1, len(curves) + len(rings)))

@@ -6,6 +6,7 @@ import math
 import random
 import struct
 
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import Phase, given, settings
@@ -244,14 +245,14 @@ def test_joins_of_shapes_of_all_sizes(spark):
     assert sorted((r.a, r.b) for r in spatial.join(df, df).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).collect()) == want
 
 
-def box(x0, y0, x1, y1):
+def box_ring(x0, y0, x1, y1):
     return [[float(x), float(y)] for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
 
 
 def test_clip_of_land_in_parts(spark):
     """Land over 1 km2: the parts it is worked on in don't show."""
-    land = shapes(spark, [(1, box(0, 50, 0.03, 50.03)), (2, box(1, 50, 1.03, 50.03)), (3, box(2, 50, 2.03, 50.03))], "id long")
-    cuts = [(1, None, box(-0.001, 49.99, 0.015 - 4e-5, 50.04)), (2, None, box(0.015 + 4e-5, 49.99, 0.031, 50.04)), (3, None, box(2.01, 50.01, 2.011, 50.011)), (4, "exact", box(1.01, 50.01, 1.02, 50.02))]
+    land = shapes(spark, [(1, box_ring(0, 50, 0.03, 50.03)), (2, box_ring(1, 50, 1.03, 50.03)), (3, box_ring(2, 50, 2.03, 50.03))], "id long")
+    cuts = [(1, None, box_ring(-0.001, 49.99, 0.015 - 4e-5, 50.04)), (2, None, box_ring(0.015 + 4e-5, 49.99, 0.031, 50.04)), (3, None, box_ring(2.01, 50.01, 2.011, 50.011)), (4, "exact", box_ring(1.01, 50.01, 1.02, 50.02))]
     pending = shapes(spark, cuts, "id long, match_type string")
     out = unregistered.clipped(land, pending).select("land_id", "is_whole", "geom", F.round(geometry.area(F.col("geom"))).alias("area")).collect()
     assert sorted((r.land_id, r.is_whole, len(r.geom.coordinates)) for r in out) == [(1, False, 1), (2, True, 1), (3, False, 2)]
@@ -393,7 +394,7 @@ def test_distances_of_odd_shapes(spark):
     """Triangles and rectangles at known distances, one within another, and a pair that crosses without a corner near."""
     m = 180 / (math.pi * 6371008.8)
     tri = [[0.0, 0.0], [100 * m, 0.0], [50 * m, 80 * m], [0.0, 0.0]]
-    rows = [(1, tri), (2, [[100 * m + 3 * m, 0.0], [200 * m, 0.0], [200 * m, 9 * m], [103 * m, 0.0]]), (3, box(0, -20 * m, 100 * m, -4 * m)), (4, box(45 * m, 20 * m, 55 * m, 25 * m)), (5, [[0.0, -30 * m], [1000 * m, -26.0 * m], [0.0, -26 * m], [0.0, -30 * m]])]
+    rows = [(1, tri), (2, [[100 * m + 3 * m, 0.0], [200 * m, 0.0], [200 * m, 9 * m], [103 * m, 0.0]]), (3, box_ring(0, -20 * m, 100 * m, -4 * m)), (4, box_ring(45 * m, 20 * m, 55 * m, 25 * m)), (5, [[0.0, -30 * m], [1000 * m, -26.0 * m], [0.0, -26 * m], [0.0, -30 * m]])]
     df = shapes(spark, rows, "poly_id long")
     got = {(r.poly_id, r.other_id): r.metres for r in lineage.adjacent(df, df).collect()}
     assert {k for k in got if k[0] < k[1]} == {(1, 2), (1, 3), (1, 4), (2, 3)} - ({(2, 3)} if math.hypot(3, 4) > 5 else set()) and all((b, a) in got for a, b in got)
@@ -466,9 +467,9 @@ def test_decisions_act_in_order(spark):
 def test_losses_in_rounds(spark):
     """What is left after a first neighbour is looked at again, shrunk by less; land of no one ends it."""
     u = 1e-4
-    old = shapes(spark, [(1, box(0, 0, 20 * u, 8 * u))], "poly_id long")
-    keep, wide = box(0, 0, 2 * u, 8 * u), box(2 * u, 0, 18.6 * u, 8 * u)
-    thin = box(18.6 * u, 0, 20 * u, 8 * u)
+    old = shapes(spark, [(1, box_ring(0, 0, 20 * u, 8 * u))], "poly_id long")
+    keep, wide = box_ring(0, 0, 2 * u, 8 * u), box_ring(2 * u, 0, 18.6 * u, 8 * u)
+    thin = box_ring(18.6 * u, 0, 20 * u, 8 * u)
     for last, incomplete, segments in ((thin, False, [2, 3]), (None, True, [2])):
         new = shapes(spark, [(1, keep), (2, wide)] + ([(3, last)] if last else []), "poly_id long")
         rows = old.select("poly_id", F.col("geom").alias("old_geom")).join(new.select("poly_id", "geom"), "poly_id").select(F.lit(1).cast("long").alias("id"), "*", F.lit(0.0).alias("lng_offset"), F.lit(0.0).alias("lat_offset"))
@@ -514,7 +515,7 @@ def test_grid_shift(spark, tmp_path, order):
             want = (lng + dlng / 3600, lat + dlat / 3600)
         assert abs(got[i][0] - want[0]) < 1e-8 and abs(got[i][1] - want[1]) < 1e-8, at[i]
     hole = [[-2.5, 50.2], [-2.4, 50.2], [-2.4, 50.3], [-2.5, 50.2]]
-    df = spark.createDataFrame([(1, {"type": "Polygon", "coordinates": [box(-2.9, 50.1, -1.1, 51.9), hole]}), (2, {"type": "Polygon", "coordinates": [hole]}), (2, {"type": "Polygon", "coordinates": [hole]})], f"id long, geom {geometry.POLYGON}")
+    df = spark.createDataFrame([(1, {"type": "Polygon", "coordinates": [box_ring(-2.9, 50.1, -1.1, 51.9), hole]}), (2, {"type": "Polygon", "coordinates": [hole]}), (2, {"type": "Polygon", "coordinates": [hole]})], f"id long, geom {geometry.POLYGON}")
     out = gridshift.applied(df, cells).collect()
     assert sorted((x.id, [len(c) for c in x.geom.coordinates]) for x in out) == [(1, [5, 4]), (2, [4]), (2, [4])]
     dlat, dlng = coarse(50.2, -2.4)
@@ -525,9 +526,9 @@ def test_grid_shift(spark, tmp_path, order):
 
 def test_build_goes_on(spark, tmp_path, monkeypatch):
     """A build that is cut off and called again gives what one in one go does."""
-    tiles = shapes(spark, [(i, box(i * 0.01, 50, i * 0.01 + 0.009, 50.005)) for i in range(1, 6)], "id long")
-    parcels_ = shapes(spark, [(1, box(0.012, 50.001, 0.015, 50.003)), (2, box(0.04, 49.99, 0.044, 50.01))], "id long")
-    land = shapes(spark, [(i, i, box(i * 0.01, 50, i * 0.01 + 0.008, 50.005)) for i in range(1, 6)], "id long, tile_id long")
+    tiles = shapes(spark, [(i, box_ring(i * 0.01, 50, i * 0.01 + 0.009, 50.005)) for i in range(1, 6)], "id long")
+    parcels_ = shapes(spark, [(1, box_ring(0.012, 50.001, 0.015, 50.003)), (2, box_ring(0.04, 49.99, 0.044, 50.01))], "id long")
+    land = shapes(spark, [(i, i, box_ring(i * 0.01, 50, i * 0.01 + 0.008, 50.005)) for i in range(1, 6)], "id long, tile_id long")
     area = lambda df: sorted((r.tile_id, round(r.a, 2)) for r in df.groupBy("tile_id").agg(F.sum(geometry.area(F.col("geom"))).alias("a")).collect())
     whole, target, calls = unregistered.built, str(tmp_path / "u"), []
 
@@ -546,3 +547,44 @@ def test_build_goes_on(spark, tmp_path, monkeypatch):
     assert len(calls) == 4 and area(spark.read.parquet(f"{target}/layer")) == area(whole(tiles, parcels_, land))
     unregistered.build(tiles, parcels_, land, str(tmp_path / "some"), 2, 4)
     assert {t for t, _ in area(spark.read.parquet(str(tmp_path / "some/layer")))} == {2, 3}
+
+
+def test_convex_shapes_grow_as_others_do(monkeypatch):
+    rng = np.random.default_rng(5)
+    convex = kernel._is_convex
+    taken = 0
+    for _ in range(120):
+        turns = np.sort(rng.random(rng.integers(3, 9))) * 2 * np.pi
+        p = np.stack([np.cos(turns), np.sin(turns)], 1) * rng.choice([1e-5, 1e-4, 1e-3]) + rng.normal(0, 3e-6, (len(turns), 2)) + [-4.9, 50.1]
+        ring = np.concatenate([p, p[:1]])
+        taken += convex(ring)
+        metres = float(rng.choice([0.2, 0.6, 5.0]))
+        got = kernel.buffered([[ring.tolist()]], metres)
+        with monkeypatch.context() as m:
+            m.setattr(kernel, "_is_convex", lambda p: False)
+            assert got == kernel.buffered([[ring.tolist()]], metres)
+    assert taken > 40
+
+
+def test_windings_equal_a_count_over_all_edges():
+    rng = np.random.default_rng(7)
+    curves = [[np.concatenate([p, p[:1]])] for p in (rng.integers(0, 40, (7, 2)) * kernel.GRID for _ in range(5))]
+    e, group, _ = kernel._edges(curves)
+    e, of = kernel._split(e)
+    ahead = (e[:, 0] < e[:, 2]) | ((e[:, 0] == e[:, 2]) & (e[:, 1] < e[:, 3]))
+    e, place = np.unique(np.where(ahead[:, None], e, e[:, [2, 3, 0, 1]]), axis=0, return_inverse=True)
+    net = np.zeros((len(e), len(curves)))
+    np.add.at(net, (place.ravel(), group[of]), np.where(ahead, 1.0, -1.0))
+    left, right = kernel._sides(e, net)
+    assert (left - right == net).all()
+    for k, (x0, y0, x1, y1) in enumerate(e):
+        x, y = (x0 + x1) / 2, (y0 + y1) / 2
+        want = np.zeros(len(curves))
+        for c, (a, b, u, v) in enumerate(e):
+            if c == k:
+                continue
+            if x0 == x1 and (b > y) != (v > y) and a + (y - b) * (u - a) / (v - b) > x:
+                want += net[c] * np.sign(v - b)
+            elif x0 != x1 and a <= x < u and b + (x - a) * (v - b) / (u - a) > y:
+                want -= net[c]
+        assert (left[k] == want + (net[k] if x0 == x1 else 0)).all()
