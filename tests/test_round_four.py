@@ -16,3 +16,15 @@ def test_shares_of_covered_shapes(spark):
     new = boxes(spark, [(7, 0.001, 50.0, 0.002, 50.001), (8, 0.0, 50.0, 0.0005, 50.001)])
     got = {(r["old_id"], r["new_id"]): (round(r["old_share"], 3), round(r["new_share"], 3)) for r in lineage.covered(old, new).collect()}
     assert got == {(1, 7): (50.0, 100.0), (1, 8): (25.0, 100.0)}
+
+
+def test_renumbered_shapes_meet_where_they_lie(spark):
+    """Shapes that are all alike: pairs come from neighbouring cells, not from the key alone; borders of cells lose none."""
+    at = [(i, 0.001 * (i % 40), 50 + 0.001 * (i // 40)) for i in range(1600)]
+    shift = lambda i: 9e-5 * (-1) ** i
+    old = boxes(spark, [(i, x, y, x + 5e-4, y + 5e-4) for i, x, y in at])
+    new = boxes(spark, [(10_000 + i, x + shift(i), y - shift(i // 2), x + shift(i) + 5e-4, y - shift(i // 2) + 5e-4) for i, x, y in at])
+    out = lineage.renamed(new, old, new)
+    assert {(r["old_id"], r["new_id"]) for r in out.collect()} == {(i, 10_000 + i) for i, _, _ in at}
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x]
+    assert joins and all("_cx" in x and "_cy" in x for x in joins)
