@@ -1,8 +1,10 @@
 """Shares of covered shapes, renumbered shapes that are many and alike, overlays of many shapes at once."""
 
+import random
+
 from pyspark.sql import functions as F
 
-from tessera.functions import geometry
+from tessera.functions import geometry, kernel
 from tessera.operators import lineage, spatial
 
 
@@ -28,3 +30,24 @@ def test_renumbered_shapes_meet_where_they_lie(spark):
     assert {(r["old_id"], r["new_id"]) for r in out.collect()} == {(i, 10_000 + i) for i, _, _ in at}
     joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x]
     assert joins and all("_cx" in x and "_cy" in x for x in joins)
+
+
+def test_overlays_go_in_batches(monkeypatch):
+    """Many overlays at once give what each gives alone, holes and crossings included, and few sweeps do for them all."""
+    random.seed(4)
+
+    def shape(x, y):
+        w, h, s = random.uniform(1e-4, 1e-3), random.uniform(1e-4, 1e-3), random.choice([0.0, 0.5])
+        return [[[[x, y], [x + w, y], [x + w + s * h, y + h], [x + s * h, y + h], [x, y]]]]
+
+    rows = []
+    for _ in range(200):
+        x, y = random.uniform(-5, 1), random.uniform(50, 58)
+        rows.append((shape(x, y), [shape(x + random.uniform(-3e-4, 6e-4), y + random.uniform(-3e-4, 6e-4)) for _ in range(random.choice([0, 1, 2, 5]))]))
+    alone = [kernel.difference(a, *cuts) for a, cuts in rows]
+    shrunk = [kernel.buffered(p, -3.0) for p in alone]
+    calls, split = [], kernel._split
+    monkeypatch.setattr(kernel, "_split", lambda e: calls.append(1) or split(e))
+    assert kernel.differences(rows) == alone and kernel.all_buffered(alone, [-3.0] * len(alone)) == shrunk
+    assert kernel.unions([[a, *cuts] for a, cuts in rows[:50]]) == [kernel.union(a, *cuts) for a, cuts in rows[:50]]
+    assert len(calls) < 70  # fifty of them the single ones
