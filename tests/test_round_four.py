@@ -47,7 +47,7 @@ def test_overlays_go_in_batches(monkeypatch):
     alone = [kernel.difference(a, *cuts) for a, cuts in rows]
     shrunk = [kernel.buffered(p, -3.0) for p in alone]
     calls, split = [], kernel._split
-    monkeypatch.setattr(kernel, "_split", lambda e: calls.append(1) or split(e))
+    monkeypatch.setattr(kernel, "_split", lambda *a: calls.append(1) or split(*a))
     assert kernel.differences(rows) == alone and kernel.all_buffered(alone, [-3.0] * len(alone)) == shrunk
     assert kernel.unions([[a, *cuts] for a, cuts in rows[:50]]) == [kernel.union(a, *cuts) for a, cuts in rows[:50]]
     assert len(calls) < 70  # fifty of them the single ones
